@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash
+from . import media, phrases, simhash, superkmers, token_blocks, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,7 +17,15 @@ def _over_documents(query: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_flac_media": _over_documents(media.query),
+    "op2_toxicity": lambda spark, sf_dir: toxicity.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
+    "op3_decontamination": lambda spark, sf_dir: phrases.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
+    "op4_token_blocks": _over_documents(token_blocks.query),
+    "op8_substring_dedup": _over_documents(superkmers.query),
     "op9_simhash_near_dedup": _over_documents(simhash.query),
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_decontamination": phrases.ORACLE,
+    "op8_substring_dedup": superkmers.ORACLE,
+}
