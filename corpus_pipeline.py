@@ -1,10 +1,59 @@
-"""Documents to token blocks in five stages."""
+"""Documents to token blocks in five stages, each over all that the one before it kept.
+
+Toxic documents go; of each near-duplicate component one document stays; documents with benchmark passages go; the
+sources are mixed to their target weights, documents with several copies repeating; the mix is tokenised, written in
+patched frame-of-reference blocks and read back. All but the last return the columns of `documents`."""
 
 from __future__ import annotations
 
-STAGES: list = []
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from rainloom.llm import mixing, phrases, simhash, token_blocks, toxicity
+from rainloom.llm.common import shared_dir, table
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.keep_one(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return phrases.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.take(docs)
+
+
+def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return token_blocks.query(docs)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
+    ("simhash near-dedup", drop_near_duplicates),
+    ("benchmark decontamination", drop_contaminated),
+    ("source mixing", mix_sources),
+    ("token output", write_tokens),
+]
+
+#: Learned scores, XXH64 and the tokenizer have no SQL: the tests hold run() against plain versions.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over `documents`, each written to the shared folder as Parquet and reread for the next."""
+    docs = table(spark, sf_dir, "documents")
+    for k, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            path = f"{shared_dir(spark)}/corpus-{uuid.uuid4().hex}-{k}"
+            docs.write.parquet(path)
+            docs = spark.read.parquet(path)
+    return docs

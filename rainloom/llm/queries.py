@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import media, phrases, simhash, superkmers, token_blocks, toxicity
+from . import chat, languages, media, mixing, phrases, sharding, simhash, superkmers, token_blocks, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,11 +21,18 @@ QUERIES: dict[str, Query] = {
     "op2_toxicity": lambda spark, sf_dir: toxicity.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
     "op3_decontamination": lambda spark, sf_dir: phrases.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
     "op4_token_blocks": _over_documents(token_blocks.query),
+    "op5_chat_formatting": lambda spark, sf_dir: chat.query(table(spark, sf_dir, "conversations")),
+    "op6_pareto_mixing": _over_documents(mixing.query),
+    "op7_language_id": _over_documents(languages.query),
     "op8_substring_dedup": _over_documents(superkmers.query),
     "op9_simhash_near_dedup": _over_documents(simhash.query),
+    "op10_jump_sharding": _over_documents(sharding.query),
 }
 
 ORACLE: dict[str, str] = {
     "op3_decontamination": phrases.ORACLE,
+    "op5_chat_formatting": chat.ORACLE,
+    "op6_pareto_mixing": mixing.ORACLE,
     "op8_substring_dedup": superkmers.ORACLE,
+    "op10_jump_sharding": sharding.ORACLE,
 }
