@@ -1,10 +1,563 @@
-"""The engine's operators over the driver's tables."""
+"""The engine's operators over the driver's tables, each with its SQL where SQL can express it.
+
+Stations are nations, a day's value is the quantity shipped from a nation's suppliers on that day, and the places of
+stations, the elevation grid and the fields on it follow from whole numbers by fixed arithmetic in both languages."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import calendar, geometry
+from ..operators import drift, homogeneity, kriging, plots, raster, series, variogram
+from ..schema import Variogram
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
+#: The candidate station of relative tests, and the days that a year of the smaller tables needs.
+CANDIDATE, MIN_DAYS = "7", 200
+GRID_SIZE, CELL = 20, 5000.0
+KRIGED = ("1997-03-01", "1997-03-05")
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE[f.__name__] = sql
+        return f
+
+    return add
+
+
+# -- proxy tables ---------------------------------------------------------------------------------------------------
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _table(spark, sf_dir, "lineitem").select("l_suppkey", F.col("l_shipdate").cast("date").alias("date"), "l_quantity")
+    places = _table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").cast("string").alias("station"))
+    # sums by supplier and day first: what is shuffled and joined is days, not lines
+    daily = lines.groupBy("date", "l_suppkey").agg(F.sum("l_quantity").alias("value"))
+    return daily.join(places, "l_suppkey").groupBy("date", "station").agg(F.sum("value").alias("value"))
+
+
+def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("n_nationkey").cast("long")
+    x, y, z = k * 7919 % 1000, k * 104729 % 1000, k * 15485863 % 2300
+    return _table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").cast("string").alias("station"), (83 + x / 200).alias("lon"), (26 + y / 500).alias("lat"),
+        (z + 50).cast("double").alias("z"), (x * 100).cast("double").alias("x"), (y * 140).cast("double").alias("y"),
+    )
+
+
+def cells(spark: SparkSession, size: int = GRID_SIZE) -> DataFrame:
+    ids = spark.range(size * size).select((F.col("id") / size).cast("int").alias("row"), (F.col("id") % size).cast("int").alias("col"))
+    grid = raster.grid_coordinates(ids, size, 0.0, 0.0, CELL)
+    height = F.col("row") * 31 + F.col("col") * 17
+    return grid.withColumn("z", F.when(height % 13 != 0, (height * 7 % 900 + 60).cast("double")))
+
+
+def field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A value for every cell and day of the first months of 1997, null on some cells."""
+    days = _table(spark, sf_dir, "lineitem").select(F.col("l_shipdate").cast("date").alias("date")).where("date BETWEEN '1997-01-01' AND '1998-03-31'").distinct()
+    d = F.datediff("date", F.lit("1980-01-01").cast("date"))
+    v = ((F.col("row") * 37 + F.col("col") * 11 + d * 7) % 101) / 8 - 1
+    return cells(spark).crossJoin(days).select("date", "row", "col", F.when((F.col("row") + F.col("col") + d) % 9 != 0, v).cast("float").alias("rainfall"))
+
+
+RINGS = {
+    "hollow": [[(10000.0, 10000.0), (70000.0, 12000.0), (66000.0, 71000.0), (9000.0, 60000.0)], [(30000.0, 30000.0), (50000.0, 30000.0), (40000.0, 52000.0)]],
+    "east": [[(50000.0, 20000.0), (96000.0, 20000.0), (96000.0, 80000.0), (50000.0, 80000.0)]],
+    "speck": [[(100.0, 100.0), (900.0, 100.0), (500.0, 900.0)]],
+}
+
+
+def polygons(spark: SparkSession) -> DataFrame:
+    return raster.polygons_of(spark, RINGS)
+
+
+_OBS = "obs AS (SELECT CAST(l_shipdate AS DATE) AS date, CAST(s_nationkey AS VARCHAR) AS station, sum(l_quantity) AS value FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2)"
+_STATIONS = """stations AS (SELECT CAST(n_nationkey AS VARCHAR) AS station, 83 + (k * 7919 % 1000) / 200 AS lon, 26 + (k * 104729 % 1000) / 500 AS lat,
+  CAST(k * 15485863 % 2300 + 50 AS DOUBLE) AS z, CAST(k * 7919 % 1000 * 100 AS DOUBLE) AS x, CAST(k * 104729 % 1000 * 140 AS DOUBLE) AS y
+  FROM (SELECT n_nationkey, CAST(n_nationkey AS BIGINT) AS k FROM nation))"""
+_ANNUAL = f"""annual AS (SELECT station, year(date) AS year, CASE WHEN count(value) >= {MIN_DAYS} THEN sum(value) END AS total, count(value) AS n_days FROM obs GROUP BY 1, 2)"""
+_DOY = "CASE WHEN dayofyear(make_date(year(date), 12, 31)) = 366 AND dayofyear(date) >= 60 THEN dayofyear(date) - 1 ELSE dayofyear(date) END"
+_BRIDGE = "bridge AS (SELECT CAST(a.range AS INTEGER) AS doy, CAST(b.range AS INTEGER) AS source_doy FROM range(1, 366) a, range(1, 366) b WHERE least(abs(a.range - b.range), 366 - abs(a.range - b.range)) <= 7)"
+_PRESENT = "present AS (SELECT o.date, o.station, o.value, s.x, s.y, s.z FROM obs o JOIN stations s USING (station))"
+_DRIFT = """drift AS (SELECT date, avg(value) - covar_pop(value, z) / var_pop(z) * avg(z) AS a, covar_pop(value, z) / var_pop(z) AS b,
+  CASE WHEN var_pop(value) > 0 THEN abs(covar_pop(value, z)) / (sqrt(var_pop(z)) * sqrt(var_pop(value))) ELSE 0 END AS r, CAST(count(*) AS INTEGER) AS n FROM present GROUP BY date HAVING count(*) >= 4)"""
+_RESIDUALS = "residuals AS (SELECT p.date, p.station, p.x, p.y, p.value - a - b * z AS value FROM present p JOIN drift USING (date))"
+_PAIRS = """allpairs AS (SELECT a.station AS s1, b.station AS s2, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS distance FROM stations a JOIN stations b ON a.station < b.station),
+pairs AS (SELECT s1, s2, distance, CAST(floor(distance * 12 / max_lag) AS INTEGER) AS bin FROM (SELECT *, max(distance) OVER () * (2.0::DOUBLE / 3.0::DOUBLE) AS max_lag FROM allpairs) WHERE distance < max_lag)"""
+
+
+def _splits(source: str, keys: str) -> str:
+    """SQL that tests each series (keys, year, value) of source."""
+    return f"""moments AS (SELECT *, count(*) OVER w AS n, avg(value) OVER w AS mean, stddev_samp(value) OVER w AS sd, sum(value) OVER w AS total,
+    row_number() OVER o AS k, sum(value) OVER (o ROWS UNBOUNDED PRECEDING) AS before, lead(year) OVER o AS break_year
+  FROM {source} WHERE value IS NOT NULL WINDOW w AS (PARTITION BY {keys}), o AS (PARTITION BY {keys} ORDER BY year)),
+splits AS (SELECT *, before / k AS m1, (total - before) / (n - k) AS m2, k * ((before / k - mean) / sd) * ((before / k - mean) / sd) + (n - k) * (((total - before) / (n - k) - mean) / sd) * (((total - before) / (n - k) - mean) / sd) AS t FROM moments WHERE k < n AND n >= 5),
+snht AS (SELECT {keys}, CAST(max(n) AS INTEGER) AS n_years, round(max(t), 4) AS t_stat, arg_max(year, t) AS last_year_before_break, arg_max(break_year, t) AS break_year, round(arg_max(m1, t), 4) AS mean_before, round(arg_max(m2, t), 4) AS mean_after FROM splits GROUP BY {keys})"""
+
+
+def _rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
+    return df.withColumns({c: F.round(c, digits) for c in names})
+
+
+# -- homogeneity ----------------------------------------------------------------------------------------------------
+
+
+def _annual(spark: SparkSession, sf_dir: str, min_days: int = MIN_DAYS) -> DataFrame:
+    return homogeneity.annual_totals(observations(spark, sf_dir), min_days)
+
+
+def _value(annual: DataFrame) -> DataFrame:
+    return annual.select("station", "year", F.col("total").alias("value"))
+
+
+@query(f"WITH {_OBS}, {_ANNUAL} SELECT station, CAST(year AS INTEGER) AS year, total, n_days FROM annual")
+def annual_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _annual(spark, sf_dir)
+
+
+@query(f"WITH {_OBS}, {_ANNUAL}, v AS (SELECT station, CAST(year AS INTEGER) AS year, total AS value FROM annual), {_splits('v', 'station')} SELECT * FROM snht")
+def snht_statistic(spark: SparkSession, sf_dir: str, min_days: int = MIN_DAYS) -> DataFrame:
+    return _rounded(homogeneity.snht(_value(_annual(spark, sf_dir, min_days)), ["station"]), 4, "t_stat", "mean_before", "mean_after")
+
+
+@query()
+def snht_p_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Simulated: every engine draws its own numbers."""
+    return homogeneity.with_p_values(homogeneity.snht(_value(_annual(spark, sf_dir)), ["station"]))
+
+
+_NORM = "norm AS (SELECT *, total / avg(total) OVER (PARTITION BY station) AS norm FROM annual)"
+_CORR = f"""corr AS (SELECT n.station, CASE WHEN stddev_pop(n.total) > 0 AND stddev_pop(c.total) > 0 THEN covar_pop(n.total, c.total) / (stddev_pop(n.total) * stddev_pop(c.total)) END AS r
+  FROM annual n JOIN annual c ON n.year = c.year AND c.station = '{CANDIDATE}' WHERE n.station <> '{CANDIDATE}' AND n.total IS NOT NULL AND c.total IS NOT NULL GROUP BY n.station)"""
+_RELATIVE = f"""reference AS (SELECT year, CASE WHEN count(norm) >= 2 THEN sum(greatest(r, 0) * norm) / nullif(sum(greatest(r, 0)), 0) END AS reference
+  FROM norm JOIN corr USING (station) WHERE norm IS NOT NULL GROUP BY year),
+relative AS (SELECT coalesce(o.year, f.year) AS year, o.norm AS candidate_norm, reference, o.norm / nullif(reference, 0) AS ratio
+  FROM (SELECT year, norm FROM norm WHERE station = '{CANDIDATE}') o FULL JOIN reference f ON o.year = f.year)"""
+
+
+@query(f"WITH {_OBS}, {_ANNUAL}, {_CORR} SELECT station, round(r, 6) AS r FROM corr WHERE r IS NOT NULL")
+def neighbour_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(homogeneity.neighbour_correlations(_annual(spark, sf_dir), CANDIDATE), 6, "r").where("r IS NOT NULL")
+
+
+@query(f"WITH {_OBS}, {_ANNUAL}, {_NORM}, {_CORR}, {_RELATIVE} SELECT CAST(year AS INTEGER) AS year, round(candidate_norm, 6) AS candidate_norm, round(reference, 6) AS reference, round(ratio, 6) AS ratio FROM relative")
+def relative_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(homogeneity.relative_series(_annual(spark, sf_dir), CANDIDATE), 6, "candidate_norm", "reference", "ratio")
+
+
+@query(f"WITH {_OBS}, {_ANNUAL}, {_NORM}, {_CORR}, {_RELATIVE}, v AS (SELECT 'ratio' AS kind, CAST(year AS INTEGER) AS year, ratio AS value FROM relative), {_splits('v', 'kind')} SELECT * FROM snht")
+def relative_snht(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ratio = homogeneity.relative_series(_annual(spark, sf_dir), CANDIDATE).select(F.lit("ratio").alias("kind"), "year", F.col("ratio").alias("value"))
+    return _rounded(homogeneity.snht(ratio, ["kind"]), 4, "t_stat", "mean_before", "mean_after")
+
+
+@query()
+def relative_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Simulated p values decide."""
+    return homogeneity.relative_test(_annual(spark, sf_dir), CANDIDATE)
+
+
+@query()
+def homogeneity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    annual = _annual(spark, sf_dir)
+    return homogeneity.report(homogeneity.relative_test(annual, CANDIDATE), homogeneity.neighbour_correlations(annual, CANDIDATE))
+
+
+@query("""SELECT CAST(a AS BOOLEAN) AS inhomogeneous, CAST(b AS INTEGER) AS relative_break, CAST(c AS INTEGER) AS absolute_break,
+  CASE WHEN a = 0 THEN 'Homogeneous relative to neighbours -> absolute break is likely regional/climatic'
+       WHEN abs(b - c) <= 3 THEN 'Break also found relative to neighbours -> likely a station-specific problem'
+       ELSE 'Relative break found in a different year -> inspect station history' END AS verdict
+  FROM (SELECT r % 2 AS a, 1990 + r AS b, 1994 AS c FROM range(12) t(r))""")
+def verdict_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cases = spark.range(12).select((F.col("id") % 2 == 1).alias("inhomogeneous"), (F.col("id") + 1990).cast("int").alias("relative_break"), F.lit(1994).alias("absolute_break"))
+    return cases.withColumn("verdict", homogeneity.verdict(F.col("inhomogeneous"), F.col("relative_break"), F.col("absolute_break")))
+
+
+# -- calendar and projection ----------------------------------------------------------------------------------------
+
+
+@query(f"SELECT DISTINCT date, CAST({_DOY} AS INTEGER) AS doy, CAST(date_diff('day', DATE '1980-01-01', date) AS INTEGER) AS days FROM (SELECT CAST(l_shipdate AS DATE) AS date FROM lineitem)")
+def calendar_doy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dates = _table(spark, sf_dir, "lineitem").select(F.col("l_shipdate").cast("date").alias("date")).distinct()
+    return dates.select("date", calendar.calendar_doy(F.col("date")).alias("doy"), calendar.days_since(F.col("date")).alias("days"))
+
+
+@query(f"WITH {_BRIDGE}, dates AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS date FROM lineitem) SELECT doy, count(*) AS n_dates FROM (SELECT {_DOY} AS source_doy FROM dates) JOIN bridge USING (source_doy) GROUP BY doy")
+def doy_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dates = _table(spark, sf_dir, "lineitem").select(F.col("l_shipdate").cast("date").alias("date")).distinct()
+    days = dates.groupBy(calendar.calendar_doy(F.col("date")).alias("source_doy")).count()
+    return days.join(F.broadcast(calendar.window_bridge(spark)), "source_doy").groupBy("doy").agg(F.sum("count").alias("n_dates"))
+
+
+@query("SELECT CAST(r AS INTEGER) AS doy, CAST(month(DATE '2000-12-31' + CAST(r AS INTEGER)) AS INTEGER) AS month, CAST(day(DATE '2000-12-31' + CAST(r AS INTEGER)) AS INTEGER) AS day FROM range(1, 366) t(r)")
+def reference_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return calendar.reference_calendar(spark)
+
+
+@query(f"""WITH {_STATIONS}, c AS (SELECT *, 0.0033528106647474805::DOUBLE * (2 - 0.0033528106647474805::DOUBLE) AS e2 FROM stations),
+r AS (SELECT *, e2 / (1 - e2) AS ep2, radians(lat) AS p FROM c),
+t AS (SELECT *, 6378137.0::DOUBLE / sqrt(1 - e2 * sin(p) * sin(p)) AS n, tan(p) * tan(p) AS t, ep2 * cos(p) * cos(p) AS c, cos(p) * (radians(lon) - radians(87::DOUBLE)) AS a,
+  6378137.0::DOUBLE * ((1 - e2 / 4 - 3 * e2 * e2 / 64 - 5 * e2 * e2 * e2 / 256) * p - (3 * e2 / 8 + 3 * e2 * e2 / 32 + 45 * e2 * e2 * e2 / 1024) * sin(2 * p)
+    + (15 * e2 * e2 / 256 + 45 * e2 * e2 * e2 / 1024) * sin(4 * p) - (35 * e2 * e2 * e2 / 3072) * sin(6 * p)) AS m FROM r)
+SELECT station, round(0.9996::DOUBLE * n * (a + (1 - t + c) * a * a * a / 6 + (5 - 18 * t + t * t + 72 * c - 58 * ep2) * a * a * a * a * a / 120) + 500000, 3) AS easting,
+  round(0.9996::DOUBLE * (m + n * tan(p) * (a * a / 2 + (5 - t + 9 * c + 4 * c * c) * a * a * a * a / 24 + (61 - 58 * t + t * t + 600 * c - 330 * ep2) * a * a * a * a * a * a / 720)), 3) AS northing FROM t""")
+def utm_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x, y = geometry.utm(F.col("lat"), F.col("lon"))
+    return stations(spark, sf_dir).select("station", F.round(x, 3).alias("easting"), F.round(y, 3).alias("northing"))
+
+
+@query(f"WITH {_STATIONS} SELECT min(lon) AS lon_low, max(lon) AS lon_high, min(lat) AS lat_low, max(lat) AS lat_high, count(*) AS n FROM stations")
+def station_extent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stations(spark, sf_dir).agg(F.min("lon").alias("lon_low"), F.max("lon").alias("lon_high"), F.min("lat").alias("lat_low"), F.max("lat").alias("lat_high"), F.count(F.lit(1)).alias("n"))
+
+
+# -- drift ----------------------------------------------------------------------------------------------------------
+
+
+@query(f"WITH {_OBS}, {_STATIONS}, {_PRESENT}, {_DRIFT} SELECT date, round(a, 4) AS a, round(b, 6) AS b, round(r, 6) AS r, n FROM drift")
+def daily_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(_rounded(drift.daily_drift(observations(spark, sf_dir), stations(spark, sf_dir)), 4, "a"), 6, "b", "r")
+
+
+@query(f"WITH {_OBS}, {_STATIONS}, {_PRESENT}, {_DRIFT}, {_RESIDUALS} SELECT date, station, round(value, 4) AS residual FROM residuals")
+def drift_residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = drift.residuals(observations(spark, sf_dir), stations(spark, sf_dir))
+    return found.select("date", "station", F.round("value", 4).alias("residual"))
+
+
+_METHOD = """method AS (SELECT d.date, CAST(coalesce(c, 0) AS INTEGER) AS n_reporting, CASE WHEN c >= 4 THEN r END AS r, CASE WHEN c >= 4 THEN CASE WHEN coalesce(n >= 8 AND r >= 0.3, false) THEN 'ked' ELSE 'ok' END END AS preferred
+  FROM (SELECT DISTINCT date FROM obs) d LEFT JOIN (SELECT date, count(*) AS c FROM present GROUP BY date) p USING (date) LEFT JOIN drift USING (date))"""
+
+
+@query(f"WITH {_OBS}, {_STATIONS}, {_PRESENT}, {_DRIFT}, {_METHOD} SELECT date, n_reporting, round(r, 6) AS r, preferred FROM method")
+def method_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(drift.day_method(observations(spark, sf_dir), stations(spark, sf_dir)), 6, "r")
+
+
+# -- variograms -----------------------------------------------------------------------------------------------------
+
+
+@query(f"WITH {_STATIONS}, {_PAIRS} SELECT s1, s2, round(distance, 4) AS distance, bin FROM pairs")
+def pairwise_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(variogram.station_pairs(stations(spark, sf_dir)), 4, "distance")
+
+
+def _experimental(values: str, gamma: str, keys: str = "date") -> str:
+    return f"""SELECT {keys}, bin, round(avg(distance), 3) AS lag_center, round({gamma}, 3) AS gamma, count(*) AS n
+  FROM {values} a JOIN {values} b ON a.date = b.date AND a.station < b.station JOIN pairs ON s1 = a.station AND s2 = b.station GROUP BY ALL"""
+
+
+_MATHERON = "avg((a.value - b.value) * (a.value - b.value)) / 2"
+
+
+@query(f"WITH {_OBS}, {_STATIONS}, {_PAIRS} {_experimental('obs', _MATHERON, 'a.date')}")
+def experimental_variogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = variogram.experimental(observations(spark, sf_dir), variogram.station_pairs(stations(spark, sf_dir)), ["date"])
+    return _rounded(found, 3, "lag_center", "gamma")
+
+
+def _pooled(values: str, stat: str, final: str) -> str:
+    return f"""partial AS (SELECT {_DOY.replace("(date", "(a.date")} AS source_doy, bin, count(*) AS n, sum(distance) AS d, sum({stat}) AS s
+  FROM {values} a JOIN {values} b ON a.date = b.date AND a.station < b.station JOIN pairs ON s1 = a.station AND s2 = b.station GROUP BY ALL),
+pooled AS (SELECT doy, bin, sum(d) / sum(n) AS lag_center, {final} AS gamma, CAST(sum(n) AS BIGINT) AS n FROM partial JOIN bridge USING (source_doy) GROUP BY ALL)"""
+
+
+_ENOUGH = "enough AS (SELECT o.* FROM obs o JOIN (SELECT date FROM obs GROUP BY date HAVING count(value) >= 4) USING (date))"
+_POOL_RAW = _pooled("enough", "(a.value - b.value) * (a.value - b.value)", "sum(s) / sum(n) / 2")
+_POOL_RESIDUAL = _pooled("residuals", "(a.value - b.value) * (a.value - b.value)", "sum(s) / sum(n) / 2")
+_POOL_CRESSIE = _pooled("enough", "sqrt(abs(a.value - b.value))", "0.5 * (sum(s) / sum(n)) ** 4 / (0.457::DOUBLE + 0.494::DOUBLE / sum(n))")
+_POOLED = "SELECT doy, bin, round(lag_center, 3) AS lag_center, round(gamma, 3) AS gamma, n FROM pooled"
+
+
+def _pooled_query(spark: SparkSession, sf_dir: str, variant: str, p: Variogram = Variogram()) -> DataFrame:
+    return _rounded(variogram.pooled(observations(spark, sf_dir), stations(spark, sf_dir), variant, p), 3, "lag_center", "gamma")
+
+
+@query(f"WITH {_OBS}, {_STATIONS}, {_PAIRS}, {_BRIDGE}, {_ENOUGH}, {_POOL_RAW} {_POOLED}")
+def pooled_variogram_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pooled_query(spark, sf_dir, "ok")
+
+
+@query(f"WITH {_OBS}, {_STATIONS}, {_PRESENT}, {_DRIFT}, {_RESIDUALS}, {_PAIRS}, {_BRIDGE}, {_POOL_RESIDUAL} {_POOLED}")
+def pooled_variogram_residual(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pooled_query(spark, sf_dir, "ked")
+
+
+@query(f"WITH {_OBS}, {_STATIONS}, {_PAIRS}, {_BRIDGE}, {_ENOUGH}, {_POOL_CRESSIE} {_POOLED}")
+def pooled_variogram_cressie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pooled_query(spark, sf_dir, "ok", Variogram(estimator="cressie"))
+
+
+@query(f"WITH {_OBS}, {_STATIONS}, {_PRESENT}, {_DRIFT}, {_BRIDGE} SELECT doy, CAST(count(*) AS INTEGER) AS n_days FROM (SELECT {_DOY} AS source_doy FROM drift) JOIN bridge USING (source_doy) GROUP BY doy")
+def pooled_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variogram.pooled_days(observations(spark, sf_dir), stations(spark, sf_dir), "ked")
+
+
+_FIT = """tried AS (SELECT doy, k, model, CASE WHEN k = 59 THEN h * 1.5 ELSE h * 0.1 + k * ((h * 1.5 - h * 0.1) / 59) END AS r
+  FROM (SELECT doy, max(lag_center) AS h FROM pooled WHERE doy % 15 = 1 GROUP BY doy HAVING count(*) >= 3), range(60) t(k), (VALUES ('spherical'), ('exponential')) m(model)),
+shaped AS (SELECT doy, model, k, r, gamma AS g, CAST(n AS DOUBLE) AS w, CASE WHEN model = 'exponential' THEN 1 - exp(-3 * (lag_center / r)) WHEN lag_center >= r THEN 1 ELSE 1.5 * (lag_center / r) - 0.5 * (lag_center / r) ** 3 END AS s FROM tried JOIN pooled USING (doy)),
+solved AS (SELECT *, (swss * swg - sws * swsg) / (sw * swss - sws * sws) AS n0, (sw * swsg - sws * swg) / (sw * swss - sws * sws) AS p0 FROM
+  (SELECT *, sum(w) OVER o AS sw, sum(w * s) OVER o AS sws, sum(w * s * s) OVER o AS swss, sum(w * g) OVER o AS swg, sum(w * s * g) OVER o AS swsg FROM shaped WINDOW o AS (PARTITION BY doy, model, k))),
+scored AS (SELECT doy, model, k, sum(w * (g - greatest(n0, 0) - greatest(p0, 1e-9) * s) ** 2) AS sse, any_value(sw) AS sw FROM solved GROUP BY ALL),
+fits AS (SELECT doy, model, sqrt(min(sse) / any_value(sw)) AS rmse FROM scored GROUP BY ALL)"""
+
+
+def _every_15th(bins: DataFrame) -> DataFrame:
+    """Days 1, 16, 31 and so on: the fits that the two fit queries report."""
+    return bins.where("doy % 15 = 1")
+
+
+@query(f"WITH {_OBS}, {_STATIONS}, {_PAIRS}, {_BRIDGE}, {_ENOUGH}, {_POOL_RAW}, {_FIT} SELECT doy, model, round(rmse, 3) AS rmse FROM fits")
+def variogram_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bins = _every_15th(variogram.pooled(observations(spark, sf_dir), stations(spark, sf_dir), "ok"))
+    return _rounded(variogram.fit_models(bins, ["doy"]), 3, "rmse").select("doy", "model", "rmse")
+
+
+@query(f"""WITH {_OBS}, {_STATIONS}, {_PAIRS}, {_BRIDGE}, {_ENOUGH}, {_POOL_RAW}, {_FIT}
+SELECT doy, CASE WHEN e.rmse < s.rmse * 0.95::DOUBLE THEN 'exponential' ELSE 'spherical' END AS model, round(CASE WHEN e.rmse < s.rmse * 0.95::DOUBLE THEN e.rmse ELSE s.rmse END, 3) AS rmse
+FROM (SELECT * FROM fits WHERE model = 'spherical') s JOIN (SELECT * FROM fits WHERE model = 'exponential') e USING (doy)""")
+def variogram_best(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bins = _every_15th(variogram.pooled(observations(spark, sf_dir), stations(spark, sf_dir), "ok"))
+    return _rounded(variogram.best_model(variogram.fit_models(bins, ["doy"]), ["doy"]), 3, "rmse").select("doy", "model", "rmse")
+
+
+@query()
+def variogram_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 365 days with both fits; where the surface is flat, engines may pick different ranges."""
+    return variogram.variogram_table(observations(spark, sf_dir), stations(spark, sf_dir))
+
+
+def _made_table(spark: SparkSession) -> DataFrame:
+    """A table with gaps: no fit for residuals on every third day, none for values on every fifth, and no day 100."""
+    d = F.col("doy")
+    fit = lambda v, gap: [F.when(d % gap != 0, F.lit(m)).alias(f"{v}_{c}") for c, m in (("model", "exponential" if v == "ked" else "spherical"),)] + [F.when(d % gap != 0, x).alias(f"{v}_{c}") for c, x in (("nugget", d * 0.5), ("sill", d * 2 + 100.0), ("range", d * 10 + 50000.0))]
+    return calendar.reference_calendar(spark).where("doy <> 100").select("doy", "month", "day", *fit("ked", 3), *fit("ok", 5))
+
+
+@query(f"""WITH {_OBS}, {_STATIONS}, {_PRESENT}, {_DRIFT}, {_METHOD}, t AS (SELECT r AS doy FROM range(1, 366) t(r) WHERE r <> 100),
+j AS (SELECT m.date, m.preferred, t.doy, CASE WHEN preferred = 'ked' THEN CASE WHEN doy % 3 <> 0 THEN 'ked' WHEN doy % 5 <> 0 THEN 'ok' END
+   WHEN preferred = 'ok' THEN CASE WHEN doy % 5 <> 0 THEN 'ok' WHEN doy % 3 <> 0 THEN 'ked' END END AS used FROM (SELECT *, {_DOY} AS d FROM method) m LEFT JOIN t ON t.doy = m.d)
+SELECT date, preferred, used, CASE used WHEN 'ked' THEN 'exponential' WHEN 'ok' THEN 'spherical' END AS model, CASE WHEN used IS NOT NULL THEN doy * 0.5::DOUBLE END AS nugget,
+  CASE WHEN used IS NOT NULL THEN doy * 2 + 100.0::DOUBLE END AS sill, CASE WHEN used IS NOT NULL THEN doy * 10 + 50000.0::DOUBLE END AS "range" FROM j""")
+def cache_lookup_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = drift.day_method(observations(spark, sf_dir), stations(spark, sf_dir)).select("date", "preferred")
+    return variogram.look_up(days, _made_table(spark))
+
+
+# -- kriging --------------------------------------------------------------------------------------------------------
+
+
+def _systems(spark: SparkSession, sf_dir: str, used: str | None = None) -> DataFrame:
+    obs = observations(spark, sf_dir).where(F.col("date").between(*KRIGED))
+    days = kriging.plan_days(obs, stations(spark, sf_dir), _made_table(spark))
+    if used:
+        days = days.withColumn("used", F.when(F.col("model").isNotNull(), used))
+    return kriging.day_systems(obs, stations(spark, sf_dir), days)
+
+
+@query()
+def kriging_ok(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kriging.predict(_systems(spark, sf_dir, "ok"), cells(spark))
+
+
+@query()
+def kriging_ked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kriging.predict(_systems(spark, sf_dir, "ked"), cells(spark))
+
+
+@query()
+def kriging_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kriging.predict_with_variance(_systems(spark, sf_dir), cells(spark))
+
+
+@query()
+def loo_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kriging.leave_one_out(_systems(spark, sf_dir))
+
+
+@query()
+def loo_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kriging.scores(kriging.leave_one_out(_systems(spark, sf_dir)), ["date"])
+
+
+@query()
+def krige_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days through method, table, solve, mask and clip: the batch plan's grid."""
+    obs = observations(spark, sf_dir).where(F.col("date").between(*KRIGED))
+    return kriging.krige(obs, stations(spark, sf_dir), cells(spark), _made_table(spark))[0]
+
+
+@query("""SELECT date, count(*) AS n, round(sqrt(avg((p - o) * (p - o))), 6) AS rmse, round(avg(abs(p - o)), 6) AS mae, round(avg(p - o), 6) AS bias
+FROM (SELECT CAST(l_shipdate AS DATE) AS date, l_quantity AS o, l_extendedprice / 1000 AS p FROM lineitem) GROUP BY date""")
+def cv_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = _table(spark, sf_dir, "lineitem").select(F.col("l_shipdate").cast("date").alias("date"), F.col("l_quantity").alias("observed"), (F.col("l_extendedprice") / 1000).alias("predicted"))
+    found = kriging.scores(made, ["date"]).join(made.groupBy("date").agg(F.count(F.lit(1)).alias("n")), "date")
+    return _rounded(found, 6, "rmse", "mae", "bias")
+
+
+@query("""SELECT model, CAST(h AS DOUBLE) AS h, round(CASE WHEN h <= 0 THEN 0 ELSE 2 + 8 * CASE model WHEN 'spherical' THEN CASE WHEN h >= 50 THEN 1 ELSE 1.5 * (h / 50) - 0.5 * (h / 50) ** 3 END
+  WHEN 'exponential' THEN 1 - exp(-3 * (h / 50)) ELSE 1 - exp(-3 * (h / 50) ** 2) END END, 6) AS gamma FROM range(80) t(h), (VALUES ('spherical'), ('exponential'), ('gaussian')) m(model)""")
+def gamma_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.range(80).select(F.col("id").cast("double").alias("h"), F.explode(F.array(*[F.lit(m) for m in geometry.MODELS])).alias("model"))
+    return rows.select("model", "h", F.round(geometry.gamma(F.col("model"), F.col("h"), F.lit(2.0), F.lit(10.0), F.lit(50.0)), 6).alias("gamma"))
+
+
+# -- rasters --------------------------------------------------------------------------------------------------------
+
+_CELLS = f"""cells AS (SELECT CAST(r // {GRID_SIZE} AS INTEGER) AS "row", CAST(r % {GRID_SIZE} AS INTEGER) AS col, (r % {GRID_SIZE} + 0.5::DOUBLE) * {CELL}::DOUBLE AS x, ({GRID_SIZE} - r // {GRID_SIZE} - 0.5::DOUBLE) * {CELL}::DOUBLE AS y,
+  CASE WHEN (r // {GRID_SIZE} * 31 + r % {GRID_SIZE} * 17) % 13 <> 0 THEN CAST((r // {GRID_SIZE} * 31 + r % {GRID_SIZE} * 17) * 7 % 900 + 60 AS DOUBLE) END AS z FROM range({GRID_SIZE * GRID_SIZE}) t(r))"""
+_FIELD = """field AS (SELECT date, "row", col, CASE WHEN ("row" + col + d) % 9 <> 0 THEN CAST((("row" * 37 + col * 11 + d * 7) % 101) / 8 - 1 AS FLOAT) END AS rainfall
+  FROM cells, (SELECT DISTINCT CAST(l_shipdate AS DATE) AS date, date_diff('day', DATE '1980-01-01', CAST(l_shipdate AS DATE)) AS d FROM lineitem WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '1997-01-01' AND DATE '1998-03-31'))"""
+_CORNERS = ", ".join(f"('{name}', {r}, {i}, {x}::DOUBLE, {y}::DOUBLE)" for name, rings in RINGS.items() for r, ring in enumerate(rings) for i, (x, y) in enumerate(ring))
+_MASK = f"""corners(basin, ring, i, px, py) AS (VALUES {_CORNERS}),
+edges AS (SELECT basin, px AS ax, py AS ay, coalesce(lead(px) OVER o, first_value(px) OVER o) AS bx, coalesce(lead(py) OVER o, first_value(py) OVER o) AS by_ FROM corners WINDOW o AS (PARTITION BY basin, ring ORDER BY i)),
+mask AS (SELECT basin, "row", col FROM cells, edges WHERE (ay > y) <> (by_ > y) AND x < ax + (y - ay) * ((bx - ax) / (by_ - ay)) GROUP BY ALL HAVING count(*) % 2 = 1)"""
+_ZONAL = "zonal AS (SELECT d.date, b.basin, avg(CAST(rainfall AS DOUBLE)) AS mean, count(rainfall) AS n_valid FROM (SELECT DISTINCT date FROM field) d CROSS JOIN (SELECT DISTINCT basin FROM corners) b LEFT JOIN mask m ON m.basin = b.basin LEFT JOIN field f ON f.date = d.date AND f.\"row\" = m.\"row\" AND f.col = m.col GROUP BY ALL)"
+_TIDY = "tidy AS (SELECT date, basin, CASE WHEN mean <= 0.1 THEN 0 ELSE round_even(mean * 100, 0) / 100 END AS mean FROM zonal)"
+_ALL_ZONAL = f"{_CELLS}, {_FIELD}, {_MASK}, {_ZONAL}"
+
+
+def _zonal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mask = raster.polygon_mask(cells(spark), polygons(spark))
+    return raster.zonal_mean(field(spark, sf_dir), mask, polygons(spark))
+
+
+@query(f"WITH {_CELLS} SELECT * FROM cells")
+def grid_coords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cells(spark)
+
+
+@query(f"WITH {_CELLS} SELECT CAST(\"row\" // 3 AS INTEGER) AS \"row\", CAST(col // 3 AS INTEGER) AS col, round(avg(x), 4) AS x, round(avg(y), 4) AS y, round(avg(z), 6) AS z FROM cells WHERE \"row\" < 18 AND col < 18 GROUP BY \"row\" // 3, col // 3")
+def dem_coarsen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(_rounded(raster.coarsen(cells(spark), raster.coarsening_factor(CELL, 3 * CELL), GRID_SIZE, GRID_SIZE), 4, "x", "y"), 6, "z")
+
+
+@query(f"WITH {_CELLS}, {_MASK} SELECT * FROM mask")
+def polygon_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raster.polygon_mask(cells(spark), polygons(spark))
+
+
+@query(f"WITH {_ALL_ZONAL} SELECT date, basin, round(mean, 6) AS mean, n_valid FROM zonal")
+def zonal_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(_zonal(spark, sf_dir), 6, "mean")
+
+
+@query(f"WITH {_ALL_ZONAL} SELECT 'No valid data | Date: ' || date || ' | Basin: ' || basin AS warning FROM zonal WHERE n_valid = 0")
+def zonal_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raster.warnings(_zonal(spark, sf_dir))
+
+
+@query(f"WITH {_ALL_ZONAL}, {_TIDY} SELECT * FROM tidy")
+def zonal_flush_round(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raster.tidy(_zonal(spark, sf_dir)).select("date", "basin", "mean")
+
+
+@query(f"WITH {_ALL_ZONAL}, {_TIDY} SELECT basin, CAST(year(date) AS INTEGER) AS year, CAST(ceil(round(coalesce(sum(mean), 0), 6)) AS DOUBLE) AS total FROM tidy GROUP BY ALL")
+def annual_ceil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raster.annual_sums(raster.tidy(_zonal(spark, sf_dir)))
+
+
+@query(f"WITH {_ALL_ZONAL}, {_TIDY} SELECT basin, CAST(m AS INTEGER) AS month, round(avg(s), 6) AS mean FROM (SELECT basin, year(date) AS y, month(date) AS m, coalesce(sum(mean), 0) AS s FROM tidy GROUP BY ALL) GROUP BY ALL")
+def monthly_climatology(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(raster.monthly_climatology(raster.tidy(_zonal(spark, sf_dir))), 6, "mean")
+
+
+@query(f"WITH {_ALL_ZONAL}, {_TIDY} SELECT date, any_value(mean) FILTER (WHERE basin = 'hollow') AS hollow, any_value(mean) FILTER (WHERE basin = 'east') AS east, any_value(mean) FILTER (WHERE basin = 'speck') AS speck FROM tidy GROUP BY date")
+def wide_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return series.to_wide(raster.tidy(_zonal(spark, sf_dir)), "basin", "mean", list(RINGS))
+
+
+@query(f"WITH {_ALL_ZONAL}, {_TIDY} SELECT date, basin, mean AS value, 'rainfall' AS variable, 'Rainfall' AS item_type, 'millimeter' AS unit, 'StepAccumulated' AS value_type FROM tidy")
+def typed_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wide = series.to_wide(raster.tidy(_zonal(spark, sf_dir)), "basin", "mean", list(RINGS))
+    return series.typed(series.to_long(wide, "date", "basin"), "rainfall")
+
+
+@query("SELECT * FROM (VALUES ('rainfall', 'Rainfall', 'millimeter', 'StepAccumulated'), ('temperature', 'Temperature', 'degree_Celsius', 'Instantaneous'), ('Evapotranspiration', 'Evaporation', 'millimeter', 'StepAccumulated'), ('Discharge', 'Discharge', 'meter_pow_3_per_sec', 'Instantaneous')) t(variable, item_type, unit, value_type)")
+def eum_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return series.units(spark)
+
+
+# -- sets, filters and resuming -------------------------------------------------------------------------------------
+
+
+@query(f"WITH {_OBS} SELECT DISTINCT station FROM obs WHERE CAST(station AS INTEGER) % 5 = 0")
+def missing_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return series.missing_stations(observations(spark, sf_dir), stations(spark, sf_dir).where("cast(station as int) % 5 <> 0"))
+
+
+@query("SELECT CAST(r AS INTEGER) AS doy FROM range(1, 366) t(r) WHERE r > 98")
+def resume_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = calendar.reference_calendar(spark).select("doy")
+    return series.pending(days, days.where("doy <= 98"), ["doy"])
+
+
+@query(f"WITH {_OBS} SELECT * FROM obs WHERE year(date) BETWEEN 1996 AND 1997")
+def year_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return series.year_range(observations(spark, sf_dir), 1996, 1997)
+
+
+@query(f"WITH {_OBS} SELECT DISTINCT CAST(year(date) AS INTEGER) AS year FROM obs")
+def distinct_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return observations(spark, sf_dir).select(F.year("date").alias("year")).distinct()
+
+
+@query(f"WITH {_OBS} SELECT * FROM obs WHERE date = DATE '1997-03-03'")
+def exact_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return observations(spark, sf_dir).where(F.col("date") == F.lit("1997-03-03").cast("date"))
+
+
+@query(f"WITH {_OBS} SELECT date, station, value FROM obs WHERE year(date) = 1996 UNION ALL SELECT date, station, NULL FROM obs WHERE year(date) = 1999")
+def combine_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    obs = observations(spark, sf_dir)
+    return series.combine(obs.where(F.year("date") == 1996), obs.where(F.year("date") == 1999).drop("value"))
+
+
+# -- plot data ------------------------------------------------------------------------------------------------------
+
+
+@query(f"WITH {_OBS}, {_STATIONS}, {_PRESENT}, {_DRIFT} SELECT date, station, z, value, round(a + b * z, 4) AS fitted, CAST(row_number() OVER (PARTITION BY date ORDER BY z, station) AS INTEGER) AS rank FROM present JOIN drift USING (date)")
+def plot_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(plots.drift_lines(observations(spark, sf_dir), stations(spark, sf_dir)), 4, "fitted")
+
+
+@query(f"WITH {_OBS}, {_STATIONS}, {_PAIRS}, {_BRIDGE}, {_ENOUGH}, {_POOL_RAW} SELECT doy, round(lag_center, 3) AS lag_center, round(gamma, 3) AS gamma, n, round(20 + 180 * n / max(n) OVER (PARTITION BY doy), 4) AS size FROM pooled")
+def plot_variogram_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bins = variogram.pooled(observations(spark, sf_dir), stations(spark, sf_dir), "ok")
+    return _rounded(_rounded(plots.variogram_points(bins, ["doy"]), 3, "lag_center", "gamma"), 4, "size")
+
+
+@query()
+def plot_variogram_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bins = _every_15th(variogram.pooled(observations(spark, sf_dir), stations(spark, sf_dir), "ok"))
+    return plots.variogram_curve(bins, variogram.best_model(variogram.fit_models(bins, ["doy"]), ["doy"]), ["doy"])
+
+
+@query(f"""WITH {_OBS}, {_ANNUAL}, v AS (SELECT station, CAST(year AS INTEGER) AS year, total AS value FROM annual), {_splits("v", "station")}
+SELECT station, v.year, v.value, CASE WHEN v.year < break_year THEN mean_before ELSE mean_after END AS level, break_year - 0.5::DOUBLE AS break_at FROM v JOIN snht USING (station) WHERE v.value IS NOT NULL""")
+def plot_snht(spark: SparkSession, sf_dir: str) -> DataFrame:
+    value = _value(_annual(spark, sf_dir))
+    return _rounded(plots.snht_panel(value, homogeneity.snht(value, ["station"]), ["station"]), 4, "level")
+
+
+@query(f"WITH {_OBS}, {_ANNUAL}, {_NORM}, {_CORR}, {_RELATIVE} SELECT CAST(year AS INTEGER) AS year, round(ratio, 6) AS ratio, round(ratio - 1, 6) AS height FROM relative WHERE ratio IS NOT NULL")
+def plot_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(plots.ratio_bars(homogeneity.relative_series(_annual(spark, sf_dir), CANDIDATE)), 6, "ratio", "height")
+
 
-def snht_statistic(spark, sf_dir):
-    raise NotImplementedError
+@query()
+def plot_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plots.cv_scatter(kriging.leave_one_out(_systems(spark, sf_dir)), ["date"])
