@@ -91,24 +91,24 @@ def fit_models(bins: DataFrame, keys: list[str], p: Variogram = DEFAULT) -> Data
     than three bins, or no range that can be solved, give no row."""
     solid = bins.where(F.col("lag_center").isNotNull() & F.col("gamma").isNotNull() & (F.col("n") > 0)).select(*keys, F.col("lag_center").alias("h"), F.col("gamma").alias("g"), F.col("n").cast("double").alias("w"))
     packed = solid.groupBy(*keys).agg(F.max("h").alias("reach"), F.count("h").alias("bins"), F.collect_list(F.struct("h", "g", "w")).alias("points")).where("bins >= 3")
-    step = F.explode(F.sequence(F.lit(0), F.lit(p.ranges - 1))).alias("k")
+    step = F.explode(F.sequence(F.lit(0), F.lit(p.ranges - 1))).alias("__k")
     tried = packed.select(*keys, "points", "reach", step)
     # the last candidate is the end itself, as evenly spaced numbers go
     low, high = F.col("reach") * 0.1, F.col("reach") * 1.5
-    tried = tried.withColumn("range", F.when(F.col("k") == p.ranges - 1, high).otherwise(low + F.col("k") * ((high - low) / (p.ranges - 1))))
+    tried = tried.withColumn("range", F.when(F.col("__k") == p.ranges - 1, high).otherwise(low + F.col("__k") * ((high - low) / (p.ranges - 1))))
     tried = tried.withColumn("model", F.explode(F.array(*[F.lit(m) for m in p.models])))
-    point = tried.select(*keys, "model", "k", "range", F.explode("points").alias("p")).select(*keys, "model", "k", "range", "p.*")
+    point = tried.select(*keys, "model", "__k", "range", F.explode("points").alias("p")).select(*keys, "model", "__k", "range", "p.*")
     point = point.withColumn("s", F.coalesce(*[F.when(F.col("model") == m, geometry.shape(m, F.col("h"), F.col("range"))) for m in p.models]))
     w, s, g = F.col("w"), F.col("s"), F.col("g")
-    one = Window.partitionBy(*keys, "model", "k")
+    one = Window.partitionBy(*keys, "model", "__k")
     sums = {"sw": w, "sws": w * s, "swss": w * s * s, "swg": w * g, "swsg": w * s * g}
     point = point.withColumns({name: F.sum(x).over(one) for name, x in sums.items()})
     det = F.col("sw") * F.col("swss") - F.col("sws") * F.col("sws")
     point = point.withColumn("nugget", F.try_divide(F.col("swss") * F.col("swg") - F.col("sws") * F.col("swsg"), det)).withColumn("partial", F.try_divide(F.col("sw") * F.col("swsg") - F.col("sws") * F.col("swg"), det)).where("partial IS NOT NULL")
     point = point.withColumn("nugget", F.greatest("nugget", F.lit(0.0))).withColumn("partial", F.greatest("partial", F.lit(1e-9)))
     error = g - F.col("nugget") - F.col("partial") * s
-    scored = point.groupBy(*keys, "model", "k").agg(F.sum(w * error * error).alias("sse"), F.first("range").alias("range"), F.first("nugget").alias("nugget"), F.first("partial").alias("partial"), F.first("sw").alias("sw"))
-    best = F.min_by(F.struct("nugget", "partial", "range", "sse", "sw"), F.struct("sse", "k")).alias("b")
+    scored = point.groupBy(*keys, "model", "__k").agg(F.sum(w * error * error).alias("sse"), F.first("range").alias("range"), F.first("nugget").alias("nugget"), F.first("partial").alias("partial"), F.first("sw").alias("sw"))
+    best = F.min_by(F.struct("nugget", "partial", "range", "sse", "sw"), F.struct("sse", "__k")).alias("b")
     return scored.groupBy(*keys, "model").agg(best).select(*keys, "model", "b.nugget", (F.col("b.nugget") + F.col("b.partial")).alias("sill"), "b.range", F.sqrt(F.col("b.sse") / F.col("b.sw")).alias("rmse"))
 
 

@@ -20,6 +20,8 @@ ORACLE: dict[str, str] = {}
 
 #: The candidate station of relative tests, and the days that a year of the smaller tables needs.
 CANDIDATE, MIN_DAYS = "7", 200
+#: Added before rounding where values often lie halfway between two decimals, so that both engines go the same way.
+TIE = 1e-7
 GRID_SIZE, CELL = 20, 5000.0
 KRIGED = ("1997-03-01", "1997-03-05")
 
@@ -232,10 +234,10 @@ def daily_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(_rounded(drift.daily_drift(observations(spark, sf_dir), stations(spark, sf_dir)), 4, "a"), 6, "b", "r")
 
 
-@query(f"WITH {_OBS}, {_STATIONS}, {_PRESENT}, {_DRIFT}, {_RESIDUALS} SELECT date, station, round(value, 4) AS residual FROM residuals")
+@query(f"WITH {_OBS}, {_STATIONS}, {_PRESENT}, {_DRIFT}, {_RESIDUALS} SELECT date, station, round(value + 1e-7, 4) AS residual FROM residuals")
 def drift_residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = drift.residuals(observations(spark, sf_dir), stations(spark, sf_dir))
-    return found.select("date", "station", F.round("value", 4).alias("residual"))
+    return found.select("date", "station", F.round(F.col("value") + TIE, 4).alias("residual"))
 
 
 _METHOD = """method AS (SELECT d.date, CAST(coalesce(c, 0) AS INTEGER) AS n_reporting, CASE WHEN c >= 4 THEN r END AS r, CASE WHEN c >= 4 THEN CASE WHEN coalesce(n >= 8 AND r >= 0.3, false) THEN 'ked' ELSE 'ok' END END AS preferred
@@ -400,12 +402,12 @@ def krige_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kriging.krige(obs, stations(spark, sf_dir), cells(spark), _made_table(spark))[0]
 
 
-@query("""SELECT date, count(*) AS n, round(sqrt(avg((p - o) * (p - o))), 6) AS rmse, round(avg(abs(p - o)), 6) AS mae, round(avg(p - o), 6) AS bias
+@query("""SELECT date, count(*) AS n, round(sqrt(avg((p - o) * (p - o))) + 1e-7, 4) AS rmse, round(avg(abs(p - o)) + 1e-7, 4) AS mae, round(avg(p - o) + 1e-7, 4) AS bias
 FROM (SELECT CAST(l_shipdate AS DATE) AS date, l_quantity AS o, l_extendedprice / 1000 AS p FROM lineitem) GROUP BY date""")
 def cv_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = _table(spark, sf_dir, "lineitem").select(F.col("l_shipdate").cast("date").alias("date"), F.col("l_quantity").alias("observed"), (F.col("l_extendedprice") / 1000).alias("predicted"))
     found = kriging.scores(made, ["date"]).join(made.groupBy("date").agg(F.count(F.lit(1)).alias("n")), "date")
-    return _rounded(found, 6, "rmse", "mae", "bias")
+    return found.withColumns({c: F.round(F.col(c) + TIE, 4) for c in ("rmse", "mae", "bias")})
 
 
 @query("""SELECT model, CAST(h AS DOUBLE) AS h, round(CASE WHEN h <= 0 THEN 0 ELSE 2 + 8 * CASE model WHEN 'spherical' THEN CASE WHEN h >= 50 THEN 1 ELSE 1.5 * (h / 50) - 0.5 * (h / 50) ** 3 END
@@ -529,9 +531,9 @@ def combine_years(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- plot data ------------------------------------------------------------------------------------------------------
 
 
-@query(f"WITH {_OBS}, {_STATIONS}, {_PRESENT}, {_DRIFT} SELECT date, station, z, value, round(a + b * z, 4) AS fitted, CAST(row_number() OVER (PARTITION BY date ORDER BY z, station) AS INTEGER) AS rank FROM present JOIN drift USING (date)")
+@query(f"WITH {_OBS}, {_STATIONS}, {_PRESENT}, {_DRIFT} SELECT date, station, z, value, round(a + b * z + 1e-7, 4) AS fitted, CAST(row_number() OVER (PARTITION BY date ORDER BY z, station) AS INTEGER) AS rank FROM present JOIN drift USING (date)")
 def plot_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(plots.drift_lines(observations(spark, sf_dir), stations(spark, sf_dir)), 4, "fitted")
+    return plots.drift_lines(observations(spark, sf_dir), stations(spark, sf_dir)).withColumn("fitted", F.round(F.col("fitted") + TIE, 4))
 
 
 @query(f"WITH {_OBS}, {_STATIONS}, {_PAIRS}, {_BRIDGE}, {_ENOUGH}, {_POOL_RAW} SELECT doy, round(lag_center, 3) AS lag_center, round(gamma, 3) AS gamma, n, round(20 + 180 * n / max(n) OVER (PARTITION BY doy), 4) AS size FROM pooled")

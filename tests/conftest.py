@@ -1,12 +1,18 @@
 import os
+import sys
+from pathlib import Path
 
 import pytest
 from pyspark.sql import SparkSession
 
+ROOT = Path(__file__).parent.parent
+sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    os.environ.setdefault("PYSPARK_PYTHON", os.sys.executable)
+    os.environ.setdefault("PYSPARK_PYTHON", sys.executable)
+    os.environ["PYTHONPATH"] = os.pathsep.join([str(ROOT), os.environ.get("PYTHONPATH", "")])
     session = (
         SparkSession.builder.master("local[8]")
         .appName("rainloom-tests")
