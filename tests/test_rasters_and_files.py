@@ -50,7 +50,7 @@ def test_ascii_grid_round_trip(spark, tmp_path):
 
 
 def test_netcdf_round_trip(spark, tmp_path):
-    days, ys, xs = np.arange(6209, 6249, dtype="i4"), np.array([300.0, 200.0, 100.0]), np.array([10.0, 20.0])
+    days, ys, xs = np.arange(6210, 6250, dtype="i4"), np.array([300.0, 200.0, 100.0]), np.array([10.0, 20.0])
     cube = np.arange(240, dtype="f4").reshape(40, 3, 2)
     cube[5, 1, 1] = np.nan
     flag = np.array([-1.0, 0.0] * 20, "f4")
