@@ -30,6 +30,8 @@ RUN = 3
 BUCKETS = 8
 #: Text that one slice packs at a time.
 PACK_BYTES = 6_000_000
+#: Compression of blobs: zstd's level, and the size and the texts of its dictionary.
+LEVEL, DICTIONARY_BYTES, SAMPLE = 6, 32_768, 300
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -71,28 +73,53 @@ def super_kmers(words: Words, window: int = WINDOW) -> tuple[list[bytes], np.nda
     return strings, begins[at], least[at]
 
 
-def pack(strings: list[bytes], code: np.ndarray, ids: np.ndarray, tags: np.ndarray, begins: np.ndarray) -> bytes:
+class Codec:
+    """Compresses blobs, with a dictionary that keeps small ones small too."""
+
+    def __init__(self, words: bytes):
+        shared = zstandard.ZstdCompressionDict(words) if words else None
+        self.compress = zstandard.ZstdCompressor(level=LEVEL, dict_data=shared).compress
+        self.decompress = zstandard.ZstdDecompressor(dict_data=shared).decompress
+
+
+def dictionary(docs: DataFrame) -> bytes:
+    """A compression dictionary from some texts; it only makes blobs smaller and none is needed for an empty table."""
+    rows = docs.where(F.length("text") > 0).limit(SAMPLE).select(F.substring("text", 1, 20_000).alias("t")).collect()
+    texts = [r.t.encode() for r in rows]
+    try:
+        return zstandard.train_dictionary(DICTIONARY_BYTES, [t[a : a + 500] for t in texts for a in range(0, len(t), 500)]).as_bytes()
+    except zstandard.ZstdError:  # too little text to learn from
+        return b""
+
+
+def pack(codec: Codec, strings: list[bytes], code: np.ndarray, ids: np.ndarray, tags: np.ndarray, begins: np.ndarray) -> bytes:
     head = np.array([len(strings), len(code)], np.int32)
     sizes = np.fromiter(map(len, strings), np.int32, len(strings))
-    parts = [head, sizes, code.astype(np.int32), ids.astype(np.int64), tags.astype(np.uint32), begins.astype(np.int32)]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join([*(x.tobytes() for x in parts), *strings]))
+    with np.errstate(over="ignore"):
+        parts = [head, sizes, np.diff(code, prepend=0).astype(np.int32), np.diff(ids, prepend=np.int64(0)), tags.astype(np.uint32), begins.astype(np.int32)]
+    # bytes of equal weight stand together
+    planes = [x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes() for x in parts[1:]]
+    return codec.compress(b"".join([head.tobytes(), *planes, *strings]))
 
 
-def unpack(blob: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    data = zstandard.ZstdDecompressor().decompress(blob)
+def unpack(codec: Codec, blob: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    data = codec.decompress(blob)
     n, m = np.frombuffer(data, np.int32, 2).tolist()
     at, out = 8, []
     for kind, count in ((np.int32, n), (np.int32, m), (np.int64, m), (np.uint32, m), (np.int32, m)):
-        out.append(np.frombuffer(data, kind, count, at))
-        at += out[-1].nbytes
+        size = np.dtype(kind).itemsize
+        out.append(np.ascontiguousarray(np.frombuffer(data, np.uint8, count * size, at).reshape(size, count).T).view(kind).ravel())
+        at += count * size
+    out[1], out[2] = np.cumsum(out[1], dtype=np.int64), np.cumsum(out[2], dtype=np.int64)
     stops = (at + np.cumsum(out[0], dtype=np.int64)).tolist()
     return [data[a:b] for a, b in zip([at, *stops[:-1]], stops, strict=True)], *out[1:]
 
 
-def scatter(docs: DataFrame, n_buckets: int, window: int = WINDOW) -> DataFrame:
-    """Rows (bucket, blob): the super-k-mers of each slice of documents, by bucket."""
+def scatter(docs: DataFrame, n_buckets: int, shared: bytes = b"", window: int = WINDOW) -> DataFrame:
+    """Rows (bucket, blob): the super-k-mers of each slice of documents, by bucket. shared: a compression dictionary."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = Codec(shared)
         for batch in batches:
             for part, texts in slices(batch, "text", PACK_BYTES):
                 words = Words(texts, NOT_SPACE)
@@ -104,13 +131,13 @@ def scatter(docs: DataFrame, n_buckets: int, window: int = WINDOW) -> DataFrame:
                 coded = pa.array(strings, pa.large_binary()).dictionary_encode()
                 code, distinct = coded.indices.to_numpy(), coded.dictionary.to_pylist()
                 bucket = (least % np.uint64(n_buckets)).astype(np.int64)
-                order = np.lexsort((code, bucket))
+                order = np.argsort(bucket, kind="stable")
                 cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
                 rows = []
                 for own in np.split(order, cuts[1:]):
                     used, local = np.unique(code[own], return_inverse=True)
                     doc = words.doc[begins[own]]
-                    rows.append(pack([distinct[k] for k in used], local, ids[doc], tags[doc], begins[own] - words.first[doc]))
+                    rows.append(pack(codec, [distinct[k] for k in used], local, ids[doc], tags[doc], begins[own] - words.first[doc]))
                 yield pa.RecordBatch.from_arrays([pa.array(bucket[order][cuts]), pa.array(rows, pa.binary())], ["bucket", "blob"])
 
     return docs.mapInArrow(run, "bucket long, blob binary")
@@ -145,9 +172,9 @@ def least_documents(strings: list[bytes], least: np.ndarray, window: int = WINDO
     return owner, begins - words.first[owner], low
 
 
-def covered(blobs: list[bytes], window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def covered(codec: Codec, blobs: list[bytes], window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of one bucket: ids, tags, first and last words of covered ranges."""
-    parts = [unpack(x) for x in blobs]
+    parts = [unpack(codec, x) for x in blobs]
     coded = pa.array([s for p in parts for s in p[0]], pa.large_binary()).dictionary_encode()
     strings, index = coded.dictionary.to_pylist(), coded.indices.to_numpy()
     base = np.cumsum([0, *(len(p[0]) for p in parts[:-1])])
@@ -183,7 +210,7 @@ def covered_ranges(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, tag (crc32 of the text), and ranges: packed pairs of first and end words, of every document with covered words."""
 
     def run(group: pa.Table) -> pa.Table:
-        ids, tags, a, b = covered(group.column("blob").to_pylist(), window)
+        ids, tags, a, b = covered(Codec(shared), group.column("blob").to_pylist(), window)
         order = np.lexsort((a, tags, ids))
         ids, tags, pairs = ids[order], tags[order], np.stack([a[order], b[order]], 1).astype(np.int32)
         cuts = np.flatnonzero((np.diff(ids, prepend=0) != 0) | (np.diff(tags.astype(np.int64), prepend=-1) != 0))
@@ -191,7 +218,8 @@ def covered_ranges(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         return pa.table([pa.array(ids[cuts]), pa.array(tags[cuts].astype(np.int64)), pa.array(ranges, pa.binary())], ["doc_id", "tag", "ranges"])
 
     n = BUCKETS * partitions(docs.sparkSession)
-    found = scatter(docs, n, window).groupBy("bucket").applyInArrow(run, "doc_id long, tag long, ranges binary")
+    shared = dictionary(docs)
+    found = scatter(docs, n, shared, window).groupBy("bucket").applyInArrow(run, "doc_id long, tag long, ranges binary")
     return found.groupBy("doc_id", "tag").agg(F.collect_list("ranges").alias("ranges"))
 
 
