@@ -272,7 +272,9 @@ def _decode_frames(streams: list[bytes], heads: list[Head]) -> list[bytes] | Non
     begin = np.concatenate([h.seek[:, 1] for h in heads]) + np.repeat(base, points)
     sizes = np.concatenate([h.seek[:, 2] for h in heads])
     total = np.diff(np.append(begin, base[-1] + room[-1]))
-    if (total < 10).any():
+    sample = np.concatenate([h.seek[:, 0] for h in heads])
+    before = np.cumsum(sizes) - sizes
+    if (total < 10).any() or (sample != before - np.repeat(before[np.cumsum(points) - points], points)).any():
         raise FlacError("seek points out of order")
     if (data[begin] != 0xFF).any() or (data[begin + 1] != 0xF8).any() or (data[begin + 2] != 0x70).any() or (data[begin + 3] != MONO8).any():
         return None

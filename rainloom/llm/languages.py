@@ -140,10 +140,11 @@ def held_out(doc_id: str = "doc_id") -> F.Column:
 
 def train(docs: DataFrame) -> Filters:
     """Fits on at most SAMPLE texts with a language that are not held out."""
-    usable = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out())
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    usable = own.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out())
     # ids are chosen first, so texts of the sample alone move; it has SAMPLE rows at most and may be broadcast
-    ids = usable.select(F.col("doc_id").cast("long").alias("__id")).where("__id IS NOT NULL").distinct().orderBy(F.xxhash64("__id"), "__id").limit(SAMPLE)
-    rows = usable.join(F.broadcast(ids), F.col("doc_id") == F.col("__id"), "left_semi").select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    ids = usable.select(F.col("doc_id").alias("id")).where("id IS NOT NULL").distinct().orderBy(F.xxhash64("id"), "id").limit(SAMPLE)
+    rows = usable.join(F.broadcast(ids), F.col("doc_id") == F.col("id"), "left_semi")
     once = rows.groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("x")).orderBy("doc_id").select("x.lang", "x.text").collect()
     return Filters([r.text.encode() for r in once], [r.lang for r in once])
 

@@ -97,13 +97,14 @@ def take(docs: DataFrame) -> DataFrame:
     Documents meet their copies by doc_id and a hash of text and source; rows alike in these share their copies out."""
     tag = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")), F.coalesce(F.col("source").cast("string"), F.lit("\0")))
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))
-    share = allocate(sized(docs, tag.alias("__tag"))).withColumn("__id", F.coalesce("doc_id", F.lit(NULL_ID)))
-    share = share.groupBy("__id", "__tag").agg(F.sum("copies").alias("__copies"), F.count(F.lit(1)).alias("__rows"))
-    rows = docs.withColumn("__id", key).withColumn("__tag", tag).join(share.where("__copies > 0"), ["__id", "__tag"])
-    rank = F.row_number().over(Window.partitionBy("__id", "__tag").orderBy("__copies"))
-    each = F.floor(F.col("__copies") / F.col("__rows")) + (rank <= F.col("__copies") % F.col("__rows")).cast("long")
-    many = rows.withColumn("__n", each.cast("int")).where("__n > 0")
-    return many.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("__n"))).alias("__k")).select(*docs.columns)
+    share = allocate(sized(docs, tag.alias("tag"))).withColumn("id", F.coalesce("doc_id", F.lit(NULL_ID)))
+    share = share.groupBy("id", "tag").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows")).where("copies > 0")
+    # the document travels as one column, so none of its names can clash
+    rows = docs.select(F.struct("*").alias("row"), key.alias("id"), tag.alias("tag")).join(share, ["id", "tag"])
+    rank = F.row_number().over(Window.partitionBy("id", "tag").orderBy("copies"))
+    each = F.floor(F.col("copies") / F.col("rows")) + (rank <= F.col("copies") % F.col("rows")).cast("long")
+    many = rows.withColumn("n", each.cast("int")).where("n > 0")
+    return many.select("row", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("k")).select("row.*")
 
 
 ORACLE = """

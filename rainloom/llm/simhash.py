@@ -157,7 +157,7 @@ def links(distinct: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root) for every node with an edge; root is the component's least node. Alternating large and small stars.
+    """(node, root) for every node but the roots; a root is its component's least node. Alternating large and small stars.
 
     Each round is written to the shared folder. The loop ends when a round leaves the edges as they are."""
     edges = materialize(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")), "edges")
@@ -195,7 +195,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """One row of each component, the one with the least doc_id, with all its columns.
 
     Of rows that share that doc_id one stays."""
-    kept = near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))
-    rows = docs.withColumn("__key", key)
-    return rows.join(kept, rows["__key"] == kept["__kept"], "left_semi").dropDuplicates(["__key"]).drop("__key")
+    kept = near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias("kept")).distinct()
+    # the document travels as one column, so none of its names can clash
+    rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("key"))
+    return rows.join(kept, rows["key"] == kept["kept"], "left_semi").dropDuplicates(["key"]).select("row.*")

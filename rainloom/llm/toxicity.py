@@ -96,13 +96,15 @@ class Model:
         return (np.concatenate(rows), np.concatenate(cols)) if rows else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
     def sentence_scores(self, sentences: Sentences) -> np.ndarray:
+        if self.bias == -np.inf:  # nothing was learned
+            return np.zeros(len(sentences))
         rows, cols = self.hits(sentences)
         logit = self.bias + np.bincount(rows, self.weights[cols], minlength=len(sentences))
         return 1 / (1 + np.exp(-np.clip(logit, -500, 500)))
 
     def document_scores(self, sentences: Sentences, scores: np.ndarray) -> np.ndarray:
         clean = np.bincount(sentences.doc, np.log1p(-np.minimum(scores, 1 - 1e-12)), minlength=sentences.n_texts)
-        return -np.expm1(clean)
+        return 0.0 - np.expm1(clean)
 
 
 def _select(texts: list[bytes], toxic: np.ndarray) -> np.ndarray:
