@@ -27,6 +27,8 @@ CAP = 3
 WEIGHTS = (1, 2, 3)
 #: Bins of the ranking variable; one source's bin is what a single task ranks.
 BINS = 1 << 13
+#: Sources up to which the plan, a row of some hundred bytes for each, is broadcast; beyond it each is dealt over SALTS tasks.
+SOURCES, SALTS = 10_000, 64
 
 
 def words(text: str = "text") -> Column:
@@ -71,8 +73,14 @@ def allocate(sizes: DataFrame, seed: int = 0) -> DataFrame:
     before = bins.withColumn("before", F.sum("bin_size").over(upto) - F.col("bin_size"))
     met = before.join(goals.select("__source", "rest"), own.eqNullSafe(F.col("__source"))).where("before < rest")
     met = met.groupBy(own.alias("__of")).agg(F.max(F.struct("__bin", "before")).alias("last"))
-    plan = goals.join(met, F.col("__source").eqNullSafe(F.col("__of")), "left").drop("__of")
-    joined = ranked.join(plan, own.eqNullSafe(F.col("__source")))
+    plan = materialize(goals.join(met, F.col("__source").eqNullSafe(F.col("__of")), "left").drop("__of"), "plan")
+    same = own.eqNullSafe(F.col("__source"))
+    if plan.count() <= SOURCES:
+        joined = ranked.join(F.broadcast(plan), same)
+    else:  # dealt out, with every source's rows over many tasks
+        salt = F.pmod(F.xxhash64("doc_id", "size"), F.lit(SALTS)).cast("int")
+        spread = plan.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = ranked.withColumn("__salt", salt).join(spread, same & (F.col("__salt") == F.col("__part"))).drop("__salt", "__part")
     columns = [*sizes.columns, "source_size", "target"]
     before_edge = F.coalesce((F.col("__bin") < F.col("last.__bin")).cast("long"), F.lit(0))
     decided = joined.where("size = 0 OR last IS NULL OR __bin <> last.__bin").select(*columns, F.when(F.col("size") == 0, 0).otherwise(F.col("whole") + before_edge).alias("copies"))

@@ -46,6 +46,12 @@ def test_mix(docs, no_docs, rows):
     assert mixing.query(no_docs).count() == 0
 
 
+def test_many_sources_are_dealt_out(docs, monkeypatch):
+    before = bag(mixing.query(docs), "doc_id", "size", "taken")
+    monkeypatch.setattr(mixing, "SOURCES", 0)
+    assert bag(mixing.query(docs), "doc_id", "size", "taken") == before
+
+
 @pytest.mark.parametrize("sizes", [{"a": 1, "b": 1000, "c": 5, "d": 5}, {"a": 10, "b": 10, "c": 10}, {"a": 0, "b": 7, None: 3}, {"z": 4}])
 def test_targets_share_the_excess(spark, sizes):
     made = spark.createDataFrame([(s, n) for s, n in sizes.items()], "source string, size long")
