@@ -110,14 +110,14 @@ def verdict(relative_inhomogeneous: Column, relative_break: Column, absolute_bre
 
 def relative_test(annual: DataFrame, candidate: str, p: Homogeneity = DEFAULT) -> DataFrame:
     """One row: the candidate's absolute and relative tests and the verdict, also where a test wasn't possible."""
-    spark = annual.sparkSession
     absolute = annual.where(F.col("station") == candidate).select(F.lit("absolute").alias("kind"), "year", F.col("total").alias("value"))
     relative = relative_series(annual, candidate).select(F.lit("relative").alias("kind"), "year", F.col("ratio").alias("value"))
     tests = with_p_values(snht(absolute.unionByName(relative), ["kind"], p.least_years), p)
     names = [c for c in tests.columns if c != "kind"]
-    side = lambda kind: tests.where(F.col("kind") == kind).select(*[F.col(c).alias(f"{kind}_{c}") for c in names])
-    one = spark.range(1).select(F.lit(candidate).alias("station"))
-    row = one.join(side("absolute"), how="left").join(side("relative"), how="left")
+    # both tests in one row, which is there even if neither was possible
+    side = lambda kind: F.max(F.when(F.col("kind") == kind, F.struct(*names))).alias(kind)
+    both = tests.agg(side("absolute"), side("relative"))
+    row = both.select(F.lit(candidate).alias("station"), *[F.col(f"{k}.{c}").alias(f"{k}_{c}") for k in ("absolute", "relative") for c in names])
     return row.withColumn("verdict", verdict(F.col("relative_inhomogeneous"), F.col("relative_break_year"), F.col("absolute_break_year"), p.year_tolerance))
 
 
