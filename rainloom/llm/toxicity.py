@@ -137,7 +137,7 @@ def _pairs(doc: np.ndarray, key: np.ndarray) -> np.ndarray:
     return np.stack([doc[new], key[new]])
 
 
-def fit(texts: list[bytes], toxic: np.ndarray, steps: int = 300, rate: float = 0.1, penalty: float = 1e-3) -> Model:
+def fit(texts: list[bytes], toxic: np.ndarray, steps: int = 300, rate: float = 0.1, penalty: float = 1e-5) -> Model:
     """The model that makes the labels likeliest through the noisy-or, by Adam over all documents at once."""
     toxic = np.asarray(toxic, float)
     if not len(toxic) or toxic.min() == toxic.max():
@@ -159,7 +159,7 @@ def fit(texts: list[bytes], toxic: np.ndarray, steps: int = 300, rate: float = 0
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for t in range(1, steps + 1):
         z = theta[-1] + np.bincount(rows, theta[cols], minlength=base)
-        p, plain = 1 / (1 + np.exp(-z)), 1 / (1 + np.exp(-theta[-1]))
+        p, plain = 1 / (1 + np.exp(-np.clip(z, -500, 500))), 1 / (1 + np.exp(-theta[-1]))
         clean = -np.bincount(doc, np.logaddexp(0, z), minlength=len(texts)) - n_plain * np.logaddexp(0, theta[-1])
         clean = np.minimum(clean, -1e-9)
         pull = np.where(toxic > 0, np.exp(clean) / np.expm1(clean), 1.0)  # of the loss, by the sum of log-odds terms
