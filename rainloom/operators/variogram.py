@@ -23,8 +23,10 @@ def station_pairs(stations: DataFrame, max_lag: float | None = None, lags: int =
     a = stations.select(F.col("station").alias("s1"), F.col("x").alias("x1"), F.col("y").alias("y1"))
     b = stations.select(F.col("station").alias("s2"), F.col("x").alias("x2"), F.col("y").alias("y2"))
     pairs = a.join(b, F.col("s1") < F.col("s2")).select("s1", "s2", geometry.distance(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2")).alias("distance"))
-    limit = F.lit(max_lag) if max_lag is not None else F.max("distance").over(Window.partitionBy()) * (2.0 / 3.0)
-    pairs = pairs.withColumn("max_lag", limit)
+    if max_lag is not None:
+        pairs = pairs.withColumn("max_lag", F.lit(float(max_lag)))
+    else:  # one row, which is all that is broadcast
+        pairs = pairs.crossJoin(F.broadcast(pairs.agg((F.max("distance") * (2.0 / 3.0)).alias("max_lag"))))
     return pairs.where("distance < max_lag").select("s1", "s2", "distance", F.floor(F.col("distance") * lags / F.col("max_lag")).cast("int").alias("bin"))
 
 
