@@ -1,10 +1,11 @@
 """Exact substring dedup over word windows by super-k-mer partitioning.
 
 Each window of 13 consecutive words has a minimiser, the least hash of its three-word runs. Consecutive windows with
-the same minimiser travel together as one packed string, a super-k-mer, to the minimiser's bucket. Equal strings of a
-slice of documents are packed once with the list of their places, and all that goes to one bucket is one compressed
-row, so neither copies nor common passages multiply rows. A bucket sorts the windows of its distinct strings, counts
-equal neighbours exactly (hash order, then word by word) and knows for each the least document it starts in.
+the same minimiser travel together as one packed string, a super-k-mer, to the minimiser's bucket. Among equal strings
+of a slice of documents only those of the slice's least document travel; the others are covered whole, whatever else
+there is, and go on as ranges. All that goes to one bucket is one compressed row. So copies and common passages bring a
+bucket one place for each slice, not for each document. A bucket sorts the windows of its distinct strings, counts equal
+neighbours exactly (hash order, then word by word) and knows for each the least document it starts in.
 
 Defined results: words are runs of [^\\x20\\x09-\\x0D]; a null or wordless text has no words and keeps the empty text;
 documents of fewer than 13 words lose nothing; a null doc_id counts as smaller than every other and is returned as null;
@@ -59,18 +60,18 @@ def minimisers(words: Words, window: int = WINDOW, run: int = RUN) -> tuple[np.n
     return begins, least[begins]
 
 
-def super_kmers(words: Words, window: int = WINDOW) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """The packed strings, their first words and their minimisers."""
+def super_kmers(words: Words, window: int = WINDOW) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """The packed strings, their first and end words, and their minimisers."""
     begins, least = minimisers(words, window)
     if not len(begins):
-        return [], begins, least
+        return [], begins, begins, least
     new = np.ones(len(begins), bool)
     new[1:] = (np.diff(begins) != 1) | (least[1:] != least[:-1])
     at = np.flatnonzero(new)
     last = begins[np.append(at[1:], len(begins)) - 1] + window
     text, offsets = words.joined()
     strings = [text[a:b] for a, b in zip(offsets[begins[at]].tolist(), (offsets[last] - 1).tolist(), strict=True)]
-    return strings, begins[at], least[at]
+    return strings, begins[at], last, least[at]
 
 
 class Codec:
@@ -112,35 +113,45 @@ def unpack(codec: Codec, blob: bytes) -> tuple[list[bytes], np.ndarray, np.ndarr
         at += count * size
     out[1], out[2] = np.cumsum(out[1], dtype=np.int64), np.cumsum(out[2], dtype=np.int64)
     stops = (at + np.cumsum(out[0], dtype=np.int64)).tolist()
-    return [data[a:b] for a, b in zip([at, *stops[:-1]], stops, strict=True)], *out[1:]
+    return [data[a:b] for a, b in zip([at, *stops][: len(stops)], stops, strict=True)], *out[1:]
 
 
 def scatter(docs: DataFrame, n_buckets: int, shared: bytes = b"", window: int = WINDOW) -> DataFrame:
-    """Rows (bucket, blob): the super-k-mers of each slice of documents, by bucket. shared: a compression dictionary."""
+    """Rows (bucket, whole, blob): the super-k-mers of each slice of documents, by bucket, and with `whole` the ranges
+    that are covered already, to any bucket. shared: a compression dictionary."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(shared)
         for batch in batches:
             for part, texts in slices(batch, "text", PACK_BYTES):
                 words = Words(texts, NOT_SPACE)
-                strings, begins, least = super_kmers(words, window)
+                strings, begins, ends, least = super_kmers(words, window)
                 if not strings:
                     continue
-                ids = part.column("doc_id").to_numpy()
-                tags = np.array([zlib.crc32(x) for x in texts], np.uint32)
+                tag = np.array([zlib.crc32(x) for x in texts], np.uint32)
+                doc = words.doc[begins]
+                ids, tags, first = part.column("doc_id").to_numpy()[doc], tag[doc], words.first[doc]
                 coded = pa.array(strings, pa.large_binary()).dictionary_encode()
                 code, distinct = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+                lowest = np.full(len(distinct), np.iinfo(np.int64).max)
+                np.minimum.at(lowest, code, ids)
+                later = ids > lowest[code]
                 bucket = (least % np.uint64(n_buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
+                travel = np.flatnonzero(~later)
+                order = travel[np.argsort(bucket[travel], kind="stable")]
                 cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
-                rows = []
+                targets, rows = bucket[order][cuts].tolist(), []
                 for own in np.split(order, cuts[1:]):
                     used, local = np.unique(code[own], return_inverse=True)
-                    doc = words.doc[begins[own]]
-                    rows.append(pack(codec, [distinct[k] for k in used], local, ids[doc], tags[doc], begins[own] - words.first[doc]))
-                yield pa.RecordBatch.from_arrays([pa.array(bucket[order][cuts]), pa.array(rows, pa.binary())], ["bucket", "blob"])
+                    rows.append(pack(codec, [distinct[k] for k in used], local, ids[own], tags[own], begins[own] - first[own]))
+                if later.any():
+                    # the end words stand where codes do elsewhere
+                    targets.append(int(mix(ids[:1].view(np.uint64))[0] % np.uint64(n_buckets)))
+                    rows.append(pack(codec, [], (ends - first)[later], ids[later], tags[later], (begins - first)[later]))
+                whole = np.arange(len(rows)) >= len(rows) - bool(later.any())
+                yield pa.RecordBatch.from_arrays([pa.array(targets, pa.int64()), pa.array(whole), pa.array(rows, pa.binary())], ["bucket", "whole", "blob"])
 
-    return docs.mapInArrow(run, "bucket long, blob binary")
+    return docs.mapInArrow(run, "bucket long, whole boolean, blob binary")
 
 
 def least_documents(strings: list[bytes], least: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -210,7 +221,14 @@ def covered_ranges(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, tag (crc32 of the text), and ranges: packed pairs of first and end words, of every document with covered words."""
 
     def run(group: pa.Table) -> pa.Table:
-        ids, tags, a, b = covered(Codec(shared), group.column("blob").to_pylist(), window)
+        codec, whole = Codec(shared), group.column("whole").to_numpy()
+        blobs = group.column("blob").to_pylist()
+        found = [covered(codec, travelled, window)] if (travelled := [x for x, w in zip(blobs, whole, strict=True) if not w]) else []
+        for x, w in zip(blobs, whole, strict=True):
+            if w:
+                _, end, own_ids, own_tags, begin = unpack(codec, x)
+                found.append((own_ids, own_tags, begin, end))
+        ids, tags, a, b = (np.concatenate([f[k] for f in found]) for k in range(4))
         order = np.lexsort((a, tags, ids))
         ids, tags, pairs = ids[order], tags[order], np.stack([a[order], b[order]], 1).astype(np.int32)
         cuts = np.flatnonzero((np.diff(ids, prepend=0) != 0) | (np.diff(tags.astype(np.int64), prepend=-1) != 0))

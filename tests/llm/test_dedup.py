@@ -116,12 +116,24 @@ def test_substring_dedup(docs, no_docs, rows):
     assert superkmers.query(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("size", [200, 3000])
+def test_substring_dedup_over_small_slices(docs, rows, size, monkeypatch):
+    """What is settled inside a slice and what is settled in buckets add up the same, wherever slices end."""
+    from rainloom.llm import common
+
+    whole = superkmers.slices
+    monkeypatch.setattr(superkmers, "slices", lambda batch, column, limit=0: whole(batch, column, size))
+    assert bag(superkmers.query(docs.coalesce(1)), "doc_id", "n_words", "n_removed", "kept_sha256") == kept(rows)
+    assert common.slices is whole
+
+
 def test_super_kmers_hold_every_window_once(rows):
     texts = [(r[1] or "").encode() for r in rows]
     words = Words(texts, NOT_SPACE)
-    strings, begins, least = superkmers.super_kmers(words)
+    strings, begins, ends, least = superkmers.super_kmers(words)
     found = [tuple(s.split()[i : i + 13]) for s in strings for i in range(len(s.split()) - 12)]
     assert found == [tuple(t.split()[i : i + 13]) for t in texts for i in range(len(t.split()) - 12)]
+    assert [e - b for b, e in zip(begins, ends, strict=True)] == [len(s.split()) for s in strings]
     codec = superkmers.Codec(b"")
     ids, tags = np.arange(len(strings)) * -7, np.arange(len(strings), dtype=np.uint32) * 1000003
     back = superkmers.unpack(codec, superkmers.pack(codec, strings, np.arange(len(strings)), ids, tags, begins))
