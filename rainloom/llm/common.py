@@ -57,6 +57,29 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
             start, size = i + 1, 0
 
 
+def sample_texts(df: DataFrame, column: str, limit: int) -> list:
+    """The first rows of df whose texts have `limit` bytes together, about; at least one row, if there is one.
+
+    Rows come to the driver partition by partition, so df should be a sample that is bounded by rows already."""
+    out, total = [], 0
+    for row in df.toLocalIterator():
+        total += len((row[column] or "").encode())
+        if out and total > limit:
+            break
+        out.append(row)
+    return out
+
+
+def runs_of(texts: list[bytes], limit: int) -> Iterator[slice]:
+    """Neighbouring texts of about `limit` bytes together, at least one."""
+    start = size = 0
+    for i, x in enumerate(texts):
+        size += len(x)
+        if size >= limit or i == len(texts) - 1:
+            yield slice(start, i + 1)
+            start, size = i + 1, 0
+
+
 def byte_class(*ranges: tuple[int, int]) -> np.ndarray:
     found = np.zeros(256, bool)
     for low, high in ranges:

@@ -5,8 +5,8 @@ holds one bit for each language, so the AND of an n-gram's slots names all langu
 n-grams are looked up together, each language's bits are counted, the counts are corrected for the filter's false
 positives and set against what the language's own texts reach, and the greatest decides.
 
-The filters are fitted on the driver from at most SAMPLE texts with a language, those with the least hash of their
-doc_id; every text is scored whole.
+The filters are fitted on the driver from at most SAMPLE texts with a language and SAMPLE_BYTES, those with the least hash
+of their doc_id; every text is scored whole.
 
 Defined results: a null text, or one without a letter, is `und` with score 0, and so is every text if no language was
 learned; languages that tie are decided by name; rows that repeat are scored each; a null doc_id is returned as null
@@ -22,10 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import runs_of, sample_texts, slices
 
-#: Texts that the filters are fitted on, at most.
-SAMPLE = 4000
+#: Texts that the filters are fitted on, at most, and their bytes; bytes that are counted at a time.
+SAMPLE, SAMPLE_BYTES, COUNT_BYTES = 4000, 64_000_000, 1_000_000
 GRAM = 4
 #: Slots of the table, as a power of two, and slots for each n-gram.
 SLOTS, HASHES = 20, 2
@@ -70,8 +70,8 @@ class Filters:
         for k in range(n):
             keys, counts = np.zeros(0, np.uint32), np.zeros(0)
             own = [texts[i] for i in np.flatnonzero(code == k)]
-            for a in range(0, len(own), 300):
-                found, times = np.unique(grams(own[a : a + 300])[0], return_counts=True)
+            for part in runs_of(own, COUNT_BYTES):
+                found, times = np.unique(grams(own[part])[0], return_counts=True)
                 keys, index = np.unique(np.concatenate([keys, found]), return_inverse=True)
                 counts = np.bincount(index, np.concatenate([counts, times]))
             solid = keys != 0x20202020
@@ -145,7 +145,8 @@ def train(docs: DataFrame) -> Filters:
     # ids are chosen first, so texts of the sample alone move; it has SAMPLE rows at most and may be broadcast
     ids = usable.select(F.col("doc_id").alias("id")).where("id IS NOT NULL").distinct().orderBy(F.xxhash64("id"), "id").limit(SAMPLE)
     rows = usable.join(F.broadcast(ids), F.col("doc_id") == F.col("id"), "left_semi")
-    once = rows.groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("x")).orderBy("doc_id").select("x.lang", "x.text").collect()
+    each = rows.groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("x")).orderBy(F.xxhash64("doc_id"), "doc_id")
+    once = sample_texts(each.select("x.lang", "x.text"), "text", SAMPLE_BYTES)
     return Filters([r.text.encode() for r in once], [r.lang for r in once])
 
 

@@ -4,7 +4,8 @@ Only documents carry labels. A sentence's probability comes from a logistic mode
 a document's is the noisy-or of its sentences, 1 - prod(1 - p). The model is fitted to document labels through the
 noisy-or, so the weight of a document falls on the sentences that explain it, and those can be located afterwards.
 
-The model is fitted on the driver from at most SAMPLE labelled documents, those with the least hash of their doc_id;
+The model is fitted on the driver from at most SAMPLE labelled documents with SAMPLE_BYTES of text, those with the least
+hash of their doc_id;
 every document is scored over its whole text.
 
 Defined results: a null or empty text has no sentence and scores 0; without labelled documents of both kinds every
@@ -23,10 +24,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM, Words, slices
+from .common import ALNUM, Words, runs_of, sample_texts, slices
 
-#: Labelled documents that the model is fitted on, at most.
-SAMPLE = 8000
+#: Labelled documents that the model is fitted on, at most, and the bytes of their texts; bytes that are handled at a time there.
+SAMPLE, SAMPLE_BYTES, FIT_BYTES = 8000, 64_000_000, 1_500_000
 THRESHOLD = 0.7
 #: Features that the model keeps, and documents that a feature must occur in.
 FEATURES, LEAST_DOCS = 3000, 5
@@ -108,19 +109,27 @@ class Model:
 
 
 def _select(texts: list[bytes], toxic: np.ndarray) -> np.ndarray:
-    """Sorted keys of the features that mark toxic documents most surely."""
-    keys, pos, neg = np.zeros(0, np.uint64), np.zeros(0), np.zeros(0)
-    for a in range(0, len(texts), 400):
-        s = Sentences(texts[a : a + 400])
-        own = []
+    """Sorted keys of the features that mark toxic documents most surely.
+
+    What occurs in one toxic document alone can't be sure; so only the others are counted in clean documents."""
+    keys, pos = np.zeros(0, np.uint64), np.zeros(0)
+    bad = [texts[i] for i in np.flatnonzero(toxic)]
+    for part in runs_of(bad, FIT_BYTES):
+        s = Sentences(bad[part])
+        found = np.concatenate([_pairs(s.words.doc, f)[1] for f in s.features()])
+        keys, index = np.unique(np.concatenate([keys, found]), return_inverse=True)
+        pos = np.bincount(index, np.concatenate([pos, np.ones(len(found))]))
+    keep = (pos >= 2) & (keys > 0)
+    keys, pos = keys[keep], pos[keep]
+    neg = np.zeros(len(keys))
+    good = [texts[i] for i in np.flatnonzero(toxic == 0)]
+    for part in runs_of(good, FIT_BYTES) if len(keys) else ():
+        s = Sentences(good[part])
         for f in s.features():
-            own.append(_pairs(s.words.doc, f))
-        doc, key = (np.concatenate([x[k] for x in own]) for k in (0, 1))
-        y = toxic[a : a + 400][doc.astype(np.int64)]
-        keys, index = np.unique(np.concatenate([keys, key]), return_inverse=True)
-        pos = np.bincount(index, np.concatenate([pos, y]))
-        neg = np.bincount(index, np.concatenate([neg, 1 - y]))
-    keep = (pos + neg >= LEAST_DOCS) & (keys > 0)
+            at = np.minimum(np.searchsorted(keys, f), len(keys) - 1)
+            known = keys[at] == f
+            neg += np.bincount(_pairs(s.words.doc[known], at[known].astype(np.uint64))[1].astype(np.int64), minlength=len(keys))
+    keep = pos + neg >= LEAST_DOCS
     keys, pos, neg = keys[keep], pos[keep], neg[keep]
     n = toxic.sum()
     odds = np.log((pos + 0.5) / (n - pos + 0.5)) - np.log((neg + 0.5) / (len(toxic) - n - neg + 0.5))
@@ -145,14 +154,14 @@ def fit(texts: list[bytes], toxic: np.ndarray, steps: int = 300, rate: float = 0
     model = Model(_select(texts, toxic), np.zeros(0), 0.0)
     rows, cols, doc = [], [], []
     n_plain, base = np.zeros(len(texts)), 0
-    for a in range(0, len(texts), 400):
-        s = Sentences(texts[a : a + 400])
+    for part in runs_of(texts, FIT_BYTES):
+        s = Sentences(texts[part])
         r, c = model.hits(s)
         used, r = np.unique(r, return_inverse=True)
-        n_plain[a : a + 400] += np.bincount(s.doc, minlength=s.n_texts) - np.bincount(s.doc[used], minlength=s.n_texts)
+        n_plain[part] += np.bincount(s.doc, minlength=s.n_texts) - np.bincount(s.doc[used], minlength=s.n_texts)
         rows.append(r + base)
         cols.append(c)
-        doc.append(s.doc[used] + a)
+        doc.append(s.doc[used] + part.start)
         base += len(used)
     rows, cols, doc = map(np.concatenate, (rows, cols, doc))
     theta = np.append(np.full(len(model.keys), 1.0), -6.0)  # the last is the bias
@@ -182,7 +191,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     sample = each.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # the sample has SAMPLE rows at most, so it may be broadcast; a document that repeats counts once
-    rows = own.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).orderBy("doc_id").collect()
+    once = own.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    rows = sample_texts(once.orderBy(F.xxhash64("doc_id"), "doc_id"), "text", SAMPLE_BYTES)
     return fit([(r.text or "").encode() for r in rows], np.array([r.toxic for r in rows]))
 
 

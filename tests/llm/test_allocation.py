@@ -1,7 +1,6 @@
 import zlib
 from collections import Counter, defaultdict
 
-import numpy as np
 import pytest
 
 from rainloom.llm import mixing, sharding
