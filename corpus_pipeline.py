@@ -6,13 +6,12 @@ patched frame-of-reference blocks and read back. All but the last return the col
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from rainloom.llm import mixing, phrases, simhash, token_blocks, toxicity
-from rainloom.llm.common import shared_dir, table
+from rainloom.llm.common import materialize, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,10 +49,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`, each written to the shared folder as Parquet and reread for the next."""
     docs = table(spark, sf_dir, "documents")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            path = f"{shared_dir(spark)}/corpus-{uuid.uuid4().hex}-{k}"
-            docs.write.parquet(path)
-            docs = spark.read.parquet(path)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
