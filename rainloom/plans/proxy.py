@@ -25,11 +25,15 @@ TIE = 1e-7
 GRID_SIZE, CELL = 20, 5000.0
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
+def query(sql: str | None = None, whole: bool = False) -> Callable[[Query], Query]:
+    """whole: the SQL covers some days only, those of f's third parameter; all days are registered as f's name with _all, without SQL."""
+
     def add(f: Query) -> Query:
         QUERIES[f.__name__] = f
         if sql:
             ORACLE[f.__name__] = sql
+        if whole:
+            QUERIES[f"{f.__name__}_all"] = lambda spark, sf_dir: f(spark, sf_dir, "true")
         return f
 
     return add
@@ -316,22 +320,21 @@ scored AS (SELECT doy, model, k, sum(w * (g - greatest(n0, 0) - greatest(p0, 1e-
 fits AS (SELECT doy, model, sqrt(min(sse) / any_value(sw)) AS rmse FROM scored GROUP BY ALL)"""
 
 
-def _every_15th(bins: DataFrame) -> DataFrame:
-    """Days 1, 16, 31 and so on: the fits that the two fit queries report."""
-    return bins.where("doy % 15 = 1")
+#: Days 1, 16, 31 and so on: the days of _FIT.
+SQL_FITS = "doy % 15 = 1"
 
 
-@query(f"WITH {_OBS}, {_STATIONS}, {_PAIRS}, {_BRIDGE}, {_ENOUGH}, {_POOL_RAW}, {_FIT} SELECT doy, model, round(rmse, 3) AS rmse FROM fits")
-def variogram_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bins = _every_15th(variogram.pooled(observations(spark, sf_dir), stations(spark, sf_dir), "ok"))
+@query(f"WITH {_OBS}, {_STATIONS}, {_PAIRS}, {_BRIDGE}, {_ENOUGH}, {_POOL_RAW}, {_FIT} SELECT doy, model, round(rmse, 3) AS rmse FROM fits", whole=True)
+def variogram_fit(spark: SparkSession, sf_dir: str, days: str = SQL_FITS) -> DataFrame:
+    bins = variogram.pooled(observations(spark, sf_dir), stations(spark, sf_dir), "ok").where(days)
     return _rounded(variogram.fit_models(bins, ["doy"]), 3, "rmse").select("doy", "model", "rmse")
 
 
 @query(f"""WITH {_OBS}, {_STATIONS}, {_PAIRS}, {_BRIDGE}, {_ENOUGH}, {_POOL_RAW}, {_FIT}
 SELECT doy, CASE WHEN e.rmse < s.rmse * 0.95::DOUBLE THEN 'exponential' ELSE 'spherical' END AS model, round(CASE WHEN e.rmse < s.rmse * 0.95::DOUBLE THEN e.rmse ELSE s.rmse END, 3) AS rmse
-FROM (SELECT * FROM fits WHERE model = 'spherical') s JOIN (SELECT * FROM fits WHERE model = 'exponential') e USING (doy)""")
-def variogram_best(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bins = _every_15th(variogram.pooled(observations(spark, sf_dir), stations(spark, sf_dir), "ok"))
+FROM (SELECT * FROM fits WHERE model = 'spherical') s JOIN (SELECT * FROM fits WHERE model = 'exponential') e USING (doy)""", whole=True)
+def variogram_best(spark: SparkSession, sf_dir: str, days: str = SQL_FITS) -> DataFrame:
+    bins = variogram.pooled(observations(spark, sf_dir), stations(spark, sf_dir), "ok").where(days)
     return _rounded(variogram.best_model(variogram.fit_models(bins, ["doy"]), ["doy"]), 3, "rmse").select("doy", "model", "rmse")
 
 
@@ -543,7 +546,7 @@ def plot_variogram_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def plot_variogram_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bins = _every_15th(variogram.pooled(observations(spark, sf_dir), stations(spark, sf_dir), "ok"))
+    bins = variogram.pooled(observations(spark, sf_dir), stations(spark, sf_dir), "ok")
     return plots.variogram_curve(bins, variogram.best_model(variogram.fit_models(bins, ["doy"]), ["doy"]), ["doy"])
 
 

@@ -7,9 +7,10 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
+from rainloom.operators import variogram
 from rainloom.plans import proxy
 
-from .test_geostatistics import primal
+from .test_geostatistics import fit_plain, gamma, primal
 
 #: Days of the year 2 (both fits), 6 (drift lacks a fit), 10 (values lack one), 15 (none), 100 (not in the table), 60 after a leap day.
 DATES = [dt.date(1995, 1, 2), dt.date(1996, 1, 6), dt.date(1998, 1, 10), dt.date(1999, 1, 15), dt.date(2001, 4, 10), dt.date(1996, 3, 2), dt.date(1997, 3, 3), dt.date(2001, 11, 4), dt.date(2000, 7, 1)]
@@ -122,3 +123,25 @@ def test_leave_one_out(spark, tables):
     for d in days:
         e = np.array([p.expected - o for (day, _), (o, p) in want.items() if day == d])
         assert scores[d] == (pytest.approx(np.sqrt((e * e).mean())), pytest.approx(abs(e).mean()), pytest.approx(e.mean(), abs=1e-6))
+
+
+def test_fits_of_all_days_of_the_year(spark, tables):
+    bins = {}
+    for r in variogram.pooled(proxy.observations(spark, tables[0]), proxy.stations(spark, tables[0]), "ok").collect():
+        bins.setdefault(r.doy, []).append((r.lag_center, r.gamma, float(r.n)))
+    bins = {k: np.array(b).T for k, b in bins.items() if len(b) >= 3}
+    near = lambda k, d: min(abs(k - d), 366 - abs(k - d)) <= 7
+    assert set(bins) == {k for k in range(1, 366) if any(near(k, day_of_year(d)) for d in DATES if d != FEW)}
+    plain = {k: {m: fit_plain(*b, m) for m in ("spherical", "exponential")} for k, b in bins.items()}
+    fits = {(r.doy, r.model): r.rmse for r in proxy.QUERIES["variogram_fit_all"](spark, tables[0]).collect()}
+    assert fits == {(k, m): pytest.approx(own[m][1], abs=1e-3) for k, own in plain.items() for m in own}
+    best = {k: "exponential" if own["exponential"][1] < own["spherical"][1] * 0.95 else "spherical" for k, own in plain.items()}
+    assert {r.doy: (r.model, r.rmse) for r in proxy.QUERIES["variogram_best_all"](spark, tables[0]).collect()} == {k: (m, pytest.approx(plain[k][m][1], abs=1e-3)) for k, m in best.items()}
+    curves = {}
+    for r in proxy.plot_variogram_curve(spark, tables[0]).collect():
+        curves.setdefault(r.doy, []).append((r.h, r.gamma))
+    assert set(curves) == set(best)
+    for k, points in curves.items():
+        h, g = np.array(sorted(points)).T
+        np.testing.assert_allclose(h, np.linspace(0, bins[k][0].max() * 1.05, 300))
+        np.testing.assert_allclose(g, gamma(best[k], h, *plain[k][best[k]][0]), rtol=1e-5, atol=1e-5)
