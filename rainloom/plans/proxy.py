@@ -70,9 +70,13 @@ def cells(spark: SparkSession, size: int = GRID_SIZE) -> DataFrame:
     return grid.withColumn("z", F.when(height % 13 != 0, (height * 7 % 900 + 60).cast("double")))
 
 
-def field(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A value for every cell and day of the first months of 1997, null on some cells."""
-    days = _table(spark, sf_dir, "lineitem").select(F.col("l_shipdate").cast("date").alias("date")).where("date BETWEEN '1997-01-01' AND '1998-03-31'").distinct()
+#: January 1997 to March 1998: the dates of _FIELD.
+SQL_DATES = "date BETWEEN '1997-01-01' AND '1998-03-31'"
+
+
+def field(spark: SparkSession, sf_dir: str, days: str = "true") -> DataFrame:
+    """A value for every cell and every date, or those of a condition, null on some cells."""
+    days = _table(spark, sf_dir, "lineitem").select(F.col("l_shipdate").cast("date").alias("date")).where(days).distinct()
     d = F.datediff("date", F.lit("1980-01-01").cast("date"))
     v = ((F.col("row") * 37 + F.col("col") * 11 + d * 7) % 101) / 8 - 1
     return cells(spark).crossJoin(days).select("date", "row", "col", F.when((F.col("row") + F.col("col") + d) % 9 != 0, v).cast("float").alias("rainfall"))
@@ -434,9 +438,9 @@ _TIDY = "tidy AS (SELECT date, basin, CASE WHEN mean <= 0.1 THEN 0 ELSE round_ev
 _ALL_ZONAL = f"{_CELLS}, {_FIELD}, {_MASK}, {_ZONAL}"
 
 
-def _zonal(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _zonal(spark: SparkSession, sf_dir: str, days: str) -> DataFrame:
     mask = raster.polygon_mask(cells(spark), polygons(spark))
-    return raster.zonal_mean(field(spark, sf_dir), mask, polygons(spark))
+    return raster.zonal_mean(field(spark, sf_dir, days), mask, polygons(spark))
 
 
 @query(f"WITH {_CELLS} SELECT * FROM cells")
@@ -454,39 +458,39 @@ def polygon_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raster.polygon_mask(cells(spark), polygons(spark))
 
 
-@query(f"WITH {_ALL_ZONAL} SELECT date, basin, round(mean, 6) AS mean, n_valid FROM zonal")
-def zonal_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(_zonal(spark, sf_dir), 6, "mean")
+@query(f"WITH {_ALL_ZONAL} SELECT date, basin, round(mean, 6) AS mean, n_valid FROM zonal", whole=True)
+def zonal_mean(spark: SparkSession, sf_dir: str, days: str = SQL_DATES) -> DataFrame:
+    return _rounded(_zonal(spark, sf_dir, days), 6, "mean")
 
 
-@query(f"WITH {_ALL_ZONAL} SELECT 'No valid data | Date: ' || date || ' | Basin: ' || basin AS warning FROM zonal WHERE n_valid = 0")
-def zonal_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raster.warnings(_zonal(spark, sf_dir))
+@query(f"WITH {_ALL_ZONAL} SELECT 'No valid data | Date: ' || date || ' | Basin: ' || basin AS warning FROM zonal WHERE n_valid = 0", whole=True)
+def zonal_warnings(spark: SparkSession, sf_dir: str, days: str = SQL_DATES) -> DataFrame:
+    return raster.warnings(_zonal(spark, sf_dir, days))
 
 
-@query(f"WITH {_ALL_ZONAL}, {_TIDY} SELECT * FROM tidy")
-def zonal_flush_round(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raster.tidy(_zonal(spark, sf_dir)).select("date", "basin", "mean")
+@query(f"WITH {_ALL_ZONAL}, {_TIDY} SELECT * FROM tidy", whole=True)
+def zonal_flush_round(spark: SparkSession, sf_dir: str, days: str = SQL_DATES) -> DataFrame:
+    return raster.tidy(_zonal(spark, sf_dir, days)).select("date", "basin", "mean")
 
 
-@query(f"WITH {_ALL_ZONAL}, {_TIDY} SELECT basin, CAST(year(date) AS INTEGER) AS year, CAST(ceil(round(coalesce(sum(mean), 0), 6)) AS DOUBLE) AS total FROM tidy GROUP BY ALL")
-def annual_ceil(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raster.annual_sums(raster.tidy(_zonal(spark, sf_dir)))
+@query(f"WITH {_ALL_ZONAL}, {_TIDY} SELECT basin, CAST(year(date) AS INTEGER) AS year, CAST(ceil(round(coalesce(sum(mean), 0), 6)) AS DOUBLE) AS total FROM tidy GROUP BY ALL", whole=True)
+def annual_ceil(spark: SparkSession, sf_dir: str, days: str = SQL_DATES) -> DataFrame:
+    return raster.annual_sums(raster.tidy(_zonal(spark, sf_dir, days)))
 
 
-@query(f"WITH {_ALL_ZONAL}, {_TIDY} SELECT basin, CAST(m AS INTEGER) AS month, round(avg(s), 6) AS mean FROM (SELECT basin, year(date) AS y, month(date) AS m, coalesce(sum(mean), 0) AS s FROM tidy GROUP BY ALL) GROUP BY ALL")
-def monthly_climatology(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(raster.monthly_climatology(raster.tidy(_zonal(spark, sf_dir))), 6, "mean")
+@query(f"WITH {_ALL_ZONAL}, {_TIDY} SELECT basin, CAST(m AS INTEGER) AS month, round(avg(s), 6) AS mean FROM (SELECT basin, year(date) AS y, month(date) AS m, coalesce(sum(mean), 0) AS s FROM tidy GROUP BY ALL) GROUP BY ALL", whole=True)
+def monthly_climatology(spark: SparkSession, sf_dir: str, days: str = SQL_DATES) -> DataFrame:
+    return _rounded(raster.monthly_climatology(raster.tidy(_zonal(spark, sf_dir, days))), 6, "mean")
 
 
-@query(f"WITH {_ALL_ZONAL}, {_TIDY} SELECT date, any_value(mean) FILTER (WHERE basin = 'hollow') AS hollow, any_value(mean) FILTER (WHERE basin = 'east') AS east, any_value(mean) FILTER (WHERE basin = 'speck') AS speck FROM tidy GROUP BY date")
-def wide_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return series.to_wide(raster.tidy(_zonal(spark, sf_dir)), "basin", "mean", list(RINGS))
+@query(f"WITH {_ALL_ZONAL}, {_TIDY} SELECT date, any_value(mean) FILTER (WHERE basin = 'hollow') AS hollow, any_value(mean) FILTER (WHERE basin = 'east') AS east, any_value(mean) FILTER (WHERE basin = 'speck') AS speck FROM tidy GROUP BY date", whole=True)
+def wide_pivot(spark: SparkSession, sf_dir: str, days: str = SQL_DATES) -> DataFrame:
+    return series.to_wide(raster.tidy(_zonal(spark, sf_dir, days)), "basin", "mean", list(RINGS))
 
 
-@query(f"WITH {_ALL_ZONAL}, {_TIDY} SELECT date, basin, mean AS value, 'rainfall' AS variable, 'Rainfall' AS item_type, 'millimeter' AS unit, 'StepAccumulated' AS value_type FROM tidy")
-def typed_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = series.to_wide(raster.tidy(_zonal(spark, sf_dir)), "basin", "mean", list(RINGS))
+@query(f"WITH {_ALL_ZONAL}, {_TIDY} SELECT date, basin, mean AS value, 'rainfall' AS variable, 'Rainfall' AS item_type, 'millimeter' AS unit, 'StepAccumulated' AS value_type FROM tidy", whole=True)
+def typed_series(spark: SparkSession, sf_dir: str, days: str = SQL_DATES) -> DataFrame:
+    wide = series.to_wide(raster.tidy(_zonal(spark, sf_dir, days)), "basin", "mean", list(RINGS))
     return series.typed(series.to_long(wide, "date", "basin"), "rainfall")
 
 

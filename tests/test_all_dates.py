@@ -145,3 +145,39 @@ def test_fits_of_all_days_of_the_year(spark, tables):
         h, g = np.array(sorted(points)).T
         np.testing.assert_allclose(h, np.linspace(0, bins[k][0].max() * 1.05, 300))
         np.testing.assert_allclose(g, gamma(best[k], h, *plain[k][best[k]][0]), rtol=1e-5, atol=1e-5)
+
+
+def inside(x, y, rings):
+    odd = np.zeros(len(x), bool)
+    for ring in rings:
+        for (ax, ay), (bx, by) in zip(ring, ring[1:] + ring[:1], strict=True):
+            if ay != by:
+                odd ^= ((ay > y) != (by > y)) & (x < ax + (y - ay) * (bx - ax) / (by - ay))
+    return odd
+
+
+def test_zonal_series_of_all_dates(spark, tables):
+    cx, cy, _ = grid()
+    row, col = np.divmod(np.arange(400), 20)
+    run = lambda name: proxy.QUERIES[f"{name}_all"](spark, tables[0]).collect()
+    mean, valid, tidy = {}, {}, {}
+    for d in DATES:
+        k = (d - dt.date(1980, 1, 1)).days
+        v = np.where((row + col + k) % 9 != 0, ((row * 37 + col * 11 + k * 7) % 101) / 8 - 1, np.nan)
+        for basin, rings in proxy.RINGS.items():
+            own = v[inside(cx, cy, rings)]
+            own = own[~np.isnan(own)]
+            valid[d, basin], mean[d, basin] = len(own), own.mean() if len(own) else None
+            tidy[d, basin] = None if not len(own) else 0.0 if own.mean() <= 0.1 else round(own.mean(), 2)
+    assert {(r.date, r.basin): (r["mean"], r.n_valid) for r in run("zonal_mean")} == {k: (None if v is None else pytest.approx(v, abs=1e-6), valid[k]) for k, v in mean.items()}
+    assert {(r.date, r.basin): r["mean"] for r in run("zonal_flush_round")} == {k: None if v is None else pytest.approx(v, abs=1e-9) for k, v in tidy.items()}
+    assert sorted(r.warning for r in run("zonal_warnings")) == sorted(f"No valid data | Date: {d} | Basin: {b}" for (d, b), n in valid.items() if not n)
+    tidy = {k: None if v is None else pytest.approx(v, abs=1e-9) for k, v in tidy.items()}
+    assert {(r.date, b): r[b] for r in run("wide_pivot") for b in proxy.RINGS} == tidy
+    assert {(r.date, r.basin): r.value for r in run("typed_series")} == tidy
+    total = lambda basin, keep: sum(v.expected for (d, b), v in tidy.items() if b == basin and v is not None and keep(d))
+    years = {d.year for d in DATES}
+    assert {(r.basin, r.year): r.total for r in run("annual_ceil")} == {(b, y): float(np.ceil(round(total(b, lambda d: d.year == y), 6))) for b in proxy.RINGS for y in years}
+    months = {m: {d.year for d in DATES if d.month == m} for m in {d.month for d in DATES}}
+    want = {(b, m): np.mean([total(b, lambda d: (d.year, d.month) == (y, m)) for y in own]) for b in proxy.RINGS for m, own in months.items()}
+    assert {(r.basin, r.month): r["mean"] for r in run("monthly_climatology")} == {k: pytest.approx(v, abs=1e-6) for k, v in want.items()}
