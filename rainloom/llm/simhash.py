@@ -16,7 +16,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
@@ -56,16 +56,22 @@ def fingerprints(texts: list[bytes], n: int = SHINGLE) -> np.ndarray:
     return out
 
 
-def fingerprint_table(docs: DataFrame) -> DataFrame:
-    """doc_id (null as NULL_ID) and fp of each document."""
+def tag_of(text: Column) -> Column:
+    """A hash of the text that tells rows with the same doc_id apart."""
+    return F.xxhash64(text.cast("string"))
+
+
+def fingerprint_table(docs: DataFrame, tagged: bool = False) -> DataFrame:
+    """doc_id (null as NULL_ID), fp and, if asked for, the text's tag of each document."""
+    names = ["doc_id", "tag"] if tagged else ["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in slices(batch, "text", 1_000_000):
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(fingerprints(texts))], ["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays([*map(part.column, names), pa.array(fingerprints(texts))], [*names, "fp"])
 
-    own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return own.mapInArrow(run, "doc_id long, fp long")
+    own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"), F.col("text").cast("string").alias("text"), tag_of(F.col("text")).alias("tag"))
+    return own.select(*names, "text").mapInArrow(run, ", ".join(f"{c} long" for c in [*names, "fp"]))
 
 
 def variants(distinct: DataFrame) -> DataFrame:
@@ -176,12 +182,17 @@ def components(edges: DataFrame) -> DataFrame:
         seen = state
 
 
+def members(prints: DataFrame, order: Column) -> DataFrame:
+    """Each distinct fp with its component's root and the least `order` of its own documents."""
+    distinct = materialize(prints.groupBy("fp").agg(F.min(order).alias("least")), "distinct")
+    roots = materialize(components(links(distinct.select("fp"))), "roots")
+    return distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id (null as NULL_ID), fp and component_id: the least doc_id of all documents reachable by links."""
     prints = materialize(fingerprint_table(docs), "fingerprints")
-    distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    roots = materialize(components(links(distinct.select("fp"))), "roots")
-    member = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    member = members(prints, F.col("doc_id"))
     ids = member.groupBy("root").agg(F.min("least").alias("component_id"))
     return prints.join(member.join(ids, "root").select("fp", "component_id"), "fp")
 
@@ -199,3 +210,16 @@ def keep_one(docs: DataFrame) -> DataFrame:
     # the document travels as one column, so none of its names can clash
     rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("key"))
     return rows.join(kept, rows["key"] == kept["kept"], "left_semi").dropDuplicates(["key"]).select("row.*")
+
+
+def keep_each(docs: DataFrame) -> DataFrame:
+    """Exactly one row of every component, with all its columns: the one with the least (doc_id, tag of the text).
+
+    Components that share a doc_id, or whose documents have none, don't stand for one another, as they do in keep_one.
+    Of rows alike in doc_id and text any one stays."""
+    prints = materialize(fingerprint_table(docs, tagged=True), "fingerprints")
+    least = members(prints, F.struct("doc_id", "tag")).groupBy("root").agg(F.min("least").alias("least"))
+    kept = least.select(F.col("least.doc_id").alias("kept"), F.col("least.tag").alias("kept_tag"))
+    rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("key"), tag_of(F.col("text")).alias("tag"))
+    same = (rows["key"] == kept["kept"]) & (rows["tag"] == kept["kept_tag"])
+    return rows.join(kept, same, "left_semi").dropDuplicates(["key", "tag"]).select("row.*")
