@@ -15,10 +15,13 @@ import numpy as np
 from .common import expand
 
 BLOCK = 4096
+#: Frames that are coded or decoded at a time: this bounds the memory, not the length of a stream.
+FRAMES = 256
 #: Taps of the linear predictor, bits of a tap and the shift of the prediction.
 ORDER, PRECISION, SHIFT = 4, 14, 10
 RATE = 8000
 MONO8 = 0x02  # one channel, 8 bits a sample
+_SIGN = bytes(b ^ 0x80 for b in range(256))
 
 
 class FlacError(ValueError):
@@ -94,20 +97,10 @@ def _taps(x: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.clip(np.rint(a * (1 << SHIFT)), -most - 1, most).astype(np.int32)
 
 
-def encode(payloads: list[bytes]) -> list[bytes]:
-    """Each payload, of a positive multiple of 16 bytes, as a FLAC stream of one channel with 8 bits a sample (byte less 128)."""
-    if not payloads:
-        return []
-    data = np.frombuffer(b"".join(payloads), np.uint8)
+def _encode_frames(data: np.ndarray, sizes: np.ndarray, number: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """The frames of samples that lie in a row, and how many bytes each frame has. number: the frames' numbers."""
     x = data.astype(np.int32) - 128
-    lengths = np.fromiter(map(len, payloads), np.int64, len(payloads))
-    if (lengths < 16).any() or (lengths % 16).any():
-        raise FlacError("payloads have to be positive multiples of 16 bytes")
-    n_frames = -(-lengths // BLOCK)
-    owner = np.repeat(np.arange(len(payloads)), n_frames)
-    number = np.arange(len(owner)) - np.repeat(np.cumsum(n_frames) - n_frames, n_frames)
-    starts = (np.cumsum(lengths) - lengths)[owner] + number * BLOCK
-    sizes = np.minimum(BLOCK, lengths[owner] - number * BLOCK)
+    starts = np.cumsum(sizes) - sizes
 
     # residuals: nothing predicted, or by linear prediction; whichever is smaller
     taps = _taps(x, starts, sizes)
@@ -189,18 +182,43 @@ def encode(payloads: list[bytes]) -> list[bytes]:
     check = crc(out, begin, total - 2, 16)
     out[begin + total - 2], out[begin + total - 1] = check >> 8, check & 255
 
-    raw, signed = out.tobytes(), (data ^ 0x80).tobytes()
-    streams, frame, sample = [], 0, 0
-    for n, count in zip(lengths.tolist(), n_frames.tolist(), strict=True):
+    return out.tobytes(), total
+
+
+def encode(payloads: list[bytes]) -> list[bytes]:
+    """Each payload, of a positive multiple of 16 bytes, as a FLAC stream of one channel with 8 bits a sample (byte less 128).
+
+    FRAMES frames are coded at a time, whatever the length of a payload."""
+    if not payloads:
+        return []
+    data = np.frombuffer(b"".join(payloads), np.uint8)
+    lengths = np.fromiter(map(len, payloads), np.int64, len(payloads))
+    if (lengths < 16).any() or (lengths % 16).any():
+        raise FlacError("payloads have to be positive multiples of 16 bytes")
+    n_frames = -(-lengths // BLOCK)
+    owner = np.repeat(np.arange(len(payloads)), n_frames)
+    number = np.arange(len(owner)) - np.repeat(np.cumsum(n_frames) - n_frames, n_frames)
+    sizes = np.minimum(BLOCK, lengths[owner] - number * BLOCK)
+    ends = np.append(0, np.cumsum(sizes))
+    parts, totals = [], []
+    for a in range(0, len(owner), FRAMES):
+        b = min(a + FRAMES, len(owner))
+        part, total = _encode_frames(data[ends[a] : ends[b]], sizes[a:b], number[a:b])
+        parts.append(part)
+        totals.append(total)
+    raw, total = b"".join(parts), np.concatenate(totals)
+    begin = np.cumsum(total) - total
+    streams, frame = [], 0
+    for payload, count in zip(payloads, n_frames.tolist(), strict=True):
         own = slice(frame, frame + count)
-        base = int(begin[frame])
+        base, n = int(begin[frame]), len(payload)
         size = min(n, BLOCK)
         info = struct.pack(">HH", size, size) + int(total[own].min()).to_bytes(3) + int(total[own].max()).to_bytes(3)
-        info += (RATE << 44 | 7 << 36 | n).to_bytes(8) + hashlib.md5(signed[sample : sample + n]).digest()
+        info += (RATE << 44 | 7 << 36 | n).to_bytes(8) + hashlib.md5(payload.translate(_SIGN)).digest()
         seek = np.empty(count, [("sample", ">u8"), ("offset", ">u8"), ("size", ">u2")])
         seek["sample"], seek["offset"], seek["size"] = number[own] * BLOCK, begin[own] - base, sizes[own]
         streams.append(b"fLaC\x00" + len(info).to_bytes(3) + info + b"\x83" + (18 * count).to_bytes(3) + seek.tobytes() + raw[base : base + int(total[own].sum())])
-        frame, sample = frame + count, sample + n
+        frame += count
     return streams
 
 
@@ -264,8 +282,8 @@ def decode(streams: list[bytes]) -> list[bytes]:
 
 
 def _decode_frames(streams: list[bytes], heads: list[Head]) -> list[bytes] | None:
-    """All frames at once; None if a stream has frames of other kinds than encode() makes."""
-    data = np.frombuffer(b"".join([*(s[h.start :] for s, h in zip(streams, heads, strict=True)), bytes(16)]), np.uint8)
+    """All frames, FRAMES at a time; None if a stream has frames of other kinds than encode() makes."""
+    data = np.frombuffer(b"".join([s[h.start :] for s, h in zip(streams, heads, strict=True)]), np.uint8)
     room = np.array([len(s) - h.start for s, h in zip(streams, heads, strict=True)], np.int64)
     base = np.cumsum(room) - room
     points = np.array([len(h.seek) for h in heads])
@@ -276,10 +294,25 @@ def _decode_frames(streams: list[bytes], heads: list[Head]) -> list[bytes] | Non
     before = np.cumsum(sizes) - sizes
     if (total < 10).any() or (sample != before - np.repeat(before[np.cumsum(points) - points], points)).any():
         raise FlacError("seek points out of order")
+    parts = []
+    for a in range(0, len(begin), FRAMES):
+        own = slice(a, min(a + FRAMES, len(begin)))
+        low, high = int(begin[a]), int(begin[own.stop - 1] + total[own.stop - 1])
+        part = _decode_run(np.append(data[low:high], np.zeros(16, np.uint8)), begin[own] - low, total[own], sizes[own])
+        if part is None:
+            return None
+        parts.append(part)
+    raw = b"".join(parts)
+    ends = np.cumsum([h.samples for h in heads]).tolist()
+    return [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+
+
+def _decode_run(data: np.ndarray, begin: np.ndarray, total: np.ndarray, sizes: np.ndarray) -> bytes | None:
+    """The samples of frames that lie in a row; data has 16 bytes more."""
     if (data[begin] != 0xFF).any() or (data[begin + 1] != 0xF8).any() or (data[begin + 2] != 0x70).any() or (data[begin + 3] != MONO8).any():
         return None
     lead = data[begin + 4]
-    head = 7 + np.where(lead < 0x80, 1, np.searchsorted([0xC0, 0xE0, 0xF0, 0xF8, 0xFC, 0xFE], lead, side="right"))
+    head = 8 + np.searchsorted([0xC0, 0xE0, 0xF0, 0xF8, 0xFC, 0xFE], lead, side="right")  # one byte more for each bound
     if (crc(data, begin, head - 1, 8) != data[begin + head - 1]).any():
         raise FlacError("a frame header's checksum differs")
     if (crc(data, begin, total - 2, 16) != (data[begin + total - 2].astype(np.uint16) << 8 | data[begin + total - 1])).any():
@@ -379,9 +412,7 @@ def _decode_frames(streams: list[bytes], heads: list[Head]) -> list[bytes] | Non
             row = np.arange(len(part))
             chosen = (row >= ORDER - own_order[some, None]) & (row < ORDER + n_codes[some, None])
             samples[expand(first[lanes[some]], sizes[lanes[some]])] = part.T[chosen].astype(np.int8)
-    raw = samples.tobytes()
-    ends = np.cumsum([h.samples for h in heads]).tolist()
-    return [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+    return samples.tobytes()
 
 
 class _Bits:

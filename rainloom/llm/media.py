@@ -46,10 +46,10 @@ def to_flac(docs: DataFrame) -> DataFrame:
 
 def _feature(samples: np.ndarray) -> str:
     """Mean and energy in thousandths, zero crossings and peak, from integers alone."""
-    x = samples.astype(np.int64)
-    n = len(x)
-    crossings = int(np.count_nonzero((x[1:] < 0) != (x[:-1] < 0)))
-    return f"mean={int(x.sum()) * 1000 // n};energy={int((x * x).sum()) * 1000 // n};crossings={crossings};peak={int(np.abs(x).max())}"
+    n, negative = len(samples), samples < 0
+    energy = int((samples.astype(np.int16) ** 2).sum(dtype=np.int64))
+    crossings = int(np.count_nonzero(negative[1:] != negative[:-1]))
+    return f"mean={int(samples.sum(dtype=np.int64)) * 1000 // n};energy={energy * 1000 // n};crossings={crossings};peak={max(int(samples.max()), -int(samples.min()))}"
 
 
 def features(media: DataFrame) -> DataFrame:
@@ -61,7 +61,7 @@ def features(media: DataFrame) -> DataFrame:
                 rows = []
                 for stream, signed in zip(streams, flac.decode(streams), strict=True):
                     samples = np.frombuffer(signed, np.int8)
-                    read = (samples.view(np.uint8) ^ 0x80).tobytes()
+                    read = signed.translate(flac._SIGN)
                     rows.append((len(read), hashlib.sha256(read).hexdigest(), zlib.crc32(read[-UNIT:]), len(stream), hashlib.sha256(stream).hexdigest(), _feature(samples)))
                 cols = [pa.array(c) for c in zip(*rows, strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("n_bytes"), *cols], ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
