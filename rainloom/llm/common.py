@@ -21,9 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one only where the session names none."""
+    """The folder that driver and executors share, as spark.checkpoint.dir names it.
+
+    Where the session names none, a temporary one serves a local master; on a cluster that is an error, for each machine
+    would write to a folder of its own."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='rainloom-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found
@@ -32,14 +37,27 @@ def shared_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Writes df as Parquet to the shared folder and reads it again: later stages restart from files, not lineage.
 
-    The files go when the application ends."""
+    The files go when the application ends, or earlier by `discard`."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/rainloom-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    system, target = _file_system(spark, path)
+    system.deleteOnExit(target)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes the files of a table that materialize() wrote and nothing reads any more."""
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        system, target = _file_system(df.sparkSession, path)
+        if target.getName().startswith("rainloom-"):
+            system.delete(target, True)
+
+
+def _file_system(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return spark.read.schema(df.schema).parquet(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
 def partitions(spark: SparkSession) -> int:
@@ -147,3 +165,12 @@ def expand(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     before = np.cumsum(lengths) - lengths
     return np.repeat(starts - before, lengths) + np.arange(total)
+
+
+def sliding_min(x: np.ndarray, n: int) -> np.ndarray:
+    """The least of every n neighbours."""
+    width = 1
+    while 2 * width <= n:
+        x = np.minimum(x[:-width], x[width:])
+        width *= 2
+    return np.minimum(x[: len(x) - (n - width)], x[n - width :]) if n > width else x

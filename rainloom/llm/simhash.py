@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import NULL_ID, materialize, slices
+from .common import NULL_ID, discard, materialize, slices
 
 SEED = 42
 SHINGLE = 3
@@ -140,9 +140,10 @@ def links(distinct: DataFrame) -> DataFrame:
     """Edges (a, b) between distinct fingerprints whose components are those of all links."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_k, held_f = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        held: list[tuple[np.ndarray, np.ndarray]] = []  # parts of the last key so far
 
-        def close(k: np.ndarray, f: np.ndarray) -> pa.RecordBatch:
+        def close(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+            k, f = (np.concatenate([np.zeros(0, np.int64), *x]) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, np.int64),) * 2
             at = np.flatnonzero(np.diff(k, prepend=k[:1] - 1)) if len(k) else np.zeros(0, np.int64)
             size = np.diff(at, append=len(k))
             out = [e for a, n in zip(at[size > 1], size[size > 1], strict=True) for e in forest(f[a : a + n], int(k[a]))]
@@ -150,14 +151,15 @@ def links(distinct: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(cols[:, 0]), pa.array(cols[:, 1])], ["a", "b"])
 
         for batch in batches:
-            k = np.concatenate([held_k, batch.column("key").to_numpy()])
-            f = np.concatenate([held_f, batch.column("fp").to_numpy()])
+            k, f = batch.column("key").to_numpy(), batch.column("fp").to_numpy()
             if not len(k):
                 continue
-            cut = np.searchsorted(k, k[-1])
-            yield close(k[:cut], f[:cut])
-            held_k, held_f = k[cut:], f[cut:]
-        yield close(held_k, held_f)
+            cut = int(np.searchsorted(k, k[-1]))
+            if cut or held and held[-1][0][-1] != k[-1]:
+                yield close([*held, (k[:cut], f[:cut])])
+                held = []
+            held.append((k[cut:], f[cut:]))
+        yield close(held)
 
     return variants(distinct).repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long").distinct()
 
@@ -165,7 +167,7 @@ def links(distinct: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node but the roots; a root is its component's least node. Alternating large and small stars.
 
-    Each round is written to the shared folder. The loop ends when a round leaves the edges as they are."""
+    Each round is written to the shared folder, and the one before it deleted. The loop ends when a round leaves the edges as they are."""
     edges = materialize(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")), "edges")
     seen = None
     while True:
@@ -175,7 +177,8 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
         small = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(small.select("u", F.col("m").alias("v"))).distinct()
-        edges = materialize(small, "edges")
+        done, edges = edges, materialize(small, "edges")
+        discard(done)
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")), F.count_if(F.col("u") == F.col("v"))).first()
         if state == seen:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
@@ -202,20 +205,10 @@ def query(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs).select(real("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), real("component_id"))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of each component, the one with the least doc_id, with all its columns.
-
-    Of rows that share that doc_id one stays."""
-    kept = near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias("kept")).distinct()
-    # the document travels as one column, so none of its names can clash
-    rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("key"))
-    return rows.join(kept, rows["key"] == kept["kept"], "left_semi").dropDuplicates(["key"]).select("row.*")
-
-
 def keep_each(docs: DataFrame) -> DataFrame:
     """Exactly one row of every component, with all its columns: the one with the least (doc_id, tag of the text).
 
-    Components that share a doc_id, or whose documents have none, don't stand for one another, as they do in keep_one.
+    Components that share a doc_id, or whose documents have none, don't stand for one another.
     Of rows alike in doc_id and text any one stays."""
     prints = materialize(fingerprint_table(docs, tagged=True), "fingerprints")
     least = members(prints, F.struct("doc_id", "tag")).groupBy("root").agg(F.min("least").alias("least"))
