@@ -5,8 +5,10 @@ holds one bit for each language, so the AND of an n-gram's slots names all langu
 n-grams are looked up together, each language's bits are counted, the counts are corrected for the filter's false
 positives and set against what the language's own texts reach, and the greatest decides.
 
-The filters are fitted on the driver from at most SAMPLE texts with a language and SAMPLE_BYTES, those with the least hash
-of their doc_id; every text is scored whole.
+The filters are fitted on the driver from at most SAMPLE texts with a language and SAMPLE_BYTES of text. Each language has
+the same share of SAMPLE, so rare ones are learned too: its texts with the least hash of their doc_id, shortened evenly
+where SAMPLE_BYTES are exceeded. With more languages than SAMPLE, those that sort first by hash are learned. Every text
+is scored whole.
 
 Defined results: a null text, or one without a letter, is `und` with score 0, and so is every text if no language was
 learned; languages that tie are decided by name; rows that repeat are scored each; a null doc_id is returned as null
@@ -21,11 +23,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import runs_of, sample_texts, slices
 
 #: Texts that the filters are fitted on, at most, and their bytes; bytes that are counted at a time.
 SAMPLE, SAMPLE_BYTES, COUNT_BYTES = 4000, 64_000_000, 1_000_000
+#: Tasks that a language's documents are dealt to when the least hashes are looked for.
+PARTS = 64
 GRAM = 4
 #: Slots of the table, as a power of two, and slots for each n-gram.
 SLOTS, HASHES = 20, 2
@@ -139,15 +144,25 @@ def held_out(doc_id: str = "doc_id") -> F.Column:
 
 
 def train(docs: DataFrame) -> Filters:
-    """Fits on at most SAMPLE texts with a language that are not held out."""
+    """Fits on at most SAMPLE texts with a language that are not held out, as many of each language."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    usable = own.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out())
-    # ids are chosen first, so texts of the sample alone move; it has SAMPLE rows at most and may be broadcast
-    ids = usable.select(F.col("doc_id").alias("id")).where("id IS NOT NULL").distinct().orderBy(F.xxhash64("id"), "id").limit(SAMPLE)
-    rows = usable.join(F.broadcast(ids), F.col("doc_id") == F.col("id"), "left_semi")
-    each = rows.groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("x")).orderBy(F.xxhash64("doc_id"), "doc_id")
-    once = sample_texts(each.select("x.lang", "x.text"), "text", SAMPLE_BYTES)
-    return Filters([r.text.encode() for r in once], [r.lang for r in once])
+    usable = own.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out())
+    # the sample is found by narrow columns first, so that its texts alone move
+    ids = usable.select(F.col("doc_id").alias("id"), F.col("lang").alias("of")).distinct()
+    tongues = ids.select("of").distinct().orderBy(F.xxhash64("of"), "of").limit(SAMPLE).count()
+    if not tongues:
+        return Filters([], [])
+    each = SAMPLE // tongues
+    # least hashes of a language: array_agg would hold all of them, a rank in parts holds `each` of a part
+    part = F.pmod(F.xxhash64("id"), F.lit(PARTS))
+    rank = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(F.xxhash64("id"), "id"))
+    few = ids.withColumn("part", part).withColumn("k", rank("of", "part")).where(F.col("k") <= each).drop("k", "part")
+    chosen = few.withColumn("k", rank("of")).where(F.col("k") <= each).orderBy("k", F.xxhash64("of"), "of").limit(SAMPLE)
+    # SAMPLE rows at most, so it may be broadcast; a document that repeats under a language counts once
+    rows = usable.join(F.broadcast(chosen), (F.col("doc_id") == F.col("id")) & (F.col("lang") == F.col("of")))
+    once = rows.groupBy("lang", "doc_id").agg(F.min("k").alias("k"), F.min("text").alias("text")).orderBy("k", F.xxhash64("lang"), "lang")
+    found = sample_texts(once.select("lang", "text"), "text", SAMPLE_BYTES)
+    return Filters([r.text.encode() for r in found], [r.lang for r in found])
 
 
 def identify(docs: DataFrame, filters: Filters) -> DataFrame:

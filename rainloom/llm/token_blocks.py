@@ -12,8 +12,8 @@ Payload, little-endian: u32 ids, u32 blocks; the index, u32 for each block's fir
 then the blocks: u32 minimum, u8 width, u8 exceptions, packed ids (first id in the lowest bits), u8 exception
 positions, u32 exception high bits. A document's last block may hold fewer ids.
 
-Defined results: a null text is empty and yields the end id alone; a null doc_id comes first, and ties are ordered by
-text; repeated rows are written again; extra columns are ignored; an empty table gives no rows."""
+Defined results: a null text is empty and yields the end id alone; a null doc_id comes first, and rows that share a doc_id
+are ordered by xxhash64 of the text, so that they too are dealt out; repeated rows are written again; extra columns are ignored; an empty table gives no rows."""
 
 from __future__ import annotations
 
@@ -254,9 +254,11 @@ def encode_ordered(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFram
                 yield pa.RecordBatch.from_arrays([pa.array([part] * n, pa.int32()), pa.array(np.arange(seq, seq + n)), rows.column("doc_id"), pa.array(lengths), pa.array(payloads, pa.binary())], ["part", "seq", "doc_id", "n_tokens", "payload"])
                 seq += n
 
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ordered = own.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-    return ordered.mapInArrow(run, "part int, seq long, doc_id long, n_tokens long, payload binary")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    # the row number tells repeated rows apart, so a range of one document's copies can be cut as well
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("__tag"), F.monotonically_increasing_id().alias("__row"))
+    order = [F.col("doc_id").asc_nulls_first(), "__tag", "__row"]
+    return own.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text").mapInArrow(run, "part int, seq long, doc_id long, n_tokens long, payload binary")
 
 
 def read_back(files: DataFrame) -> DataFrame:
