@@ -4,8 +4,9 @@ A document's shard follows from its doc_id and the number of shards alone. The j
 by a fixed multiplier; its high bits say at which number of shards the document would move next, and the last jump
 below the number of shards is its shard. Appending a shard moves just those documents whose next jump lands on it.
 
-Slots are ranks inside a shard. A shard isn't ranked in one task: its rows fall into cells by a hash, cells are counted,
-running sums over the counts give each cell's first slot, and only cells are ranked.
+Slots are ranks inside a shard by (doc_id, checksum, size), at every size of the table. A shard isn't ranked in one task:
+rows, without their texts, are dealt out in ranges of that order, ranges are counted by shard, running sums over the
+counts give the first slot of each shard in each range, and only these are ranked.
 
 Defined results: a null text has 16 bytes of overhead, no text bytes and checksum 0; a null doc_id is a key like any
 other, distinct from all numbers; rows that repeat get slots of their own, arbitrarily among rows alike in doc_id, checksum and size;
@@ -21,8 +22,6 @@ from .common import materialize
 
 SHARDS = 40
 OVERHEAD = 16
-#: Rows that one cell of a shard should hold, about.
-CELL_ROWS = 50_000
 # fixed values of the published generator
 MULTIPLIER = 2862933555777941757
 _LOW = 0xFFFFFFFF
@@ -90,20 +89,21 @@ def assign(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     return own.select("doc_id", "size", "text_crc32", shard.cast("int").alias("shard"), grown.cast("int").alias("grown_shard"))
 
 
-def with_slots(assigned: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """Adds slot: gapless from 0 in each shard. assigned is read three times."""
-    rows = assigned.count()
-    cells = max(1, -(-rows // (shards * CELL_ROWS)))
-    dealt = assigned.withColumn("__cell", F.pmod(F.xxhash64("doc_id", "text_crc32", "size"), F.lit(cells)))
-    counts = dealt.groupBy("shard", "__cell").count()
-    upto = Window.partitionBy("shard").orderBy("__cell")
-    firsts = counts.select("shard", "__cell", (F.sum("count").over(upto) - F.col("count")).alias("__first"))
-    inside = F.row_number().over(Window.partitionBy("shard", "__cell").orderBy("doc_id", "text_crc32", "size")) - 1
-    return dealt.withColumn("__rank", inside).join(firsts, ["shard", "__cell"]).withColumn("slot", (F.col("__first") + F.col("__rank")).cast("long")).drop("__cell", "__rank", "__first")
+def with_slots(assigned: DataFrame) -> DataFrame:
+    """Adds slot: gapless from 0 in each shard, in order of doc_id (null last), checksum and size."""
+    # the row number tells rows apart that are alike in all else, so that they can be cut as well
+    order = ["shard", F.col("doc_id").asc_nulls_last(), "text_crc32", "size", "__row"]
+    numbered = materialize(assigned.withColumn("__row", F.monotonically_increasing_id()), "shards")
+    ranges = materialize(numbered.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()), "ranges")
+    counts = ranges.groupBy("shard", "__range").count()
+    upto = Window.partitionBy("shard").orderBy("__range")
+    firsts = counts.select("shard", "__range", (F.sum("count").over(upto) - F.col("count")).alias("__first"))
+    inside = F.row_number().over(Window.partitionBy("shard", "__range").orderBy(*order[1:])) - 1
+    return ranges.withColumn("__rank", inside).join(firsts, ["shard", "__range"]).withColumn("slot", (F.col("__first") + F.col("__rank")).cast("long")).drop("__range", "__rank", "__first", "__row")
 
 
 def query(docs: DataFrame) -> DataFrame:
-    found = with_slots(materialize(assign(docs), "shards"))
+    found = with_slots(assign(docs))
     return found.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 

@@ -1,7 +1,9 @@
 """Exact substring dedup over word windows by super-k-mer partitioning.
 
-Each window of 13 consecutive words has a minimiser, the least hash of its three-word runs. Consecutive windows with
-the same minimiser travel together as one packed string, a super-k-mer, to the minimiser's bucket. Among equal strings
+Each window of 13 consecutive words has a minimiser, the least hash of its two-word runs. Consecutive windows with
+the same minimiser travel together as one packed string, a super-k-mer, to the minimiser's bucket. Minimisers that would
+bring one bucket too much, as a sample of documents tells, are split by their windows' second minimiser, the greatest
+hash: equal windows still meet, and what the sample holds decides on places alone, not on results. Among equal strings
 of a slice of documents only those of the slice's least document travel; the others are covered whole, whatever else
 there is, and go on as ranges. All that goes to one bucket is one compressed row. So copies and common passages bring a
 bucket one place for each slice, not for each document. A bucket sorts the windows of its distinct strings, counts equal
@@ -23,46 +25,48 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import NOT_SPACE, NULL_ID, Words, expand, mix, partitions, slices
+from .common import NOT_SPACE, NULL_ID, Words, discard, expand, materialize, mix, partitions, sliding_min, slices
 
 WINDOW = 13
-RUN = 3
+RUN = 2
 #: Buckets for each shuffle partition: a bucket is what one Python call holds.
-BUCKETS = 8
+BUCKETS = 6
+#: Documents that are looked at for minimisers to split, about: so many, and so many more for each partition.
+LOOKED_AT, LOOKED_AT_EACH = 10_000, 4
 #: Text that one slice packs at a time.
 PACK_BYTES = 6_000_000
-#: Compression of blobs: zstd's level, and the size and the texts of its dictionary.
+#: Compression of blobs: zstd's level, the size of its dictionary, and the texts that it is made from, about.
 LEVEL, DICTIONARY_BYTES, SAMPLE = 6, 32_768, 300
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def sliding_min(x: np.ndarray, n: int) -> np.ndarray:
-    """The least of every n neighbours."""
-    width = 1
-    while 2 * width <= n:
-        x = np.minimum(x[:-width], x[width:])
-        width *= 2
-    return np.minimum(x[: len(x) - (n - width)], x[n - width :]) if n > width else x
+NONE = np.zeros(0, np.uint64)
 
 
-def minimisers(words: Words, window: int = WINDOW, run: int = RUN) -> tuple[np.ndarray, np.ndarray]:
-    """The windows' first words, and their minimisers."""
+def minimisers(words: Words, hot: np.ndarray = NONE, window: int = WINDOW, run: int = RUN) -> tuple[np.ndarray, np.ndarray]:
+    """The windows' first words, and their minimisers; for those in `hot`, sorted, a hash of the minimiser and the second one."""
     if len(words) < window:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), NONE
     coded = words.array().dictionary_encode()
     each = np.array([xxh64_intdigest(w) for w in coded.dictionary.to_pylist()], np.uint64)
     h = each[coded.indices.to_numpy()]
     runs = h[: len(h) - run + 1].copy()
     for j in range(1, run):
         runs = runs * _ODD + h[j : len(h) - run + 1 + j]
-    least = sliding_min(mix(runs), window - run + 1)
+    mixed = mix(runs)
     begins = np.flatnonzero(words.doc[: len(words) - window + 1] == words.doc[window - 1 :])
-    return begins, least[begins]
+    least = sliding_min(mixed, window - run + 1)[begins]
+    if len(hot):
+        at = np.flatnonzero(hot[np.minimum(np.searchsorted(hot, least), len(hot) - 1)] == least)
+        if len(at):
+            greatest = ~sliding_min(~mixed, window - run + 1)[begins[at]]
+            least[at] = mix(least[at] * _ODD + greatest)
+    return begins, least
 
 
-def super_kmers(words: Words, window: int = WINDOW) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+def super_kmers(words: Words, hot: np.ndarray = NONE, window: int = WINDOW) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
     """The packed strings, their first and end words, and their minimisers."""
-    begins, least = minimisers(words, window)
+    begins, least = minimisers(words, hot, window)
     if not len(begins):
         return [], begins, begins, least
     new = np.ones(len(begins), bool)
@@ -83,16 +87,42 @@ class Codec:
         self.decompress = zstandard.ZstdDecompressor(dict_data=shared).decompress
 
 
-def dictionary(docs: DataFrame) -> bytes:
-    """A compression dictionary from some texts; it only makes blobs smaller and none is needed for an empty table."""
-    rows = docs.where(F.length("text") > 0).limit(SAMPLE).select(F.substring("text", 1, 20_000).alias("t")).collect()
-    texts = [r.t.encode() for r in rows]
+def sampled(docs: DataFrame, one_in: int) -> DataFrame:
+    """One in so many documents, by a hash of id and text: the same ones on every run."""
+    return docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(one_in)) == 0)
+
+
+def dictionary(docs: DataFrame, rows: int) -> bytes:
+    """A compression dictionary from some texts of so many; it only makes blobs smaller and none is needed for an empty table."""
+    texts = sampled(docs, max(1, rows // SAMPLE)).where(F.length("text") > 0).select(F.substring("text", 1, 20_000).alias("t")).orderBy(F.xxhash64("t"), "t").limit(2 * SAMPLE)
+    texts = [r.t.encode() for r in texts.collect()]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, [t[a : a + 500] for t in texts for a in range(0, len(t), 500)]).as_bytes()
     except zstandard.ZstdError:  # too little text to learn from
         return b""
 
 
+def hot_minimisers(docs: DataFrame, rows: int, n_partitions: int, window: int = WINDOW) -> np.ndarray:
+    """Minimisers, sorted, that alone bring more than half of a partition's mean share: 2 * n_partitions at most, by the sample."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, texts in slices(batch, "text", PACK_BYTES):
+                strings, _, _, least = super_kmers(Words(texts, NOT_SPACE), window=window)
+                first = dict(zip(strings, least.tolist(), strict=True))
+                keys, index = np.unique(np.array([*first.values()], np.uint64), return_inverse=True)
+                size = np.bincount(index, [len(x) for x in first], minlength=len(keys)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(size)], ["key", "size"])
+
+    one_in = max(1, rows // (LOOKED_AT + LOOKED_AT_EACH * n_partitions))
+    sizes = sampled(docs, one_in).select("text").mapInArrow(run, "key long, size long").groupBy("key").agg(F.sum("size").alias("size"))
+    sizes = materialize(sizes, "minimisers")
+    total = sizes.agg(F.sum("size")).first()[0] or 0
+    found = [r.key for r in sizes.where(F.col("size") * (2 * n_partitions) > total).select("key").collect()]
+    discard(sizes)
+    return np.sort(np.array(found, np.int64).view(np.uint64))
+
+
 def pack(codec: Codec, strings: list[bytes], code: np.ndarray, ids: np.ndarray, tags: np.ndarray, begins: np.ndarray) -> bytes:
     head = np.array([len(strings), len(code)], np.int32)
     sizes = np.fromiter(map(len, strings), np.int32, len(strings))
@@ -116,16 +146,16 @@ def unpack(codec: Codec, blob: bytes) -> tuple[list[bytes], np.ndarray, np.ndarr
     return [data[a:b] for a, b in zip([at, *stops][: len(stops)], stops, strict=True)], *out[1:]
 
 
-def scatter(docs: DataFrame, n_buckets: int, shared: bytes = b"", window: int = WINDOW) -> DataFrame:
+def scatter(docs: DataFrame, n_buckets: int, shared: bytes = b"", hot: np.ndarray = NONE, window: int = WINDOW) -> DataFrame:
     """Rows (bucket, whole, blob): the super-k-mers of each slice of documents, by bucket, and with `whole` the ranges
-    that are covered already, to any bucket. shared: a compression dictionary."""
+    that are covered already, to any bucket. shared: a compression dictionary; hot: minimisers to split."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(shared)
         for batch in batches:
             for part, texts in slices(batch, "text", PACK_BYTES):
                 words = Words(texts, NOT_SPACE)
-                strings, begins, ends, least = super_kmers(words, window)
+                strings, begins, ends, least = super_kmers(words, hot, window)
                 if not strings:
                     continue
                 tag = np.array([zlib.crc32(x) for x in texts], np.uint32)
@@ -235,9 +265,9 @@ def covered_ranges(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         ranges = [x.tobytes() for x in np.split(pairs, cuts[1:])] if len(cuts) else []
         return pa.table([pa.array(ids[cuts]), pa.array(tags[cuts].astype(np.int64)), pa.array(ranges, pa.binary())], ["doc_id", "tag", "ranges"])
 
-    n = BUCKETS * partitions(docs.sparkSession)
-    shared = dictionary(docs)
-    found = scatter(docs, n, shared, window).groupBy("bucket").applyInArrow(run, "doc_id long, tag long, ranges binary")
+    n, rows = partitions(docs.sparkSession), docs.count()
+    shared = dictionary(docs, rows)
+    found = scatter(docs, BUCKETS * n, shared, hot_minimisers(docs, rows, n, window), window).groupBy("bucket").applyInArrow(run, "doc_id long, tag long, ranges binary")
     return found.groupBy("doc_id", "tag").agg(F.collect_list("ranges").alias("ranges"))
 
 
