@@ -56,5 +56,30 @@ def test_query(spark):
     whole = {r.conv_id: r.formatted for r in chat.render_conversations(turns).collect()}
     assert {r.conv_id: r.formatted_chars for r in found.collect() if r.conv_id != -1} == {k: len(v) for k, v in whole.items()}
     assert [r.conv_id for r in chat.query(turns.limit(0)).collect()] == [-1]
+    # the table's own conversation -1 stays beside the control conversation
+    clash = spark.createDataFrame([(-1, 0, "user", "mine", "", "")], "conv_id long, turn long, role string, text string, piece string, control string")
+    both = chat.query(clash).collect()
+    assert sorted((r.conv_id, r.n_turns, r.loss_chars) for r in both) == [(-1, 1, 0), (-1, 2, len(chat.CONTROL_TEXT))]
     with pytest.raises(ValueError):
         chat.render_turns(turns, "{% for m in messages %}{{ loop.last }}{% endfor %}")
+
+
+@pytest.mark.parametrize("size", [1, 40, 10_000])
+def test_written_conversations(spark, size, monkeypatch):
+    """Chunks in order are the conversation, and what is read back doesn't depend on where they end."""
+    monkeypatch.setattr(chat, "CHUNK", size)
+    rows = [(c, t, ("user", "assistant", "system")[t % 3], f"say {c} {t} </s>" * (t % 4)) for c in range(9) for t in range(12)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    made = chat.format_conversations(chat.render_turns(turns.selectExpr("*", "false AS control"), key="control")).collect()
+    whole = {r.conv_id: (r.formatted, r.spans) for r in chat.render_conversations(turns).collect()}
+    for c in range(9):
+        own = sorted((r for r in made if r.conv_id == c), key=lambda r: r.chunk)
+        assert [r.chunk for r in own] == list(range(len(own))) and (len(own) > 1) == (size < 1000)
+        at, spans = 0, []
+        for r in own:
+            spans += [at + v for v in r.spans]
+            at += len(r.formatted)
+        assert ("".join(r.formatted for r in own), spans) == whole[c]
+    found = bag(chat.query(turns), "conv_id", "turns_sha256", "loss_sha256", "formatted_chars")
+    monkeypatch.setattr(chat, "CHUNK", 1_000_000)
+    assert found == bag(chat.query(turns), "conv_id", "turns_sha256", "loss_sha256", "formatted_chars")

@@ -30,6 +30,27 @@ def test_flac_round_trip_by_both_decoders():
     assert flac.decode([]) == [] and flac.encode([]) == []
 
 
+@pytest.mark.parametrize("frames", [127, 128, 129, 2047, 2048, 2049])
+def test_flac_frame_numbers_of_every_length(frames):
+    text = (b"the river stone lies north of the cloud. " * 220_000)[: frames * flac.BLOCK - 16]
+    payload = media.payload(text)
+    signed = (np.frombuffer(payload, np.uint8) ^ 0x80).tobytes()
+    stream = flac.encode([b"a" * 64, payload])[1]
+    assert flac.decode([stream]) == [signed]
+    for frame in {0, 127, 128, frames - 1} & set(range(frames)):
+        first, block = flac.seek(stream, frame * flac.BLOCK + 9)
+        assert first == frame * flac.BLOCK and block == signed[first : first + flac.BLOCK]
+    if frames < 200:
+        assert flac.decode_plain(stream) == signed
+
+
+def test_flac_runs_of_frames(monkeypatch):
+    payloads = [media.payload(x) for x in SAMPLES]
+    whole = flac.encode(payloads)
+    monkeypatch.setattr(flac, "FRAMES", 2)
+    assert flac.encode(payloads) == whole and flac.decode(whole) == [(np.frombuffer(p, np.uint8) ^ 0x80).tobytes() for p in payloads]
+
+
 @settings(max_examples=30, deadline=None)
 @given(st.lists(st.binary(max_size=5000), min_size=1, max_size=5))
 def test_flac_any_bytes(texts):
@@ -103,6 +124,12 @@ def test_media_query(docs, no_docs, rows):
         p = media.payload(b)
         expected.append((r[0], len(b), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-64:])))
     assert bag(found, "doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32") == sorted(expected, key=repr)
+    for r in found.join(media.to_flac(docs).select("doc_id", "n_bytes", "media"), ["doc_id", "n_bytes"]).collect():
+        if hashlib.sha256(r.media).hexdigest() == r.media_sha256:  # ids repeat
+            x = np.frombuffer(flac.decode_plain(r.media), np.int8).tolist()
+            crossings = sum((a < 0) != (b < 0) for a, b in zip(x, x[1:], strict=False))
+            assert r.media_bytes == len(r.media)
+            assert r.feature == f"mean={sum(x) * 1000 // len(x)};energy={sum(v * v for v in x) * 1000 // len(x)};crossings={crossings};peak={max(map(abs, x))}"
     assert found.select("payload_sha256", "media_sha256", "feature").distinct().count() == len({e[3] for e in expected})
     assert media.query(no_docs).count() == 0
 
@@ -148,7 +175,8 @@ def test_encoder_on_any_text(text):
 
 def test_token_query(docs, no_docs, rows):
     tok, start, expected = Tokenizer.from_file(PATH), 0, []
-    for r in sorted(rows, key=lambda r: (NULL_ID if r[0] is None else r[0], r[1] is not None, (r[1] or "").encode())):
+    tag = {r.t: r.h for r in docs.selectExpr("coalesce(text, '') AS t").selectExpr("t", "xxhash64(t) AS h").collect()}
+    for r in sorted(rows, key=lambda r: (NULL_ID if r[0] is None else r[0], tag[r[1] or ""])):
         ids = tok.encode(r[1] or "", add_special_tokens=False).ids + [1]
         expected.append((r[0], start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)

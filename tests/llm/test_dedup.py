@@ -43,11 +43,7 @@ def test_fingerprints_and_components(docs, no_docs, rows):
     real = lambda x: None if x == NULL_ID else x
     expected = sorted(((r[0], f"{f:016x}", real(min(least[c]))) for r, f, c in zip(rows, fps, label, strict=True)), key=repr)
     assert bag(simhash.query(docs), "doc_id", "fingerprint", "component_id") == expected
-    kept = simhash.keep_one(docs)
-    assert kept.columns == docs.columns
-    # two components may share their least doc_id, where rows with the same id differ: one row of that id stays
-    assert sorted(map(repr, (r[0] for r in kept.select("doc_id").collect()))) == sorted(repr(real(d)) for d in {min(v) for v in least.values()})
-    assert simhash.query(no_docs).count() == 0 and simhash.keep_one(no_docs).count() == 0
+    assert simhash.query(no_docs).count() == 0 and simhash.keep_each(no_docs).count() == 0
 
 
 @pytest.mark.parametrize("limit", [0, 10_000])
@@ -127,6 +123,20 @@ def test_substring_dedup_over_small_slices(docs, rows, size, monkeypatch):
     assert common.slices is whole
 
 
+def test_substring_dedup_with_split_minimisers(docs, no_docs, rows, monkeypatch):
+    """Whatever minimisers are split, the windows are the same."""
+    texts = [(r[1] or "").encode() for r in rows]
+    every = np.unique(superkmers.minimisers(Words(texts, NOT_SPACE))[1])
+    own = docs.selectExpr("doc_id", "text")
+    some = superkmers.hot_minimisers(own, len(rows), 400)
+    assert 0 < len(some) <= 800 and set(some.tolist()) <= set(every.tolist()) and not len(superkmers.hot_minimisers(no_docs, 0, 400))
+    least = superkmers.minimisers(Words(texts, NOT_SPACE), every)[1]
+    assert len(np.unique(least)) > len(every)
+    for hot in (every, every[::3]):
+        monkeypatch.setattr(superkmers, "hot_minimisers", lambda *_, hot=hot: hot)
+        assert bag(superkmers.query(docs), "doc_id", "n_words", "n_removed", "kept_sha256") == kept(rows)
+
+
 def test_super_kmers_hold_every_window_once(rows):
     texts = [(r[1] or "").encode() for r in rows]
     words = Words(texts, NOT_SPACE)

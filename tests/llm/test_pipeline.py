@@ -42,3 +42,5 @@ def test_stages_on_odd_tables(spark, docs, no_docs, sf_dir):
         for _, stage in corpus_pipeline.STAGES[:4]:
             out = stage(spark, given, sf_dir)
             assert out.columns == given.columns and out.count() <= 3 * given.count()
+        tokens = corpus_pipeline.STAGES[4][1](spark, given, sf_dir)
+        assert tokens.columns == ["doc_id", "start", "n_tokens", "ids_crc32"] and tokens.count() == given.count()

@@ -1,7 +1,9 @@
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
+import pytest
 
 from rainloom.llm import languages, phrases, toxicity
 
@@ -36,9 +38,31 @@ def test_contamination(spark, docs, no_docs, rows, monkeypatch):
     assert clean.columns == docs.columns and clean.count() == sum(not e[2] for e in expected)
     assert phrases.query(no_docs, bench).count() == 0
     assert {r.n_hit for r in phrases.query(docs, bench.limit(0)).collect()} == {0}
-    monkeypatch.setattr(phrases, "ITEM_BYTES", 150)  # several blocks, merged by document
-    assert bag(phrases.contamination(docs, bench), "doc_id", "n_words", "n_hit", "items") == expected
-    assert phrases.drop_contaminated(docs, bench).count() == clean.count()
+    close = lambda w, own: any(own <= set(w[p : p + 20]) for p in range(len(w)))
+    near = lambda t: len({i for i, v in items if words_of(v) and close(words_of(t), set(words_of(v)[:10]))})
+    expected_near = sorted(((r[0], near(r[1])) for r in rows), key=repr)
+    assert bag(phrases.query(docs, bench), "doc_id", "n_near") == expected_near
+    # items in pieces, several blocks that are merged by document, and places tried in parts
+    monkeypatch.setattr(phrases, "ITEM_BYTES", 500)
+    monkeypatch.setattr(phrases, "PIECE_BYTES", 70)
+    monkeypatch.setattr(phrases, "TRIED", 3)
+    assert phrases.item_pieces(bench, 10).count() > len(items) + 5 and phrases.item_blocks(bench)[0] > 2
+    found = phrases.contamination(docs, bench)
+    assert bag(found.selectExpr("doc_id", "n_words", "n_hit", "items", "size(near) AS n"), "doc_id", "n_words", "n_hit", "items") == expected
+    assert bag(found.selectExpr("doc_id", "size(near) AS n"), "doc_id", "n") == expected_near
+
+
+def test_segments_come_back_as_they_were(rows):
+    texts = [(r[1] or "").encode() for r in rows]
+    s = phrases.Segment.of(texts)
+    back = phrases.Segment.unpack(*s.pack())
+    assert back.vocabulary.to_pylist() == s.vocabulary.to_pylist()
+    for name in ("starts", "positions", "first"):
+        assert (getattr(back, name) == getattr(s, name)).all()
+    tokens = np.empty(s.size, object)
+    for k, term in enumerate(s.vocabulary.to_pylist()):
+        tokens[s.positions[s.starts[k] : s.starts[k + 1]]] = term.decode()
+    assert tokens.tolist() == [w for r in rows for w in words_of(r[1])]
 
 
 def test_stored_index_phrases_and_proximity(spark, tmp_path):
@@ -96,13 +120,145 @@ def test_toxicity_without_labels(docs, no_docs, spark):
     assert toxicity.query(no_docs, none).count() == 0
 
 
-def test_gradient_of_the_noisy_or():
+def plain_hash(text, kind):
+    h = kind
+    for i, b in enumerate(text.encode()):
+        h += (b + 1) * pow(toxicity._BASE, i, 2**64)
+    h %= 2**64
+    for c in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        h = (h ^ h >> 33) * c % 2**64
+    return h ^ h >> 33
+
+
+def plain_score(text, weights, bias, leak):
+    """By sentence, word and character: score, number of sentences and the worst one's score."""
+    clean, n, worst = 0.0, 0, 0.0
+    low = "".join(c.lower() if c.isascii() else c for c in text or "")
+    for sentence in re.split("[\n!.?。！？…؟।]", low):
+        words = re.findall("[0-9a-zA-Z\u00aa\u00b5\u00ba\u00c0-\u05ff\u0620-\u06d3\u0900-\u0963\u0970-\u1fff\u2c00-\u2fff\u3040-\ufeff\U00010000-\U0010ffff]+", sentence)
+        if not words:
+            continue
+        found = []
+        for w in words:
+            found += [plain_hash(w, 0)] + [plain_hash(w[:k], k) for k in (4, 5, 6) if len(w) >= k]
+            found += [plain_hash(w[i : i + 2], 64) for i in range(len(w) - 1) if min(w[i : i + 2]) >= "\u0800"]
+        n += 1
+        if found := [f for f in found if f in weights]:
+            p = 1 / (1 + np.exp(-bias - sum(weights[f] for f in found)))
+            clean, worst = clean + np.log1p(-min(p, 1 - 1e-12)), max(worst, p)
+    return -np.expm1(clean - (np.logaddexp(0, leak) if n else 0)), n, worst
+
+
+ODD_TEXTS = ["今日は良い。明日は悪い！終わり。", "Это медведный день. Хорошо… да", "vilest grimstemon? Nope!\n\n. . ok", "", " . ! ", "naïve—dash “quoted” words… end", "ไทยไม่มีวรรค grimste", "w" * 50, "ABC grimstemar.grimsteol", "a，b、c。d"]
+
+
+def test_scores_equal_a_plain_scorer():
+    texts, toxic = labelled(300)
+    texts += ["今日は悪い日だ。" if k % 2 else "今日は良い日だ。" for k in range(60)]
+    toxic += [k % 2 for k in range(60)]
+    model = toxicity.fit([t.encode() for t in texts], np.array(toxic))
+    weights = dict(zip(model.keys.tolist(), model.weights.tolist(), strict=True))
+    given = ODD_TEXTS + texts[:60] + texts[-4:]
+    score, count, worst, bounds = model.score([t.encode() for t in given])
+    plain = [plain_score(t, weights, model.bias, model.leak) for t in given]
+    assert count.tolist() == [n for _, n, _ in plain]
+    np.testing.assert_allclose(score, [p for p, _, _ in plain], atol=1e-9)
+    np.testing.assert_allclose(worst, [w for _, _, w in plain], atol=1e-9)
+    for t, w, (a, b) in zip(given, worst, bounds, strict=True):
+        assert (a == -1) == (w == 0)
+        if a >= 0:
+            np.testing.assert_allclose(plain_score(t.encode()[a:b].decode(), weights, model.bias, model.leak)[1:], (1, w), atol=1e-9)
+
+
+def test_length_alone_is_not_toxic():
     texts, toxic = labelled(300)
     model = toxicity.fit([t.encode() for t in texts], np.array(toxic))
-    s = toxicity.Sentences([t.encode() for t in texts])
-    each = model.sentence_scores(s)
-    plain = 1 - np.array([np.prod(1 - each[s.doc == k]) for k in range(len(texts))])
-    assert np.allclose(model.document_scores(s, each), plain, atol=1e-9)
+    clean = [t for t, y in zip(texts, toxic, strict=True) if not y]
+    short, long = model.score([clean[0].encode(), b"Nothing is said here at all. " * 200_000])[0]
+    assert long <= short + 1e-9 < 0.5
+
+
+def test_long_texts_are_scored_in_pieces(monkeypatch):
+    texts, toxic = labelled(300)
+    model = toxicity.fit([t.encode() for t in texts], np.array(toxic))
+    given = [" ".join(texts[a : a + 40]).encode() for a in (0, 40, 80)] + [b"", "悪い。".encode() * 900]
+    whole = model.score(given)
+    monkeypatch.setattr(toxicity, "PIECE", 3000)
+    for a, b in zip(model.score(given), whole, strict=True):
+        np.testing.assert_allclose(a, b, atol=1e-12)
+    for t in [*given, b"x" * 10_000, "é".encode() * 5000]:
+        parts = list(toxicity.pieces(t))
+        assert b"".join(p for _, p in parts) == t and all(len(p) <= 3000 and t[a : a + len(p)] == p for a, p in parts)
+        assert [p.decode() for _, p in parts] and max(len(p) for _, p in parts) <= 3000
+
+
+@pytest.mark.parametrize("bad, good", [("internationalism", "internationally"), ("медведный", "медведок"), ("今日は悪い日だ", "今日は良い日だ")])
+def test_words_alike_at_their_beginning(bad, good):
+    toxic = np.arange(300) % 3 == 0
+    texts = [f"alpha{k % 7} beta gamma {bad if y else good} delta. other words here.".encode() for k, y in enumerate(toxic)]
+    assert ((toxicity.fit(texts, toxic).score(texts)[0] >= toxicity.THRESHOLD) == toxic).all()
+
+
+def test_gradient_of_the_noisy_or():
+    rng = np.random.default_rng(5)
+    rows, cols, doc = rng.integers(0, 30, 80), rng.integers(0, 6, 80), np.sort(rng.integers(0, 9, 30))
+    args = (rows, cols, doc, (np.arange(10) % 3 == 0).astype(float), 0.01)
+    theta = rng.normal(size=8)
+    found, eps = toxicity.loss_and_gradient(theta, *args)[1], 1e-6
+    for k in range(8):
+        up, down = theta.copy(), theta.copy()
+        up[k] += eps
+        down[k] -= eps
+        slope = (toxicity.loss_and_gradient(up, *args)[0] - toxicity.loss_and_gradient(down, *args)[0]) / (2 * eps)
+        assert abs(slope - found[k]) < 1e-6
+
+
+def plain_languages(texts, names, asked):
+    """Names and scores by dictionaries of n-grams and one bit set for each language."""
+    fold = lambda t: bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in b" " + t + b"    ")
+
+    def grams(t):
+        folded = fold(t)
+        return [int.from_bytes(folded[i : i + 4]) for i in range(len(t) - 1) if folded[i : i + 4].strip()]
+
+    slots = lambda g: [((g ^ g >> 15) * m & 0xFFFFFFFF) >> 12 for m in (0x9E3779B1, 0x85EBCA6B)]
+    counts = {n: Counter(g for t, m in zip(texts, names, strict=True) if m == n for g in grams(t)) for n in sorted(set(names))}
+    total = {n: sum(c.values()) for n, c in counts.items()}
+    kept = {n: {g for g, k in c.items() if k >= 5 and k / total[n] >= 0.25 * max(counts[m][g] / total[m] for m in counts)} for n, c in counts.items()}
+    bits = {n: {s for g in kept[n] for s in slots(g)} for n in counts}
+    rate = {n: sum(counts[n][g] for g in kept[n]) / total[n] for n in counts}
+    out = []
+    for t in asked:
+        own = grams(t)
+        share = {}
+        for n in counts:
+            false = (len(bits[n]) / 2**20) ** 2
+            hits = sum(all(s in bits[n] for s in slots(g)) for g in own)
+            share[n] = max(hits - len(own) * false, 0) / (1 - false) / max(len(own), 1) / rate[n]
+        best = max(share, key=lambda n: (share[n], [-ord(c) for c in n]))
+        out.append((best, share[best] / sum(share.values()) if sum(share.values()) else 0.0))
+    return out
+
+
+def test_languages_equal_a_plain_version(spark, sf_dir):
+    docs = [r for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text", "lang").collect() if r.text and r.lang]
+    texts, names = [r.text.encode()[:1500] for r in docs[:40]], [r.lang for r in docs[:40]]
+    texts = [t.decode(errors="ignore").encode() for t in texts]
+    asked = [t[:400].decode(errors="ignore").encode() for t in texts[:15]] + ["Ωμέγα".encode(), b"zzzz qqqq", b"the der la", b"a"]
+    found, score = languages.Filters(texts, names).predict(asked)
+    plain = plain_languages(texts, names, asked)
+    np.testing.assert_allclose(score, [s for _, s in plain], atol=1e-9)
+    assert found == [n for n, _ in plain]
+
+
+def test_rare_languages_are_learned(spark, monkeypatch):
+    """A language with a few texts among many keeps its share of the sample."""
+    monkeypatch.setattr(languages, "SAMPLE", 40)
+    rows = [(k, "the river and the stone north of the cloud " * 3, "en") for k in range(900)] + [(1000 + k, "żółw gęś ćma łąka źrebię " * 5, "pl") for k in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert languages.train(docs).languages == ["en", "pl"]
+    found = {r.doc_id: r.lang_pred for r in languages.query(docs).collect()}
+    assert [found[k] for k, _, _ in rows] == [lang for _, _, lang in rows]
 
 
 def test_language_filters(spark, sf_dir):
