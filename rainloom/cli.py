@@ -32,12 +32,12 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--window", type=int, default=Variogram.window)
     p.add_argument("--lags", type=int, default=Variogram.lags)
     p.add_argument("--estimator", default=Variogram.estimator, choices=("matheron", "cressie"))
-    p.add_argument("--batch", type=int, default=365)
-    p.add_argument("--budget", type=float)
+    p.add_argument("--batch", type=int, default=10)
+    p.add_argument("--budget", type=float, default=35.0)
     p = step("krige", "rain", "stations", "grid", "table", "out")
     p.add_argument("--first", type=int)
     p.add_argument("--last", type=int)
-    p.add_argument("--budget", type=float)
+    p.add_argument("--budget", type=float, default=38.0)
     p = step("krige-day", "rain", "stations", "grid", "out")
     p.add_argument("--date", default="2009-07-20")
     p = step("netcdf", "kriged", "grid", "out")
@@ -87,6 +87,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         plan = kriging.plan_days(series.one_date(obs, args.date), stations, table)
         cv = kriging.leave_one_out(kriging.day_systems(series.one_date(obs, args.date), stations, plan))
         csv.write_one_csv(cv.orderBy("station"), f"{args.out}/leave_one_out")
+        csv.write_one_csv(kriging.scores(cv, ["date"]), f"{args.out}/scores")
         kriging.scores(cv, ["date"]).show()
     elif args.step == "netcdf":
         kriged = spark.read.parquet(args.kriged)
@@ -100,7 +101,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         polygons = spark.read.format("shapefile").option("field", args.field).load(args.polygons)
         mask = raster.polygon_mask(field.select("row", "col", "x", "y").distinct(), polygons).cache()
         zonal = raster.zonal_mean(field, mask, polygons).cache()
-        for row in raster.warnings(zonal).limit(20).collect():
+        for row in raster.warnings(zonal).toLocalIterator():
             print("WARNING:", row.warning)
         tidy = raster.tidy(zonal)
         csv.write_zonal(tidy, f"{args.out}/daily")

@@ -9,6 +9,11 @@ from pyspark.sql.window import Window
 from ..schema import Homogeneity
 
 DEFAULT = Homogeneity()
+# fixed values: the sentences of the verdict
+NO_RELATIVE_TEST = "No relative test: too few neighbours or years"
+REGIONAL = "Homogeneous relative to neighbours -> absolute break is likely regional/climatic"
+STATION_PROBLEM = "Break also found relative to neighbours -> likely a station-specific problem"
+OTHER_YEAR = "Relative break found in a different year -> inspect station history"
 
 
 def annual_totals(obs: DataFrame, min_days: int = DEFAULT.min_days) -> DataFrame:
@@ -43,13 +48,13 @@ def snht(series: DataFrame, keys: list[str], least_years: int = DEFAULT.least_ye
 def null_statistics(spark: SparkSession, lengths: DataFrame, simulations: int = DEFAULT.simulations, seed: int = DEFAULT.seed) -> DataFrame:
     """(n_years, t_null): the statistic of `simulations` standard normal series for each length in lengths (n_years).
 
-    Normal numbers come from a hash of their place, so a lost task makes the same ones again."""
+    Normal numbers come from the MD5 of their place, so a lost task makes the same ones again, and so does any engine."""
     runs = spark.range(simulations).withColumnRenamed("id", "run")
     points = lengths.select("n_years").distinct().crossJoin(F.broadcast(runs)).select("n_years", "run", F.explode(F.sequence(F.lit(1), F.col("n_years"))).alias("year"))
 
     def uniform(salt: int) -> Column:
-        bits = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.lit(salt), "n_years", "run", "year"), 11)
-        return (bits.cast("double") + 0.5) / float(1 << 53)
+        digits = F.substring(F.md5(F.concat_ws(":", F.lit(f"{seed}:{salt}"), "n_years", "run", "year").cast("binary")), 1, 12)
+        return (F.conv(digits, 16, 10).cast("double") + 0.5) / float(1 << 48)
 
     normal = F.sqrt(-2 * F.ln(uniform(1))) * F.cos(2 * F.pi() * uniform(2))
     return _splits(points.withColumn("value", normal), ["n_years", "run"]).groupBy("n_years", "run").agg(F.max("t").alias("t_null")).drop("run")
@@ -60,11 +65,24 @@ def with_p_values(tests: DataFrame, p: Homogeneity = DEFAULT) -> DataFrame:
     null = null_statistics(tests.sparkSession, tests, p.simulations, p.seed)
     # simulated statistics by length as one sorted array: bounded by the number of simulations, not by the data
     ranked = null.groupBy("n_years").agg(F.array_sort(F.collect_list("t_null")).alias("null_t"))
-    larger = F.size(F.filter("null_t", lambda x: x > F.col("t_stat"))) / F.size("null_t")
-    out = tests.join(F.broadcast(ranked), "n_years", "left").withColumn("p_value", F.when(F.col("t_stat").isNotNull(), larger))
+    out = tests.join(F.broadcast(ranked), "n_years", "left").withColumn("p_value", F.when(F.col("t_stat").isNotNull(), _part_above("null_t", "t_stat", p.simulations)))
     return out.withColumn("inhomogeneous", F.col("p_value") < p.alpha).drop("null_t")
 
 
+def _part_above(ascending: str, value: str, most: int) -> Column:
+    """The part of a sorted array of up to `most` numbers that is above a value, by bisection."""
+    low, size = F.lit(0), F.size(ascending)
+
+    def halve(x: Column, _: Column) -> Column:
+        mid = F.floor((x["low"] + x["high"]) / 2).cast("int")
+        right = F.get(F.col(ascending), mid) <= F.col(value)
+        open_ = x["low"] < x["high"]
+        return F.struct(F.when(open_ & right, mid + 1).otherwise(x["low"]).alias("low"), F.when(open_ & ~right, mid).otherwise(x["high"]).alias("high"))
+
+    steps = F.sequence(F.lit(1), F.lit(most.bit_length() + 1))
+    return F.aggregate(steps, F.struct(low.alias("low"), size.alias("high")), halve, lambda x: (size - x["low"]) / size)
+
+
 def guarded_corr(x: Column, y: Column) -> Column:
     """The correlation over rows where both are present; null where either doesn't vary."""
     both = x.isNotNull() & y.isNotNull()
@@ -101,10 +119,10 @@ def relative_series(annual: DataFrame, candidate: str) -> DataFrame:
 def verdict(relative_inhomogeneous: Column, relative_break: Column, absolute_break: Column, tolerance: int = DEFAULT.year_tolerance) -> Column:
     near = F.abs(relative_break - absolute_break) <= tolerance
     return (
-        F.when(relative_inhomogeneous.isNull(), "No relative test: too few neighbours or years")
-        .when(~relative_inhomogeneous, "Homogeneous relative to neighbours -> absolute break is likely regional/climatic")
-        .when(near, "Break also found relative to neighbours -> likely a station-specific problem")
-        .otherwise("Relative break found in a different year -> inspect station history")
+        F.when(relative_inhomogeneous.isNull(), NO_RELATIVE_TEST)
+        .when(~relative_inhomogeneous, REGIONAL)
+        .when(near, STATION_PROBLEM)
+        .otherwise(OTHER_YEAR)
     )
 
 
@@ -124,7 +142,8 @@ def relative_test(annual: DataFrame, candidate: str, p: Homogeneity = DEFAULT) -
 def report(test: DataFrame, correlations: DataFrame) -> DataFrame:
     """The verdict's text in one column, `report`."""
     near = correlations.orderBy("station").agg(F.array_sort(F.collect_list(F.struct("station", "r"))).alias("near"))
-    line = lambda kind: F.format_string(f"{kind.title()} SNHT: break %d, p = %.4f", f"{kind}_break_year", f"{kind}_p_value")
+    # halves to even before the text is made: engines differ in how they print them
+    line = lambda kind: F.format_string(f"{kind.title()} SNHT: break %d, p = %.4f", f"{kind}_break_year", F.rint(F.col(f"{kind}_p_value") * 10_000) / 10_000)
     text = F.concat_ws(
         "\n",
         F.format_string("Relative homogeneity test for station %s", "station"),

@@ -2,8 +2,9 @@
 
 Kriging is solved once for each day in its dual form: with A the system's matrix and v the values, a cell's estimate is
 b . c for c = A^-1 [v; 0], and its variance b . A^-1 b, b being the cell's right-hand side. The dense solve of a few dozen
-stations is the one step that runs in Python; the cells, which are the many, are joined to the day's coefficients and
-summed by Spark, or, where the variance is wanted, handled by blocks of cells with one matrix product each."""
+stations is the one step that runs in Python; the cells, which are the many, meet the systems of DAYS days at a time by an
+equality join on that run of days, and are summed by Spark or, where the variance is wanted, handled by blocks of 64 x 64 cells
+with one matrix product a day."""
 
 from __future__ import annotations
 
@@ -91,50 +92,61 @@ def day_systems(obs: DataFrame, stations: DataFrame, days: DataFrame) -> DataFra
     return joined.mapInArrow(run, _SYSTEM)
 
 
+#: Days whose systems travel together, and the side of a block of cells.
+DAYS, SIDE = 32, 64
+
+
+def _run() -> F.Column:
+    return F.floor(F.datediff("date", F.lit(DEFAULT.epoch).cast("date")) / DAYS).alias("__run")
+
+
+def _by_run(places: DataFrame, runs: DataFrame) -> DataFrame:
+    """places, dealt out, once for each run of days. What is broadcast is the runs' numbers, some twelve for each year of the record."""
+    n = int(places.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return places.repartition(n).join(F.broadcast(runs.select("__run").distinct()))
+
+
 def predict(systems: DataFrame, grid: DataFrame) -> DataFrame:
-    """date, row, col, value: estimates at every cell of the grid, in Spark's own expressions.
+    """date, row, col, value, solid: estimates at every cell of the grid, in Spark's own expressions; solid: whether it has an elevation.
 
-    One row for each day is held against blocks of cells, not cells against stations row by row: the sum over a
-    day's stations is a fold over its arrays."""
-    solved = systems.where("status = 'ok'").select("date", "used", "model", "nugget", "sill", "reach", F.arrays_zip("x", "y").alias("p"), "coef")
+    The sum over a day's stations is a fold over its arrays."""
     cells = grid.select("row", "col", F.col("x").alias("cx"), F.col("y").alias("cy"), F.col("z").alias("cz"))
-    every = cells.join(solved)
+    solved = systems.where("status = 'ok'").select(_run(), "date", "used", "model", "nugget", "sill", "reach", F.arrays_zip("x", "y").alias("p"), "coef")
+    every = _by_run(cells, solved).join(solved, "__run")
     n = F.size("p")
     terms = F.zip_with("p", F.slice("coef", F.lit(1), n), lambda p, c: c * geometry.gamma(F.col("model"), geometry.distance(F.col("cx"), F.col("cy"), p["x"], p["y"]), F.col("nugget"), F.col("sill"), F.col("reach")))
     total = F.aggregate(terms, F.lit(0.0), lambda a, b: a + b) + F.element_at("coef", n + 1)
-    return every.select("date", "row", "col", F.when(F.col("used") == "ked", total + F.element_at("coef", n + 2) * F.col("cz")).otherwise(total).alias("value"))
-
-
-#: Cells that one product of matrices handles.
-CELLS = 4096
+    value = F.when(F.col("used") == "ked", total + F.element_at("coef", n + 2) * F.col("cz")).otherwise(total)
+    return every.select("date", "row", "col", value.alias("value"), F.col("cz").isNotNull().alias("solid"))
 
 
 def predict_with_variance(systems: DataFrame, grid: DataFrame) -> DataFrame:
-    """date, row, col, value, variance at every cell; days are dealt out against blocks of cells."""
-    block = F.floor((F.row_number().over(_by_cell()) - 1) / CELLS)
-    blocks = grid.withColumn("__b", block).groupBy("__b").agg(F.collect_list(F.struct("row", "col", "x", "y", "z")).alias("cells"))
-    solved = systems.where("status = 'ok'").select("date", "used", "model", "nugget", "sill", "reach", "x", "y", "value", "coef", "inverse")
-    every = blocks.select("cells").join(solved)
+    """date, row, col, value, variance, solid at every cell; runs of days are held against blocks of cells."""
+    block = [F.floor(F.col(c) / SIDE).alias(f"__{c}") for c in ("row", "col")]
+    blocks = grid.groupBy(*block).agg(F.collect_list(F.struct("row", "col", "x", "y", "z")).alias("cells"))
+    runs = systems.where("status = 'ok'").groupBy(_run()).agg(F.collect_list(F.struct("date", "used", "model", "nugget", "sill", "reach", "x", "y", "coef", "inverse")).alias("days"))
+    # pairs of a block and a run are few and small beside what they become, so their number of tasks is set, not left to their size
+    n = int(grid.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    every = _by_run(blocks, runs).join(runs, "__run").repartition(n, "__run", "__row", "__col")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                r = batch.slice(k, 1).to_pylist()[0]
-                cx, cy, cz = (np.array([np.nan if c[n] is None else c[n] for c in r["cells"]], float) for n in ("x", "y", "z"))
-                fit = (r["model"], r["nugget"], r["sill"], r["reach"])
-                b = right_side(np.array(r["x"]), np.array(r["y"]), cx, cy, cz if r["used"] == "ked" else None, fit)
-                coef, inverse = np.array(r["coef"]), np.array(r["inverse"]).reshape(len(r["coef"]), -1)
-                value, variance = coef @ b, (b * (inverse @ b)).sum(axis=0)
-                cols = [pa.array([r["date"]] * len(cx), pa.date32()), *(pa.array([c[n] for c in r["cells"]], pa.int32()) for n in ("row", "col")), *(pa.array(v, from_pandas=True) for v in (value, variance))]
-                yield pa.RecordBatch.from_arrays(cols, ["date", "row", "col", "value", "variance"])
-
-    return every.mapInArrow(run, "date date, row int, col int, value double, variance double")
-
-
-def _by_cell():
-    from pyspark.sql.window import Window
-
-    return Window.orderBy("row", "col")
+                # children of nested arrays, without an object for each cell
+                cells, days = batch.column("cells")[k].values, batch.column("days")[k].values
+                cx, cy, cz = (cells.field(c).to_numpy(zero_copy_only=False) for c in ("x", "y", "z"))
+                solid = cells.field("z").is_valid()
+                for j in range(len(days)):
+                    own = lambda c, j=j: days.field(c)[j]
+                    vector = lambda c: own(c).values.to_numpy(zero_copy_only=False)  # noqa: B023, E731
+                    fit = tuple(own(c).as_py() for c in ("model", "nugget", "sill", "reach"))
+                    b = right_side(vector("x"), vector("y"), cx, cy, cz if own("used").as_py() == "ked" else None, fit)
+                    coef = vector("coef")
+                    value, variance = coef @ b, (b * (vector("inverse").reshape(len(coef), -1) @ b)).sum(axis=0)
+                    cols = [pa.repeat(own("date"), len(cx)), cells.field("row"), cells.field("col"), *(pa.array(v, from_pandas=True) for v in (value, variance)), solid]
+                    yield pa.RecordBatch.from_arrays(cols, ["date", "row", "col", "value", "variance", "solid"])
+
+    return every.select("cells", "days").mapInArrow(run, "date date, row int, col int, value double, variance double, solid boolean")
 
 
 def leave_one_out(systems: DataFrame) -> DataFrame:
@@ -169,8 +181,7 @@ def krige(obs: DataFrame, stations: DataFrame, grid: DataFrame, table: DataFrame
     days = plan_days(obs, stations, table, p)
     systems = day_systems(obs, stations, days)
     cells = (predict_with_variance if with_variance else predict)(systems, grid)
-    solid = cells.join(grid.where(F.col("z").isNotNull()).select("row", "col", F.lit(True).alias("__solid")), ["row", "col"], "left")
-    keep = lambda c: F.when(F.col("__solid"), c).cast("float")
+    keep = lambda c: F.when(F.col("solid"), c).cast("float")
     values = [keep(geometry.clip_zero(F.col("value"))).alias("rainfall")] + ([keep(F.col("variance")).alias("variance")] if with_variance else [])
     day = days.join(systems.select("date", "status"), "date", "left").select("date", method_flag(F.col("status"), F.col("used")).alias("method_flag"), "n_reporting", F.col("r").cast("float").alias("r"), "status")
-    return solid.select("date", "row", "col", *values), day
+    return cells.select("date", "row", "col", *values), day

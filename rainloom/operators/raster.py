@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry
 
+# fixed value: a warning, with its date and basin
+NO_DATA = "No valid data | Date: %s | Basin: %s"
 
 def grid_coordinates(cells: DataFrame, rows: int, x_left: float, y_bottom: float, cell: float) -> DataFrame:
     """Adds x and y of the cells' centres to cells (row, col); row 0 is the northern one."""
@@ -54,7 +56,7 @@ def zonal_mean(values: DataFrame, mask: DataFrame, basins: DataFrame | None = No
 
 def warnings(zonal: DataFrame) -> DataFrame:
     """The dates and basins without a valid cell, as text."""
-    return zonal.where("n_valid = 0").select(F.format_string("No valid data | Date: %s | Basin: %s", F.col("date").cast("string"), "basin").alias("warning"))
+    return zonal.where("n_valid = 0").select(F.format_string(NO_DATA, F.col("date").cast("string"), "basin").alias("warning"))
 
 
 def tidy(zonal: DataFrame) -> DataFrame:

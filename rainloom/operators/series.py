@@ -58,9 +58,9 @@ def missing_stations(obs: DataFrame, stations: DataFrame) -> DataFrame:
 
 
 def check_stations(obs: DataFrame, stations: DataFrame, show: int = 20) -> None:
-    lacking = [str(r.station) for r in missing_stations(obs, stations).orderBy("station").limit(show).collect()]
+    lacking = [str(r.station) for r in missing_stations(obs, stations).orderBy("station").limit(show + 1).collect()]
     if lacking:
-        raise ValueError(f"no metadata for stations: {', '.join(lacking)}")
+        raise ValueError(f"no metadata for stations: {', '.join(lacking[:show])}{' and more' if len(lacking) > show else ''}")
 
 
 def pending(wanted: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:

@@ -5,6 +5,7 @@ stations, the elevation grid and the fields on it follow from whole numbers by f
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar, geometry
 from ..operators import drift, homogeneity, kriging, plots, raster, series, variogram
-from ..schema import Variogram
+from ..schema import CACHE_COLUMNS, Variogram
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,15 +26,11 @@ TIE = 1e-7
 GRID_SIZE, CELL = 20, 5000.0
 
 
-def query(sql: str | None = None, whole: bool = False) -> Callable[[Query], Query]:
-    """whole: the SQL covers some days only, those of f's third parameter; all days are registered as f's name with _all, without SQL."""
-
+def query(sql: str | None = None) -> Callable[[Query], Query]:
     def add(f: Query) -> Query:
         QUERIES[f.__name__] = f
         if sql:
             ORACLE[f.__name__] = sql
-        if whole:
-            QUERIES[f"{f.__name__}_all"] = lambda spark, sf_dir: f(spark, sf_dir, "true")
         return f
 
     return add
@@ -70,13 +67,9 @@ def cells(spark: SparkSession, size: int = GRID_SIZE) -> DataFrame:
     return grid.withColumn("z", F.when(height % 13 != 0, (height * 7 % 900 + 60).cast("double")))
 
 
-#: January 1997 to March 1998: the dates of _FIELD.
-SQL_DATES = "date BETWEEN '1997-01-01' AND '1998-03-31'"
-
-
-def field(spark: SparkSession, sf_dir: str, days: str = "true") -> DataFrame:
-    """A value for every cell and every date, or those of a condition, null on some cells."""
-    days = _table(spark, sf_dir, "lineitem").select(F.col("l_shipdate").cast("date").alias("date")).where(days).distinct()
+def field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A value for every cell and every date, null on some cells."""
+    days = _table(spark, sf_dir, "lineitem").select(F.col("l_shipdate").cast("date").alias("date")).distinct()
     d = F.datediff("date", F.lit("1980-01-01").cast("date"))
     v = ((F.col("row") * 37 + F.col("col") * 11 + d * 7) % 101) / 8 - 1
     return cells(spark).crossJoin(days).select("date", "row", "col", F.when((F.col("row") + F.col("col") + d) % 9 != 0, v).cast("float").alias("rainfall"))
@@ -117,6 +110,17 @@ splits AS (SELECT *, before / k AS m1, (total - before) / (n - k) AS m2, k * ((b
 snht AS (SELECT {keys}, CAST(max(n) AS INTEGER) AS n_years, round(max(t), 4) AS t_stat, arg_max(year, t) AS last_year_before_break, arg_max(break_year, t) AS break_year, round(arg_max(m1, t), 4) AS mean_before, round(arg_max(m2, t), 4) AS mean_after FROM splits GROUP BY {keys})"""
 
 
+def _p_values(keys: str, seed: int = 42, runs: int = 20_000) -> str:
+    """SQL that adds the simulated p values of snht (keys, n_years, t_stat): the simulation's series are split like any others."""
+    u = lambda salt: f"(CAST(('0x' || substr(md5('{seed}:{salt}:' || n_years || ':' || run || ':' || year), 1, 12)) AS BIGINT) + 0.5::DOUBLE) / 281474976710656::DOUBLE"
+    made = f"""made AS (SELECT n_years, run, year, sqrt(-2 * ln({u(1)})) * cos(2 * pi() * {u(2)}) AS value
+      FROM (SELECT DISTINCT n_years FROM snht) l, range({runs}) r(run), LATERAL (SELECT unnest(range(1, n_years + 1)) AS year) y)"""
+    splits = _splits("made", "n_years, run").replace("moments", "moments_0").replace("splits", "splits_0").replace("snht AS", "null_0 AS")
+    best = f"exact AS (SELECT {keys}, max(t) AS t FROM splits GROUP BY {keys})"
+    larger = f"larger AS (SELECT {keys}, count(*) FILTER (WHERE z.t > e.t) / {runs}.0::DOUBLE AS p_value FROM exact e JOIN snht USING ({keys}) JOIN (SELECT n_years, run, max(t) AS t FROM splits_0 GROUP BY n_years, run) z USING (n_years) GROUP BY {keys})"
+    return f"{made}, {splits}, {best}, {larger}, tested AS (SELECT snht.*, p_value, p_value < 0.05 AS inhomogeneous FROM snht LEFT JOIN larger USING ({keys}))"
+
+
 def _rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in names})
 
@@ -142,10 +146,10 @@ def snht_statistic(spark: SparkSession, sf_dir: str, min_days: int = MIN_DAYS) -
     return _rounded(homogeneity.snht(_value(_annual(spark, sf_dir, min_days)), ["station"]), 4, "t_stat", "mean_before", "mean_after")
 
 
-@query()
+@query(f"WITH {_OBS}, {_ANNUAL}, v AS (SELECT station, CAST(year AS INTEGER) AS year, total AS value FROM annual), {_splits('v', 'station')}, {_p_values('station')} SELECT * FROM tested")
 def snht_p_value(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Simulated: every engine draws its own numbers."""
-    return homogeneity.with_p_values(homogeneity.snht(_value(_annual(spark, sf_dir)), ["station"]))
+    """Simulated from numbers that any engine draws alike."""
+    return _rounded(homogeneity.with_p_values(homogeneity.snht(_value(_annual(spark, sf_dir)), ["station"])), 4, "t_stat", "mean_before", "mean_after")
 
 
 _NORM = "norm AS (SELECT *, total / avg(total) OVER (PARTITION BY station) AS norm FROM annual)"
@@ -173,22 +177,34 @@ def relative_snht(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(homogeneity.snht(ratio, ["kind"]), 4, "t_stat", "mean_before", "mean_after")
 
 
-@query()
+_TESTED = ["n_years", "t_stat", "last_year_before_break", "break_year", "mean_before", "mean_after", "p_value", "inhomogeneous"]
+_BOTH = f"""v AS (SELECT 'absolute' AS kind, CAST(year AS INTEGER) AS year, total AS value FROM annual WHERE station = '{CANDIDATE}' UNION ALL SELECT 'relative', CAST(year AS INTEGER), ratio FROM relative),
+  {_splits("v", "kind")}, {_p_values("kind")}, a AS (SELECT * FROM tested WHERE kind = 'absolute'), b AS (SELECT * FROM tested WHERE kind = 'relative'),
+  test AS (SELECT '{CANDIDATE}' AS station, {", ".join(f"{t}.{c} AS {k}_{c}" for t, k in (("a", "absolute"), ("b", "relative")) for c in _TESTED)},
+    CASE WHEN b.inhomogeneous IS NULL THEN '{homogeneity.NO_RELATIVE_TEST}' WHEN NOT b.inhomogeneous THEN '{homogeneity.REGIONAL}' WHEN abs(b.break_year - a.break_year) <= 3 THEN '{homogeneity.STATION_PROBLEM}'
+      ELSE '{homogeneity.OTHER_YEAR}' END AS verdict FROM (SELECT 1) LEFT JOIN a ON true LEFT JOIN b ON true)"""
+
+
+@query(f"WITH {_OBS}, {_ANNUAL}, {_NORM}, {_CORR}, {_RELATIVE}, {_BOTH} SELECT * FROM test")
 def relative_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Simulated p values decide."""
-    return homogeneity.relative_test(_annual(spark, sf_dir), CANDIDATE)
+    return _rounded(homogeneity.relative_test(_annual(spark, sf_dir), CANDIDATE), 4, *[f"{k}_{c}" for k in ("absolute", "relative") for c in ("t_stat", "mean_before", "mean_after")])
 
 
-@query()
+_LINE = lambda kind: f"'{kind.title()} SNHT: break ' || {kind}_break_year || ', p = ' || printf('%.4f', round_even({kind}_p_value * 10000, 0) / 10000)"
+
+
+@query(f"""WITH {_OBS}, {_ANNUAL}, {_NORM}, {_CORR}, {_RELATIVE}, {_BOTH},
+near AS (SELECT string_agg(station, ', ' ORDER BY station) AS names, string_agg(station || '=' || CASE WHEN r IS NULL THEN 'nan' ELSE printf('%.2f', r) END, ', ' ORDER BY station) AS rs
+  FROM (SELECT DISTINCT n.station FROM annual n JOIN annual c ON n.year = c.year AND c.station = '{CANDIDATE}' WHERE n.station <> '{CANDIDATE}') LEFT JOIN corr USING (station))
+SELECT station, concat_ws(chr(10), 'Relative homogeneity test for station ' || station, 'Neighbours: ' || names, 'Correlations: ' || rs, '', {_LINE("absolute")}, {_LINE("relative")}, 'Verdict: ' || verdict) AS report FROM test, near""")
 def homogeneity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     annual = _annual(spark, sf_dir)
     return homogeneity.report(homogeneity.relative_test(annual, CANDIDATE), homogeneity.neighbour_correlations(annual, CANDIDATE))
 
 
-@query("""SELECT CAST(a AS BOOLEAN) AS inhomogeneous, CAST(b AS INTEGER) AS relative_break, CAST(c AS INTEGER) AS absolute_break,
-  CASE WHEN a = 0 THEN 'Homogeneous relative to neighbours -> absolute break is likely regional/climatic'
-       WHEN abs(b - c) <= 3 THEN 'Break also found relative to neighbours -> likely a station-specific problem'
-       ELSE 'Relative break found in a different year -> inspect station history' END AS verdict
+@query(f"""SELECT CAST(a AS BOOLEAN) AS inhomogeneous, CAST(b AS INTEGER) AS relative_break, CAST(c AS INTEGER) AS absolute_break,
+  CASE WHEN a = 0 THEN '{homogeneity.REGIONAL}' WHEN abs(b - c) <= 3 THEN '{homogeneity.STATION_PROBLEM}' ELSE '{homogeneity.OTHER_YEAR}' END AS verdict
   FROM (SELECT r % 2 AS a, 1990 + r AS b, 1994 AS c FROM range(12) t(r))""")
 def verdict_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     cases = spark.range(12).select((F.col("id") % 2 == 1).alias("inhomogeneous"), (F.col("id") + 1990).cast("int").alias("relative_break"), F.lit(1994).alias("absolute_break"))
@@ -316,7 +332,7 @@ def pooled_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _FIT = """tried AS (SELECT doy, k, model, CASE WHEN k = 59 THEN h * 1.5 ELSE h * 0.1 + k * ((h * 1.5 - h * 0.1) / 59) END AS r
-  FROM (SELECT doy, max(lag_center) AS h FROM pooled WHERE doy % 15 = 1 GROUP BY doy HAVING count(*) >= 3), range(60) t(k), (VALUES ('spherical'), ('exponential')) m(model)),
+  FROM (SELECT doy, max(lag_center) AS h FROM pooled GROUP BY doy HAVING count(*) >= 3), range(60) t(k), (VALUES ('spherical'), ('exponential')) m(model)),
 shaped AS (SELECT doy, model, k, r, gamma AS g, CAST(n AS DOUBLE) AS w, CASE WHEN model = 'exponential' THEN 1 - exp(-3 * (lag_center / r)) WHEN lag_center >= r THEN 1 ELSE 1.5 * (lag_center / r) - 0.5 * (lag_center / r) ** 3 END AS s FROM tried JOIN pooled USING (doy)),
 solved AS (SELECT *, (swss * swg - sws * swsg) / (sw * swss - sws * sws) AS n0, (sw * swsg - sws * swg) / (sw * swss - sws * sws) AS p0 FROM
   (SELECT *, sum(w) OVER o AS sw, sum(w * s) OVER o AS sws, sum(w * s * s) OVER o AS swss, sum(w * g) OVER o AS swg, sum(w * s * g) OVER o AS swsg FROM shaped WINDOW o AS (PARTITION BY doy, model, k))),
@@ -324,21 +340,17 @@ scored AS (SELECT doy, model, k, sum(w * (g - greatest(n0, 0) - greatest(p0, 1e-
 fits AS (SELECT doy, model, sqrt(min(sse) / any_value(sw)) AS rmse FROM scored GROUP BY ALL)"""
 
 
-#: Days 1, 16, 31 and so on: the days of _FIT.
-SQL_FITS = "doy % 15 = 1"
-
-
-@query(f"WITH {_OBS}, {_STATIONS}, {_PAIRS}, {_BRIDGE}, {_ENOUGH}, {_POOL_RAW}, {_FIT} SELECT doy, model, round(rmse, 3) AS rmse FROM fits", whole=True)
-def variogram_fit(spark: SparkSession, sf_dir: str, days: str = SQL_FITS) -> DataFrame:
-    bins = variogram.pooled(observations(spark, sf_dir), stations(spark, sf_dir), "ok").where(days)
+@query(f"WITH {_OBS}, {_STATIONS}, {_PAIRS}, {_BRIDGE}, {_ENOUGH}, {_POOL_RAW}, {_FIT} SELECT doy, model, round(rmse, 3) AS rmse FROM fits")
+def variogram_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bins = variogram.pooled(observations(spark, sf_dir), stations(spark, sf_dir), "ok")
     return _rounded(variogram.fit_models(bins, ["doy"]), 3, "rmse").select("doy", "model", "rmse")
 
 
 @query(f"""WITH {_OBS}, {_STATIONS}, {_PAIRS}, {_BRIDGE}, {_ENOUGH}, {_POOL_RAW}, {_FIT}
 SELECT doy, CASE WHEN e.rmse < s.rmse * 0.95::DOUBLE THEN 'exponential' ELSE 'spherical' END AS model, round(CASE WHEN e.rmse < s.rmse * 0.95::DOUBLE THEN e.rmse ELSE s.rmse END, 3) AS rmse
-FROM (SELECT * FROM fits WHERE model = 'spherical') s JOIN (SELECT * FROM fits WHERE model = 'exponential') e USING (doy)""", whole=True)
-def variogram_best(spark: SparkSession, sf_dir: str, days: str = SQL_FITS) -> DataFrame:
-    bins = variogram.pooled(observations(spark, sf_dir), stations(spark, sf_dir), "ok").where(days)
+FROM (SELECT * FROM fits WHERE model = 'spherical') s JOIN (SELECT * FROM fits WHERE model = 'exponential') e USING (doy)""")
+def variogram_best(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bins = variogram.pooled(observations(spark, sf_dir), stations(spark, sf_dir), "ok")
     return _rounded(variogram.best_model(variogram.fit_models(bins, ["doy"]), ["doy"]), 3, "rmse").select("doy", "model", "rmse")
 
 
@@ -348,6 +360,28 @@ def variogram_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variogram.variogram_table(observations(spark, sf_dir), stations(spark, sf_dir))
 
 
+def _variant_fits(variant: str, pool: str) -> str:
+    """SQL of one variant's chosen fit for each day of the year, its CTEs named apart."""
+    own = pool + ", " + _FIT
+    for name in ("partial", "pooled", "tried", "shaped", "solved", "scored", "fits"):
+        own = re.sub(rf"\b{name}\b", f"{name}_{variant}", own)
+    return own + f""", best_{variant} AS (SELECT doy, CASE WHEN e.rmse < s.rmse * 0.95::DOUBLE THEN 'exponential' ELSE 'spherical' END AS model, CASE WHEN e.rmse < s.rmse * 0.95::DOUBLE THEN e.rmse ELSE s.rmse END AS rmse
+  FROM (SELECT * FROM fits_{variant} WHERE model = 'spherical') s JOIN (SELECT * FROM fits_{variant} WHERE model = 'exponential') e USING (doy))"""
+
+
+_SOURCES = {"ked": "drift", "ok": "(SELECT DISTINCT date FROM enough JOIN stations USING (station))"}
+_N_DAYS = ", ".join(f"days_{v} AS (SELECT doy, count(*) AS n FROM (SELECT {_DOY} AS source_doy FROM {t}) JOIN bridge USING (source_doy) GROUP BY doy)" for v, t in _SOURCES.items())
+
+
+@query(f"""WITH {_OBS}, {_STATIONS}, {_PRESENT}, {_DRIFT}, {_RESIDUALS}, {_PAIRS}, {_BRIDGE}, {_ENOUGH}, {_variant_fits("ked", _POOL_RESIDUAL)}, {_variant_fits("ok", _POOL_RAW)}, {_N_DAYS}
+SELECT CAST(c.range AS INTEGER) AS doy, {", ".join(f"b_{v}.model AS {v}_model, round(b_{v}.rmse, 3) AS {v}_rmse, CAST(CASE WHEN b_{v}.model IS NULL THEN 0 ELSE coalesce(d_{v}.n, 0) END AS INTEGER) AS {v}_n_days" for v in _SOURCES)}
+FROM range(1, 366) c {" ".join(f"LEFT JOIN best_{v} b_{v} ON b_{v}.doy = c.range LEFT JOIN days_{v} d_{v} ON d_{v}.doy = c.range" for v in _SOURCES)}""")
+def variogram_table_fits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table's models, errors and days of both variants on all 365 days: what doesn't turn on ties between ranges."""
+    columns = [c for c in CACHE_COLUMNS if c == "doy" or c.endswith(("_model", "_rmse", "_n_days"))]
+    return _rounded(variogram.variogram_table(observations(spark, sf_dir), stations(spark, sf_dir)), 3, "ked_rmse", "ok_rmse").select(*columns)
+
+
 def _made_table(spark: SparkSession) -> DataFrame:
     """A table with gaps: no fit for residuals on every third day, none for values on every fifth, and no day 100."""
     d = F.col("doy")
@@ -391,6 +425,30 @@ def kriging_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kriging.predict_with_variance(_systems(spark, sf_dir), cells(spark))
 
 
+_USED = """t AS (SELECT r AS doy FROM range(1, 366) t(r) WHERE r <> 100),
+used AS (SELECT m.date, CASE WHEN preferred = 'ked' THEN CASE WHEN doy % 3 <> 0 THEN 'ked' WHEN doy % 5 <> 0 THEN 'ok' END
+   WHEN preferred = 'ok' THEN CASE WHEN doy % 5 <> 0 THEN 'ok' WHEN doy % 3 <> 0 THEN 'ked' END END AS used FROM (SELECT *, """ + _DOY + """ AS d FROM method) m LEFT JOIN t ON t.doy = m.d)"""
+
+
+@query(f"WITH {_OBS}, {_STATIONS}, {_PRESENT}, {_DRIFT}, {_METHOD}, {_USED} SELECT date, station, used, round(value, 2) AS value, 0.0::DOUBLE AS variance FROM present JOIN used USING (date) WHERE used IS NOT NULL")
+def kriging_at_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kriging is exact: at a station that reports, the estimate is its value and the variance 0, by both methods, on all days."""
+    obs, places = observations(spark, sf_dir), stations(spark, sf_dir).withColumn("row", F.col("station").cast("int")).withColumn("col", F.lit(0))
+    systems = _systems(spark, sf_dir)
+    found = kriging.predict_with_variance(systems, places.select("row", "col", "x", "y", "z")).withColumn("station", F.col("row").cast("string"))
+    known = found.join(obs.select("date", "station"), ["date", "station"]).join(systems.where("status = 'ok'").select("date", "used"), "date")
+    return known.select("date", "station", "used", F.round("value", 2).alias("value"), F.abs(F.round("variance", 2)).alias("variance"))
+
+
+@query(f"WITH {_OBS}, {_STATIONS}, {_PRESENT}, {_DRIFT}, {_METHOD}, {_USED}, {{cells}} SELECT date, CAST(count(*) AS BIGINT) AS n_cells, CAST(count(z) AS BIGINT) AS n_values, CAST(CASE used WHEN 'ked' THEN 1 WHEN 'ok' THEN 0 ELSE -1 END AS INTEGER) AS method_flag, max(n_reporting) AS n_reporting FROM method JOIN used USING (date), cells WHERE used IS NOT NULL GROUP BY date, used")
+def krige_days_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch plan's grid and days, counted: every day with a fit has every cell, and values where there is an elevation."""
+    obs = observations(spark, sf_dir)
+    grid, days = kriging.krige(obs, stations(spark, sf_dir), cells(spark), _made_table(spark))
+    counted = grid.groupBy("date").agg(F.count(F.lit(1)).alias("n_cells"), F.count(F.when(F.col("rainfall") >= 0, F.col("variance"))).alias("n_values"))
+    return counted.join(days, "date").select("date", "n_cells", "n_values", F.col("method_flag").cast("int").alias("method_flag"), "n_reporting")
+
+
 @query()
 def loo_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kriging.leave_one_out(_systems(spark, sf_dir))
@@ -428,7 +486,7 @@ def gamma_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 _CELLS = f"""cells AS (SELECT CAST(r // {GRID_SIZE} AS INTEGER) AS "row", CAST(r % {GRID_SIZE} AS INTEGER) AS col, (r % {GRID_SIZE} + 0.5::DOUBLE) * {CELL}::DOUBLE AS x, ({GRID_SIZE} - r // {GRID_SIZE} - 0.5::DOUBLE) * {CELL}::DOUBLE AS y,
   CASE WHEN (r // {GRID_SIZE} * 31 + r % {GRID_SIZE} * 17) % 13 <> 0 THEN CAST((r // {GRID_SIZE} * 31 + r % {GRID_SIZE} * 17) * 7 % 900 + 60 AS DOUBLE) END AS z FROM range({GRID_SIZE * GRID_SIZE}) t(r))"""
 _FIELD = """field AS (SELECT date, "row", col, CASE WHEN ("row" + col + d) % 9 <> 0 THEN CAST((("row" * 37 + col * 11 + d * 7) % 101) / 8 - 1 AS FLOAT) END AS rainfall
-  FROM cells, (SELECT DISTINCT CAST(l_shipdate AS DATE) AS date, date_diff('day', DATE '1980-01-01', CAST(l_shipdate AS DATE)) AS d FROM lineitem WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '1997-01-01' AND DATE '1998-03-31'))"""
+  FROM cells, (SELECT DISTINCT CAST(l_shipdate AS DATE) AS date, date_diff('day', DATE '1980-01-01', CAST(l_shipdate AS DATE)) AS d FROM lineitem))"""
 _CORNERS = ", ".join(f"('{name}', {r}, {i}, {x}::DOUBLE, {y}::DOUBLE)" for name, rings in RINGS.items() for r, ring in enumerate(rings) for i, (x, y) in enumerate(ring))
 _MASK = f"""corners(basin, ring, i, px, py) AS (VALUES {_CORNERS}),
 edges AS (SELECT basin, px AS ax, py AS ay, coalesce(lead(px) OVER o, first_value(px) OVER o) AS bx, coalesce(lead(py) OVER o, first_value(py) OVER o) AS by_ FROM corners WINDOW o AS (PARTITION BY basin, ring ORDER BY i)),
@@ -438,9 +496,12 @@ _TIDY = "tidy AS (SELECT date, basin, CASE WHEN mean <= 0.1 THEN 0 ELSE round_ev
 _ALL_ZONAL = f"{_CELLS}, {_FIELD}, {_MASK}, {_ZONAL}"
 
 
-def _zonal(spark: SparkSession, sf_dir: str, days: str) -> DataFrame:
+def _zonal(spark: SparkSession, sf_dir: str) -> DataFrame:
     mask = raster.polygon_mask(cells(spark), polygons(spark))
-    return raster.zonal_mean(field(spark, sf_dir, days), mask, polygons(spark))
+    return raster.zonal_mean(field(spark, sf_dir), mask, polygons(spark))
+
+
+ORACLE["krige_days_summary"] = ORACLE["krige_days_summary"].format(cells=_CELLS)
 
 
 @query(f"WITH {_CELLS} SELECT * FROM cells")
@@ -458,43 +519,43 @@ def polygon_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raster.polygon_mask(cells(spark), polygons(spark))
 
 
-@query(f"WITH {_ALL_ZONAL} SELECT date, basin, round(mean, 6) AS mean, n_valid FROM zonal", whole=True)
-def zonal_mean(spark: SparkSession, sf_dir: str, days: str = SQL_DATES) -> DataFrame:
-    return _rounded(_zonal(spark, sf_dir, days), 6, "mean")
+@query(f"WITH {_ALL_ZONAL} SELECT date, basin, round(mean, 6) AS mean, n_valid FROM zonal")
+def zonal_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(_zonal(spark, sf_dir), 6, "mean")
 
 
-@query(f"WITH {_ALL_ZONAL} SELECT 'No valid data | Date: ' || date || ' | Basin: ' || basin AS warning FROM zonal WHERE n_valid = 0", whole=True)
-def zonal_warnings(spark: SparkSession, sf_dir: str, days: str = SQL_DATES) -> DataFrame:
-    return raster.warnings(_zonal(spark, sf_dir, days))
+@query(f"WITH {_ALL_ZONAL} SELECT printf('{raster.NO_DATA}', CAST(date AS VARCHAR), basin) AS warning FROM zonal WHERE n_valid = 0")
+def zonal_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raster.warnings(_zonal(spark, sf_dir))
 
 
-@query(f"WITH {_ALL_ZONAL}, {_TIDY} SELECT * FROM tidy", whole=True)
-def zonal_flush_round(spark: SparkSession, sf_dir: str, days: str = SQL_DATES) -> DataFrame:
-    return raster.tidy(_zonal(spark, sf_dir, days)).select("date", "basin", "mean")
+@query(f"WITH {_ALL_ZONAL}, {_TIDY} SELECT * FROM tidy")
+def zonal_flush_round(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raster.tidy(_zonal(spark, sf_dir)).select("date", "basin", "mean")
 
 
-@query(f"WITH {_ALL_ZONAL}, {_TIDY} SELECT basin, CAST(year(date) AS INTEGER) AS year, CAST(ceil(round(coalesce(sum(mean), 0), 6)) AS DOUBLE) AS total FROM tidy GROUP BY ALL", whole=True)
-def annual_ceil(spark: SparkSession, sf_dir: str, days: str = SQL_DATES) -> DataFrame:
-    return raster.annual_sums(raster.tidy(_zonal(spark, sf_dir, days)))
+@query(f"WITH {_ALL_ZONAL}, {_TIDY} SELECT basin, CAST(year(date) AS INTEGER) AS year, CAST(ceil(round(coalesce(sum(mean), 0), 6)) AS DOUBLE) AS total FROM tidy GROUP BY ALL")
+def annual_ceil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raster.annual_sums(raster.tidy(_zonal(spark, sf_dir)))
 
 
-@query(f"WITH {_ALL_ZONAL}, {_TIDY} SELECT basin, CAST(m AS INTEGER) AS month, round(avg(s), 6) AS mean FROM (SELECT basin, year(date) AS y, month(date) AS m, coalesce(sum(mean), 0) AS s FROM tidy GROUP BY ALL) GROUP BY ALL", whole=True)
-def monthly_climatology(spark: SparkSession, sf_dir: str, days: str = SQL_DATES) -> DataFrame:
-    return _rounded(raster.monthly_climatology(raster.tidy(_zonal(spark, sf_dir, days))), 6, "mean")
+@query(f"WITH {_ALL_ZONAL}, {_TIDY} SELECT basin, CAST(m AS INTEGER) AS month, round(avg(s), 6) AS mean FROM (SELECT basin, year(date) AS y, month(date) AS m, coalesce(sum(mean), 0) AS s FROM tidy GROUP BY ALL) GROUP BY ALL")
+def monthly_climatology(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(raster.monthly_climatology(raster.tidy(_zonal(spark, sf_dir))), 6, "mean")
 
 
-@query(f"WITH {_ALL_ZONAL}, {_TIDY} SELECT date, any_value(mean) FILTER (WHERE basin = 'hollow') AS hollow, any_value(mean) FILTER (WHERE basin = 'east') AS east, any_value(mean) FILTER (WHERE basin = 'speck') AS speck FROM tidy GROUP BY date", whole=True)
-def wide_pivot(spark: SparkSession, sf_dir: str, days: str = SQL_DATES) -> DataFrame:
-    return series.to_wide(raster.tidy(_zonal(spark, sf_dir, days)), "basin", "mean", list(RINGS))
+@query(f"WITH {_ALL_ZONAL}, {_TIDY} SELECT date, any_value(mean) FILTER (WHERE basin = 'hollow') AS hollow, any_value(mean) FILTER (WHERE basin = 'east') AS east, any_value(mean) FILTER (WHERE basin = 'speck') AS speck FROM tidy GROUP BY date")
+def wide_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return series.to_wide(raster.tidy(_zonal(spark, sf_dir)), "basin", "mean", list(RINGS))
 
 
-@query(f"WITH {_ALL_ZONAL}, {_TIDY} SELECT date, basin, mean AS value, 'rainfall' AS variable, 'Rainfall' AS item_type, 'millimeter' AS unit, 'StepAccumulated' AS value_type FROM tidy", whole=True)
-def typed_series(spark: SparkSession, sf_dir: str, days: str = SQL_DATES) -> DataFrame:
-    wide = series.to_wide(raster.tidy(_zonal(spark, sf_dir, days)), "basin", "mean", list(RINGS))
+@query(f"WITH {_ALL_ZONAL}, {_TIDY} SELECT date, basin, mean AS value, 'rainfall' AS variable, 'Rainfall' AS item_type, 'millimeter' AS unit, 'StepAccumulated' AS value_type FROM tidy")
+def typed_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wide = series.to_wide(raster.tidy(_zonal(spark, sf_dir)), "basin", "mean", list(RINGS))
     return series.typed(series.to_long(wide, "date", "basin"), "rainfall")
 
 
-@query("SELECT * FROM (VALUES ('rainfall', 'Rainfall', 'millimeter', 'StepAccumulated'), ('temperature', 'Temperature', 'degree_Celsius', 'Instantaneous'), ('Evapotranspiration', 'Evaporation', 'millimeter', 'StepAccumulated'), ('Discharge', 'Discharge', 'meter_pow_3_per_sec', 'Instantaneous')) t(variable, item_type, unit, value_type)")
+@query(f"SELECT * FROM (VALUES {', '.join(map(str, series.UNITS))}) t(variable, item_type, unit, value_type)")
 def eum_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return series.units(spark)
 
@@ -525,7 +586,7 @@ def distinct_years(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_OBS} SELECT * FROM obs WHERE date = DATE '1997-03-03'")
 def exact_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return observations(spark, sf_dir).where(F.col("date") == F.lit("1997-03-03").cast("date"))
+    return series.one_date(observations(spark, sf_dir), "1997-03-03")
 
 
 @query(f"WITH {_OBS} SELECT date, station, value FROM obs WHERE year(date) = 1996 UNION ALL SELECT date, station, NULL FROM obs WHERE year(date) = 1999")

@@ -133,10 +133,10 @@ def test_fits_of_all_days_of_the_year(spark, tables):
     near = lambda k, d: min(abs(k - d), 366 - abs(k - d)) <= 7
     assert set(bins) == {k for k in range(1, 366) if any(near(k, day_of_year(d)) for d in DATES if d != FEW)}
     plain = {k: {m: fit_plain(*b, m) for m in ("spherical", "exponential")} for k, b in bins.items()}
-    fits = {(r.doy, r.model): r.rmse for r in proxy.QUERIES["variogram_fit_all"](spark, tables[0]).collect()}
+    fits = {(r.doy, r.model): r.rmse for r in proxy.QUERIES["variogram_fit"](spark, tables[0]).collect()}
     assert fits == {(k, m): pytest.approx(own[m][1], abs=1e-3) for k, own in plain.items() for m in own}
     best = {k: "exponential" if own["exponential"][1] < own["spherical"][1] * 0.95 else "spherical" for k, own in plain.items()}
-    assert {r.doy: (r.model, r.rmse) for r in proxy.QUERIES["variogram_best_all"](spark, tables[0]).collect()} == {k: (m, pytest.approx(plain[k][m][1], abs=1e-3)) for k, m in best.items()}
+    assert {r.doy: (r.model, r.rmse) for r in proxy.QUERIES["variogram_best"](spark, tables[0]).collect()} == {k: (m, pytest.approx(plain[k][m][1], abs=1e-3)) for k, m in best.items()}
     curves = {}
     for r in proxy.plot_variogram_curve(spark, tables[0]).collect():
         curves.setdefault(r.doy, []).append((r.h, r.gamma))
@@ -159,7 +159,7 @@ def inside(x, y, rings):
 def test_zonal_series_of_all_dates(spark, tables):
     cx, cy, _ = grid()
     row, col = np.divmod(np.arange(400), 20)
-    run = lambda name: proxy.QUERIES[f"{name}_all"](spark, tables[0]).collect()
+    run = lambda name: proxy.QUERIES[name](spark, tables[0]).collect()
     mean, valid, tidy = {}, {}, {}
     for d in DATES:
         k = (d - dt.date(1980, 1, 1)).days

@@ -21,7 +21,7 @@ def test_whole_chain(spark, tmp_path):
     run = lambda *a: cli.run(spark, cli._parser().parse_args(list(a)))
     run("homogeneity", at("rain.csv"), at("homogeneity"), "--candidate", "103", "--simulations", "300")
     assert "Verdict:" in "".join(r.value for r in spark.read.text(at("homogeneity/relative_result_103")).collect())
-    run("variograms", at("rain.csv"), at("st.csv"), at("table"))
+    run("variograms", at("rain.csv"), at("st.csv"), at("table"), "--batch", "365")
     assert csv.read_variogram_table(spark, at("table/csv")).where("ok_model IS NOT NULL").count() == 365
     short = "\n".join(lines[:1] + [x for x in lines if x.startswith("2003-07-0")]) + "\n"
     (tmp_path / "july.csv").write_text(short)
