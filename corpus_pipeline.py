@@ -2,7 +2,14 @@
 
 Toxic documents go; of each near-duplicate component one document stays; documents with benchmark passages go; the
 sources are mixed to their target weights, documents with several copies repeating; the mix is tokenised, written in
-patched frame-of-reference blocks and read back. All but the last return the columns of `documents`."""
+patched frame-of-reference blocks and read back. All but the last return the columns of `documents`.
+
+Defined results: a null text counts as an empty one. toxicity: empty texts stay; without labels of both kinds all stay.
+simhash near-dedup: all empty and wordless texts are one component, of which one row stays; rows that share a doc_id or
+have none stand for themselves. benchmark decontamination: an empty benchmark leaves all. source mixing: documents
+without words go, null is a source of its own, repeated rows share their copies out. token output: a row for each row,
+null doc_ids first, rows that share a doc_id by hash of the text. Every stage keeps other columns as they are, whatever
+their names, and gives no rows for an empty table."""
 
 from __future__ import annotations
 
