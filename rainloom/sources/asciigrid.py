@@ -9,6 +9,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -54,6 +56,7 @@ class GridHeader:
 class _Rows(InputPartition):
     first: int
     last: int
+    offset: int  # of the first row's line in the file
 
 
 class _Reader(DataSourceReader):
@@ -61,21 +64,31 @@ class _Reader(DataSourceReader):
         self.path, self.head = path, GridHeader.read(path)
 
     def partitions(self) -> list[_Rows]:
-        return [_Rows(a, min(a + ROWS, self.head.nrows)) for a in range(0, self.head.nrows, ROWS)]
+        """Runs of ROWS rows, with where each begins: the file is gone through once here, and no task reads what it doesn't need."""
+        out = []
+        with open(self.path, "rb") as f:
+            for _ in range(self.head.lines):
+                f.readline()
+            for a in range(0, self.head.nrows, ROWS):
+                out.append(_Rows(a, min(a + ROWS, self.head.nrows), f.tell()))
+                for _ in range(ROWS):
+                    f.readline()
+        return out
 
-    def read(self, part: _Rows) -> Iterator[tuple]:
+    def read(self, part: _Rows) -> Iterator[pa.RecordBatch]:
         h = self.head
-        with open(self.path) as f:
-            for _ in range(h.lines + part.first):
-                f.readline()
+        cols = np.arange(h.ncols, dtype=np.int32)
+        x = h.x_left + (cols + 0.5) * h.cellsize
+        with open(self.path, "rb") as f:
+            f.seek(part.offset)
             for row in range(part.first, part.last):
                 values = f.readline().split()
                 if len(values) != h.ncols:
                     raise ValueError(f"row {row} of {self.path} has {len(values)} values, not {h.ncols}")
+                z = np.array(values, float)
                 y = h.y_bottom + (h.nrows - row - 0.5) * h.cellsize
-                for col, text in enumerate(values):
-                    z = float(text)
-                    yield row, col, h.x_left + (col + 0.5) * h.cellsize, y, None if z == h.nodata or z != z else z
+                columns = [np.full(h.ncols, row, np.int32), cols, x, np.full(h.ncols, y), np.where(z == h.nodata, np.nan, z)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, from_pandas=True) for c in columns], ["row", "col", "x", "y", "z"])
 
 
 class AsciiGrid(DataSource):

@@ -17,8 +17,12 @@ from dataclasses import dataclass, field
 from datetime import date, timedelta
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from ..schema import Kriging
+
 # fixed values of the format: tags, and types by code
 DIMENSION, VARIABLE, ATTRIBUTE = 10, 11, 12
 TYPES = {1: ">i1", 2: "S1", 3: ">i2", 4: ">i4", 5: ">f4", 6: ">f8"}
@@ -219,18 +223,21 @@ def write(path: str, dims: dict[str, int | None], variables: list[Var], attribut
             os.remove(part)
 
 
-def write_year(path: str, cells, days, year: int, crs: str = "EPSG:32645", epoch: str = "1980-01-01") -> None:
+def write_year(path: str, cells, days, year: int, crs: str = "EPSG:32645", epoch: str = "1980-01-01", r_threshold: float = Kriging.r_threshold, min_stations: int = Kriging.min_stations_drift) -> None:
     """One year of kriged fields as a file: cells (date, row, col, x, y, rainfall, variance), days (date, method_flag, n_reporting, r).
 
-    A year's cube is gathered on the driver, as a file needs it in one place; larger grids are kept as Parquet."""
+    Days reach the driver one after the other, as packed columns; it holds the year's cube, 8 bytes for each cell and day,
+    as a file needs it in one place. Larger grids are kept as Parquet."""
     day_rows = sorted(days.where(f"year(date) = {year}").collect(), key=lambda r: r.date)
     at = {r.date: k for k, r in enumerate(day_rows)}
-    found = cells.where(f"year(date) = {year}").toPandas()
-    xs, ys = (found.groupby(c)[v].first().sort_index().to_numpy() for c, v in (("col", "x"), ("row", "y")))
+    own = cells.where(f"year(date) = {year}")
+    (cols, xs), (rows, ys) = (np.array([tuple(r) for r in own.groupBy(c).agg(F.min(v)).orderBy(c).collect()], float).reshape(-1, 2).T for c, v in (("col", "x"), ("row", "y")))
     cubes = {c: np.full((len(day_rows), len(ys), len(xs)), np.nan, "f4") for c in ("rainfall", "variance")}
-    where = ([at[d] for d in found["date"]], found["row"].to_numpy(), found["col"].to_numpy())
-    for c, cube in cubes.items():
-        cube[where] = found[c].to_numpy("f4")
+    packed = own.groupBy("date").agg(*(F.collect_list(F.struct("row", "col", F.coalesce(c, F.lit(float("nan"))).alias("v"))).alias(c) for c in cubes))
+    for r in packed.toLocalIterator():
+        for c, cube in cubes.items():
+            v = np.array([tuple(x) for x in r[c]], float).reshape(-1, 3)
+            cube[at[r.date], np.searchsorted(rows, v[:, 0]), np.searchsorted(cols, v[:, 1])] = v[:, 2]
     start = date.fromisoformat(epoch)
     one = lambda name, kind, values, fill, text: Var(name, ("time",), np.array(values, kind), {"long_name": text, "_FillValue": np.array([fill], kind)})
     cube = lambda name, c, text, unit: Var(name, ("time", "y", "x"), cubes[c], {"long_name": text, "units": unit, "_FillValue": np.array([np.nan], "f4"), "grid_mapping": crs})
@@ -241,7 +248,8 @@ def write_year(path: str, cells, days, year: int, crs: str = "EPSG:32645", epoch
         one("method_flag", "f4", [r.method_flag for r in day_rows], -1, "-1 none, 0 ordinary kriging, 1 with external drift"),
         one("n_stations_reporting", "f4", [r.n_reporting for r in day_rows], 0, "stations reporting"),
         one("elevation_rainfall_r", "f4", [np.nan if r.r is None else r.r for r in day_rows], np.nan, "correlation used for the choice of method"),
-    ], {"title": f"Daily kriged rainfall, {year}"})
+    ], {"title": f"Daily kriged rainfall, {year}", "summary": "Ordinary kriging, or kriging with elevation as external drift where it explains the day's rainfall", "crs": crs,
+        "r_threshold_for_ked": np.array([r_threshold]), "min_stations_for_ked": np.array([min_stations], "i4")})
 
 
 # -- data source ----------------------------------------------------------------------------------------------------
@@ -270,7 +278,7 @@ class _Reader(DataSourceReader):
             out += [_Part(path, a, min(a + RECORDS, n)) for a in range(0, n, RECORDS)]
         return out
 
-    def read(self, part: _Part) -> Iterator[tuple]:
+    def read(self, part: _Part) -> Iterator[pa.RecordBatch]:
         c = Classic(part.path)
         p = c.place(self.variable or c.field_name())
         t, y, x = c.dim_names(p)
@@ -278,12 +286,13 @@ class _Reader(DataSourceReader):
         words = str(c.place(t).attributes.get("units", "days since 1980-01-01")).split()
         start, data, fill = date.fromisoformat(words[2][:10]), c.read(p.name, part.first, part.last), c.fill(p)
         order = np.argsort(-ys, kind="stable")  # row 0 is the northern one, whichever way the axis runs
+        row, col = (v.ravel().astype(np.int32) for v in np.indices((len(ys), len(xs))))
+        x, y = np.tile(xs.astype(float), len(ys)), np.repeat(ys[order].astype(float), len(xs))
         for k, day in enumerate(days.tolist()):
-            when = start + timedelta(days=int(day))
-            for row, j in enumerate(order.tolist()):
-                line = data[k, j].astype(float).tolist()
-                for col, v in enumerate(line):
-                    yield when, row, col, float(xs[col]), float(ys[j]), None if v != v or (v == fill and not self.keep) else v
+            v = data[k, order].astype(float).ravel()
+            v = np.where((v == fill) & (not self.keep), np.nan, v)
+            when = pa.repeat(pa.scalar(start + timedelta(days=int(day)), pa.date32()), len(v))
+            yield pa.RecordBatch.from_arrays([when, *(pa.array(c, from_pandas=True) for c in (row, col, x, y, v))], ["date", "row", "col", "x", "y", "value"])
 
 
 class NetCdf3(DataSource):
