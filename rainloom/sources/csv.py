@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,18 +36,25 @@ def read_wide(spark: SparkSession, path: str, date: str | None = None, name: str
     return series.to_long(wide, "__date", name).where("date IS NOT NULL")
 
 
+def _driver_frame(path: str, index: int | None = None):
+    """A table of one of the kinds that pandas reads, by the file's ending; ValueError for any other."""
+    import pandas as pd
+
+    ending = os.path.splitext(path)[1].lower()
+    if ending not in (".xls", ".xlsx", ".pkl"):
+        raise ValueError(f"no reader for {ending or 'files without an ending'}: csv, xls, xlsx or pkl")
+    return pd.read_pickle(path) if ending == ".pkl" else pd.read_excel(path, index_col=index)
+
+
 def read_meteo(spark: SparkSession, path: str, name: str = "station") -> DataFrame:
     """Wide daily data from csv, xls, xlsx or pkl by the file's ending, in order of date; ValueError for any other.
 
     Excel and pickle files are read on the driver by pandas; pickles only from trusted places."""
-    ending = os.path.splitext(path)[1].lower()
-    if ending == ".csv":
+    if os.path.splitext(path)[1].lower() == ".csv":
         return read_wide(spark, path, name=name).orderBy("date")
-    if ending not in (".xls", ".xlsx", ".pkl"):
-        raise ValueError(f"no reader for {ending or 'files without an ending'}: csv, xls, xlsx or pkl")
     import pandas as pd
 
-    frame = pd.read_pickle(path) if ending == ".pkl" else pd.read_excel(path, index_col=0)
+    frame = _driver_frame(path, 0)
     frame.index = pd.to_datetime(frame.index)
     frame.columns = frame.columns.astype(str)
     wide = spark.createDataFrame(frame.rename_axis("__date").reset_index())
@@ -54,15 +62,21 @@ def read_meteo(spark: SparkSession, path: str, name: str = "station") -> DataFra
 
 
 def read_stations(spark: SparkSession, path: str, zone: int = 45) -> DataFrame:
-    """station, lon, lat, z and the projected x, y of a table with columns Station, X, Y (degrees) and Z, in any order."""
-    names = header(spark, path)
+    """station, lon, lat, z and the projected x, y of a table with columns Station, X, Y (degrees) and Z, in any order.
+
+    CSV files and folders of them are read by Spark; xls, xlsx and pkl on the driver, pickles only from trusted places."""
+    frame = _driver_frame(path) if os.path.splitext(path)[1].lower() in (".xls", ".xlsx", ".pkl") else None
+    if frame is not None and "Station" not in frame.columns:
+        frame = frame.reset_index()  # the stations are the table's index
+    names = header(spark, path) if frame is None else [str(c) for c in frame.columns]
     lacking = [c for c in ("Station", "X", "Y", "Z") if c not in names]
     if lacking:
         raise ValueError(f"{path} lacks the columns {', '.join(lacking)}")
     fields = [T.StructField(f"c{k}", T.StringType()) for k in range(len(names))]
-    raw = spark.read.schema(T.StructType(fields)).option("header", True).csv(path)
+    text = T.StructType(fields)
+    raw = spark.read.schema(text).option("header", True).csv(path) if frame is None else spark.createDataFrame([[str(x) for x in row] for row in frame.itertuples(index=False)], text)
     col = lambda n: F.trim(f"c{names.index(n)}")
-    number = lambda n: geometry.missing(col(n).cast("double"))
+    number = lambda n: geometry.missing(col(n).try_cast("double"))
     rows = raw.select(col("Station").alias("station"), number("X").alias("lon"), number("Y").alias("lat"), number("Z").alias("z"))
     x, y = geometry.utm(F.col("lat"), F.col("lon"), zone)
     return rows.withColumns({"x": x, "y": y})
@@ -115,3 +129,17 @@ def first_existing(*candidates: str) -> str:
         if os.path.exists(path):
             return path
     raise FileNotFoundError(" or ".join(candidates))
+
+
+def hand_off(copies: dict[str, tuple[str, ...]]) -> list[str]:
+    """Copies each target from the first of its places that exists, and returns a warning for every target that has none."""
+    lacking = []
+    for target, places in copies.items():
+        try:
+            found = first_existing(*places)
+        except FileNotFoundError as error:
+            lacking.append(f"{target}: no {error}")
+            continue
+        os.makedirs(os.path.dirname(target) or ".", exist_ok=True)
+        shutil.copyfile(found, target)
+    return lacking

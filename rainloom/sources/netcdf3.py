@@ -233,11 +233,12 @@ def write_year(path: str, cells, days, year: int, crs: str = "EPSG:32645", epoch
     own = cells.where(f"year(date) = {year}")
     (cols, xs), (rows, ys) = (np.array([tuple(r) for r in own.groupBy(c).agg(F.min(v)).orderBy(c).collect()], float).reshape(-1, 2).T for c, v in (("col", "x"), ("row", "y")))
     cubes = {c: np.full((len(day_rows), len(ys), len(xs)), np.nan, "f4") for c in ("rainfall", "variance")}
-    packed = own.groupBy("date").agg(*(F.collect_list(F.struct("row", "col", F.coalesce(c, F.lit(float("nan"))).alias("v"))).alias(c) for c in cubes))
+    cell = F.struct("row", "col", *(F.coalesce(c, F.lit(float("nan"))).alias(c) for c in cubes))
+    packed = own.groupBy("date").agg(F.collect_list(cell).alias("s")).select("date", *(F.col(f"s.{c}").alias(c) for c in ("row", "col", *cubes)))
     for r in packed.toLocalIterator():
+        where = at[r.date], np.searchsorted(rows, r["row"]), np.searchsorted(cols, r["col"])
         for c, cube in cubes.items():
-            v = np.array([tuple(x) for x in r[c]], float).reshape(-1, 3)
-            cube[at[r.date], np.searchsorted(rows, v[:, 0]), np.searchsorted(cols, v[:, 1])] = v[:, 2]
+            cube[where] = r[c]
     start = date.fromisoformat(epoch)
     one = lambda name, kind, values, fill, text: Var(name, ("time",), np.array(values, kind), {"long_name": text, "_FillValue": np.array([fill], kind)})
     cube = lambda name, c, text, unit: Var(name, ("time", "y", "x"), cubes[c], {"long_name": text, "units": unit, "_FillValue": np.array([np.nan], "f4"), "grid_mapping": crs})

@@ -53,6 +53,25 @@ def read_rings(path: str) -> Iterator[list[list[tuple[float, float]]]]:
             yield [corners[a : b - (corners[a] == corners[b - 1])] for a, b in zip(starts, starts[1:], strict=False)]
 
 
+def write(path: str, rings: dict[str, list[list[tuple[float, float]]]], field: str = FIELD) -> None:
+    """Polygons by name as a .shp file and its .dbf of one attribute: some thousands of polygons, as a person draws them."""
+    box = lambda corners: [f(c[k] for c in corners) for f in (min, max) for k in (0, 1)]
+    records, everything = [], [c for own in rings.values() for ring in own for c in ring]
+    for number, own in enumerate(rings.values(), 1):
+        closed = [ring + ring[:1] for ring in own]
+        corners = [c for ring in closed for c in ring]
+        starts = [sum(map(len, closed[:k])) for k in range(len(closed))]
+        body = struct.pack(f"<i4d2i{len(starts)}i", POLYGONS[0], *box(corners), len(starts), len(corners), *starts) + b"".join(struct.pack("<2d", *c) for c in corners)
+        records.append(struct.pack(">2i", number, len(body) // 2) + body)
+    names = [n.encode() for n in rings]
+    width = max(map(len, names), default=1)
+    with open(path, "wb") as f:
+        f.write(struct.pack(">7i", 9994, *[0] * 5, (100 + sum(map(len, records))) // 2) + struct.pack("<2i8d", 1000, POLYGONS[0], *(box(everything) if everything else [0.0] * 4), *[0.0] * 4) + b"".join(records))
+    with open(f"{os.path.splitext(path)[0]}.dbf", "wb") as f:
+        f.write(struct.pack("<4BIHH20x", 3, 100, 1, 1, len(names), 65, 1 + width) + struct.pack("<11sc4xB15x", field.encode(), b"C", width) + b"\r")
+        f.write(b"".join(b" " + n.ljust(width) for n in names) + b"\x1a")
+
+
 class _Reader(DataSourceReader):
     def __init__(self, options: dict):
         self.base, self.field = os.path.splitext(options["path"])[0], options.get("field", FIELD)
