@@ -449,6 +449,59 @@ def krige_days_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.join(days, "date").select("date", "n_cells", "n_values", F.col("method_flag").cast("int").alias("method_flag"), "n_reporting")
 
 
+# With a range of one metre no two places are alike: ordinary kriging then gives the day's mean, and with drift the day's
+# regression on elevation, whose errors and left-out estimates are known in closed form. So whole grids can be held to SQL.
+_FLAT = "spherical", 0.0, 100.0, 1.0
+_FLAT_DAYS = """flat AS (SELECT date, count(*) AS n, avg(value) AS mv, avg(z) AS mz, var_pop(z) AS vz, covar_pop(value, z) / var_pop(z) AS b FROM present GROUP BY date HAVING count(*) >= 4)"""
+#: Values become floats first, so that ties are met alike; adding 0 makes -0 a plain 0.
+_SNAP = "round(CAST(CAST({} AS FLOAT) AS DOUBLE), 3) + 0"
+
+
+def _snapped(df: DataFrame, *names: str) -> DataFrame:
+    return df.withColumns({c: F.round(F.col(c).cast("float").cast("double"), 3) + 0 for c in names})
+
+
+def _flat_cells(spark: SparkSession) -> DataFrame:
+    """The cells, one metre aside, so that none lies on a station."""
+    return cells(spark).withColumn("x", F.col("x") + 1)
+
+
+def _flat_systems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    obs, places = observations(spark, sf_dir), stations(spark, sf_dir)
+    used = F.when(F.dayofmonth("date") % 2 == 1, "ked").otherwise("ok").alias("used")
+    days = drift.daily_drift(obs, places).select("date", used, *[F.lit(v).alias(c) for c, v in zip(("model", "nugget", "sill", "range"), _FLAT, strict=True)])
+    return kriging.day_systems(obs, places, days)
+
+
+@query(f"""WITH {_OBS}, {_STATIONS}, {_PRESENT}, {_FLAT_DAYS}, {{cells}}
+SELECT date, "row", col, {_SNAP.format("CASE WHEN day(date) % 2 = 1 THEN mv + b * (z - mz) ELSE mv END")} AS value FROM flat, cells""")
+def kriging_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both methods by turns over every day and cell, without structure."""
+    return _snapped(kriging.predict(_flat_systems(spark, sf_dir), _flat_cells(spark)).select("date", "row", "col", "value"), "value")
+
+
+@query(f"""WITH {_OBS}, {_STATIONS}, {_PRESENT}, {_FLAT_DAYS}, {_DRIFT}, {_METHOD}, {{cells}}
+SELECT date, "row", col, {_SNAP.format("CASE WHEN z IS NOT NULL THEN greatest(CASE preferred WHEN 'ked' THEN mv + b * (z - mz) ELSE mv END, 0) END")} AS rainfall,
+  {_SNAP.format("CASE WHEN z IS NOT NULL THEN 100 * (1 + 1.0::DOUBLE / n + CASE preferred WHEN 'ked' THEN (z - mz) * (z - mz) / (n * vz) ELSE 0 END) END")} AS variance
+FROM flat JOIN (SELECT date, preferred FROM method WHERE preferred IS NOT NULL) USING (date), cells""")
+def krige_flat_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch plan without structure: choice of method, table, solve, variance, mask and clip."""
+    fit = [F.lit(v).alias(f"{m}_{c}") for m in ("ked", "ok") for c, v in zip(("model", "nugget", "sill", "range"), _FLAT, strict=True)]
+    table = calendar.reference_calendar(spark).select("doy", *fit)
+    return _snapped(kriging.krige(observations(spark, sf_dir), stations(spark, sf_dir), _flat_cells(spark), table)[0], "rainfall", "variance")
+
+
+@query(f"""WITH {_OBS}, {_STATIONS}, {_PRESENT}, {_FLAT_DAYS},
+left_out AS (SELECT date, station, value AS observed, value - (value - CASE WHEN ked THEN mv + b * (z - mz) ELSE mv END) / (1 - 1.0::DOUBLE / n - CASE WHEN ked THEN (z - mz) * (z - mz) / (n * vz) ELSE 0 END) AS predicted
+  FROM (SELECT *, day(date) % 2 = 1 AS ked FROM present JOIN flat USING (date)))
+SELECT date, station, {_SNAP.format("observed")} AS observed, {_SNAP.format("predicted")} AS predicted,
+  {_SNAP.format("min(least(observed, predicted)) OVER (PARTITION BY date)")} AS low, {_SNAP.format("max(greatest(observed, predicted)) OVER (PARTITION BY date)")} AS high FROM left_out""")
+def loo_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every station of every day estimated from the others, without structure, with the limits of its plot."""
+    found = plots.cv_scatter(kriging.leave_one_out(_flat_systems(spark, sf_dir)), ["date"])
+    return _snapped(found, "observed", "predicted", "low", "high")
+
+
 @query()
 def loo_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kriging.leave_one_out(_systems(spark, sf_dir))
@@ -501,7 +554,8 @@ def _zonal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raster.zonal_mean(field(spark, sf_dir), mask, polygons(spark))
 
 
-ORACLE["krige_days_summary"] = ORACLE["krige_days_summary"].format(cells=_CELLS)
+for _name in ("krige_days_summary", "kriging_flat", "krige_flat_days"):
+    ORACLE[_name] = ORACLE[_name].format(cells=_CELLS)
 
 
 @query(f"WITH {_CELLS} SELECT * FROM cells")
