@@ -34,13 +34,13 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Writes df as Parquet to the shared folder and reads it again: later stages restart from files, not lineage.
 
-    The files go when the application ends, or earlier by `discard`."""
+    options are those of Spark's Parquet writer. The files go when the application ends, or earlier by `discard`."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/rainloom-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     system, target = _file_system(spark, path)
     system.deleteOnExit(target)
     return spark.read.schema(df.schema).parquet(path)

@@ -1,7 +1,8 @@
 """FLAC media columns.
 
-`to_flac` stores byte payloads losslessly as 8-bit audio; `pcm_blocks` decodes streams to PCM blocks with seekable
-sample offsets; `features` reads streams back and describes them. All verify every frame's checksums.
+`to_flac` makes byte payloads into lossless 8-bit audio; `query` writes the streams to the shared folder and reads them
+from there; `pcm_blocks` decodes streams to PCM blocks with seekable sample offsets; `features` describes streams by the
+same blocks. Both verify every frame's checksums.
 
 Defined results: a null or empty text is the payload of 64 zero bytes; a null media value yields no PCM blocks; a
 stream that fails a checksum raises FlacError in `features`, and in `pcm_blocks` yields one row with the error; rows
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import flac
-from .common import slices
+from .common import materialize, slices
 
 UNIT = 64
 #: Bytes that are coded at a time.
@@ -44,6 +45,13 @@ def to_flac(docs: DataFrame) -> DataFrame:
     return own.mapInArrow(run, "doc_id long, n_bytes long, media binary")
 
 
+def _blocks(head: flac.Head, pcm: bytes) -> Iterator[tuple[int, int, bytes]]:
+    """(first sample, samples, PCM bytes) of each block of a decoded stream, cut where its frames begin."""
+    size, step = head.channels * -(-head.bits // 8), head.block or flac.BLOCK
+    for a in range(0, head.samples, step):
+        yield a, min(step, head.samples - a), pcm[a * size : (a + step) * size]
+
+
 def _feature(samples: np.ndarray) -> str:
     """Mean and energy in thousandths, zero crossings and peak, from integers alone."""
     n, negative = len(samples), samples < 0
@@ -60,9 +68,12 @@ def features(media: DataFrame) -> DataFrame:
             for part, streams in slices(batch, "media", CODE_BYTES):
                 rows = []
                 for stream, signed in zip(streams, flac.decode(streams), strict=True):
-                    samples = np.frombuffer(signed, np.int8)
-                    read = signed.translate(flac._SIGN)
-                    rows.append((len(read), hashlib.sha256(read).hexdigest(), zlib.crc32(read[-UNIT:]), len(stream), hashlib.sha256(stream).hexdigest(), _feature(samples)))
+                    digest, count, last = hashlib.sha256(), 0, b""
+                    for first, n, pcm in _blocks(flac.read_head(stream), signed):
+                        read = pcm.translate(flac._SIGN)
+                        digest.update(read)
+                        count, last = first + n, (last + read)[-UNIT:]
+                    rows.append((count, digest.hexdigest(), zlib.crc32(last[-UNIT:]), len(stream), hashlib.sha256(stream).hexdigest(), _feature(np.frombuffer(signed, np.int8))))
                 cols = [pa.array(c) for c in zip(*rows, strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("n_bytes"), *cols], ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
 
@@ -81,13 +92,11 @@ def pcm_blocks(media: DataFrame, key: str = "doc_id", column: str = "media") ->
                     continue
                 try:
                     head = flac.read_head(stream)
-                    size = head.channels * -(-head.bits // 8)
                     pcm = flac.decode([stream])[0]
                 except flac.FlacError as error:
                     rows.append({"key": own, "error": str(error)})
                     continue
-                step = head.block or flac.BLOCK
-                rows += [{"key": own, "block": k, "first_sample": a, "n_samples": min(step, head.samples - a), "pcm": pcm[a * size : (a + step) * size]} for k, a in enumerate(range(0, head.samples, step))]
+                rows += [{"key": own, "block": k, "first_sample": a, "n_samples": n, "pcm": part} for k, (a, n, part) in enumerate(_blocks(head, pcm))]
             yield pa.RecordBatch.from_pylist(rows, schema)
 
     kind = media.schema[key].dataType.simpleString()
@@ -99,4 +108,5 @@ def pcm_blocks(media: DataFrame, key: str = "doc_id", column: str = "media") ->
 
 
 def query(docs: DataFrame) -> DataFrame:
-    return features(to_flac(docs))
+    """Stores all documents as FLAC streams in the shared folder and describes them as read from there."""
+    return features(materialize(to_flac(docs), "media", compression="zstd"))
