@@ -12,7 +12,7 @@ from __future__ import annotations
 import glob
 import os
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from datetime import date, timedelta
 
@@ -170,8 +170,10 @@ def _packed_attributes(attributes: dict) -> bytes:
     return b"".join(out)
 
 
-def write(path: str, dims: dict[str, int | None], variables: list[Var], attributes: dict | None = None) -> None:
-    """A CDF-2 file. A dimension of None is the record dimension. The file appears when it is whole, or not at all."""
+def write(path: str, dims: dict[str, int | None], variables: list[Var], attributes: dict | None = None, later: Iterable[tuple[int, dict[str, np.ndarray]]] = ()) -> None:
+    """A CDF-2 file. A dimension of None is the record dimension. The file appears when it is whole, or not at all.
+
+    later: records whose values come one by one, each with the values by variable; they replace those given at first."""
     names = list(dims)
     record_dim = next((n for n, s in dims.items() if s is None), None)
     records = max([len(v.data) for v in variables if v.dims and v.dims[0] == record_dim], default=0)
@@ -180,11 +182,11 @@ def write(path: str, dims: dict[str, int | None], variables: list[Var], attribut
         kind = np.asarray(v.data).dtype
         code = CODES[kind.str[1:]]
         is_record = bool(v.dims) and v.dims[0] == record_dim
-        data = np.ascontiguousarray(np.asarray(v.data), dtype=TYPES[code])
+        data = np.asarray(v.data)
         wanted = tuple(records if d == record_dim else dims[d] for d in v.dims)
         if data.shape != wanted:
             raise ValueError(f"{v.name} has the shape {data.shape}, its dimensions say {wanted}")
-        size = data.dtype.itemsize * int(np.prod(data.shape[1 if is_record else 0 :], initial=1))
+        size = np.dtype(TYPES[code]).itemsize * int(np.prod(data.shape[1 if is_record else 0 :], initial=1))
         plan.append((v, code, is_record, data, size))
     alone = sum(r for _, _, r, _, _ in plan) == 1
 
@@ -208,13 +210,20 @@ def write(path: str, dims: dict[str, int | None], variables: list[Var], attribut
     try:
         with open(part, "wb") as f:
             f.write(head(begins))
-            for _, _, is_record, data, size in plan:
+            for _, code, is_record, data, size in plan:
                 if not is_record:
-                    f.write(data.tobytes() + bytes(-size % 4))
-            own = [(data, 0 if alone else -size % 4) for _, _, is_record, data, size in plan if is_record]
+                    f.write(data.astype(TYPES[code]).tobytes() + bytes(-size % 4))
+            own = [(data, TYPES[code], 0 if alone else -size % 4) for _, code, is_record, data, size in plan if is_record]
             for k in range(records):
-                for data, pad in own:
-                    f.write(data[k : k + 1].tobytes() + bytes(pad))
+                for data, kind, pad in own:
+                    f.write(data[k : k + 1].astype(kind).tobytes() + bytes(pad))
+            step = sum(size if alone else size + -size % 4 for _, _, is_record, _, size in plan if is_record)
+            place = {v.name: (TYPES[code], begin) for (v, code, _, _, _), begin in zip(plan, begins, strict=True)}
+            for k, values in later:
+                for name, value in values.items():
+                    kind, begin = place[name]
+                    f.seek(begin + k * step)
+                    f.write(np.asarray(value).astype(kind).tobytes())
             f.flush()
             os.fsync(f.fileno())
         os.replace(part, path)
@@ -226,31 +235,36 @@ def write(path: str, dims: dict[str, int | None], variables: list[Var], attribut
 def write_year(path: str, cells, days, year: int, crs: str = "EPSG:32645", epoch: str = "1980-01-01", r_threshold: float = Kriging.r_threshold, min_stations: int = Kriging.min_stations_drift) -> None:
     """One year of kriged fields as a file: cells (date, row, col, x, y, rainfall, variance), days (date, method_flag, n_reporting, r).
 
-    Days reach the driver one after the other, as packed columns; it holds the year's cube, 8 bytes for each cell and day,
-    as a file needs it in one place. Larger grids are kept as Parquet."""
+    Days reach the driver one after the other, as packed columns, and go to their places in the file, so it holds one day."""
     day_rows = sorted(days.where(f"year(date) = {year}").collect(), key=lambda r: r.date)
     at = {r.date: k for k, r in enumerate(day_rows)}
     own = cells.where(f"year(date) = {year}")
     (cols, xs), (rows, ys) = (np.array([tuple(r) for r in own.groupBy(c).agg(F.min(v)).orderBy(c).collect()], float).reshape(-1, 2).T for c, v in (("col", "x"), ("row", "y")))
-    cubes = {c: np.full((len(day_rows), len(ys), len(xs)), np.nan, "f4") for c in ("rainfall", "variance")}
-    cell = F.struct("row", "col", *(F.coalesce(c, F.lit(float("nan"))).alias(c) for c in cubes))
-    packed = own.groupBy("date").agg(F.collect_list(cell).alias("s")).select("date", *(F.col(f"s.{c}").alias(c) for c in ("row", "col", *cubes)))
-    for r in packed.toLocalIterator():
-        where = at[r.date], np.searchsorted(rows, r["row"]), np.searchsorted(cols, r["col"])
-        for c, cube in cubes.items():
-            cube[where] = r[c]
+    names = {"rainfall": "rainfall", "kriging_variance": "variance"}
+    empty = np.broadcast_to(np.float32(np.nan), (len(day_rows), len(ys), len(xs)))
+    cell = F.struct("row", "col", *(F.coalesce(c, F.lit(float("nan"))).alias(c) for c in names.values()))
+    packed = own.groupBy("date").agg(F.collect_list(cell).alias("s")).select("date", *(F.col(f"s.{c}").alias(c) for c in ("row", "col", *names.values())))
+
+    def fields() -> Iterator[tuple[int, dict[str, np.ndarray]]]:
+        for r in packed.toLocalIterator():
+            where, day = (np.searchsorted(rows, r["row"]), np.searchsorted(cols, r["col"])), {}
+            for name, c in names.items():
+                day[name] = np.full(empty.shape[1:], np.nan, "f4")
+                day[name][where] = r[c]
+            yield at[r.date], day
+
     start = date.fromisoformat(epoch)
     one = lambda name, kind, values, fill, text: Var(name, ("time",), np.array(values, kind), {"long_name": text, "_FillValue": np.array([fill], kind)})
-    cube = lambda name, c, text, unit: Var(name, ("time", "y", "x"), cubes[c], {"long_name": text, "units": unit, "_FillValue": np.array([np.nan], "f4"), "grid_mapping": crs})
+    cube = lambda name, text, unit: Var(name, ("time", "y", "x"), empty, {"long_name": text, "units": unit, "_FillValue": np.array([np.nan], "f4"), "grid_mapping": crs})
     write(path, {"time": None, "y": len(ys), "x": len(xs)}, [
         Var("time", ("time",), np.array([(r.date - start).days for r in day_rows], "i4"), {"units": f"days since {epoch}"}),
         Var("y", ("y",), ys.astype("f8"), {"units": "m"}), Var("x", ("x",), xs.astype("f8"), {"units": "m"}),
-        cube("rainfall", "rainfall", "Kriged daily rainfall", "mm"), cube("kriging_variance", "variance", "Kriging estimation variance", "mm^2"),
+        cube("rainfall", "Kriged daily rainfall", "mm"), cube("kriging_variance", "Kriging estimation variance", "mm^2"),
         one("method_flag", "f4", [r.method_flag for r in day_rows], -1, "-1 none, 0 ordinary kriging, 1 with external drift"),
         one("n_stations_reporting", "f4", [r.n_reporting for r in day_rows], 0, "stations reporting"),
         one("elevation_rainfall_r", "f4", [np.nan if r.r is None else r.r for r in day_rows], np.nan, "correlation used for the choice of method"),
     ], {"title": f"Daily kriged rainfall, {year}", "summary": "Ordinary kriging, or kriging with elevation as external drift where it explains the day's rainfall", "crs": crs,
-        "r_threshold_for_ked": np.array([r_threshold]), "min_stations_for_ked": np.array([min_stations], "i4")})
+        "r_threshold_for_ked": np.array([r_threshold]), "min_stations_for_ked": np.array([min_stations], "i4")}, fields())
 
 
 # -- data source ----------------------------------------------------------------------------------------------------
