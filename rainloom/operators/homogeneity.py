@@ -140,15 +140,17 @@ def relative_test(annual: DataFrame, candidate: str, p: Homogeneity = DEFAULT) -
 
 
 def report(test: DataFrame, correlations: DataFrame) -> DataFrame:
-    """The verdict's text in one column, `report`."""
+    """The verdict's text in one column, `report`. Lines of neighbours that don't exist and of tests that weren't possible are left out."""
     near = correlations.orderBy("station").agg(F.array_sort(F.collect_list(F.struct("station", "r"))).alias("near"))
     # halves to even before the text is made: engines differ in how they print them
-    line = lambda kind: F.format_string(f"{kind.title()} SNHT: break %d, p = %.4f", f"{kind}_break_year", F.rint(F.col(f"{kind}_p_value") * 10_000) / 10_000)
+    text_of = lambda kind: F.format_string(f"{kind.title()} SNHT: break %d, p = %.4f", f"{kind}_break_year", F.rint(F.col(f"{kind}_p_value") * 10_000) / 10_000)
+    line = lambda kind: F.when(F.col(f"{kind}_break_year").isNotNull() & F.col(f"{kind}_p_value").isNotNull(), text_of(kind))
+    with_any = lambda line: F.when(F.size("near") > 0, line)
     text = F.concat_ws(
         "\n",
         F.format_string("Relative homogeneity test for station %s", "station"),
-        F.concat(F.lit("Neighbours: "), F.array_join("near.station", ", ")),
-        F.concat(F.lit("Correlations: "), F.array_join(F.transform("near", lambda x: F.concat(x["station"], F.lit("="), F.when(x["r"].isNull(), "nan").otherwise(F.format_string("%.2f", x["r"])))), ", ")),
+        with_any(F.concat(F.lit("Neighbours: "), F.array_join("near.station", ", "))),
+        with_any(F.concat(F.lit("Correlations: "), F.array_join(F.transform("near", lambda x: F.concat(x["station"], F.lit("="), F.when(x["r"].isNull(), "nan").otherwise(F.format_string("%.2f", x["r"])))), ", "))),
         F.lit(""),
         line("absolute"),
         line("relative"),

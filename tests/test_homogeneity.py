@@ -48,8 +48,11 @@ def test_short_constant_and_lonely_series(spark):
     found = h.snht(spark.createDataFrame(rows, "station string, year int, value double"), ["station"]).collect()
     assert [(r.station, r.t_stat, r.break_year) for r in found] == [("flat", None, None)]
     lonely = spark.createDataFrame([("a", y, float(y % 3)) for y in range(2000, 2008)], "station string, year int, total double")
-    row = h.relative_test(lonely, "a").first()
+    test = h.relative_test(lonely, "a")
+    row = test.first()
     assert row.relative_break_year is None and row.verdict.startswith("No relative test") and row.absolute_t_stat is not None
+    lines = h.report(test, h.neighbour_correlations(lonely, "a")).first().report.splitlines()
+    assert len(lines) == 4 and lines[1] == "" and lines[2].startswith("Absolute SNHT: break 200") and lines[3] == f"Verdict: {row.verdict}"
 
 
 def test_constant_column_has_no_correlation(spark):
