@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, languages, media, mixing, phrases, sharding, simhash, superkmers, token_blocks, toxicity
+from . import chat, importance, languages, media, mixing, phrases, sharding, simhash, superkmers, token_blocks, topk, toxicity, whitening
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,9 @@ QUERIES: dict[str, Query] = {
     "op8_substring_dedup": _over_documents(superkmers.query),
     "op9_simhash_near_dedup": _over_documents(simhash.query),
     "op10_jump_sharding": _over_documents(sharding.query),
+    "op11_topk_search": lambda spark, sf_dir: topk.query(table(spark, sf_dir, "embeddings")),
+    "op12_importance_resampling": lambda spark, sf_dir: importance.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
+    "op13_embedding_whitening": lambda spark, sf_dir: whitening.query(table(spark, sf_dir, "embeddings")),
 }
 
 ORACLE: dict[str, str] = {
@@ -35,4 +38,6 @@ ORACLE: dict[str, str] = {
     "op6_pareto_mixing": mixing.ORACLE,
     "op8_substring_dedup": superkmers.ORACLE,
     "op10_jump_sharding": sharding.ORACLE,
+    "op11_topk_search": topk.ORACLE,
+    "op12_importance_resampling": importance.ORACLE,
 }
