@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry
 from ..schema import Kriging
+from ..sources.shared import kept
 from . import drift, variogram
 
 DEFAULT = Kriging()
@@ -177,9 +178,10 @@ def krige(obs: DataFrame, stations: DataFrame, grid: DataFrame, table: DataFrame
     """(grid values, days) for all days of obs.
 
     Grid values: date, row, col, rainfall (not below 0), variance, as floats, null where the elevation is missing.
-    Days: date, method_flag, n_reporting, r, status."""
-    days = plan_days(obs, stations, table, p)
-    systems = day_systems(obs, stations, days)
+    Days: date, method_flag, n_reporting, r, status. The plan and the solved systems, a row for each day, are stored in the
+    shared folder, for both results start from them."""
+    days = kept(plan_days(obs, stations, table, p), "plan")
+    systems = kept(day_systems(obs, stations, days), "systems")
     cells = (predict_with_variance if with_variance else predict)(systems, grid)
     keep = lambda c: F.when(F.col("solid"), c).cast("float")
     values = [keep(geometry.clip_zero(F.col("value"))).alias("rainfall")] + ([keep(F.col("variance")).alias("variance")] if with_variance else [])

@@ -7,13 +7,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import calendar, geometry
 from ..schema import CACHE_COLUMNS, Variogram
 from . import drift
 
 DEFAULT = Variogram()
+#: Residuals of the drift, for kriging with external drift, and the values, for ordinary kriging.
+VARIANTS = ("ked", "ok")
 
 
 def station_pairs(stations: DataFrame, max_lag: float | None = None, lags: int = DEFAULT.lags) -> DataFrame:
@@ -69,20 +70,43 @@ def usable_days(obs: DataFrame, stations: DataFrame, variant: str, p: Variogram
     return drift.present(obs, stations).join(enough.select("date"), "date", "left_semi").select("date", "station", "value")
 
 
+def source_sums(obs: DataFrame, stations: DataFrame, variant: str, p: Variogram = DEFAULT) -> DataFrame:
+    """variant, source_doy, bin, n, sum_distance, sum_stat: the pairs of each day of the year, over all years; 365 x lags rows at most."""
+    values = usable_days(obs, stations, variant, p).withColumn("source_doy", calendar.calendar_doy(F.col("date")))
+    return pair_sums(values, station_pairs(stations, None, p.lags), ["source_doy"], p.estimator).withColumn("variant", F.lit(variant))
+
+
+def source_days(obs: DataFrame, stations: DataFrame, variant: str, p: Variogram = DEFAULT) -> DataFrame:
+    """variant, source_doy, k: the days that each day of the year has."""
+    days = usable_days(obs, stations, variant, p).groupBy("date").agg(F.lit(1).alias("one"))
+    return days.groupBy(calendar.calendar_doy(F.col("date")).alias("source_doy")).agg(F.sum("one").alias("k")).withColumn("variant", F.lit(variant))
+
+
+def _targets(sums: DataFrame, p: Variogram, doys: list[int] | None = None) -> DataFrame:
+    """Sums by day of the source, for each day of the year (or those named) that pools them."""
+    bridge = calendar.window_bridge(sums.sparkSession, p.window)
+    return sums.join(F.broadcast(bridge if doys is None else bridge.where(F.col("doy").isin(doys))), "source_doy")
+
+
+def pool(sums: DataFrame, p: Variogram = DEFAULT, doys: list[int] | None = None) -> DataFrame:
+    """variant, doy, bin, lag_center, gamma, n of source_sums pooled over each day's window."""
+    s = _targets(sums, p, doys).groupBy("variant", "doy", "bin").agg(F.sum("n").alias("n"), F.sum("sum_distance").alias("d"), F.sum("sum_stat").alias("s"))
+    return s.select("variant", "doy", "bin", (F.col("d") / F.col("n")).alias("lag_center"), semivariance(F.col("s"), F.col("n"), p.estimator).alias("gamma"), "n")
+
+
 def pooled(obs: DataFrame, stations: DataFrame, variant: str, p: Variogram = DEFAULT) -> DataFrame:
     """doy, bin, lag_center, gamma, n for every day of the year."""
-    values = usable_days(obs, stations, variant, p).withColumn("source_doy", calendar.calendar_doy(F.col("date")))
-    partial = pair_sums(values, station_pairs(stations, None, p.lags), ["source_doy"], p.estimator)
-    bridge = calendar.window_bridge(obs.sparkSession, p.window)
-    s = partial.join(F.broadcast(bridge), "source_doy").groupBy("doy", "bin").agg(F.sum("n").alias("n"), F.sum("sum_distance").alias("d"), F.sum("sum_stat").alias("s"))
-    return s.select("doy", "bin", (F.col("d") / F.col("n")).alias("lag_center"), semivariance(F.col("s"), F.col("n"), p.estimator).alias("gamma"), "n")
+    return pool(source_sums(obs, stations, variant, p), p).drop("variant")
+
+
+def pool_days(days: DataFrame, p: Variogram = DEFAULT, doys: list[int] | None = None) -> DataFrame:
+    """variant, doy, n_days of source_days pooled over each day's window."""
+    return _targets(days, p, doys).groupBy("variant", "doy").agg(F.sum("k").cast("int").alias("n_days"))
 
 
 def pooled_days(obs: DataFrame, stations: DataFrame, variant: str, p: Variogram = DEFAULT) -> DataFrame:
     """doy, n_days: the days that each day of the year pools."""
-    days = usable_days(obs, stations, variant, p).groupBy("date").agg(F.lit(1).alias("one"))
-    days = days.groupBy(calendar.calendar_doy(F.col("date")).alias("source_doy")).agg(F.sum("one").alias("k"))
-    return days.join(F.broadcast(calendar.window_bridge(obs.sparkSession, p.window)), "source_doy").groupBy("doy").agg(F.sum("k").cast("int").alias("n_days"))
+    return pool_days(source_days(obs, stations, variant, p), p).drop("variant")
 
 
 def fit_models(bins: DataFrame, keys: list[str], p: Variogram = DEFAULT) -> DataFrame:
@@ -93,23 +117,25 @@ def fit_models(bins: DataFrame, keys: list[str], p: Variogram = DEFAULT) -> Data
     than three bins, or no range that can be solved, give no row."""
     solid = bins.where(F.col("lag_center").isNotNull() & F.col("gamma").isNotNull() & (F.col("n") > 0)).select(*keys, F.col("lag_center").alias("h"), F.col("gamma").alias("g"), F.col("n").cast("double").alias("w"))
     packed = solid.groupBy(*keys).agg(F.max("h").alias("reach"), F.count("h").alias("bins"), F.collect_list(F.struct("h", "g", "w")).alias("points")).where("bins >= 3")
-    step = F.explode(F.sequence(F.lit(0), F.lit(p.ranges - 1))).alias("__k")
-    tried = packed.select(*keys, "points", "reach", step)
+    # few bytes, much work: dealt out to all tasks, where adaptive planning would leave them in one
+    packed = packed.repartition(int(bins.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    tried = packed.select(*keys, "points", "reach", F.explode(F.sequence(F.lit(0), F.lit(p.ranges - 1))).alias("__k"))
     # the last candidate is the end itself, as evenly spaced numbers go
     low, high = F.col("reach") * 0.1, F.col("reach") * 1.5
     tried = tried.withColumn("range", F.when(F.col("__k") == p.ranges - 1, high).otherwise(low + F.col("__k") * ((high - low) / (p.ranges - 1))))
     tried = tried.withColumn("model", F.explode(F.array(*[F.lit(m) for m in p.models])))
     point = tried.select(*keys, "model", "__k", "range", F.explode("points").alias("p")).select(*keys, "model", "__k", "range", "p.*")
     point = point.withColumn("s", F.coalesce(*[F.when(F.col("model") == m, geometry.shape(m, F.col("h"), F.col("range"))) for m in p.models]))
+    # the error of any nugget and partial sill follows from sums, so points are gone over once; a key's lie in one partition already
     w, s, g = F.col("w"), F.col("s"), F.col("g")
-    one = Window.partitionBy(*keys, "model", "__k")
-    sums = {"sw": w, "sws": w * s, "swss": w * s * s, "swg": w * g, "swsg": w * s * g}
-    point = point.withColumns({name: F.sum(x).over(one) for name, x in sums.items()})
+    sums = {"sw": w, "sws": w * s, "swss": w * s * s, "swg": w * g, "swsg": w * s * g, "swgg": w * g * g}
+    point = point.groupBy(*keys, "model", "__k").agg(F.first("range").alias("range"), *[F.sum(x).alias(name) for name, x in sums.items()])
     det = F.col("sw") * F.col("swss") - F.col("sws") * F.col("sws")
     point = point.withColumn("nugget", F.try_divide(F.col("swss") * F.col("swg") - F.col("sws") * F.col("swsg"), det)).withColumn("partial", F.try_divide(F.col("sw") * F.col("swsg") - F.col("sws") * F.col("swg"), det)).where("partial IS NOT NULL")
     point = point.withColumn("nugget", F.greatest("nugget", F.lit(0.0))).withColumn("partial", F.greatest("partial", F.lit(1e-9)))
-    error = g - F.col("nugget") - F.col("partial") * s
-    scored = point.groupBy(*keys, "model", "__k").agg(F.sum(w * error * error).alias("sse"), F.first("range").alias("range"), F.first("nugget").alias("nugget"), F.first("partial").alias("partial"), F.first("sw").alias("sw"))
+    a, b = F.col("nugget"), F.col("partial")
+    square = F.col("swgg") - 2 * a * F.col("swg") - 2 * b * F.col("swsg") + a * a * F.col("sw") + 2 * a * b * F.col("sws") + b * b * F.col("swss")
+    scored = point.withColumn("sse", F.greatest(square, F.lit(0.0)))
     best = F.min_by(F.struct("nugget", "partial", "range", "sse", "sw"), F.struct("sse", "__k")).alias("b")
     return scored.groupBy(*keys, "model").agg(best).select(*keys, "model", "b.nugget", (F.col("b.nugget") + F.col("b.partial")).alias("sill"), "b.range", F.sqrt(F.col("b.sse") / F.col("b.sw")).alias("rmse"))
 
@@ -134,16 +160,26 @@ def best_model(fits: DataFrame, keys: list[str], p: Variogram = DEFAULT) -> Data
     return by.withColumn("b", best).where("b IS NOT NULL").select(*keys, "b.*")
 
 
-def variogram_table(obs: DataFrame, stations: DataFrame, p: Variogram = DEFAULT) -> DataFrame:
-    """The table of all 365 days: each with the fit for residuals (ked_*) and for values (ok_*), null where none was possible."""
-    out = calendar.reference_calendar(obs.sparkSession)
-    both = [pooled(obs, stations, v, p).withColumn("variant", F.lit(v)) for v in ("ked", "ok")]
-    best = best_model(fit_models(both[0].unionByName(both[1]), ["variant", "doy"], p), ["variant", "doy"], p)
-    for variant in ("ked", "ok"):
-        own = best.where(F.col("variant") == variant).select("doy", *[F.col(c).alias(f"{variant}_{c}") for c in ("model", "nugget", "sill", "range", "rmse")])
-        days = pooled_days(obs, stations, variant, p).withColumnRenamed("n_days", f"{variant}_n_days")
-        out = out.join(own, "doy", "left").join(days, "doy", "left").withColumn(f"{variant}_n_days", F.when(F.col(f"{variant}_model").isNull(), 0).otherwise(F.coalesce(f"{variant}_n_days", F.lit(0))))
-    return out.select(*CACHE_COLUMNS)
+def table_of(sums: DataFrame, days: DataFrame, p: Variogram = DEFAULT, doys: list[int] | None = None) -> DataFrame:
+    """The table of all days of the year, or of those named, from source_sums and source_days of both variants."""
+    every = calendar.reference_calendar(sums.sparkSession)
+    out = every if doys is None else every.where(F.col("doy").isin(doys))
+    best = best_model(fit_models(pool(sums, p, doys), ["variant", "doy"], p), ["variant", "doy"], p)
+    # 365 rows of each variant at most, side by side
+    fit = best.join(pool_days(days, p, doys), ["variant", "doy"], "left").select("variant", "doy", F.struct("model", "nugget", "sill", "range", "rmse", F.coalesce("n_days", F.lit(0)).alias("n_days")).alias("f"))
+    wide = fit.groupBy("doy").agg(*[F.max(F.when(F.col("variant") == v, F.col("f"))).alias(v) for v in VARIANTS])
+    found = out.join(wide, "doy", "left")
+    columns = [F.col(f"{v}.{c}").alias(f"{v}_{c}") if c != "n_days" else F.coalesce(f"{v}.n_days", F.lit(0)).alias(f"{v}_n_days") for v in VARIANTS for c in ("model", "nugget", "sill", "range", "rmse", "n_days")]
+    return found.select("doy", "month", "day", *columns).select(*CACHE_COLUMNS)
+
+
+def variogram_table(obs: DataFrame, stations: DataFrame, p: Variogram = DEFAULT, doys: list[int] | None = None) -> DataFrame:
+    """The table of all 365 days, or of those named: each with the fit for residuals (ked_*) and for values (ok_*), null where none was possible."""
+    if doys is not None:  # only the days of the source that they pool
+        sources = calendar.window_bridge(obs.sparkSession, p.window).where(F.col("doy").isin(doys)).select("source_doy").distinct()
+        obs = obs.join(F.broadcast(sources), calendar.calendar_doy(F.col("date")) == F.col("source_doy"), "left_semi")
+    each = [(source_sums(obs, stations, v, p), source_days(obs, stations, v, p)) for v in VARIANTS]
+    return table_of(each[0][0].unionByName(each[1][0]), each[0][1].unionByName(each[1][1]), p, doys)
 
 
 def look_up(days: DataFrame, table: DataFrame) -> DataFrame:

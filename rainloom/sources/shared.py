@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -32,3 +32,10 @@ def mounted(folder: str) -> str:
     if not os.path.isdir(path):
         raise ValueError(f"{folder} isn't mounted on this machine")
     return path
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """df, written to the shared folder and read again: what several results start from is made once, and survives lost executors."""
+    path = f"{new_folder(df.sparkSession, name)}/rows"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
