@@ -8,9 +8,10 @@ import os
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from .functions import calendar
 from .operators import homogeneity, kriging, raster, series, variogram
 from .schema import Homogeneity, Variogram
-from .sources import asciigrid, csv, netcdf3, shapefile
+from .sources import asciigrid, csv, fields, netcdf3, shapefile
 from .streaming import runs
 
 
@@ -80,7 +81,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         print(runs.krige_years(obs, stations, grid(), csv.read_variogram_table(spark, args.table), args.out, args.first, args.last, budget_s=args.budget), "years done")
     elif args.step == "krige-day":
         obs, stations = csv.read_wide(spark, args.rain).cache(), _stations(spark, args).cache()
-        table = variogram.variogram_table(obs, stations).cache()
+        # the window of one day of the year is pooled, not all of them
+        doy = obs.sparkSession.range(1).select(calendar.calendar_doy(F.lit(args.date).cast("date")).alias("d")).first().d
+        table = variogram.variogram_table(obs, stations, doys=[doy]).cache()
         cells, days = kriging.krige(series.one_date(obs, args.date), stations, grid(), table)
         cells.write.mode("overwrite").parquet(f"{args.out}/cells")
         days.write.mode("overwrite").parquet(f"{args.out}/day")
@@ -92,12 +95,13 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.step == "netcdf":
         kriged = spark.read.parquet(args.kriged)
         os.makedirs(args.out, exist_ok=True)
-        cells = kriged.where("row IS NOT NULL").join(grid().select("row", "col", "x", "y"), ["row", "col"])
-        days = kriged.select("date", "method_flag", "n_reporting", "r").distinct()
-        for row in kriged.select(F.year("date").alias("y")).distinct().orderBy("y").collect():
-            netcdf3.write_year(f"{args.out}/rainfall_kriged_{row.y}.nc", cells, days, row.y)
+        places = grid().select("row", "col", "x", "y").cache()
+        cells = kriged.join(places, ["row", "col"])
+        days = spark.read.parquet(f"{args.kriged}/{runs.DAYS}")
+        years = [r.y for r in days.select(F.year("date").alias("y")).distinct().orderBy("y").collect()]
+        fields.write_years({y: f"{args.out}/rainfall_kriged_{y}.nc" for y in years}, cells, days, places)
     elif args.step == "zonal":
-        field = spark.read.format("netcdf3").load(args.kriged).withColumnRenamed("value", "rainfall")
+        field = fields.load(spark, args.kriged).withColumnRenamed("value", "rainfall")
         polygons = spark.read.format("shapefile").option("field", args.field).load(args.polygons)
         mask = raster.polygon_mask(field.select("row", "col", "x", "y").distinct(), polygons).cache()
         zonal = raster.zonal_mean(field, mask, polygons).cache()

@@ -4,15 +4,18 @@ Importing this module adds its queries to those of `proxy`."""
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import calendar, geometry
 from ..operators import homogeneity, plots, raster, series
 from ..schema import CACHE_COLUMNS
-from ..sources import asciigrid, csv, netcdf3, shapefile
-from ..sources.shared import mounted, new_folder
+from ..sources import asciigrid, csv, fields, netcdf3, shapefile
+from ..sources.shared import kept, mounted, new_folder
 from ..streaming import runs
+from ..streaming.store import Store
 from . import proxy
 from .proxy import CANDIDATE, CELL, MIN_DAYS, ORACLE, query
 
@@ -72,9 +75,9 @@ def file_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(ORACLE["variogram_table_fits"])
 def file_variogram_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table made by a run that can be resumed, written as CSV in order of day, and read again."""
+    """The table made by a run in batches of ten days, as the command line makes it, written as CSV in order of day, and read again."""
     path = new_folder(spark, "variograms")
-    runs.build_variogram_table(proxy.observations(spark, sf_dir), proxy.stations(spark, sf_dir), f"{path}/parquet")
+    runs.build_variogram_table(proxy.observations(spark, sf_dir), proxy.stations(spark, sf_dir), f"{path}/parquet", batch=10)
     csv.write_variogram_table(spark.read.parquet(f"{path}/parquet"), f"{path}/csv")
     columns = [c for c in CACHE_COLUMNS if c == "doy" or c.endswith(("_model", "_rmse", "_n_days"))]
     return proxy._rounded(csv.read_variogram_table(spark, f"{path}/csv"), 3, "ked_rmse", "ok_rmse").select(*columns)
@@ -93,15 +96,13 @@ def file_ascii_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _year_files(spark: SparkSession, sf_dir: str) -> str:
+    """A NetCDF file for each year, all years by one job."""
     folder = new_folder(spark, "years")
     place = mounted(folder)
-    cells = proxy.field(spark, sf_dir).join(proxy.cells(spark), ["row", "col"]).withColumn("variance", F.abs("rainfall"))
-    cells.withColumn("year", F.year("date")).write.partitionBy("year").parquet(f"{folder}/cells")
-    cells = spark.read.parquet(f"{folder}/cells")
-    for row in cells.select("year").distinct().orderBy("year").collect():
-        own = cells.where(F.col("year") == row.year).drop("year")
-        days = own.select("date").distinct().select("date", F.lit(0).alias("method_flag"), F.lit(25).alias("n_reporting"), F.lit(0.5).alias("r"))
-        netcdf3.write_year(f"{place}/rainfall_{row.year}.nc", own, days, row.year)
+    cells = kept(proxy.field(spark, sf_dir).join(proxy.cells(spark), ["row", "col"]).withColumn("variance", F.abs("rainfall")), "cells")
+    days = cells.select("date").distinct().select("date", F.lit(0).alias("method_flag"), F.lit(25).alias("n_reporting"), F.lit(0.5).alias("r"))
+    years = [r.year for r in days.select(F.year("date").alias("year")).distinct().orderBy("year").collect()]
+    fields.write_years({y: f"{place}/rainfall_{y}.nc" for y in years}, cells, days, proxy.cells(spark))
     return place
 
 
@@ -114,6 +115,29 @@ def file_netcdf_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.format("netcdf3").load(place).join(variance.select("date", "row", "col", F.col("value").alias("variance")), ["date", "row", "col"])
 
 
+@query(f"""WITH {proxy._CELLS}, {proxy._FIELD} SELECT date, "row", col, x, y, CAST(rainfall AS DOUBLE) AS value FROM field JOIN cells USING ("row", col)
+WHERE (date BETWEEN DATE '1996-11-03' AND DATE '1998-02-10') AND "row" IN (3, 4, 9) AND col >= 5 AND x < 80000 AND y > 20000""")
+def field_block(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filters are the feature: dates, rows and columns of a field in files, pushed into the source, which reads no other records and lines."""
+    cells = fields.load(spark, _year_files(spark, sf_dir))
+    return cells.where("date BETWEEN DATE'1996-11-03' AND DATE'1998-02-10' AND row IN (3, 4, 9) AND col >= 5 AND x < 80000.0 AND y > 20000.0")
+
+
+@query(ORACLE["zonal_mean"])
+def stream_zonal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Field files arrive in two lots; a stream sums what is new in each by basin, however often it runs, and all sums give the means."""
+    folder, years = new_folder(spark, "arrivals"), _year_files(spark, sf_dir)
+    place, mask = mounted(folder), kept(raster.polygon_mask(proxy.cells(spark), proxy.polygons(spark)), "mask")
+    os.mkdir(f"{place}/in")
+    lots = sorted(os.listdir(years))
+    for lot in (lots[:3], lots[3:]):
+        for name in lot:
+            os.rename(f"{years}/{name}", f"{place}/in/{name}")
+        for _ in range(2):
+            runs.stream_zonal_sums(spark, f"{place}/in", mask, f"{folder}/out", f"{folder}/taken", variable="rainfall")
+    return proxy._rounded(runs.zonal_means(spark, f"{folder}/out", proxy.polygons(spark)), 6, "mean")
+
+
 @query(ORACLE["polygon_mask"])
 def file_shapefile_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.dataSource.register(shapefile.Shapefile)
@@ -144,15 +168,42 @@ def file_typed_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run that stops after some days, is given no time, and is then resumed in batches."""
     path, days = f"{new_folder(spark, 'resumed')}/days", calendar.reference_calendar(spark).select("doy")
-    counts = proxy.doy_window_counts(spark, sf_dir).cache()
+    counts = kept(proxy.doy_window_counts(spark, sf_dir), "counts")
     make = lambda keys: counts.where(F.col("doy").isin(keys)).coalesce(1)
     runs.resume(spark, days.where("doy <= 98"), "doy", path, make, 49)
     runs.resume(spark, days, "doy", path, make, 100, budget_s=-1.0)
     runs.resume(spark, days, "doy", path, make, 100)
-    counts.unpersist()
     return spark.read.parquet(path)
 
 
+def _lose(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@query(f"WITH {proxy._OBS} SELECT date, station, value, CAST(year(date) AS INTEGER) AS year FROM obs")
+def store_of_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A store of years that loses one year's files and another one's manifest, and holds stray files, as killed runs leave them, and is resumed: both years are made again, and no row is there twice."""
+    path, obs = f"{new_folder(spark, 'store')}/obs", kept(proxy.observations(spark, sf_dir).withColumn("year", F.year("date")), "obs")
+    years, made = [r.year for r in obs.select("year").distinct().orderBy("year").collect()], []
+
+    def make(own: list) -> list[DataFrame]:
+        made.extend(own)
+        return [obs.where(F.col("year").isin(own)).repartition(2)]
+
+    store = Store(spark, path, "year", True)
+    runs.fill([store], years, make, 1)
+    first, last = years[0], years[-1]
+    of = lambda year: next(f for f in store.read().inputFiles() if f"/year={year}/" in f)
+    _lose(spark, of(first))
+    spark.read.parquet(of(last)).write.mode("append").parquet(f"{path}/year={last}")  # files that no manifest names
+    _lose(spark, f"{path}/_manifest/{next(name for name, m in store._manifests().items() if m['keys'] == [last])}")
+    if runs.fill([store], years, make, 1) != len(years) or made != [*years, *sorted({first, last})]:
+        raise AssertionError(f"years made: {made}")
+    return store.read().select("date", "station", "value", "year")
+
+
 @query("SELECT CAST(l_shipdate AS DATE) AS date, CAST(s_nationkey AS VARCHAR) AS station, sum(l_quantity) AS value, count(*) AS n FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2")
 def stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines arrive in two sets of files; each file is taken once, however often the stream runs."""

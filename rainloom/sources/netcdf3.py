@@ -9,26 +9,18 @@ read with option fill=keep. Files of NetCDF-4, which are HDF5, are refused with
 
 from __future__ import annotations
 
-import glob
 import os
 import struct
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 from dataclasses import dataclass, field
-from datetime import date, timedelta
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-
-from ..schema import Kriging
+from pyspark.sql.datasource import DataSource, DataSourceReader
 
 # fixed values of the format: tags, and types by code
 DIMENSION, VARIABLE, ATTRIBUTE = 10, 11, 12
 TYPES = {1: ">i1", 2: "S1", 3: ">i2", 4: ">i4", 5: ">f4", 6: ">f8"}
 CODES = {"i1": 1, "S1": 2, "i2": 3, "i4": 4, "f4": 5, "f8": 6}
-#: Records that one partition reads.
-RECORDS = 31
 
 
 @dataclass
@@ -53,6 +45,9 @@ class _Place:
 class Classic:
     """The header of a file, and access to its variables' records."""
 
+    #: Bytes of values that this process has read.
+    taken = 0
+
     def __init__(self, path: str):
         self.path = path
         with open(path, "rb") as f:
@@ -113,14 +108,28 @@ class Classic:
         p = self.place(name)
         shape = self.shape(p)
         if not shape:
-            return np.fromfile(self.path, p.kind, 1, offset=p.begin).reshape(())
+            return self._values(p, p.begin, 1).reshape(())
         last = shape[0] if last is None else min(last, shape[0])
         each = int(np.prod(shape[1:], initial=1))
         if not p.record:
-            return np.fromfile(self.path, p.kind, (last - first) * each, offset=p.begin + first * each * p.kind.itemsize).reshape((last - first, *shape[1:]))
-        rows = [np.fromfile(self.path, p.kind, each, offset=p.begin + k * self.stride) for k in range(first, last)]
+            return self._values(p, p.begin + first * each * p.kind.itemsize, (last - first) * each).reshape((last - first, *shape[1:]))
+        rows = [self._values(p, p.begin + k * self.stride, each) for k in range(first, last)]
         return np.array(rows, p.kind).reshape((last - first, *shape[1:]))
 
+    def _values(self, p: _Place, at: int, n: int) -> np.ndarray:
+        found = np.fromfile(self.path, p.kind, n, offset=at)
+        if len(found) < n:
+            raise ValueError(f"{self.path} ends inside {p.name}")
+        Classic.taken += found.nbytes
+        return found
+
+    def lines(self, name: str, record: int, first: int, last: int) -> np.ndarray:
+        """Lines first to last of one record of a variable over (time, y, x), and no other bytes."""
+        p = self.place(name)
+        _, _, width = self.shape(p)
+        step = self.stride if p.record else self.shape(p)[1] * width * p.kind.itemsize
+        return self._values(p, p.begin + record * step + first * width * p.kind.itemsize, (last - first) * width).reshape(last - first, width)
+
     def dim_names(self, p: _Place) -> list[str]:
         return [self.dims[d][0] for d in p.dims]
 
@@ -170,60 +179,84 @@ def _packed_attributes(attributes: dict) -> bytes:
     return b"".join(out)
 
 
+@dataclass
+class Spot:
+    """Where a variable's values lie: of a record variable those of record 0; `size` bytes each time, filled up to four."""
+
+    kind: str
+    record: bool
+    begin: int
+    size: int
+
+
+class Layout:
+    """Where everything of a CDF-2 file lies, which its header alone says: values may be put in place in any order."""
+
+    def __init__(self, dims: dict[str, int | None], variables: list[Var], attributes: dict | None = None):
+        names = list(dims)
+        record_dim = next((n for n, s in dims.items() if s is None), None)
+        self.records = max([len(v.data) for v in variables if v.dims and v.dims[0] == record_dim], default=0)
+        self.spots: dict[str, Spot] = {}
+        for v in variables:
+            data = np.asarray(v.data)
+            wanted = tuple(self.records if d == record_dim else dims[d] for d in v.dims)
+            if data.shape != wanted:
+                raise ValueError(f"{v.name} has the shape {data.shape}, its dimensions say {wanted}")
+            kind, record = TYPES[CODES[data.dtype.str[1:]]], bool(v.dims) and v.dims[0] == record_dim
+            self.spots[v.name] = Spot(kind, record, 0, np.dtype(kind).itemsize * int(np.prod(data.shape[1 if record else 0 :], initial=1)))
+        # one record variable alone isn't padded
+        self.alone = sum(p.record for p in self.spots.values()) == 1
+        self.step = sum(self.taken(p) for p in self.spots.values() if p.record)
+
+        def head() -> bytes:
+            out = [b"CDF\x02", struct.pack(">i", self.records), struct.pack(">ii", DIMENSION if dims else 0, len(dims))]
+            out += [_packed_name(n) + struct.pack(">i", s or 0) for n, s in dims.items()]
+            out += [_packed_attributes(attributes or {}), struct.pack(">ii", VARIABLE if variables else 0, len(variables))]
+            for v in variables:
+                p = self.spots[v.name]
+                out.append(_packed_name(v.name) + struct.pack(f">i{len(v.dims)}i", len(v.dims), *(names.index(d) for d in v.dims)))
+                out.append(_packed_attributes(v.attributes) + struct.pack(">iiq", CODES[p.kind[1:] if p.kind != "S1" else "S1"], min(p.size + -p.size % 4, 2**31 - 4), p.begin))
+            return b"".join(out)
+
+        at = len(head())
+        for p in [p for p in self.spots.values() if not p.record] + [p for p in self.spots.values() if p.record]:
+            p.begin = at
+            at += self.taken(p)
+        self.head = head()
+        self.end = at + self.step * (self.records - 1) if self.step and self.records else at - self.step
+
+    def taken(self, p: Spot) -> int:
+        return p.size if p.record and self.alone else p.size + -p.size % 4
+
+    def put(self, f, name: str, values: np.ndarray, record: int = 0, after: int = 0) -> None:
+        """Writes values of a variable, of a record, `after` so many bytes of it."""
+        p = self.spots[name]
+        f.seek(p.begin + (record * self.step if p.record else 0) + after)
+        f.write(np.asarray(values).astype(p.kind).tobytes())
+
+
+def begin(f, layout: Layout, variables: list[Var], later: frozenset[str] = frozenset()) -> None:
+    """Writes the header and the values of all variables but those named, whose places stay open."""
+    f.write(layout.head)
+    f.truncate(layout.end)
+    for v in variables:
+        if v.name not in later:
+            data = np.asarray(v.data)
+            for k in range(layout.records if layout.spots[v.name].record else 1):
+                layout.put(f, v.name, data[k] if layout.spots[v.name].record else data, k)
+
+
 def write(path: str, dims: dict[str, int | None], variables: list[Var], attributes: dict | None = None, later: Iterable[tuple[int, dict[str, np.ndarray]]] = ()) -> None:
     """A CDF-2 file. A dimension of None is the record dimension. The file appears when it is whole, or not at all.
 
     later: records whose values come one by one, each with the values by variable; they replace those given at first."""
-    names = list(dims)
-    record_dim = next((n for n, s in dims.items() if s is None), None)
-    records = max([len(v.data) for v in variables if v.dims and v.dims[0] == record_dim], default=0)
-    plan = []
-    for v in variables:
-        kind = np.asarray(v.data).dtype
-        code = CODES[kind.str[1:]]
-        is_record = bool(v.dims) and v.dims[0] == record_dim
-        data = np.asarray(v.data)
-        wanted = tuple(records if d == record_dim else dims[d] for d in v.dims)
-        if data.shape != wanted:
-            raise ValueError(f"{v.name} has the shape {data.shape}, its dimensions say {wanted}")
-        size = np.dtype(TYPES[code]).itemsize * int(np.prod(data.shape[1 if is_record else 0 :], initial=1))
-        plan.append((v, code, is_record, data, size))
-    alone = sum(r for _, _, r, _, _ in plan) == 1
-
-    def head(begins: list[int]) -> bytes:
-        out = [b"CDF\x02", struct.pack(">i", records), struct.pack(">ii", DIMENSION if dims else 0, len(dims))]
-        out += [_packed_name(n) + struct.pack(">i", s or 0) for n, s in dims.items()]
-        out += [_packed_attributes(attributes or {}), struct.pack(">ii", VARIABLE if plan else 0, len(plan))]
-        for (v, code, _, _, size), begin in zip(plan, begins, strict=True):
-            out.append(_packed_name(v.name) + struct.pack(f">i{len(v.dims)}i", len(v.dims), *(names.index(d) for d in v.dims)))
-            out.append(_packed_attributes(v.attributes) + struct.pack(">iiq", code, min(size + -size % 4, 2**31 - 4), begin))
-        return b"".join(out)
-
-    at = len(head([0] * len(plan)))
-    begins = [0] * len(plan)
-    for records_now in (False, True):
-        for k, (_, _, is_record, _, size) in enumerate(plan):
-            if is_record == records_now:
-                begins[k] = at
-                at += size + -size % 4
-    part = f"{path}.part"
+    layout, part = Layout(dims, variables, attributes), f"{path}.part"
     try:
         with open(part, "wb") as f:
-            f.write(head(begins))
-            for _, code, is_record, data, size in plan:
-                if not is_record:
-                    f.write(data.astype(TYPES[code]).tobytes() + bytes(-size % 4))
-            own = [(data, TYPES[code], 0 if alone else -size % 4) for _, code, is_record, data, size in plan if is_record]
-            for k in range(records):
-                for data, kind, pad in own:
-                    f.write(data[k : k + 1].astype(kind).tobytes() + bytes(pad))
-            step = sum(size if alone else size + -size % 4 for _, _, is_record, _, size in plan if is_record)
-            place = {v.name: (TYPES[code], begin) for (v, code, _, _, _), begin in zip(plan, begins, strict=True)}
+            begin(f, layout, variables)
             for k, values in later:
                 for name, value in values.items():
-                    kind, begin = place[name]
-                    f.seek(begin + k * step)
-                    f.write(np.asarray(value).astype(kind).tobytes())
+                    layout.put(f, name, value, k)
             f.flush()
             os.fsync(f.fileno())
         os.replace(part, path)
@@ -232,82 +265,14 @@ def write(path: str, dims: dict[str, int | None], variables: list[Var], attribut
             os.remove(part)
 
 
-def write_year(path: str, cells, days, year: int, crs: str = "EPSG:32645", epoch: str = "1980-01-01", r_threshold: float = Kriging.r_threshold, min_stations: int = Kriging.min_stations_drift) -> None:
-    """One year of kriged fields as a file: cells (date, row, col, x, y, rainfall, variance), days (date, method_flag, n_reporting, r).
-
-    Days reach the driver one after the other, as packed columns, and go to their places in the file, so it holds one day."""
-    day_rows = sorted(days.where(f"year(date) = {year}").collect(), key=lambda r: r.date)
-    at = {r.date: k for k, r in enumerate(day_rows)}
-    own = cells.where(f"year(date) = {year}")
-    (cols, xs), (rows, ys) = (np.array([tuple(r) for r in own.groupBy(c).agg(F.min(v)).orderBy(c).collect()], float).reshape(-1, 2).T for c, v in (("col", "x"), ("row", "y")))
-    names = {"rainfall": "rainfall", "kriging_variance": "variance"}
-    empty = np.broadcast_to(np.float32(np.nan), (len(day_rows), len(ys), len(xs)))
-    cell = F.struct("row", "col", *(F.coalesce(c, F.lit(float("nan"))).alias(c) for c in names.values()))
-    packed = own.groupBy("date").agg(F.collect_list(cell).alias("s")).select("date", *(F.col(f"s.{c}").alias(c) for c in ("row", "col", *names.values())))
-
-    def fields() -> Iterator[tuple[int, dict[str, np.ndarray]]]:
-        for r in packed.toLocalIterator():
-            where, day = (np.searchsorted(rows, r["row"]), np.searchsorted(cols, r["col"])), {}
-            for name, c in names.items():
-                day[name] = np.full(empty.shape[1:], np.nan, "f4")
-                day[name][where] = r[c]
-            yield at[r.date], day
-
-    start = date.fromisoformat(epoch)
-    one = lambda name, kind, values, fill, text: Var(name, ("time",), np.array(values, kind), {"long_name": text, "_FillValue": np.array([fill], kind)})
-    cube = lambda name, text, unit: Var(name, ("time", "y", "x"), empty, {"long_name": text, "units": unit, "_FillValue": np.array([np.nan], "f4"), "grid_mapping": crs})
-    write(path, {"time": None, "y": len(ys), "x": len(xs)}, [
-        Var("time", ("time",), np.array([(r.date - start).days for r in day_rows], "i4"), {"units": f"days since {epoch}"}),
-        Var("y", ("y",), ys.astype("f8"), {"units": "m"}), Var("x", ("x",), xs.astype("f8"), {"units": "m"}),
-        cube("rainfall", "Kriged daily rainfall", "mm"), cube("kriging_variance", "Kriging estimation variance", "mm^2"),
-        one("method_flag", "f4", [r.method_flag for r in day_rows], -1, "-1 none, 0 ordinary kriging, 1 with external drift"),
-        one("n_stations_reporting", "f4", [r.n_reporting for r in day_rows], 0, "stations reporting"),
-        one("elevation_rainfall_r", "f4", [np.nan if r.r is None else r.r for r in day_rows], np.nan, "correlation used for the choice of method"),
-    ], {"title": f"Daily kriged rainfall, {year}", "summary": "Ordinary kriging, or kriging with elevation as external drift where it explains the day's rainfall", "crs": crs,
-        "r_threshold_for_ked": np.array([r_threshold]), "min_stations_for_ked": np.array([min_stations], "i4")}, fields())
-
-
-# -- data source ----------------------------------------------------------------------------------------------------
+def write_year(path: str, cells, days, year: int, **options) -> None:
+    """One year of kriged fields as a file, by the tasks that hold them: cells (date, row, col, x, y, rainfall, variance), days (date, method_flag, n_reporting, r)."""
+    from .fields import write_years
 
+    write_years({year: path}, cells, days, **options)
 
-@dataclass
-class _Part(InputPartition):
-    path: str
-    first: int
-    last: int
-
-
-class _Reader(DataSourceReader):
-    def __init__(self, options: dict):
-        self.variable, self.keep = options.get("variable"), options.get("fill") == "keep"
-        path = options["path"]
-        self.paths = sorted(glob.glob(f"{path}/*.nc") if os.path.isdir(path) else glob.glob(path))
-        if not self.paths:
-            raise FileNotFoundError(f"no NetCDF file at {path}")
-
-    def partitions(self) -> list[_Part]:
-        out = []
-        for path in self.paths:
-            c = Classic(path)
-            n = c.shape(c.place(self.variable or c.field_name()))[0]
-            out += [_Part(path, a, min(a + RECORDS, n)) for a in range(0, n, RECORDS)]
-        return out
 
-    def read(self, part: _Part) -> Iterator[pa.RecordBatch]:
-        c = Classic(part.path)
-        p = c.place(self.variable or c.field_name())
-        t, y, x = c.dim_names(p)
-        days, ys, xs = c.read(t, part.first, part.last), c.read(y), c.read(x)
-        words = str(c.place(t).attributes.get("units", "days since 1980-01-01")).split()
-        start, data, fill = date.fromisoformat(words[2][:10]), c.read(p.name, part.first, part.last), c.fill(p)
-        order = np.argsort(-ys, kind="stable")  # row 0 is the northern one, whichever way the axis runs
-        row, col = (v.ravel().astype(np.int32) for v in np.indices((len(ys), len(xs))))
-        x, y = np.tile(xs.astype(float), len(ys)), np.repeat(ys[order].astype(float), len(xs))
-        for k, day in enumerate(days.tolist()):
-            v = data[k, order].astype(float).ravel()
-            v = np.where((v == fill) & (not self.keep), np.nan, v)
-            when = pa.repeat(pa.scalar(start + timedelta(days=int(day)), pa.date32()), len(v))
-            yield pa.RecordBatch.from_arrays([when, *(pa.array(c, from_pandas=True) for c in (row, col, x, y, v))], ["date", "row", "col", "x", "y", "value"])
+# -- data source ----------------------------------------------------------------------------------------------------
 
 
 class NetCdf3(DataSource):
@@ -318,5 +283,7 @@ class NetCdf3(DataSource):
     def schema(self) -> str:
         return "date date, row int, col int, x double, y double, value double"
 
-    def reader(self, schema) -> _Reader:
-        return _Reader(dict(self.options))
+    def reader(self, schema) -> DataSourceReader:
+        from .fields import FieldReader
+
+        return FieldReader(dict(self.options))
