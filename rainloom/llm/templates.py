@@ -19,8 +19,14 @@ import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
-#: Characters that one rendering may produce.
-MOST = 1 << 30
+#: Characters that one rendering may produce, and characters of a template.
+MOST, SOURCE = 1 << 30, 1 << 15
+#: Rounds of loops: at least, and for each item given.
+ROUNDS = 10_000, 20
+#: Characters made: at least, for each character given and for each item given.
+CHARACTERS = 1 << 20, 16, 4096
+#: Places that a list made by a template may have, lists inside it included.
+PLACES = 10_000
 
 
 class TemplateError(ValueError):
@@ -133,7 +139,9 @@ class _Expression:
             if not m:
                 raise TemplateError(f"can't read {source[at:]!r}")
             number, string, word, sign = m.groups()
-            if number:
+            if number and len(number) > 20:
+                raise TemplateError("too large")
+            elif number:
                 self.tokens.append(("const", float(number) if "." in number else int(number)))
             elif string:
                 self.tokens.append(("const", re.sub(r"\\(.)", lambda e: _ESCAPES.get(e[1], e[1]), string[1:-1], flags=re.DOTALL)))
@@ -293,14 +301,99 @@ def parse(source: str) -> tuple:
 
 # -- meaning of operators and filters -------------------------------------------------------------------------------
 
+_PLAIN = (str, int, float, type(None))
+
+
+def _string(x: object) -> str:
+    if not isinstance(x, _PLAIN):
+        raise TemplateError("only texts and numbers can be printed")
+    return "" if x is None else str(x)
+
+
+class _List(list):
+    """A list that a template made, with the number of its places, those of lists inside it included."""
+
+    def __init__(self, items: list):
+        super().__init__(items)
+        self.places = sum(map(_places, items))
+        if self.places > PLACES:
+            raise TemplateError("too large")
+
+
+def _places(x: object) -> int:
+    return x.places if isinstance(x, _List) else sum(map(_places, x)) + 1 if isinstance(x, tuple) else 1
+
+
+class Budget:
+    """What is left of a rendering's rounds and characters."""
+
+    def __init__(self, values: object = ()):
+        items, characters = self._measured(values)
+        self.rounds = ROUNDS[0] + ROUNDS[1] * items
+        self.characters = CHARACTERS[0] + CHARACTERS[1] * characters + CHARACTERS[2] * items
+
+    def _measured(self, x: object) -> tuple[int, int]:
+        if isinstance(x, str):
+            return 1, len(x)
+        if isinstance(x, dict):
+            x = list(x.values())
+        if not isinstance(x, (list, tuple)):
+            return 1, 0
+        each = [self._measured(y) for y in x]
+        return 1 + sum(i for i, _ in each), sum(c for _, c in each)
+
+    def make(self, characters: int) -> None:
+        self.characters -= characters
+        if self.characters < 0:
+            raise TemplateError("too large")
+
+    def turn(self) -> None:
+        self.rounds -= 1
+        if self.rounds < 0:
+            raise TemplateError("too many rounds of loops")
+
+
+def _number(x: object) -> bool:
+    return isinstance(x, (int, float))
+
+
+def _added(a: object, b: object) -> object:
+    return _List([*a, *b]) if isinstance(a, (list, tuple)) and isinstance(b, (list, tuple)) else a + b
+
+
+def _times(a: object, b: object) -> object:
+    many, few = (b, a) if _number(a) else (a, b)
+    if isinstance(many, (list, tuple)):
+        return _List(list(many) * min(few, PLACES + 1)) if isinstance(few, int) else many * few
+    return a * b
+
+
+def _rest(a: object, b: object) -> object:
+    if not (_number(a) and _number(b)):
+        raise TemplateError("% is for numbers")
+    return a % b
+
+
 BINARY: dict[str, Callable] = {
     "==": operator.eq, "!=": operator.ne, "<": operator.lt, "<=": operator.le, ">": operator.gt, ">=": operator.ge,
-    "in": lambda a, b: a in b, "~": lambda a, b: _string(a) + _string(b), "+": operator.add, "-": operator.sub, "*": operator.mul, "//": operator.floordiv, "%": operator.mod,
+    "in": lambda a, b: a in b, "~": lambda a, b: _string(a) + _string(b), "+": _added, "-": operator.sub, "*": _times, "//": operator.floordiv, "%": _rest,
 }
 
+_length = lambda x: len(x) if isinstance(x, (str, list, tuple)) else 0
+_text = lambda x, *_: len(_string(x))
+
+
+def _replaced(x: object, a: str, b: str) -> int:
+    text = _string(x)
+    return len(text) + text.count(a) * len(b)
 
-def _string(x: object) -> str:
-    return "" if x is None else str(x)
+
+#: How many characters or places an operator or filter makes, from what it is given.
+SIZES: dict[str, Callable] = {
+    "~": lambda a, b: _text(a) + _text(b), "+": lambda a, b: _length(a) + _length(b), "*": lambda a, b: max(_length(a) * b if isinstance(b, int) else 0, _length(b) * a if isinstance(a, int) else 0),
+    "trim": _text, "upper": lambda x: 3 * _text(x), "lower": lambda x: 3 * _text(x), "string": _text, "escape": lambda x: 2 * _text(x),
+    "replace": _replaced, "join": lambda x, by="": sum(map(_text, x)) + len(by) * len(x),
+}
 
 
 class Escaper:
@@ -331,7 +424,7 @@ FILTERS: dict[str, Callable] = {
     "string": _string,
     "default": lambda x, other: other if x is None else x,
     "replace": lambda x, a, b: _string(x).replace(a, b),
-    "join": lambda x, by="": by.join(map(_string, x)),
+    "join": lambda x, by="": by.join(list(map(_string, x))),
     "escape": None,  # the template's own
 }
 
@@ -339,10 +432,15 @@ FILTERS: dict[str, Callable] = {
 # -- folding and compiling ------------------------------------------------------------------------------------------
 
 
-def _apply(what: Callable, *args: object) -> object:
+def _apply(name: str, what: Callable, budget: Budget, *args: object) -> object:
+    """The result of an operator or filter; its size is charged before it is made."""
     try:
+        if name in SIZES:
+            budget.make(SIZES[name](*args))
         out = what(*args)
-    except (TypeError, ValueError, ArithmeticError, LookupError) as error:
+    except TemplateError:
+        raise
+    except (TypeError, ValueError, ArithmeticError, LookupError, AttributeError, MemoryError, RecursionError) as error:
         raise TemplateError(str(error)) from None
     if isinstance(out, str) and len(out) > MOST or isinstance(out, int) and abs(out) > 1 << 64:
         raise TemplateError("too large")
@@ -357,9 +455,10 @@ def _item(of: object, key: object) -> object:
     raise TemplateError(f"no item {key!r} here")
 
 
-def fold(node: object, escape: Callable[[str], str]) -> object:
+def fold(node: object, escape: Callable[[str], str], budget: Budget) -> object:
     """The node with constant parts worked out."""
-    again = lambda x: fold(x, escape)
+    again = lambda x: fold(x, escape, budget)
+    every = lambda xs: fold_all(xs, escape, budget)
     constant = lambda *xs: all(isinstance(x, Const) for x in xs)
     match node:
         case Binary(op, left, right):
@@ -367,11 +466,11 @@ def fold(node: object, escape: Callable[[str], str]) -> object:
             if op in ("and", "or") and constant(left):
                 return right if bool(left.value) == (op == "and") else left
             if op not in ("and", "or") and constant(left, right):
-                return Const(_apply(BINARY[op], left.value, right.value))
+                return Const(_apply(op, BINARY[op], budget, left.value, right.value))
             return Binary(op, left, right)
         case Unary(op, of):
             of = again(of)
-            return Const(not of.value if op == "not" else _apply(operator.neg, of.value)) if constant(of) else Unary(op, of)
+            return Const(not of.value if op == "not" else _apply(op, operator.neg, budget, of.value)) if constant(of) else Unary(op, of)
         case Choice(test, yes, no):
             test = again(test)
             return again(yes if test.value else no) if constant(test) else Choice(test, again(yes), again(no))
@@ -384,7 +483,7 @@ def fold(node: object, escape: Callable[[str], str]) -> object:
         case Filter(name, of, args):
             of, args = again(of), tuple(map(again, args))
             if constant(of, *args):
-                return Const(_apply(_filter(name, escape), of.value, *(a.value for a in args)))
+                return Const(_apply(name, _filter(name, escape), budget, of.value, *(a.value for a in args)))
             return Filter(name, of, args)
         case Output(of):
             of = again(of)
@@ -392,21 +491,21 @@ def fold(node: object, escape: Callable[[str], str]) -> object:
         case If(test, yes, no):
             test = again(test)
             if constant(test):
-                return fold_all(yes if test.value else no, escape)
-            return If(test, fold_all(yes, escape), fold_all(no, escape))
+                return every(yes if test.value else no)
+            return If(test, every(yes), every(no))
         case For(name, of, body):
-            return For(name, again(of), fold_all(body, escape))
+            return For(name, again(of), every(body))
         case Set(name, of):
             return Set(name, again(of))
         case Generation(body):
-            return Generation(fold_all(body, escape))
+            return Generation(every(body))
     return node
 
 
-def fold_all(nodes: tuple, escape: Callable[[str], str]) -> tuple:
+def fold_all(nodes: tuple, escape: Callable[[str], str], budget: Budget) -> tuple:
     out: list = []
     for node in nodes:
-        found = fold(node, escape)
+        found = fold(node, escape, budget)
         for x in found if isinstance(found, tuple) else (found,):
             if isinstance(x, Text) and out and isinstance(out[-1], Text):
                 out[-1] = Text(out[-1].text + x.text)
@@ -419,13 +518,19 @@ def _filter(name: str, escape: Callable[[str], str]) -> Callable:
     return FILTERS[name] or (lambda x: escape(_string(x)))
 
 
+#: Where a rendering's budget lies among its values: names are texts.
+BUDGET = None
+
+
 class _Sink:
-    def __init__(self):
+    def __init__(self, budget: Budget):
+        self.budget = budget
         self.parts: list[str] = []
         self.size = 0
         self.spans: list[tuple[int, int]] = []
 
     def add(self, text: str) -> None:
+        self.budget.make(len(text))
         self.parts.append(text)
         self.size += len(text)
         if self.size > MOST:
@@ -447,7 +552,7 @@ def compile_expression(node: object, escape: Callable[[str], str]) -> Callable[[
             return lambda env: not of(env)
         case Unary(_, of):
             of = make(of)
-            return lambda env: _apply(operator.neg, of(env))
+            return lambda env: _apply("-", lambda x: -x, env[BUDGET], of(env))
         case Binary("and", left, right):
             left, right = make(left), make(right)
             return lambda env: left(env) and right(env)
@@ -456,16 +561,16 @@ def compile_expression(node: object, escape: Callable[[str], str]) -> Callable[[
             return lambda env: left(env) or right(env)
         case Binary(op, left, right):
             left, right, what = make(left), make(right), BINARY[op]
-            return lambda env: _apply(what, left(env), right(env))
+            return lambda env: _apply(op, what, env[BUDGET], left(env), right(env))
         case Choice(test, yes, no):
             test, yes, no = make(test), make(yes), make(no)
             return lambda env: yes(env) if test(env) else no(env)
         case ListOf(items):
             items = tuple(map(make, items))
-            return lambda env: [x(env) for x in items]
+            return lambda env: _List([x(env) for x in items])
         case Filter(name, of, args):
             of, args, what = make(of), tuple(map(make, args)), _filter(name, escape)
-            return lambda env: _apply(what, of(env), *(a(env) for a in args))
+            return lambda env: _apply(name, what, env[BUDGET], of(env), *(a(env) for a in args))
     raise TemplateError(f"no expression: {node}")
 
 
@@ -504,6 +609,7 @@ def _compile(node: object, escape: Callable[[str], str]) -> Callable[[dict, _Sin
                 if not isinstance(items, (list, tuple)):
                     raise TemplateError("only lists can be looped over")
                 for k, x in enumerate(items):
+                    sink.budget.turn()
                     body(env | {name: x, "loop": {"index0": k, "index": k + 1, "first": not k, "last": k == len(items) - 1, "length": len(items)}}, sink)
 
             return loop
@@ -534,14 +640,23 @@ class Template:
     """A compiled template. render() takes the values by name and returns the text and its generation spans."""
 
     def __init__(self, source: str, controls: list[str] = ()):
+        if len(source) > SOURCE:
+            raise TemplateError("the template is too long")
         self.escaper = Escaper(list(controls))
-        self.nodes = fold_all(parse(source), self.escaper.escape)
-        self._run = compile_nodes(self.nodes, self.escaper.escape)
+        try:
+            self.nodes = fold_all(parse(source), self.escaper.escape, Budget())
+            self._run = compile_nodes(self.nodes, self.escaper.escape)
+        except RecursionError:
+            raise TemplateError("the template is nested too deeply") from None
         body = self.nodes[0] if len(self.nodes) == 1 and isinstance(self.nodes[0], For) else None
         #: A single loop over `messages` that doesn't ask for their number: each message renders alone.
         self.by_message = bool(body and body.of == Name("messages") and not _names(body.body) & {"messages", "last", "length", "index", "index0", "first"})
 
     def render(self, **values: object) -> tuple[str, list[tuple[int, int]]]:
-        sink = _Sink()
-        self._run(dict(values), sink)
+        budget = Budget(values)
+        sink = _Sink(budget)
+        try:
+            self._run(dict(values) | {BUDGET: budget}, sink)
+        except RecursionError:
+            raise TemplateError("the values are nested too deeply") from None
         return "".join(sink.parts), sink.spans
