@@ -3,8 +3,8 @@
 The dimensions are cut into LISTS runs. A list knows, for every query, each vector's partial score over its own dimensions
 and no more; a score is the sum of its partial scores.
 
-1. Each list gives the k vectors of greatest partial score. What the other lists hold for those is looked up, so their
-   scores are exact, and the k-th of them is a cutoff that no vector of the result is below.
+1. Each list gives its vectors of greatest partial score, DEPTH of them. What the other lists hold for those is looked up, so
+   their scores are exact, and the k-th of them is a cutoff that no vector of the result is below.
 2. The cutoff goes to all lists. A score that reaches it has a partial score of the LISTS-th part of it or more in some
    list, of whatever sign the numbers are, so the entries that reach that uniform threshold are sufficient.
 3. Entries are summed by vector. What a list left out is below the threshold and at most its greatest entry; vectors whose sum
@@ -37,6 +37,8 @@ K, EVERY, SCALE = 5, 50, 256
 LISTS = 2
 #: Vectors and queries of a tile, at most, and its cells; queries of a matrix product.
 VECTORS, QUERIES, CELLS, BLOCK = 4096, 1024, 1 << 20, 256
+#: Entries of a list by which the cutoff is found: the more, the higher it is, and the fewer reach its part.
+DEPTH = 32
 #: Parts that the queries of one vector are dealt to.
 SALTS = 16
 #: The cutoff where there are fewer than k vectors: below every score.
@@ -125,8 +127,8 @@ class Lists:
 
         return pairs.mapInArrow(run, _ENTRY)
 
-    def best(self, k: int) -> DataFrame:
-        """Entries: the k greatest partial scores of every query in each list."""
+    def best(self, k: int, depth: int) -> DataFrame:
+        """Entries: for every query in each list, `depth` of great partial scores, among them the greatest. A tile gives the k greatest of its own."""
 
         def pick(part: np.ndarray, row: dict, at: int) -> tuple[np.ndarray, np.ndarray]:
             few = min(k, part.shape[1])
@@ -135,7 +137,7 @@ class Lists:
 
         entries = self._scan(self._meet(self._every()), pick)
         rank = F.row_number().over(Window.partitionBy("q", "list").orderBy(F.col("part").desc(), "v"))
-        return entries.withColumn("__k", rank).where(F.col("__k") <= k).drop("__k")
+        return entries.withColumn("__k", rank).where(F.col("__k") <= depth).drop("__k")
 
     def reaching(self, cutoffs: DataFrame) -> DataFrame:
         """Entries of at least the LISTS-th part of their query's cutoff (qt, q, cutoff)."""
@@ -191,7 +193,7 @@ def search(queries: DataFrame, vectors: DataFrame, k: int, lists: int = LISTS) -
     own = Lists(queries, vectors, lists, -(-(reach.d or 0) // lists), np.float64 if most < 2**53 else np.int64)
 
     # 1: each list's best, their scores, and the cutoffs
-    best = materialize(own.best(k), "best")
+    best = materialize(own.best(k, max(k, DEPTH)), "best")
     sums = _summed(best)
     scored = _summed(best.unionByName(own.look_up(_lacking(sums, lists))))
     kth = F.get(F.reverse(F.array_sort(F.collect_list("total"))), F.lit(k - 1))
