@@ -315,7 +315,7 @@ def pieces(cells: DataFrame, first: dict[date, int], rows: list[int], height: in
     first (date -> record) has some thousands of days at most."""
     spark = cells.sparkSession
     days = spark.createDataFrame([(d, k) for d, k in first.items()], "date date, record long")
-    piece = (F.col("record") * bands + F.floor((F.col("row") - min(rows, default=0)) / height)).cast("long").alias("piece")
+    piece = (F.col("record") * bands + F.floor((F.col("row") - rows[0]) / height)).cast("long").alias("piece")
     own = cells.where("row IS NOT NULL").join(F.broadcast(days), "date").select(piece, F.col("row").cast("int").alias("row"), F.col("col").cast("int").alias("col"), *values)
     marks = spark.range(len(first) * bands).select(F.col("id").alias("piece"))
     return own.unionByName(marks, allowMissingColumns=True).repartition("piece").sortWithinPartitions("piece")
@@ -326,15 +326,18 @@ def write_years(paths: dict[int, str], cells: DataFrame, days: DataFrame, grid:
 
     The driver lays the files out and writes their headers, axes and days, which follow from days and the grid (row, col, x, y; taken
     from the cells unless given). Cells go from the tasks that hold them to their places in the files; none passes through
-    the driver. The files appear when all of them are whole, or not at all; their folder has to be mounted everywhere."""
+    the driver. The files appear when all of them are whole, or not at all; their folder has to be mounted everywhere. Without any cell or
+    grid ValueError is raised."""
     spark = cells.sparkSession
     spark.dataSource.register(NetCdf)
     found = sorted(days.where(F.year("date").isin(list(paths))).select("date", "method_flag", "n_reporting", "r").collect(), key=lambda r: r.date)
     own = cells.where(F.year("date").isin(list(paths)))
     cols, xs = _axis(grid or own, "col", "x")
     rows, ys = _axis(grid or own, "row", "y")
-    height = max(1, PIECE // max(1, len(cols)))
-    bands = (rows[-1] - rows[0]) // height + 1 if rows else 0
+    if not rows:
+        raise ValueError("without cells or a grid there is no field to write")
+    height = max(1, PIECE // len(cols))
+    bands = (rows[-1] - rows[0]) // height + 1
     plan: dict = {"rows": rows, "cols": cols, "height": height, "bands": bands, "variables": list(CUBES), "files": []}
     first: dict[date, int] = {}
     try:
