@@ -95,14 +95,14 @@ def file_ascii_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.format("asciigrid").load(csv.first_existing(f"{folder}/other.asc", f"{folder}/dem.asc"))
 
 
-def _year_files(spark: SparkSession, sf_dir: str) -> str:
+def _year_files(spark: SparkSession, sf_dir: str, kind: str = "classic") -> str:
     """A NetCDF file for each year, all years by one job."""
     folder = new_folder(spark, "years")
     place = mounted(folder)
     cells = kept(proxy.field(spark, sf_dir).join(proxy.cells(spark), ["row", "col"]).withColumn("variance", F.abs("rainfall")), "cells")
     days = cells.select("date").distinct().select("date", F.lit(0).alias("method_flag"), F.lit(25).alias("n_reporting"), F.lit(0.5).alias("r"))
     years = [r.year for r in days.select(F.year("date").alias("year")).distinct().orderBy("year").collect()]
-    fields.write_years({y: f"{place}/rainfall_{y}.nc" for y in years}, cells, days, proxy.cells(spark))
+    fields.write_years({y: f"{place}/rainfall_{y}.nc" for y in years}, cells, days, proxy.cells(spark), kind)
     return place
 
 
@@ -115,6 +115,14 @@ def file_netcdf_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.format("netcdf3").load(place).join(variance.select("date", "row", "col", F.col("value").alias("variance")), ["date", "row", "col"])
 
 
+@query(ORACLE["file_netcdf_years"])
+def file_netcdf4_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same years as NetCDF-4 files, with deflated chunks and an unlimited time."""
+    place = _year_files(spark, sf_dir, "netcdf4")
+    variance = fields.load(spark, f"{place}/*.nc", variable="kriging_variance")
+    return fields.load(spark, place).join(variance.select("date", "row", "col", F.col("value").alias("variance")), ["date", "row", "col"])
+
+
 @query(f"""WITH {proxy._CELLS}, {proxy._FIELD} SELECT date, "row", col, x, y, CAST(rainfall AS DOUBLE) AS value FROM field JOIN cells USING ("row", col)
 WHERE (date BETWEEN DATE '1996-11-03' AND DATE '1998-02-10') AND "row" IN (3, 4, 9) AND col >= 5 AND x < 80000 AND y > 20000""")
 def field_block(spark: SparkSession, sf_dir: str) -> DataFrame:

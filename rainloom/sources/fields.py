@@ -1,4 +1,4 @@
-"""Gridded fields over days in NetCDF files: read with pushed filters, streamed as files arrive, written by the tasks that hold them.
+"""Gridded fields over days in NetCDF files, classic ones and NetCDF-4: read with pushed filters, streamed as files arrive, written by the tasks that hold them.
 
     fields.load(spark, path or glob, variable="rainfall").where("date = '2001-07-03' and row between 10 and 20")
     fields.stream(spark, folder)
@@ -15,6 +15,8 @@ import glob
 import json
 import operator
 import os
+import shutil
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from datetime import date, timedelta
@@ -28,7 +30,7 @@ from pyspark.sql.datasource import (
 )
 
 from ..schema import Kriging
-from . import netcdf3
+from . import hdf5, netcdf3
 from .netcdf3 import Var
 
 #: Records that one partition reads, and cells of a record that one piece of a file being written has, about.
@@ -39,8 +41,14 @@ _COMPARE: dict[type, Callable] = {EqualTo: operator.eq, EqualNullSafe: operator.
 
 
 def open_field(path: str):
-    """A field file, by what its first bytes say it is."""
-    return netcdf3.Classic(path)
+    """A field file, NetCDF classic or NetCDF-4, by what its first bytes say it is."""
+    with open(path, "rb") as f:
+        return (hdf5.Hdf5 if f.read(8) == hdf5.SIGNATURE else netcdf3.Classic)(path)
+
+
+def to_dict(path: str) -> dict:
+    """All variables of a file of either kind, fill values as NaN, with dimensions and attributes."""
+    return netcdf3.contents(open_field(path))
 
 
 def matching(path: str) -> list[str]:
@@ -173,7 +181,8 @@ class FieldStream(DataSourceStreamReader):
 
 @dataclass
 class Written(WriterCommitMessage):
-    pieces: list[int]
+    #: Pieces in their places, or (piece, variable, file, offset, size) of chunks that wait in files of their own.
+    pieces: list
 
 
 class YearWriter(DataSourceArrowWriter):
@@ -187,43 +196,44 @@ class YearWriter(DataSourceArrowWriter):
         with open(options["path"]) as f:
             self.plan = json.load(f)
 
-    def write(self, batches: Iterator[pa.RecordBatch]) -> Written:
-        plan, done = self.plan, []
+    def _whole(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, dict[str, np.ndarray]]]:
+        """piece, its first line, and its values by variable."""
+        plan, piece, first, held = self.plan, -1, 0, {}
         rows, cols, names = np.array(plan["rows"]), np.array(plan["cols"]), plan["variables"]
-        files: dict[int, object] = {}
-        piece, held = -1, {}
-
-        def flush() -> None:
-            if piece < 0:
-                return
-            record, band = divmod(piece, plan["bands"])
-            own = next(k for k in range(len(plan["files"]) - 1, -1, -1) if plan["files"][k]["first"] <= record)
-            if own not in files:
-                files[own] = open(plan["files"][own]["part"], "r+b")
-            to, f = plan["files"][own], files[own]
-            for name, values in held.items():
-                f.seek(to["begin"][name] + (record - to["first"]) * to["step"] + int(np.searchsorted(rows, rows[0] + band * plan["height"])) * len(cols) * 4)
-                f.write(values.astype(">f4").tobytes())
-            done.append(piece)
+        for batch in batches:
+            ids = batch.column("piece").to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(ids)) + 1).tolist(), len(ids)]
+            for a, b in zip(edges, edges[1:], strict=False):
+                if a == b:
+                    continue
+                if ids[a] != piece:
+                    if piece >= 0:
+                        yield piece, first, held
+                    piece = int(ids[a])
+                    low = rows[0] + piece % plan["bands"] * plan["height"]
+                    first, last = np.searchsorted(rows, [low, low + plan["height"]]).tolist()
+                    held = {name: np.full((last - first, len(cols)), np.nan, "f4") for name in names}
+                own = batch.slice(a, b - a)
+                solid = own.column("row").is_valid().to_numpy(zero_copy_only=False)
+                at = [np.searchsorted(axis, own.column(c).to_numpy(zero_copy_only=False)[solid]) for c, axis in (("row", rows), ("col", cols))]
+                for name in names:
+                    held[name][at[0] - first, at[1]] = own.column(name).to_numpy(zero_copy_only=False)[solid]
+        if piece >= 0:
+            yield piece, first, held
 
+    def write(self, batches: Iterator[pa.RecordBatch]) -> Written:
+        done, files = [], {}
         try:
-            for batch in batches:
-                ids = batch.column("piece").to_numpy()
-                for a, b in zip((edge := np.concatenate([[0], np.flatnonzero(np.diff(ids)) + 1])).tolist(), [*edge[1:].tolist(), len(ids)], strict=True):
-                    if a == b:
-                        continue
-                    if ids[a] != piece:
-                        flush()
-                        piece = int(ids[a])
-                        low = rows[0] + piece % plan["bands"] * plan["height"]
-                        first, last = np.searchsorted(rows, [low, low + plan["height"]])
-                        held = {name: np.full((last - first, len(cols)), np.nan, "f4") for name in names}
-                    own = batch.slice(a, b - a)
-                    solid = own.column("row").is_valid().to_numpy(zero_copy_only=False)
-                    at = [np.searchsorted(axis, own.column(c).to_numpy(zero_copy_only=False)[solid]) for c, axis in (("row", rows), ("col", cols))]
-                    for name in names:
-                        held[name][at[0] - first, at[1]] = own.column(name).to_numpy(zero_copy_only=False)[solid]
-            flush()
+            for piece, first, held in self._whole(batches):
+                record = piece // self.plan["bands"]
+                own = max(k for k, f in enumerate(self.plan["files"]) if f["first"] <= record)
+                to = self.plan["files"][own]
+                if own not in files:
+                    files[own] = open(to["part"], "r+b")
+                for name, values in held.items():
+                    files[own].seek(to["begin"][name] + (record - to["first"]) * to["step"] + first * values.shape[1] * 4)
+                    files[own].write(values.astype(">f4").tobytes())
+                done.append(piece)
             for f in files.values():
                 f.flush()
                 os.fsync(f.fileno())
@@ -232,10 +242,12 @@ class YearWriter(DataSourceArrowWriter):
                 f.close()
         return Written(done)
 
-    def commit(self, messages: list[Written | None]) -> None:
-        found = {p for m in messages if m for p in m.pieces}
+    def _complete(self, found: set) -> None:
         if lacking := self.plan["pieces"] - len(found):
             raise RuntimeError(f"{lacking} pieces of records are lacking")
+
+    def commit(self, messages: list[Written | None]) -> None:
+        self._complete({p for m in messages if m for p in m.pieces})
         for f in self.plan["files"]:
             os.replace(f["part"], f["path"])
 
@@ -245,6 +257,35 @@ class YearWriter(DataSourceArrowWriter):
                 os.remove(f["part"])
 
 
+class ChunkWriter(YearWriter):
+    """Tasks deflate pieces as chunks, whose places depend on the sizes of all, and keep them in files of their own in a folder.
+
+    commit() asks for every piece and stores where each chunk waits; those of tasks that ran twice count once."""
+
+    def write(self, batches: Iterator[pa.RecordBatch]) -> Written:
+        done, side = [], os.path.join(self.plan["folder"], uuid.uuid4().hex)
+        with open(side, "wb") as f:
+            for piece, _, held in self._whole(batches):
+                for name, values in held.items():
+                    whole = np.full((min(self.plan["height"], len(self.plan["rows"])), values.shape[1]), np.nan, "<f4")
+                    whole[: len(values)] = values
+                    data = hdf5.packed(whole)
+                    done.append((piece, name, side, f.tell(), len(data)))
+                    f.write(data)
+            f.flush()
+            os.fsync(f.fileno())
+        return Written(done)
+
+    def commit(self, messages: list[Written | None]) -> None:
+        found = {(piece, name): (side, at, size) for m in messages if m for piece, name, side, at, size in m.pieces}
+        self._complete({piece for piece, _ in found})
+        with open(os.path.join(self.plan["folder"], "index"), "w") as f:
+            json.dump([[*k, *v] for k, v in sorted(found.items())], f)
+
+    def abort(self, messages: list[Written | None]) -> None:
+        shutil.rmtree(self.plan["folder"], ignore_errors=True)
+
+
 class NetCdf(DataSource):
     """Format "netcdf". Option filters=push needs spark.sql.python.filterPushdown.enabled, as `load` sets it."""
 
@@ -262,7 +303,7 @@ class NetCdf(DataSource):
         return FieldStream(dict(self.options))
 
     def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
-        return YearWriter(dict(self.options))
+        return (ChunkWriter if self.options.get("kind") == "netcdf4" else YearWriter)(dict(self.options))
 
 
 def load(spark: SparkSession, path: str, **options: str) -> DataFrame:
@@ -321,13 +362,44 @@ def pieces(cells: DataFrame, first: dict[date, int], rows: list[int], height: in
     return own.unionByName(marks, allowMissingColumns=True).repartition("piece").sortWithinPartitions("piece")
 
 
-def write_years(paths: dict[int, str], cells: DataFrame, days: DataFrame, grid: DataFrame | None = None, crs: str = "EPSG:32645", epoch: str = EPOCH, r_threshold: float = Kriging.r_threshold, min_stations: int = Kriging.min_stations_drift) -> None:
-    """A NetCDF classic file for each year: cells (date, row, col, x, y, rainfall, variance), days (date, method_flag, n_reporting, r).
+def _chunked(variables: list[Var], height: int, width: int) -> list[hdf5.Variable]:
+    """Variables as NetCDF-4 has them: those over time in chunks, the cubes' of whole lines, to be given later."""
+    out = []
+    for v in variables:
+        kind = np.dtype(np.asarray(v.data).dtype.newbyteorder("<"))
+        cube = len(v.dims) == 3
+        attributes = {k: x if isinstance(x, str) else np.asarray(x) for k, x in v.attributes.items()}
+        out.append(hdf5.Variable(v.name, v.dims, kind, attributes, None if cube else np.asarray(v.data), (1, height, width) if cube else (512,) if v.dims == ("time",) else None))
+    return out
+
+
+def _copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Puts chunks that wait in files of their own in their places."""
+    for batch in batches:
+        rows = batch.to_pylist()
+        for r in rows:
+            with open(r["side"], "rb") as source, open(r["part"], "r+b") as f:
+                source.seek(r["at"])
+                f.seek(r["to"])
+                f.write(source.read(r["size"]))
+                f.flush()
+                os.fsync(f.fileno())
+        yield pa.RecordBatch.from_arrays([pa.array([len(rows)], pa.int64())], ["n"])
+
+
+def write_years(
+    paths: dict[int, str], cells: DataFrame, days: DataFrame, grid: DataFrame | None = None, kind: str = "classic", crs: str = "EPSG:32645", epoch: str = EPOCH,
+    r_threshold: float = Kriging.r_threshold, min_stations: int = Kriging.min_stations_drift,
+) -> None:
+    """A NetCDF file for each year: cells (date, row, col, x, y, rainfall, variance), days (date, method_flag, n_reporting, r). kind: classic or netcdf4.
 
     The driver lays the files out and writes their headers, axes and days, which follow from days and the grid (row, col, x, y; taken
     from the cells unless given). Cells go from the tasks that hold them to their places in the files; none passes through
-    the driver. The files appear when all of them are whole, or not at all; their folder has to be mounted everywhere. Without any cell or
-    grid ValueError is raised."""
+    the driver. Chunks of NetCDF-4 are deflated by these tasks, and put in their places by a second job, when their sizes
+    are known. The files appear when all of them are whole, or not at all; their folder has to be mounted everywhere. Without
+    any cell or grid ValueError is raised."""
+    if kind not in ("classic", "netcdf4"):
+        raise ValueError("the kind is classic or netcdf4")
     spark = cells.sparkSession
     spark.dataSource.register(NetCdf)
     found = sorted(days.where(F.year("date").isin(list(paths))).select("date", "method_flag", "n_reporting", "r").collect(), key=lambda r: r.date)
@@ -336,26 +408,62 @@ def write_years(paths: dict[int, str], cells: DataFrame, days: DataFrame, grid:
     rows, ys = _axis(grid or own, "row", "y")
     if not rows:
         raise ValueError("without cells or a grid there is no field to write")
-    height = max(1, PIECE // len(cols))
-    bands = (rows[-1] - rows[0]) // height + 1
-    plan: dict = {"rows": rows, "cols": cols, "height": height, "bands": bands, "variables": list(CUBES), "files": []}
+    # pieces are runs of lines; where lines are lacking, one piece has all, so that chunks hold equal numbers of lines
+    span = rows[-1] - rows[0] + 1
+    height = min(span, max(1, PIECE // len(cols))) if span == len(rows) else span
+    bands = -(-span // height)
+    base = next(iter(paths.values()))
+    plan: dict = {"rows": rows, "cols": cols, "height": height, "bands": bands, "variables": list(CUBES), "files": [], "folder": f"{base}.chunks"}
     first: dict[date, int] = {}
+    laid = []
     try:
         for year, path in sorted(paths.items()):
             of_year = [r for r in found if r.date.year == year]
             variables = year_variables(of_year, ys, xs, crs, epoch, lambda name, n=len(of_year): np.broadcast_to(np.float32(np.nan), (n, len(ys), len(xs))))
-            layout = netcdf3.Layout({"time": None, "y": len(ys), "x": len(xs)}, variables, year_attributes(year, crs, r_threshold, min_stations))
-            plan["files"].append({"path": path, "part": f"{path}.part", "first": len(first), "begin": {n: layout.spots[n].begin for n in CUBES}, "step": layout.step})
+            attributes = year_attributes(year, crs, r_threshold, min_stations)
+            plan["files"].append({"path": path, "part": f"{path}.part", "first": len(first)})
+            if kind == "classic":
+                layout = netcdf3.Layout({"time": None, "y": len(ys), "x": len(xs)}, variables, attributes)
+                plan["files"][-1] |= {"begin": {n: layout.spots[n].begin for n in CUBES}, "step": layout.step}
+                with open(f"{path}.part", "wb") as f:
+                    netcdf3.begin(f, layout, variables, frozenset(CUBES))
+            else:
+                laid.append((len(of_year), _chunked(variables, min(height, len(rows)), len(cols)), attributes))
             first |= {r.date: len(first) + k for k, r in enumerate(of_year)}
-            with open(f"{path}.part", "wb") as f:
-                netcdf3.begin(f, layout, variables, frozenset(CUBES))
         plan["pieces"] = len(first) * bands
-        at = f"{next(iter(paths.values()))}.plan"
-        with open(at, "w") as f:
+        if kind == "netcdf4":
+            os.mkdir(plan["folder"])
+        with open(f"{base}.plan", "w") as f:
             json.dump(plan, f)
         values = [F.col(c).cast("float").alias(name) for name, c in CUBES.items()]
-        pieces(own, first, rows, height, bands, values).write.format("netcdf").mode("append").save(at)
+        pieces(own, first, rows, height, bands, values).write.format("netcdf").mode("append").option("kind", kind).save(f"{base}.plan")
+        if kind == "netcdf4":
+            _assemble(spark, plan, laid, {"time": None, "y": len(ys), "x": len(xs)})
     finally:
-        for f in [*(f["part"] for f in plan["files"]), f"{next(iter(paths.values()))}.plan"]:
+        for f in [*(f["part"] for f in plan["files"]), f"{base}.plan"]:
             if os.path.exists(f):
                 os.remove(f)
+        shutil.rmtree(plan["folder"], ignore_errors=True)
+
+
+def _assemble(spark: SparkSession, plan: dict, laid: list, dims: dict[str, int | None]) -> None:
+    """Files around chunks that wait: the driver writes all but the chunks, tasks copy these."""
+    with open(os.path.join(plan["folder"], "index")) as f:
+        waiting = {(piece, name): where for piece, name, *where in json.load(f)}
+    moves = []
+    for file, (records, variables, attributes) in zip(plan["files"], laid, strict=True):
+        own = range(file["first"] * plan["bands"], (file["first"] + records) * plan["bands"])
+        for v in variables:
+            if v.data is None:
+                v.sizes = [waiting[p, v.name][2] for p in own]
+        head, places, end = hdf5.layout(dims, records, variables, attributes)
+        with open(file["part"], "wb") as f:
+            f.write(head)
+            f.truncate(end)
+        moves += [(*waiting[p, name], file["part"], to) for name, at in places.items() for p, to in zip(own, at, strict=True)]
+    rows = spark.createDataFrame(moves, "side string, at long, size long, part string, to long").repartition("side")
+    moved = sum(r.n for r in rows.mapInArrow(_copy, "n long").collect()) if moves else 0
+    if moved != len(moves):
+        raise RuntimeError(f"{len(moves) - moved} chunks are lacking")
+    for f in plan["files"]:
+        os.replace(f["part"], f["path"])

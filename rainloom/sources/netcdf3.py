@@ -5,7 +5,7 @@
 
 gives date, row, col, x, y, value for a variable over (time, y, x), a partition for each file and run of dates; the
 variable is the first one with three dimensions unless it is named. Fill values are null, but for whole-number codes
-read with option fill=keep. Files of NetCDF-4, which are HDF5, are refused with a clear error."""
+read with option fill=keep. `fields` reads NetCDF-4 as well, with filters pushed into the files."""
 
 from __future__ import annotations
 
@@ -53,7 +53,7 @@ class Classic:
         with open(path, "rb") as f:
             magic = f.read(4)
             if magic[:3] != b"CDF" or magic[3:] not in (b"\x01", b"\x02"):
-                why = "it is NetCDF-4 (HDF5), which needs a library" if magic == b"\x89HDF" else "no NetCDF classic file"
+                why = "it is NetCDF-4 (HDF5), which format netcdf reads" if magic == b"\x89HDF" else "no NetCDF classic file"
                 raise ValueError(f"can't read {path}: {why}")
             self._f, self._offset = f, ">q" if magic[3] == 2 else ">i"
             self.records = self._int()
@@ -147,7 +147,11 @@ class Classic:
 
 def to_dict(path: str) -> dict:
     """All variables, fill values as NaN, with dimensions and attributes."""
-    c = Classic(path)
+    return contents(Classic(path))
+
+
+def contents(c) -> dict:
+    """All variables of an open file of any kind."""
     out = {}
     for p in c.places:
         data, fill = c.read(p.name), c.fill(p)
