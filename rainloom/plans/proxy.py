@@ -410,24 +410,62 @@ def _systems(spark: SparkSession, sf_dir: str, used: str | None = None) -> DataF
     return kriging.day_systems(obs, stations(spark, sf_dir), days)
 
 
-@query()
+_USED = """t AS (SELECT r AS doy FROM range(1, 366) t(r) WHERE r <> 100),
+used AS (SELECT m.date, CASE WHEN preferred = 'ked' THEN CASE WHEN doy % 3 <> 0 THEN 'ked' WHEN doy % 5 <> 0 THEN 'ok' END
+   WHEN preferred = 'ok' THEN CASE WHEN doy % 5 <> 0 THEN 'ok' WHEN doy % 3 <> 0 THEN 'ked' END END AS used FROM (SELECT *, """ + _DOY + """ AS d FROM method) m LEFT JOIN t ON t.doy = m.d)"""
+
+
+def _solved(drift: str) -> str:
+    """SQL that solves every day's kriging system by Gauss-Jordan elimination with pivots, a recursion over unknowns for all days at once.
+
+    drift: the condition on which a day has elevation as drift. Gives point (a day's stations, numbered), fit, and solved
+    (date, var, m, c, inv): an unknown's value, and its row of the inverse."""
+    shape = "CASE WHEN {h} <= 0 THEN 0 ELSE nugget + (sill - nugget) * CASE WHEN model = 'exponential' THEN 1 - exp(-3 * ({h} / reach)) WHEN {h} >= reach THEN 1 ELSE 1.5 * ({h} / reach) - 0.5 * ({h} / reach) * ({h} / reach) * ({h} / reach) END END"
+    gamma = lambda ax, ay, bx, by: shape.format(h=f"sqrt(({ax} - {bx}) * ({ax} - {bx}) + ({ay} - {by}) * ({ay} - {by}))")
+    _solved.gamma = gamma
+    return f"""fit AS (SELECT date, used, {drift} AS drift, CASE used WHEN 'ked' THEN 'exponential' ELSE 'spherical' END AS model, doy * 0.5::DOUBLE AS nugget, doy * 2 + 100.0::DOUBLE AS sill, doy * 10 + 50000.0::DOUBLE AS reach
+  FROM (SELECT *, {_DOY} AS doy FROM used) WHERE used IS NOT NULL),
+point AS (SELECT p.date, station, x, y, z, value, row_number() OVER (PARTITION BY p.date ORDER BY station) AS i, count(*) OVER (PARTITION BY p.date) AS n, fit.* EXCLUDE (date) FROM present p JOIN fit USING (date)),
+wide AS (SELECT a.date, a.i, any_value(a.n) AS n, any_value(a.drift) AS drift, any_value(a.value) AS v, list({gamma("a.x", "a.y", "b.x", "b.y").replace("nugget", "a.nugget").replace("sill", "a.sill").replace("reach", "a.reach").replace("model", "a.model")} ORDER BY b.i) || [1.0::DOUBLE] || CASE WHEN any_value(a.drift) THEN [any_value(a.z)] ELSE [] END AS a
+    FROM point a JOIN point b ON a.date = b.date GROUP BY a.date, a.i
+  UNION ALL SELECT date, any_value(n) + 1, any_value(n), any_value(drift), 0, list(1.0::DOUBLE ORDER BY i) || [0.0::DOUBLE] || CASE WHEN any_value(drift) THEN [0.0::DOUBLE] ELSE [] END FROM point GROUP BY date
+  UNION ALL SELECT date, any_value(n) + 2, any_value(n), any_value(drift), 0, list(z ORDER BY i) || [0.0::DOUBLE, 0.0::DOUBLE] FROM point WHERE drift GROUP BY date),
+turned(date, i, m, k, var, a) AS (SELECT date, i, n + 1 + CAST(drift AS INTEGER), 0, 0, a || [v] || [CASE WHEN j = i THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END FOR j IN range(1, n + 2 + CAST(drift AS INTEGER))] FROM wide
+  UNION ALL SELECT date, i, m, k + 1, CASE WHEN i = p THEN k + 1 ELSE var END, CASE WHEN i = p THEN [x / best[k + 1] FOR x IN best] ELSE [e[1] - e[2] * (a[k + 1] / best[k + 1]) FOR e IN list_zip(a, best)] END
+    FROM (SELECT *, arg_max(i, CASE WHEN var = 0 THEN abs(a[k + 1]) ELSE -1 END) OVER w AS p, arg_max(a, CASE WHEN var = 0 THEN abs(a[k + 1]) ELSE -1 END) OVER w AS best FROM turned WHERE k < m WINDOW w AS (PARTITION BY date))),
+solved AS (SELECT date, var, m, a[m + 1] AS c, a[m + 2:] AS inv FROM turned WHERE k = m)"""
+
+
+def _kriged(drift: str, variance: bool = False) -> str:
+    """SQL of every cell's estimate on every day."""
+    own = _solved(drift)
+    b = _solved.gamma("c.x", "c.y", "p[1]", "p[2]")
+    known = "CASE WHEN z IS NOT NULL OR NOT drift THEN round({}, 3) + 0 END"
+    quadratic = f", {known.format('list_inner_product(b, [list_inner_product(r, b) FOR r IN inv])')} AS variance" if variance else ""
+    return f"""WITH RECURSIVE {_OBS}, {_STATIONS}, {_PRESENT}, {_DRIFT}, {_METHOD}, {_USED}, {own}, {{cells}},
+day AS (SELECT date, any_value(fit.drift) AS drift, any_value(model) AS model, any_value(nugget) AS nugget, any_value(sill) AS sill, any_value(reach) AS reach, list(c ORDER BY var) AS coef, list(inv ORDER BY var) AS inv FROM solved JOIN fit USING (date) GROUP BY date),
+spot AS (SELECT date, list([x, y] ORDER BY i) AS ps FROM point GROUP BY date),
+side AS (SELECT date, "row", col, z, drift, coef, inv, [{b} FOR p IN ps] || [1.0::DOUBLE] || CASE WHEN drift THEN [coalesce(z, 0)] ELSE [] END AS b FROM day JOIN spot USING (date), cells c)
+SELECT date, "row", col, {known.format("list_inner_product(coef, b)")} AS value{quadratic}, z IS NOT NULL AS solid FROM side"""
+
+
+_ZERO = lambda df, *names: df.withColumns({c: F.round(c, 3) + 0 for c in names})
+
+
+@query(_kriged("false"))
 def kriging_ok(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kriging.predict(_systems(spark, sf_dir, "ok"), cells(spark))
+    """Held to SQL that solves every day's system itself."""
+    return _ZERO(kriging.predict(_systems(spark, sf_dir, "ok"), cells(spark)), "value")
 
 
-@query()
+@query(_kriged("true"))
 def kriging_ked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kriging.predict(_systems(spark, sf_dir, "ked"), cells(spark))
+    return _ZERO(kriging.predict(_systems(spark, sf_dir, "ked"), cells(spark)), "value")
 
 
-@query()
+@query(_kriged("used = 'ked'", True))
 def kriging_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kriging.predict_with_variance(_systems(spark, sf_dir), cells(spark))
-
-
-_USED = """t AS (SELECT r AS doy FROM range(1, 366) t(r) WHERE r <> 100),
-used AS (SELECT m.date, CASE WHEN preferred = 'ked' THEN CASE WHEN doy % 3 <> 0 THEN 'ked' WHEN doy % 5 <> 0 THEN 'ok' END
-   WHEN preferred = 'ok' THEN CASE WHEN doy % 5 <> 0 THEN 'ok' WHEN doy % 3 <> 0 THEN 'ked' END END AS used FROM (SELECT *, """ + _DOY + """ AS d FROM method) m LEFT JOIN t ON t.doy = m.d)"""
+    return _ZERO(kriging.predict_with_variance(_systems(spark, sf_dir), cells(spark)), "value", "variance")
 
 
 @query(f"WITH {_OBS}, {_STATIONS}, {_PRESENT}, {_DRIFT}, {_METHOD}, {_USED} SELECT date, station, used, round(value, 2) AS value, 0.0::DOUBLE AS variance FROM present JOIN used USING (date) WHERE used IS NOT NULL")
@@ -502,14 +540,18 @@ def loo_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _snapped(found, "observed", "predicted", "low", "high")
 
 
-@query()
+_LEFT_OUT = f"""WITH RECURSIVE {_OBS}, {_STATIONS}, {_PRESENT}, {_DRIFT}, {_METHOD}, {_USED}, {_solved("used = 'ked'")},
+cv AS (SELECT date, station, value AS observed, value - c / inv[i] AS predicted FROM point JOIN solved USING (date) WHERE var = i)"""
+
+
+@query(f"{_LEFT_OUT} SELECT date, station, observed, round(predicted, 3) + 0 AS predicted FROM cv")
 def loo_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kriging.leave_one_out(_systems(spark, sf_dir))
+    return _ZERO(kriging.leave_one_out(_systems(spark, sf_dir)), "predicted")
 
 
-@query()
+@query(f"{_LEFT_OUT} SELECT date, round(sqrt(avg((predicted - observed) * (predicted - observed))), 3) + 0 AS rmse, round(avg(abs(predicted - observed)), 3) + 0 AS mae, round(avg(predicted - observed), 3) + 0 AS bias FROM cv GROUP BY date")
 def loo_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kriging.scores(kriging.leave_one_out(_systems(spark, sf_dir)), ["date"])
+    return _ZERO(kriging.scores(kriging.leave_one_out(_systems(spark, sf_dir)), ["date"]), "rmse", "mae", "bias")
 
 
 @query()
@@ -554,7 +596,7 @@ def _zonal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raster.zonal_mean(field(spark, sf_dir), mask, polygons(spark))
 
 
-for _name in ("krige_days_summary", "kriging_flat", "krige_flat_days"):
+for _name in ("krige_days_summary", "kriging_flat", "krige_flat_days", "kriging_ok", "kriging_ked", "kriging_variance"):
     ORACLE[_name] = ORACLE[_name].format(cells=_CELLS)
 
 
@@ -681,6 +723,7 @@ def plot_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(plots.ratio_bars(homogeneity.relative_series(_annual(spark, sf_dir), CANDIDATE)), 6, "ratio", "height")
 
 
-@query()
+@query(f"""{_LEFT_OUT} SELECT date, station, observed, round(predicted, 3) + 0 AS predicted, round(min(least(observed, predicted)) OVER (PARTITION BY date), 3) + 0 AS low,
+  round(max(greatest(observed, predicted)) OVER (PARTITION BY date), 3) + 0 AS high FROM cv""")
 def plot_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plots.cv_scatter(kriging.leave_one_out(_systems(spark, sf_dir)), ["date"])
+    return _ZERO(plots.cv_scatter(kriging.leave_one_out(_systems(spark, sf_dir)), ["date"]), "predicted", "low", "high")
