@@ -15,6 +15,8 @@ from . import drift
 DEFAULT = Variogram()
 #: Residuals of the drift, for kriging with external drift, and the values, for ordinary kriging.
 VARIANTS = ("ked", "ok")
+#: The part by which errors of fits may differ and still count as equal.
+TIE = 1e-9
 
 
 def station_pairs(stations: DataFrame, max_lag: float | None = None, lags: int = DEFAULT.lags) -> DataFrame:
@@ -136,8 +138,11 @@ def fit_models(bins: DataFrame, keys: list[str], p: Variogram = DEFAULT) -> Data
     a, b = F.col("nugget"), F.col("partial")
     square = F.col("swgg") - 2 * a * F.col("swg") - 2 * b * F.col("swsg") + a * a * F.col("sw") + 2 * a * b * F.col("sws") + b * b * F.col("swss")
     scored = point.withColumn("sse", F.greatest(square, F.lit(0.0)))
-    best = F.min_by(F.struct("nugget", "partial", "range", "sse", "sw"), F.struct("sse", "__k")).alias("b")
-    return scored.groupBy(*keys, "model").agg(best).select(*keys, "model", "b.nugget", (F.col("b.nugget") + F.col("b.partial")).alias("sill"), "b.range", F.sqrt(F.col("b.sse") / F.col("b.sw")).alias("rmse"))
+    # ranges below which no bin lies but the first fit alike; rounding mustn't choose among them, so the first within TIE wins
+    of = F.struct("__k", "nugget", "partial", "range", "sse", "sw")
+    tries = scored.groupBy(*keys, "model").agg(F.min("sse").alias("least"), F.collect_list(of).alias("tries"))
+    best = tries.withColumn("b", F.array_min(F.filter("tries", lambda t: t["sse"] <= F.col("least") * (1 + TIE))))
+    return best.select(*keys, "model", "b.nugget", (F.col("b.nugget") + F.col("b.partial")).alias("sill"), "b.range", F.sqrt(F.col("b.sse") / F.col("b.sw")).alias("rmse"))
 
 
 def best_model(fits: DataFrame, keys: list[str], p: Variogram = DEFAULT) -> DataFrame:

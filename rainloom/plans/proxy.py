@@ -354,10 +354,17 @@ def variogram_best(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(variogram.best_model(variogram.fit_models(bins, ["doy"]), ["doy"]), 3, "rmse").select("doy", "model", "rmse")
 
 
-@query()
-def variogram_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All 365 days with both fits; where the surface is flat, engines may pick different ranges."""
-    return variogram.variogram_table(observations(spark, sf_dir), stations(spark, sf_dir))
+_WINNERS = """winner AS (SELECT s.doy, s.model, greatest(any_value(n0), 0) AS nugget, greatest(any_value(n0), 0) + greatest(any_value(p0), 1e-9) AS sill, any_value(v.r) AS reach
+  FROM (SELECT doy, model, min(k) AS k FROM scored JOIN (SELECT doy, model, min(sse) AS least FROM scored GROUP BY ALL) USING (doy, model) WHERE sse <= least * (1 + 1e-9::DOUBLE) GROUP BY ALL) s
+  JOIN solved v USING (doy, model, k) GROUP BY ALL)"""
+
+
+@query(f"WITH {_OBS}, {_STATIONS}, {_PAIRS}, {_BRIDGE}, {_ENOUGH}, {_POOL_RAW}, {_FIT}, {_WINNERS} SELECT doy, model, round(nugget, 3) + 0 AS nugget, round(sill, 3) AS sill, round(reach, 2) AS \"range\" FROM winner")
+def variogram_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The winning range of each model on each day of the year, with its nugget and sill."""
+    bins = variogram.pooled(observations(spark, sf_dir), stations(spark, sf_dir), "ok")
+    found = variogram.fit_models(bins, ["doy"]).select("doy", "model", "nugget", "sill", "range")
+    return _rounded(found, 3, "nugget", "sill").withColumn("range", F.round("range", 2)).withColumn("nugget", F.col("nugget") + 0)
 
 
 def _variant_fits(variant: str, pool: str) -> str:
@@ -382,6 +389,25 @@ def variogram_table_fits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(variogram.variogram_table(observations(spark, sf_dir), stations(spark, sf_dir)), 3, "ked_rmse", "ok_rmse").select(*columns)
 
 
+def _variant_winner(variant: str) -> str:
+    """SQL of the parameters of one variant's chosen fit, beside best_<variant>."""
+    own = _WINNERS.replace("winner AS", f"winner_{variant} AS")
+    for name in ("scored", "solved"):
+        own = re.sub(rf"\b{name}\b", f"{name}_{variant}", own)
+    return own
+
+
+@query(f"""WITH {_OBS}, {_STATIONS}, {_PRESENT}, {_DRIFT}, {_RESIDUALS}, {_PAIRS}, {_BRIDGE}, {_ENOUGH}, {_variant_fits("ked", _POOL_RESIDUAL)}, {_variant_fits("ok", _POOL_RAW)}, {_variant_winner("ked")}, {_variant_winner("ok")}, {_N_DAYS}
+SELECT CAST(c.range AS INTEGER) AS doy, CAST(month(DATE '2000-12-31' + CAST(c.range AS INTEGER)) AS INTEGER) AS month, CAST(day(DATE '2000-12-31' + CAST(c.range AS INTEGER)) AS INTEGER) AS day,
+  {", ".join(f"b_{v}.model AS {v}_model, round(w_{v}.nugget, 3) + 0 AS {v}_nugget, round(w_{v}.sill, 3) AS {v}_sill, round(w_{v}.reach, 2) AS {v}_range, round(b_{v}.rmse, 3) AS {v}_rmse, CAST(CASE WHEN b_{v}.model IS NULL THEN 0 ELSE coalesce(d_{v}.n, 0) END AS INTEGER) AS {v}_n_days" for v in _SOURCES)}
+FROM range(1, 366) c {" ".join(f"LEFT JOIN best_{v} b_{v} ON b_{v}.doy = c.range LEFT JOIN winner_{v} w_{v} ON w_{v}.doy = c.range AND w_{v}.model = b_{v}.model LEFT JOIN days_{v} d_{v} ON d_{v}.doy = c.range" for v in _SOURCES)}""")
+def variogram_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 365 days with both fits and their parameters."""
+    found = variogram.variogram_table(observations(spark, sf_dir), stations(spark, sf_dir))
+    found = _rounded(found, 3, *[f"{v}_{c}" for v in variogram.VARIANTS for c in ("nugget", "sill", "rmse")])
+    return _rounded(found, 2, "ked_range", "ok_range").withColumns({f"{v}_nugget": F.col(f"{v}_nugget") + 0 for v in variogram.VARIANTS})
+
+
 def _made_table(spark: SparkSession) -> DataFrame:
     """A table with gaps: no fit for residuals on every third day, none for values on every fifth, and no day 100."""
     d = F.col("doy")
@@ -436,8 +462,8 @@ turned(date, i, m, k, var, a) AS (SELECT date, i, n + 1 + CAST(drift AS INTEGER)
 solved AS (SELECT date, var, m, a[m + 1] AS c, a[m + 2:] AS inv FROM turned WHERE k = m)"""
 
 
-def _kriged(drift: str, variance: bool = False) -> str:
-    """SQL of every cell's estimate on every day."""
+def _kriged(drift: str, variance: bool = False, select: str | None = None) -> str:
+    """SQL of every cell's estimate on every day, or of what is selected from side (date, row, col, z, drift, coef, inv, b)."""
     own = _solved(drift)
     b = _solved.gamma("c.x", "c.y", "p[1]", "p[2]")
     known = "CASE WHEN z IS NOT NULL OR NOT drift THEN round({}, 3) + 0 END"
@@ -446,7 +472,7 @@ def _kriged(drift: str, variance: bool = False) -> str:
 day AS (SELECT date, any_value(fit.drift) AS drift, any_value(model) AS model, any_value(nugget) AS nugget, any_value(sill) AS sill, any_value(reach) AS reach, list(c ORDER BY var) AS coef, list(inv ORDER BY var) AS inv FROM solved JOIN fit USING (date) GROUP BY date),
 spot AS (SELECT date, list([x, y] ORDER BY i) AS ps FROM point GROUP BY date),
 side AS (SELECT date, "row", col, z, drift, coef, inv, [{b} FOR p IN ps] || [1.0::DOUBLE] || CASE WHEN drift THEN [coalesce(z, 0)] ELSE [] END AS b FROM day JOIN spot USING (date), cells c)
-SELECT date, "row", col, {known.format("list_inner_product(coef, b)")} AS value{quadratic}, z IS NOT NULL AS solid FROM side"""
+{select or f'SELECT date, "row", col, {known.format("list_inner_product(coef, b)")} AS value{quadratic}, z IS NOT NULL AS solid FROM side'}"""
 
 
 _ZERO = lambda df, *names: df.withColumns({c: F.round(c, 3) + 0 for c in names})
@@ -554,11 +580,12 @@ def loo_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ZERO(kriging.scores(kriging.leave_one_out(_systems(spark, sf_dir)), ["date"]), "rmse", "mae", "bias")
 
 
-@query()
+@query(_kriged("used = 'ked'", select=f"""SELECT date, "row", col, {_SNAP.format("CASE WHEN z IS NOT NULL THEN greatest(list_inner_product(coef, b), 0) END")} AS rainfall,
+  {_SNAP.format("CASE WHEN z IS NOT NULL THEN list_inner_product(b, [list_inner_product(r, b) FOR r IN inv]) END")} AS variance FROM side"""))
 def krige_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Days through method, table, solve, mask and clip: the batch plan's grid."""
     obs = observations(spark, sf_dir)
-    return kriging.krige(obs, stations(spark, sf_dir), cells(spark), _made_table(spark))[0]
+    return _snapped(kriging.krige(obs, stations(spark, sf_dir), cells(spark), _made_table(spark))[0], "rainfall", "variance")
 
 
 @query("""SELECT date, count(*) AS n, round(sqrt(avg((p - o) * (p - o))) + 1e-7, 4) AS rmse, round(avg(abs(p - o)) + 1e-7, 4) AS mae, round(avg(p - o) + 1e-7, 4) AS bias
@@ -596,7 +623,7 @@ def _zonal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raster.zonal_mean(field(spark, sf_dir), mask, polygons(spark))
 
 
-for _name in ("krige_days_summary", "kriging_flat", "krige_flat_days", "kriging_ok", "kriging_ked", "kriging_variance"):
+for _name in ("krige_days_summary", "kriging_flat", "krige_flat_days", "kriging_ok", "kriging_ked", "kriging_variance", "krige_days"):
     ORACLE[_name] = ORACLE[_name].format(cells=_CELLS)
 
 
@@ -705,10 +732,13 @@ def plot_variogram_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(_rounded(plots.variogram_points(bins, ["doy"]), 3, "lag_center", "gamma"), 4, "size")
 
 
-@query()
+@query(f"""WITH {_OBS}, {_STATIONS}, {_PAIRS}, {_BRIDGE}, {_ENOUGH}, {_POOL_RAW}, {_FIT}, {_WINNERS},
+best AS (SELECT s.doy, CASE WHEN e.rmse < s.rmse * 0.95::DOUBLE THEN 'exponential' ELSE 'spherical' END AS model FROM (SELECT * FROM fits WHERE model = 'spherical') s JOIN (SELECT * FROM fits WHERE model = 'exponential') e USING (doy)),
+steps AS (SELECT doy, model, nugget, sill, w.reach AS r, h.top * 1.05::DOUBLE * k / 299 AS h FROM best JOIN winner w USING (doy, model) JOIN (SELECT doy, max(lag_center) AS top FROM pooled GROUP BY doy) h USING (doy), range(300) t(k))
+SELECT doy, round(h, 2) AS h, round(CASE WHEN h <= 0 THEN 0 ELSE nugget + (sill - nugget) * CASE WHEN model = 'exponential' THEN 1 - exp(-3 * (h / r)) WHEN h >= r THEN 1 ELSE 1.5 * (h / r) - 0.5 * (h / r) ** 3 END END, 2) AS gamma FROM steps""")
 def plot_variogram_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     bins = variogram.pooled(observations(spark, sf_dir), stations(spark, sf_dir), "ok")
-    return plots.variogram_curve(bins, variogram.best_model(variogram.fit_models(bins, ["doy"]), ["doy"]), ["doy"])
+    return _rounded(plots.variogram_curve(bins, variogram.best_model(variogram.fit_models(bins, ["doy"]), ["doy"]), ["doy"]), 2, "h", "gamma")
 
 
 @query(f"""WITH {_OBS}, {_ANNUAL}, v AS (SELECT station, CAST(year AS INTEGER) AS year, total AS value FROM annual), {_splits("v", "station")}
