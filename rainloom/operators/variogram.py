@@ -5,6 +5,10 @@ formed again for the 15 windows that they belong to."""
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,18 +23,70 @@ VARIANTS = ("ked", "ok")
 TIE = 1e-9
 
 
+def hull(points: list[tuple[float, float]]) -> list[tuple[float, float]]:
+    """Corners of the convex hull, counterclockwise from the least point."""
+    points = sorted(set(points))
+    if len(points) < 3:
+        return points
+    sides = []
+    for run in (points, points[::-1]):
+        side: list[tuple[float, float]] = []
+        for p in run:
+            while len(side) > 1 and (side[-1][0] - side[-2][0]) * (p[1] - side[-2][1]) <= (side[-1][1] - side[-2][1]) * (p[0] - side[-2][0]):
+                side.pop()
+            side.append(p)
+        sides.append(side[:-1])
+    return sides[0] + sides[1]
+
+
+def widest(corners: list[tuple[float, float]]) -> float:
+    """The greatest distance between corners of a hull, among the pairs that parallel lines can touch."""
+    n, most = len(corners), 0.0
+    k = 1 % max(n, 1)
+    apart = lambda a, b: math.sqrt((a[0] - b[0]) * (a[0] - b[0]) + (a[1] - b[1]) * (a[1] - b[1]))
+    area = lambda a, b, c: abs((b[0] - a[0]) * (c[1] - a[1]) - (b[1] - a[1]) * (c[0] - a[0]))
+    for i in range(n):
+        a, b = corners[i], corners[(i + 1) % n]
+        steps = 0
+        while steps < n and area(a, b, corners[(k + 1) % n]) >= area(a, b, corners[k]):
+            most = max(most, apart(a, corners[k]), apart(b, corners[k]))
+            k, steps = (k + 1) % n, steps + 1
+        most = max(most, apart(a, corners[k]), apart(b, corners[k]))
+    return most
+
+
+def greatest_distance(stations: DataFrame) -> float:
+    """Between any two stations; 0 with fewer than two. Tasks keep the corners of their own hulls; only hulls meet."""
+
+    def corners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[tuple[float, float]] = []
+        for batch in batches:
+            kept = hull(kept + list(zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)))
+        yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in kept], pa.float64()) for k in (0, 1)], ["x", "y"])
+
+    def width(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in corners(batches):
+            yield pa.RecordBatch.from_arrays([pa.array([widest(list(zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)))])], ["d"])
+
+    known = stations.select(F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")).where("x IS NOT NULL AND y IS NOT NULL AND NOT isnan(x) AND NOT isnan(y)")
+    hulls = known.mapInArrow(corners, "x double, y double").repartition(1).mapInArrow(width, "d double")
+    return hulls.agg(F.max("d")).first()[0] or 0.0
+
+
 def station_pairs(stations: DataFrame, max_lag: float | None = None, lags: int = DEFAULT.lags) -> DataFrame:
     """s1, s2, distance, bin (0 to lags - 1) for pairs of stations, s1 < s2, with distance below max_lag.
 
-    max_lag is two thirds of the greatest distance between any two stations, unless given."""
-    a = stations.select(F.col("station").alias("s1"), F.col("x").alias("x1"), F.col("y").alias("y1"))
-    b = stations.select(F.col("station").alias("s2"), F.col("x").alias("x2"), F.col("y").alias("y2"))
-    pairs = a.join(b, F.col("s1") < F.col("s2")).select("s1", "s2", geometry.distance(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2")).alias("distance"))
-    if max_lag is not None:
-        pairs = pairs.withColumn("max_lag", F.lit(float(max_lag)))
-    else:  # one row, which is all that is broadcast
-        pairs = pairs.crossJoin(F.broadcast(pairs.agg((F.max("distance") * (2.0 / 3.0)).alias("max_lag"))))
-    return pairs.where("distance < max_lag").select("s1", "s2", "distance", F.floor(F.col("distance") * lags / F.col("max_lag")).cast("int").alias("bin"))
+    max_lag is two thirds of the greatest distance between any two stations, unless given. Stations lie in cells as wide as
+    max_lag; those of neighbouring cells meet by an equality join, so a short max_lag doesn't form all pairs."""
+    reach = float(greatest_distance(stations) * (2.0 / 3.0) if max_lag is None else max_lag)
+    side = reach or 1.0
+    cell = lambda c: F.floor(F.col(c) / side)
+    near = F.array(F.lit(-1), F.lit(0), F.lit(1))
+    a = stations.select(F.col("station").alias("s1"), F.col("x").alias("x1"), F.col("y").alias("y1"), cell("x").alias("i"), cell("y").alias("j"))
+    a = a.withColumn("di", F.explode(near)).withColumn("dj", F.explode(near)).select("s1", "x1", "y1", (F.col("i") + F.col("di")).alias("i"), (F.col("j") + F.col("dj")).alias("j"))
+    b = stations.select(F.col("station").alias("s2"), F.col("x").alias("x2"), F.col("y").alias("y2"), cell("x").alias("i"), cell("y").alias("j"))
+    pairs = a.join(b, ["i", "j"]).where("s1 < s2").select("s1", "s2", geometry.distance(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2")).alias("distance"))
+    return pairs.where(F.col("distance") < reach).select("s1", "s2", "distance", F.floor(F.col("distance") * lags / F.lit(reach)).cast("int").alias("bin"))
 
 
 def pair_statistic(difference: Column, estimator: str) -> Column:
