@@ -56,7 +56,7 @@ def _stations(spark: SparkSession, args: argparse.Namespace):
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     for source in (asciigrid.AsciiGrid, netcdf3.NetCdf3, shapefile.Shapefile):
         spark.dataSource.register(source)
-    grid = lambda: spark.read.format("asciigrid").load(args.grid)
+    grid = lambda: asciigrid.load(spark, args.grid)
     if args.step == "homogeneity":
         p = Homogeneity(args.alpha, args.min_days, args.simulations, args.seed)
         annual = homogeneity.annual_totals(csv.read_wide(spark, args.rain), p.min_days).cache()

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import calendar, geometry
-from ..operators import homogeneity, plots, raster, series
+from ..operators import homogeneity, plots, raster, series, variogram
 from ..schema import CACHE_COLUMNS
 from ..sources import asciigrid, csv, fields, netcdf3, shapefile
 from ..sources.shared import kept, mounted, new_folder
@@ -123,6 +123,77 @@ def file_netcdf4_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fields.load(spark, place).join(variance.select("date", "row", "col", F.col("value").alias("variance")), ["date", "row", "col"])
 
 
+#: A grid that a table gives: a part is a cell, as many to a row; its size is the elevation, some are missing.
+WIDE = 40
+_PARTS = f"""dem AS (SELECT CAST(k // {WIDE} AS INTEGER) AS "row", CAST(k % {WIDE} AS INTEGER) AS col, (k % {WIDE} + 0.5::DOUBLE) * {CELL}::DOUBLE AS x, ((SELECT max(p_partkey) // {WIDE} + 1 FROM part) - k // {WIDE} - 0.5::DOUBLE) * {CELL}::DOUBLE AS y,
+  CASE WHEN p_size % 7 <> 0 THEN p_size * 31 + k % 50 + 0.125::DOUBLE END AS z FROM (SELECT p_partkey AS k, p_size FROM part))"""
+
+
+def part_grid(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    parts = proxy._table(spark, sf_dir, "part")
+    rows = parts.agg(F.max("p_partkey")).first()[0] // WIDE + 1
+    k = F.col("p_partkey")
+    cells = parts.select((k / WIDE).cast("int").alias("row"), (k % WIDE).cast("int").alias("col"), F.when(F.col("p_size") % 7 != 0, F.col("p_size") * 31 + k % 50 + 0.125).cast("double").alias("z"))
+    return raster.grid_coordinates(cells, rows, 0.0, 0.0, CELL).select("row", "col", "x", "y", "z"), rows
+
+
+@query(f"WITH {_PARTS} SELECT * FROM dem")
+def file_part_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A grid of all parts, written as an ASCII grid by tasks and read again in byte ranges."""
+    path = f"{mounted(new_folder(spark, 'grid'))}/parts.asc"
+    asciigrid.write(part_grid(spark, sf_dir)[0], path, CELL)
+    return asciigrid.load(spark, path)
+
+
+@query(f"""WITH {_PARTS} SELECT CAST("row" // 3 AS INTEGER) AS "row", CAST(col // 3 AS INTEGER) AS col, round(avg(x), 4) AS x, round(avg(y), 4) AS y, round(avg(z), 6) AS z FROM dem
+WHERE "row" < (SELECT (max("row") + 1) // 3 * 3 FROM dem) AND col < {WIDE // 3 * 3} GROUP BY "row" // 3, col // 3""")
+def part_grid_coarsened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The grid of all parts in cells three times as wide; what is beyond whole ones goes."""
+    cells, rows = part_grid(spark, sf_dir)
+    found = raster.coarsen(cells, raster.coarsening_factor(CELL, 3 * CELL), rows, WIDE)
+    return proxy._rounded(proxy._rounded(found, 4, "x", "y"), 6, "z")
+
+
+#: A polygon for each supplier: a kite about a place that its key gives, with a hole in every third one.
+_KITES = f"""kite AS (SELECT 's' || k AS basin, k, k * 7919 % 200000 AS cx, k * 104729 % 200000 AS cy, 4000 + k * 31 % 21000 AS r FROM (SELECT CAST(s_suppkey AS BIGINT) AS k FROM supplier)),
+ring AS (SELECT basin, 0 AS ring, unnest([[cx - r, cy], [cx, cy - 0.5::DOUBLE * r], [cx + r, cy], [cx, cy + 2.0::DOUBLE * r]]) AS p, unnest([0, 1, 2, 3]) AS i FROM kite
+  UNION ALL SELECT basin, 1, unnest([[cx - 0.25::DOUBLE * r, cy], [cx, cy - 0.25::DOUBLE * r], [cx + 0.25::DOUBLE * r, cy]]), unnest([0, 1, 2]) FROM kite WHERE k % 3 = 0),
+side AS (SELECT basin, p[1] AS ax, p[2] AS ay, coalesce(lead(p[1]) OVER o, first_value(p[1]) OVER o) AS bx, coalesce(lead(p[2]) OVER o, first_value(p[2]) OVER o) AS by_ FROM ring WINDOW o AS (PARTITION BY basin, ring ORDER BY i))"""
+
+
+@query(f"""WITH {_PARTS}, {_KITES} SELECT basin, "row", col FROM dem, side WHERE (ay > y) <> (by_ > y) AND x < ax + (y - ay) * ((bx - ax) / (by_ - ay)) GROUP BY ALL HAVING count(*) % 2 = 1""")
+def file_supplier_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A polygon of each supplier, written as a shapefile, read again, and laid over the grid of all parts."""
+    spark.dataSource.register(shapefile.Shapefile)
+    folder, rings = mounted(new_folder(spark, "kites")), {}
+    for r in proxy._table(spark, sf_dir, "supplier").select("s_suppkey").toLocalIterator():
+        k = r.s_suppkey
+        cx, cy, size = float(k * 7919 % 200000), float(k * 104729 % 200000), float(4000 + k * 31 % 21000)
+        rings[f"s{k}"] = [[(cx - size, cy), (cx, cy - 0.5 * size), (cx + size, cy), (cx, cy + 2.0 * size)]]
+        if k % 3 == 0:
+            rings[f"s{k}"].append([(cx - 0.25 * size, cy), (cx, cy - 0.25 * size), (cx + 0.25 * size, cy)])
+    shapefile.write(f"{folder}/kites.shp", rings)
+    return raster.polygon_mask(part_grid(spark, sf_dir)[0], spark.read.format("shapefile").load(f"{folder}/kites.shp"))
+
+
+@query(f"""WITH {proxy._STATIONS}, {proxy._PAIRS} SELECT s1, s2, model, round(2 + 8 * CASE model WHEN 'spherical' THEN CASE WHEN distance >= r THEN 1 ELSE 1.5 * (distance / r) - 0.5 * (distance / r) ** 3 END
+  WHEN 'exponential' THEN 1 - exp(-3 * (distance / r)) ELSE 1 - exp(-3 * (distance / r) ** 2) END, 6) AS gamma FROM (SELECT *, 50000.0::DOUBLE AS r FROM pairs), (VALUES ('spherical'), ('exponential'), ('gaussian')) m(model)""")
+def gamma_of_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The semivariance of each pair of stations by each model."""
+    pairs = variogram.station_pairs(proxy.stations(spark, sf_dir)).select("s1", "s2", "distance", F.explode(F.array(*[F.lit(m) for m in geometry.MODELS])).alias("model"))
+    return pairs.select("s1", "s2", "model", F.round(geometry.gamma(F.col("model"), F.col("distance"), F.lit(2.0), F.lit(10.0), F.lit(50000.0)), 6).alias("gamma"))
+
+
+@query(f"WITH {proxy._OBS} SELECT date, station, value FROM (SELECT DISTINCT date FROM obs WHERE dayofmonth(date) <> 13) CROSS JOIN (SELECT DISTINCT station FROM obs) LEFT JOIN obs USING (date, station)")
+def file_lines_without_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines whose first column is no date are passed over: here those of every 13th, blank or words by turns."""
+    path = new_folder(spark, "dateless")
+    wide = series.to_wide(proxy.observations(spark, sf_dir), "station", "value")
+    text = F.when(F.dayofmonth("date") != 13, F.col("date").cast("string")).when(F.month("date") % 2 == 0, F.lit("no date"))
+    csv.write_one_csv(wide.orderBy("date").withColumn("date", text), path)
+    return csv.read_wide(spark, path)
+
+
 @query(f"""WITH {proxy._CELLS}, {proxy._FIELD} SELECT date, "row", col, x, y, CAST(rainfall AS DOUBLE) AS value FROM field JOIN cells USING ("row", col)
 WHERE (date BETWEEN DATE '1996-11-03' AND DATE '1998-02-10') AND "row" IN (3, 4, 9) AND col >= 5 AND x < 80000 AND y > 20000""")
 def field_block(spark: SparkSession, sf_dir: str) -> DataFrame:

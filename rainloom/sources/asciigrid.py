@@ -1,20 +1,28 @@
-"""Elevation grids as ESRI ASCII files: a Spark data source, and a writer.
+"""Elevation grids as ESRI ASCII files: read and written by tasks, and a Spark data source.
 
+    asciigrid.load(spark, path)
     spark.dataSource.register(AsciiGrid); spark.read.format("asciigrid").load(path)
 
-gives row, col, x, y, z, one row for each cell, row 0 the northern one, z null where the file has NODATA."""
+give row, col, x, y, z, one row for each cell, row 0 the northern one, z null where the file has NODATA. `load` reads the
+file as Spark reads text, in byte ranges from any file system: a first pass counts the ranges' lines, whose running sums
+number the lines of each range. The data source goes through the file once on the driver, for files of a person's size."""
 
 from __future__ import annotations
 
+import os
+import shutil
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from .shared import move
+
 NODATA = -9999.0
 #: Rows of the grid that one partition reads.
 ROWS = 256
@@ -34,13 +42,17 @@ class GridHeader:
 
     @classmethod
     def read(cls, path: str) -> GridHeader:
-        found: dict[str, float] = {}
         with open(path) as f:
-            for _ in range(6):
-                words = f.readline().split()
-                if len(words) != 2:
-                    raise ValueError(f"{path} has no grid header of six lines")
-                found[words[0].lower()] = float(words[1])
+            return cls.of([f.readline() for _ in range(6)], path)
+
+    @classmethod
+    def of(cls, lines: list[str], path: str) -> GridHeader:
+        found: dict[str, float] = {}
+        for line in [*lines, *[""] * 6][:6]:
+            words = line.split()
+            if len(words) != 2:
+                raise ValueError(f"{path} has no grid header of six lines")
+            found[words[0].lower()] = float(words[1])
         for key in ("ncols", "nrows", "cellsize"):
             if key not in found:
                 raise ValueError(f"{path} has no {key}")
@@ -76,19 +88,20 @@ class _Reader(DataSourceReader):
         return out
 
     def read(self, part: _Rows) -> Iterator[pa.RecordBatch]:
-        h = self.head
-        cols = np.arange(h.ncols, dtype=np.int32)
-        x = h.x_left + (cols + 0.5) * h.cellsize
         with open(self.path, "rb") as f:
             f.seek(part.offset)
             for row in range(part.first, part.last):
-                values = f.readline().split()
-                if len(values) != h.ncols:
-                    raise ValueError(f"row {row} of {self.path} has {len(values)} values, not {h.ncols}")
-                z = np.array(values, float)
-                y = h.y_bottom + (h.nrows - row - 0.5) * h.cellsize
-                columns = [np.full(h.ncols, row, np.int32), cols, x, np.full(h.ncols, y), np.where(z == h.nodata, np.nan, z)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, from_pandas=True) for c in columns], ["row", "col", "x", "y", "z"])
+                yield _cells(self.head, row, f.readline(), self.path)
+
+
+def _cells(h: GridHeader, row: int, line: bytes | str, path: str) -> pa.RecordBatch:
+    values = line.split()
+    if len(values) != h.ncols:
+        raise ValueError(f"row {row} of {path} has {len(values)} values, not {h.ncols}")
+    z, cols = np.array(values, float), np.arange(h.ncols, dtype=np.int32)
+    x, y = h.x_left + (cols + 0.5) * h.cellsize, h.y_bottom + (h.nrows - row - 0.5) * h.cellsize
+    columns = [np.full(h.ncols, row, np.int32), cols, x, np.full(h.ncols, y), np.where(z == h.nodata, np.nan, z)]
+    return pa.RecordBatch.from_arrays([pa.array(c, from_pandas=True) for c in columns], ["row", "col", "x", "y", "z"])
 
 
 class AsciiGrid(DataSource):
@@ -103,6 +116,28 @@ class AsciiGrid(DataSource):
         return _Reader(self.options["path"])
 
 
+def load(spark: SparkSession, path: str) -> DataFrame:
+    """The grid, read in byte ranges. ValueError for a header that isn't one, or a number of lines that isn't the header's; a line without a value for each column fails its task."""
+    text = spark.read.text(path).select("value", F.col("_metadata.file_block_start").alias("start"))
+    # a row for each range of the file, some hundred megabytes each
+    counts = sorted((r.start, r["count"]) for r in text.groupBy("start").count().collect())
+    head = GridHeader.of([r.value for r in text.where("start = 0").limit(6).collect()], path)
+    first = dict(zip([start for start, _ in counts], np.cumsum([0, *(n for _, n in counts)]).tolist(), strict=False))
+    if (found := sum(n for _, n in counts) - head.lines) < head.nrows:
+        raise ValueError(f"{path} has {found} rows, not {head.nrows}")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = dict(first)  # a range's lines come in order, whatever ranges a task has
+        for batch in batches:
+            for line, start in zip(batch.column("value"), batch.column("start").to_pylist(), strict=True):
+                row = at[start] - head.lines
+                at[start] += 1
+                if 0 <= row < head.nrows:
+                    yield _cells(head, row, line.as_py(), path)
+
+    return text.mapInArrow(run, "row int, col int, x double, y double, z double")
+
+
 def lines(grid: DataFrame, cell: float, nodata: float = NODATA) -> DataFrame:
     """(line, text): the file's lines in order; values to three decimals, missing ones as NODATA."""
     text = F.when(F.col("z").isNull() | F.isnan("z"), F.format_string("%.0f", F.lit(nodata))).otherwise(F.format_string("%.3f", "z"))
@@ -115,10 +150,31 @@ def lines(grid: DataFrame, cell: float, nodata: float = NODATA) -> DataFrame:
 
 
 def write(grid: DataFrame, path: str, cell: float, nodata: float = NODATA) -> None:
-    """The grid as one file, streamed to the driver row by row; the file appears when it is whole."""
-    import os
-
-    with open(part := f"{path}.part", "w") as f:
-        for r in lines(grid, cell, nodata).orderBy("line").toLocalIterator():
-            f.write(r.text + "\n")
-    os.replace(part, path)
+    """The grid as one file, which appears when it is whole; its folder has to be mounted everywhere.
+
+    Tasks write runs of lines, in order, into files of their own; when the sizes of all are known, tasks put them in their
+    places. No line passes through the driver."""
+    spark, folder, part = grid.sparkSession, f"{path}.lines", f"{path}.part"
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, side, size = None, os.path.join(folder, uuid.uuid4().hex), 0
+        with open(side, "wb") as f:
+            for batch in batches:
+                for line, text in zip(batch.column("line").to_pylist(), batch.column("text"), strict=True):
+                    first = line if first is None else first
+                    size += f.write(text.as_py().encode() + b"\n")
+        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (first, side, size)], schema=pa.schema([("first", pa.int64()), ("side", pa.string()), ("size", pa.int64())]))
+
+    os.mkdir(folder)
+    try:
+        sorted_ = lines(grid, cell, nodata).select(F.col("line").cast("long").alias("line"), "text").repartitionByRange("line").sortWithinPartitions("line")
+        runs = sorted((r for r in sorted_.mapInArrow(put, "first long, side string, size long").collect() if r.first is not None), key=lambda r: r.first)
+        ends = np.cumsum([0, *(r.size for r in runs)]).tolist()
+        with open(part, "wb") as f:
+            f.truncate(ends[-1])
+        move(spark, [(r.side, 0, r.size, part, to) for r, to in zip(runs, ends, strict=False)])
+        os.replace(part, path)
+    finally:
+        if os.path.exists(part):
+            os.remove(part)
+        shutil.rmtree(folder, ignore_errors=True)

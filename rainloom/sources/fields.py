@@ -32,6 +32,7 @@ from pyspark.sql.datasource import (
 from ..schema import Kriging
 from . import hdf5, netcdf3
 from .netcdf3 import Var
+from .shared import move
 
 #: Records that one partition reads, and cells of a record that one piece of a file being written has, about.
 RECORDS, PIECE = 31, 1 << 20
@@ -373,20 +374,6 @@ def _chunked(variables: list[Var], height: int, width: int) -> list[hdf5.Variabl
     return out
 
 
-def _copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Puts chunks that wait in files of their own in their places."""
-    for batch in batches:
-        rows = batch.to_pylist()
-        for r in rows:
-            with open(r["side"], "rb") as source, open(r["part"], "r+b") as f:
-                source.seek(r["at"])
-                f.seek(r["to"])
-                f.write(source.read(r["size"]))
-                f.flush()
-                os.fsync(f.fileno())
-        yield pa.RecordBatch.from_arrays([pa.array([len(rows)], pa.int64())], ["n"])
-
-
 def write_years(
     paths: dict[int, str], cells: DataFrame, days: DataFrame, grid: DataFrame | None = None, kind: str = "classic", crs: str = "EPSG:32645", epoch: str = EPOCH,
     r_threshold: float = Kriging.r_threshold, min_stations: int = Kriging.min_stations_drift,
@@ -461,9 +448,6 @@ def _assemble(spark: SparkSession, plan: dict, laid: list, dims: dict[str, int |
             f.write(head)
             f.truncate(end)
         moves += [(*waiting[p, name], file["part"], to) for name, at in places.items() for p, to in zip(own, at, strict=True)]
-    rows = spark.createDataFrame(moves, "side string, at long, size long, part string, to long").repartition("side")
-    moved = sum(r.n for r in rows.mapInArrow(_copy, "n long").collect()) if moves else 0
-    if moved != len(moves):
-        raise RuntimeError(f"{len(moves) - moved} chunks are lacking")
+    move(spark, moves)
     for f in plan["files"]:
         os.replace(f["part"], f["path"])

@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -39,3 +41,29 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     path = f"{new_folder(df.sparkSession, name)}/rows"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Bytes that are copied at a time.
+COPIED = 1 << 24
+
+
+def move(spark: SparkSession, moves: list[tuple[str, int, int, str, int]]) -> None:
+    """Copies runs of bytes (from file, at, size, to file, at) by tasks, those of one file by one task: what tasks wrote aside goes to its place."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.to_pylist()
+            for r in rows:
+                with open(r["side"], "rb") as source, open(r["part"], "r+b") as f:
+                    source.seek(r["at"])
+                    f.seek(r["to"])
+                    for a in range(0, r["size"], COPIED):
+                        f.write(source.read(min(COPIED, r["size"] - a)))
+                    f.flush()
+                    os.fsync(f.fileno())
+            yield pa.RecordBatch.from_arrays([pa.array([len(rows)], pa.int64())], ["n"])
+
+    if moves:
+        rows = spark.createDataFrame(moves, "side string, at long, size long, part string, to long").repartition("side")
+        if (lacking := len(moves) - sum(r.n for r in rows.mapInArrow(run, "n long").collect())) > 0:
+            raise RuntimeError(f"{lacking} runs of bytes are lacking")
