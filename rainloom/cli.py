@@ -29,19 +29,24 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--candidate", default="1030")
     for name, kind in (("alpha", float), ("min_days", int), ("simulations", int), ("seed", int)):
         p.add_argument(f"--{name}", type=kind, default=getattr(Homogeneity, name))
+    places = lambda p: [p.add_argument(f"--{name}", default=default) for name, default in (("source", "EPSG:4326"), ("target", None))]
     p = step("variograms", "rain", "stations", "out")
+    places(p)
     p.add_argument("--window", type=int, default=Variogram.window)
     p.add_argument("--lags", type=int, default=Variogram.lags)
     p.add_argument("--estimator", default=Variogram.estimator, choices=("matheron", "cressie"))
     p.add_argument("--batch", type=int, default=10)
     p.add_argument("--budget", type=float, default=35.0)
     p = step("krige", "rain", "stations", "grid", "table", "out")
+    places(p)
     p.add_argument("--first", type=int)
     p.add_argument("--last", type=int)
     p.add_argument("--budget", type=float, default=38.0)
     p = step("krige-day", "rain", "stations", "grid", "out")
+    places(p)
     p.add_argument("--date", default="2009-07-20")
     p = step("netcdf", "kriged", "grid", "out")
+    p.add_argument("--kind", default="netcdf4", choices=("netcdf4", "classic"))
     p = step("zonal", "kriged", "polygons", "out")
     p.add_argument("--field", default=shapefile.FIELD)
     p = step("series", "zonal", "out")
@@ -50,7 +55,7 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def _stations(spark: SparkSession, args: argparse.Namespace):
-    return csv.read_stations(spark, args.stations)
+    return csv.read_stations(spark, args.stations, source=args.source, target=args.target)
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -99,7 +104,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         cells = kriged.join(places, ["row", "col"])
         days = spark.read.parquet(f"{args.kriged}/{runs.DAYS}")
         years = [r.y for r in days.select(F.year("date").alias("y")).distinct().orderBy("y").collect()]
-        fields.write_years({y: f"{args.out}/rainfall_kriged_{y}.nc" for y in years}, cells, days, places)
+        fields.write_years({y: f"{args.out}/rainfall_kriged_{y}.nc" for y in years}, cells, days, places, args.kind)
     elif args.step == "zonal":
         field = fields.load(spark, args.kriged).withColumnRenamed("value", "rainfall")
         polygons = spark.read.format("shapefile").option("field", args.field).load(args.polygons)

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import calendar, geometry
+from ..functions import calendar, crs, geometry
 from ..operators import drift, homogeneity, kriging, plots, raster, series, variogram
 from ..schema import CACHE_COLUMNS, Variogram
 
@@ -244,6 +244,30 @@ def utm_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stations(spark, sf_dir).select("station", F.round(x, 3).alias("easting"), F.round(y, 3).alias("northing"))
 
 
+def _krueger() -> str:
+    """SQL of Krueger's series, forward."""
+    n = "0.0016792203863837047::DOUBLE"
+    a = [" + ".join(f"({c!r}::DOUBLE) * {' * '.join([n] * (k + 1))}" for k, c in enumerate(row) if c) for row in crs.FORWARD]
+    terms = lambda f, g: " + ".join(f"({x}) * {f}({2 * j} * xi) * {g}({2 * j} * eta)" for j, x in enumerate(a, 1))
+    scale = f"0.9996::DOUBLE * 6378137.0::DOUBLE / (1 + {n}) * (1 + {n} * {n} / 4 + {n} * {n} * {n} * {n} / 64)"
+    return f"""places AS (SELECT station, zone, south, zone * 6 - 183 + (lon - 85.5::DOUBLE) AS lon, CASE WHEN south THEN -lat ELSE lat END AS lat FROM stations, (SELECT CAST(r AS INTEGER) AS zone FROM range(1, 61) t(r)), (VALUES (false), (true)) h(south)),
+tau AS (SELECT *, sinh(atanh(sin(radians(lat))) - e * atanh(e * sin(radians(lat)))) AS t, radians(lon) - radians(zone * 6 - 183::DOUBLE) AS away FROM (SELECT *, 2 * sqrt({n}) / (1 + {n}) AS e FROM places)),
+plane AS (SELECT *, atan2(t, cos(away)) AS xi, atanh(sin(away) / sqrt(1 + t * t)) AS eta FROM tau)
+SELECT station, zone, south, round(500000 + {scale} * (eta + {terms("cos", "sinh")}), 4) AS easting, round(CASE WHEN south THEN 10000000 ELSE 0 END + {scale} * (xi + {terms("sin", "cosh")}), 4) AS northing, round(lon, 9) AS lon, round(lat, 9) AS lat FROM plane"""
+
+
+@query(f"WITH {_STATIONS}, {_krueger()}")
+def utm_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stations moved to every zone and both hemispheres, projected there and back."""
+    zones = F.explode(F.sequence(F.lit(1), F.lit(60))).alias("zone")
+    moved = stations(spark, sf_dir).select("station", "lon", "lat", zones).select("station", "zone", "lon", "lat", F.explode(F.array(F.lit(False), F.lit(True))).alias("south"))
+    moved = moved.withColumn("lon", F.col("zone") * 6 - 183 + (F.col("lon") - 85.5)).withColumn("lat", F.when(F.col("south"), -F.col("lat")).otherwise(F.col("lat")))
+    x, y = crs.project(F.col("lon"), F.col("lat"), F.col("zone"), F.col("south"))
+    there = moved.select("station", "zone", "south", x.alias("easting"), y.alias("northing"))
+    lon, lat = crs.unproject(F.col("easting"), F.col("northing"), F.col("zone"), F.col("south"))
+    return there.select("station", "zone", "south", F.round("easting", 4).alias("easting"), F.round("northing", 4).alias("northing"), F.round(lon, 9).alias("lon"), F.round(lat, 9).alias("lat"))
+
+
 @query(f"WITH {_STATIONS} SELECT min(lon) AS lon_low, max(lon) AS lon_high, min(lat) AS lat_low, max(lat) AS lat_high, count(*) AS n FROM stations")
 def station_extent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stations(spark, sf_dir).agg(F.min("lon").alias("lon_low"), F.max("lon").alias("lon_high"), F.min("lat").alias("lat_low"), F.max("lat").alias("lat_high"), F.count(F.lit(1)).alias("n"))

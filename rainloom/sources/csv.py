@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import geometry
+from ..functions import crs, geometry
 from ..operators import series
 from ..schema import CACHE_COLUMNS
+from . import xlsx
 
 
 def header(spark: SparkSession, path: str) -> list[str]:
@@ -49,9 +50,15 @@ def _driver_frame(path: str, index: int | None = None):
 def read_meteo(spark: SparkSession, path: str, name: str = "station") -> DataFrame:
     """Wide daily data from csv, xls, xlsx or pkl by the file's ending, in order of date; ValueError for any other.
 
-    Excel and pickle files are read on the driver by pandas; pickles only from trusted places."""
-    if os.path.splitext(path)[1].lower() == ".csv":
+    Workbooks (xlsx) are read by Spark, a file a task; xls and pickle files on the driver by pandas, pickles only from trusted places."""
+    ending = os.path.splitext(path)[1].lower()
+    if ending == ".csv":
         return read_wide(spark, path, name=name).orderBy("date")
+    if ending == ".xlsx":
+        names, text = xlsx.table(spark, path)
+        number = [F.col(f"c{k}").try_cast("double").alias(n) for k, n in enumerate(names) if k and n]
+        wide = text.select(F.expr("try_to_timestamp(c0)").cast("date").alias("__date"), *number)
+        return series.to_long(wide, "__date", name).where("date IS NOT NULL").orderBy("date")
     import pandas as pd
 
     frame = _driver_frame(path, 0)
@@ -61,24 +68,28 @@ def read_meteo(spark: SparkSession, path: str, name: str = "station") -> DataFra
     return series.to_long(wide, "__date", name).orderBy("date")
 
 
-def read_stations(spark: SparkSession, path: str, zone: int = 45) -> DataFrame:
-    """station, lon, lat, z and the projected x, y of a table with columns Station, X, Y (degrees) and Z, in any order.
+def read_stations(spark: SparkSession, path: str, zone: int = 45, source: str = "EPSG:4326", target: str | None = None) -> DataFrame:
+    """station, lon, lat, z and the projected x, y of a table with columns Station, X, Y and Z, in any order.
 
-    CSV files and folders of them are read by Spark; xls, xlsx and pkl on the driver, pickles only from trusted places."""
-    frame = _driver_frame(path) if os.path.splitext(path)[1].lower() in (".xls", ".xlsx", ".pkl") else None
+    X and Y are degrees, or metres of the UTM system that `source` names; x and y are metres of the northern zone given, or of the
+    system that `target` names. CSV files and folders of them, and xlsx, are read by Spark; xls and pkl on the driver, pickles
+    only from trusted places."""
+    came, to, ending = crs.parse(source), crs.parse(target) if target else None, os.path.splitext(path)[1].lower()
+    frame = _driver_frame(path) if ending in (".xls", ".pkl") else None
     if frame is not None and "Station" not in frame.columns:
         frame = frame.reset_index()  # the stations are the table's index
-    names = header(spark, path) if frame is None else [str(c) for c in frame.columns]
+    names, sheet = xlsx.table(spark, path) if ending == ".xlsx" else (header(spark, path) if frame is None else [str(c) for c in frame.columns], None)
     lacking = [c for c in ("Station", "X", "Y", "Z") if c not in names]
     if lacking:
         raise ValueError(f"{path} lacks the columns {', '.join(lacking)}")
     fields = [T.StructField(f"c{k}", T.StringType()) for k in range(len(names))]
     text = T.StructType(fields)
-    raw = spark.read.schema(text).option("header", True).csv(path) if frame is None else spark.createDataFrame([[str(x) for x in row] for row in frame.itertuples(index=False)], text)
+    raw = sheet if sheet is not None else spark.read.schema(text).option("header", True).csv(path) if frame is None else spark.createDataFrame([[str(x) for x in row] for row in frame.itertuples(index=False)], text)
     col = lambda n: F.trim(f"c{names.index(n)}")
     number = lambda n: geometry.missing(col(n).try_cast("double"))
-    rows = raw.select(col("Station").alias("station"), number("X").alias("lon"), number("Y").alias("lat"), number("Z").alias("z"))
-    x, y = geometry.utm(F.col("lat"), F.col("lon"), zone)
+    lon, lat = crs.to_degrees(number("X"), number("Y"), came)
+    rows = raw.select(col("Station").alias("station"), lon.alias("lon"), lat.alias("lat"), number("Z").alias("z"))
+    x, y = crs.from_degrees(F.col("lon"), F.col("lat"), to) if to else geometry.utm(F.col("lat"), F.col("lon"), zone)
     return rows.withColumns({"x": x, "y": y})
 
 
