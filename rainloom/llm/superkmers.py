@@ -29,8 +29,8 @@ from .common import NOT_SPACE, NULL_ID, Words, discard, expand, materialize, mix
 
 WINDOW = 13
 RUN = 2
-#: Buckets for each shuffle partition: a bucket is what one Python call holds.
-BUCKETS = 6
+#: Buckets for each shuffle partition, at least, and bytes of text for each bucket, at most: a bucket is what one Python call holds.
+BUCKETS, BUCKET_BYTES = 6, 8_000_000
 #: Documents that are looked at for minimisers to split, about: so many, and so many more for each partition.
 LOOKED_AT, LOOKED_AT_EACH = 10_000, 4
 #: Text that one slice packs at a time.
@@ -265,9 +265,10 @@ def covered_ranges(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         ranges = [x.tobytes() for x in np.split(pairs, cuts[1:])] if len(cuts) else []
         return pa.table([pa.array(ids[cuts]), pa.array(tags[cuts].astype(np.int64)), pa.array(ranges, pa.binary())], ["doc_id", "tag", "ranges"])
 
-    n, rows = partitions(docs.sparkSession), docs.count()
+    n, (rows, size) = partitions(docs.sparkSession), docs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    buckets = max(BUCKETS * n, -(-size // BUCKET_BYTES))
     shared = dictionary(docs, rows)
-    found = scatter(docs, BUCKETS * n, shared, hot_minimisers(docs, rows, n, window), window).groupBy("bucket").applyInArrow(run, "doc_id long, tag long, ranges binary")
+    found = scatter(docs, buckets, shared, hot_minimisers(docs, rows, n, window), window).groupBy("bucket").applyInArrow(run, "doc_id long, tag long, ranges binary")
     return found.groupBy("doc_id", "tag").agg(F.collect_list("ranges").alias("ranges"))
 
 
