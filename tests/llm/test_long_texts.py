@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 
 import pyarrow as pa
@@ -35,7 +36,11 @@ def test_sizes(folder):
     assert len(folder[1][0]) > 20_000_000 and len(folder[1][1]) > 900_000
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+#: Those over vectors, which have no texts.
+VECTORS = {"op11_topk_search", "op13_embedding_whitening"}
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES.keys() - VECTORS))
 def test_queries(spark, folder, name):
     path, texts = folder
     found = QUERIES[name](spark, path).toArrow().to_pylist()
@@ -63,6 +68,9 @@ def test_queries(spark, folder, name):
         assert [own[k]["n_words"] for k in range(9)] == words and own[5]["n_removed"] == words[5] and own[4]["n_removed"] == 0
     elif name == "op9_simhash_near_dedup":
         assert own[5]["component_id"] == own[1]["component_id"] <= 1 and own[5]["fingerprint"] == own[1]["fingerprint"]
+    elif name == "op12_importance_resampling":
+        runs = [len(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").lower())) for t in texts]
+        assert [own[k]["n_features"] for k in range(9)] == [max(2 * n - 1, 0) for n in runs] and own[0]["n_features"] > 6_000_000
     elif name == "op10_jump_sharding":
         assert own[0]["text_crc32"] == zlib.crc32(texts[0].encode())
 
