@@ -15,6 +15,10 @@ from .sources import asciigrid, csv, fields, netcdf3, shapefile
 from .streaming import runs
 
 
+#: Rows of a table that are shown.
+PREVIEW = 5
+
+
 def _parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="rainloom")
     steps = top.add_subparsers(dest="step", required=True)
@@ -55,7 +59,9 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def _stations(spark: SparkSession, args: argparse.Namespace):
-    return csv.read_stations(spark, args.stations, source=args.source, target=args.target)
+    found = csv.read_stations(spark, args.stations, source=args.source, target=args.target)
+    found.orderBy("station").show(PREVIEW)
+    return found
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -114,6 +120,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             print("WARNING:", row.warning)
         tidy = raster.tidy(zonal)
         csv.write_zonal(tidy, f"{args.out}/daily")
+        series.to_wide(tidy, "basin", "mean").orderBy("date").show(PREVIEW)
         csv.write_one_csv(raster.annual_sums(tidy).orderBy("basin", "year"), f"{args.out}/annual")
         csv.write_one_csv(raster.monthly_climatology(tidy).orderBy("basin", "month"), f"{args.out}/monthly")
     else:

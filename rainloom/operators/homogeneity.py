@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..schema import Homogeneity
+from ..sources.shared import application_folder, kept
+from ..streaming.store import Store
 
 DEFAULT = Homogeneity()
 # fixed values: the sentences of the verdict
@@ -60,11 +62,25 @@ def null_statistics(spark: SparkSession, lengths: DataFrame, simulations: int =
     return _splits(points.withColumn("value", normal), ["n_years", "run"]).groupBy("n_years", "run").agg(F.max("t").alias("t_null")).drop("run")
 
 
+def stored_null(spark: SparkSession, lengths: list[int], simulations: int = DEFAULT.simulations, seed: int = DEFAULT.seed) -> DataFrame:
+    """(n_years, null_t): the statistics of null_statistics for each length as one sorted array, bounded by the number of simulations, not by the data.
+
+    They follow from length, number and seed alone, so an application makes each length's once and reads them afterwards."""
+    store = Store(spark, application_folder(spark, f"null-{simulations}-{seed}"), "n_years")
+    done = store.open()
+    if lacking := [n for n in lengths if str(n) not in done]:
+        null = null_statistics(spark, spark.createDataFrame([(n,) for n in lacking], "n_years int"), simulations, seed)
+        store.write(null.groupBy("n_years").agg(F.array_sort(F.collect_list("t_null")).alias("null_t")), lacking)
+    return spark.read.schema("n_years int, null_t array<double>").parquet(store.path).where(F.col("n_years").isin(lengths))
+
+
 def with_p_values(tests: DataFrame, p: Homogeneity = DEFAULT) -> DataFrame:
-    """Adds p_value, the part of simulated series of that length with a larger statistic, and inhomogeneous."""
-    null = null_statistics(tests.sparkSession, tests, p.simulations, p.seed)
-    # simulated statistics by length as one sorted array: bounded by the number of simulations, not by the data
-    ranked = null.groupBy("n_years").agg(F.array_sort(F.collect_list("t_null")).alias("null_t"))
+    """Adds p_value, the part of simulated series of that length with a larger statistic, and inhomogeneous.
+
+    tests, a row for each series, is stored first: its lengths, some tens, say what has to be simulated."""
+    tests = kept(tests, "tests")
+    lengths = sorted(r.n_years for r in tests.select("n_years").distinct().collect())
+    ranked = stored_null(tests.sparkSession, lengths, p.simulations, p.seed)
     out = tests.join(F.broadcast(ranked), "n_years", "left").withColumn("p_value", F.when(F.col("t_stat").isNotNull(), _part_above("null_t", "t_stat", p.simulations)))
     return out.withColumn("inhomogeneous", F.col("p_value") < p.alpha).drop("null_t")
 

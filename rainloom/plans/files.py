@@ -123,6 +123,12 @@ def file_netcdf4_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fields.load(spark, place).join(variance.select("date", "row", "col", F.col("value").alias("variance")), ["date", "row", "col"])
 
 
+@query("SELECT DISTINCT CAST(l_shipdate AS DATE) AS date, 0.0::DOUBLE AS method_flag, 25.0::DOUBLE AS n_stations_reporting, 0.5::DOUBLE AS elevation_rainfall_r FROM lineitem")
+def file_netcdf_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the files of all years say about each day."""
+    return fields.load_days(spark, _year_files(spark, sf_dir, "netcdf4"))
+
+
 #: A grid that a table gives: a part is a cell, as many to a row; its size is the elevation, some are missing.
 WIDE = 40
 _PARTS = f"""dem AS (SELECT CAST(k // {WIDE} AS INTEGER) AS "row", CAST(k % {WIDE} AS INTEGER) AS col, (k % {WIDE} + 0.5::DOUBLE) * {CELL}::DOUBLE AS x, ((SELECT max(p_partkey) // {WIDE} + 1 FROM part) - k // {WIDE} - 0.5::DOUBLE) * {CELL}::DOUBLE AS y,

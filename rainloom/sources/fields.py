@@ -34,8 +34,8 @@ from . import hdf5, netcdf3
 from .netcdf3 import Var
 from .shared import move
 
-#: Records that one partition reads, and cells of a record that one piece of a file being written has, about.
-RECORDS, PIECE = 31, 1 << 20
+#: Records that one partition reads at least, cells up to which it reads more, and cells of a piece of a record being written, about.
+RECORDS, CELLS, PIECE = 31, 1 << 20, 1 << 20
 EPOCH = "1980-01-01"
 SCHEMA = "date date, row int, col int, x double, y double, value double"
 _COMPARE: dict[type, Callable] = {EqualTo: operator.eq, EqualNullSafe: operator.eq, GreaterThan: operator.gt, GreaterThanOrEqual: operator.ge, LessThan: operator.lt, LessThanOrEqual: operator.le}
@@ -72,6 +72,10 @@ class Axes:
         self.line = np.argsort(-ys, kind="stable")
         self.y = ys[self.line]
 
+    def most(self) -> int:
+        """Records of a partition: more of small grids."""
+        return max(RECORDS, CELLS // max(1, len(self.x) * len(self.y)))
+
     def kept(self, filters: list[tuple[str, str, object]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Records, rows and columns that the filters leave."""
         values = {"date": self.dates, "row": np.arange(len(self.y)), "y": self.y, "col": np.arange(len(self.x)), "x": self.x}
@@ -90,7 +94,7 @@ class Part(InputPartition):
     last: int
 
 
-def runs(records: np.ndarray, most: int = RECORDS) -> Iterator[tuple[int, int]]:
+def runs(records: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
     """Records as runs of neighbours (first, behind the last), of `most` at most."""
     for own in np.split(records, np.flatnonzero(np.diff(records) != 1) + 1):
         for a in range(0, len(own), most):
@@ -130,9 +134,10 @@ class FieldReader(DataSourceReader):
         out = []
         for path in self.paths:
             c = open_field(path)
-            records, rows, cols = Axes(c, self.variable or c.field_name()).kept(self.filters)
+            axes = Axes(c, self.variable or c.field_name())
+            records, rows, cols = axes.kept(self.filters)
             if len(records) and len(rows) and len(cols):
-                out += [Part(path, a, b) for a, b in runs(records)]
+                out += [Part(path, a, b) for a, b in runs(records, axes.most())]
         return out or [Part("", 0, 0)]
 
     def read(self, part: Part) -> Iterator[pa.RecordBatch]:
@@ -171,7 +176,12 @@ class FieldStream(DataSourceStreamReader):
         return out
 
     def partitions(self, start: dict, end: dict) -> list[Part]:
-        return [Part(path, a, b) for path, n in sorted(end.items()) if n > start.get(path, 0) for a, b in runs(np.arange(start.get(path, 0), n))]
+        out = []
+        for path, n in sorted(end.items()):
+            if n > start.get(path, 0):
+                c = open_field(path)
+                out += [Part(path, a, b) for a, b in runs(np.arange(start.get(path, 0), n), Axes(c, self.variable or c.field_name()).most())]
+        return out
 
     def read(self, part: Part) -> Iterator[pa.RecordBatch]:
         return read_part(part, self.variable, self.keep, [])
@@ -320,6 +330,35 @@ def stream(spark: SparkSession, path: str, **options: str) -> DataFrame:
     return spark.readStream.format("netcdf").options(**options).load(path)
 
 
+def load_days(spark: SparkSession, path: str, keep_fill: bool = False) -> DataFrame:
+    """date, and every variable over time alone, of the files at a path, a task for each file.
+
+    Fill values are null, or kept as the codes that they also are (no method, no station)."""
+    paths = matching(path)
+    if not paths:
+        raise FileNotFoundError(f"no NetCDF file at {path}")
+    c = open_field(paths[0])
+    names = [p.name for p in c.places if len(c.shape(p)) == 1 and c.dim_names(p) == [_time(c)] and p.name != _time(c)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for own in batch.column("path").to_pylist():
+                c = open_field(own)
+                dates = Axes(c, c.field_name()).dates
+                columns = []
+                for name in names:
+                    p = c.place(name)
+                    v, fill = c.read(name).astype(float), c.fill(p)
+                    columns.append(pa.array(v, mask=np.isnan(v) if fill is None or keep_fill else np.isnan(v) | (v == fill)))
+                yield pa.RecordBatch.from_arrays([pa.array(dates.astype(object), pa.date32()), *columns], ["date", *names])
+
+    return spark.createDataFrame([(p,) for p in paths], "path string").repartition(len(paths)).mapInArrow(run, ", ".join(["date date", *(f"`{n}` double" for n in names)]))
+
+
+def _time(c) -> str:
+    return c.dim_names(c.place(c.field_name()))[0]
+
+
 def _axis(cells: DataFrame, index: str, place: str) -> tuple[list[int], np.ndarray]:
     found = cells.groupBy(index).agg(F.min(place).alias("v")).where(F.col(index).isNotNull()).orderBy(index).collect()
     return [r[index] for r in found], np.array([r.v for r in found], "f8")

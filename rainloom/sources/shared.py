@@ -15,13 +15,26 @@ def new_folder(spark: SparkSession, name: str) -> str:
     """A new folder in the one that driver and executors share, as spark.checkpoint.dir names it; it goes when the application ends.
 
     Where the session names none, a temporary one serves a local master; on a cluster that is an error."""
+    return _made(spark, f"{_base(spark)}/rainloom-{name}-{uuid.uuid4().hex}")
+
+
+def application_folder(spark: SparkSession, name: str) -> str:
+    """The application's one folder of a name, for what it makes once; it goes when the application ends."""
+    return _made(spark, f"{_base(spark)}/rainloom-{name}-{spark.sparkContext.applicationId}")
+
+
+def _base(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = f"file://{tempfile.mkdtemp(prefix='rainloom-')}"
         spark.conf.set("spark.checkpoint.dir", base)
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base}/rainloom-{name}-{uuid.uuid4().hex}")
+    return base
+
+
+def _made(spark: SparkSession, folder: str) -> str:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     system.mkdirs(path)
     system.deleteOnExit(path)

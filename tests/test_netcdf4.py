@@ -150,6 +150,8 @@ def test_tasks_write_netcdf4(spark, tmp_path, monkeypatch, piece):
     want = {(r.date, r.row, r.col, r.x, r.y): r.rainfall for r in cells.collect()}
     for reader in (fields.load(spark, str(tmp_path)), spark.read.format("netcdf").load(str(tmp_path))):
         assert {(r.date, r.row, r.col, r.x, r.y): r.value for r in reader.collect()} == want
+    days = fields.load_days(spark, str(tmp_path))
+    assert sorted(map(tuple, days.collect())) == sorted((r.date, 1.0, 9.0, 0.25) for r in day_rows(cells).collect()) and days.columns == ["date", "method_flag", "n_stations_reporting", "elevation_rainfall_r"]
     one = fields.load(spark, str(tmp_path), variable="kriging_variance").where(F.col("date") == DAY).where("row = 3")
     assert {(r.col, r.value) for r in one.collect()} == {(r.col, r.variance) for r in cells.where(F.col("date") == DAY).where("row = 3").collect()}
     whole, classic = fields.to_dict(paths[2001]), tmp_path / "classic.nc"
