@@ -26,9 +26,11 @@ TIE = 1e-7
 GRID_SIZE, CELL = 20, 5000.0
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
+def query(sql: str | None = None, snap: Callable[[DataFrame], DataFrame] | None = None) -> Callable[[Query], Query]:
+    """Registers a query, with its SQL; snap rounds what is registered, where engines differ in the last digits."""
+
     def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
+        QUERIES[f.__name__] = (lambda spark, sf_dir: snap(f(spark, sf_dir))) if snap else f
         if sql:
             ORACLE[f.__name__] = sql
         return f
@@ -125,6 +127,11 @@ def _rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in names})
 
 
+def _zero(*names: str) -> Callable[[DataFrame], DataFrame]:
+    """Three decimals; adding 0 makes -0 a plain 0."""
+    return lambda df: df.withColumns({c: F.round(c, 3) + 0 for c in names})
+
+
 # -- homogeneity ----------------------------------------------------------------------------------------------------
 
 
@@ -499,23 +506,31 @@ side AS (SELECT date, "row", col, z, drift, coef, inv, [{b} FOR p IN ps] || [1.0
 {select or f'SELECT date, "row", col, {known.format("list_inner_product(coef, b)")} AS value{quadratic}, z IS NOT NULL AS solid FROM side'}"""
 
 
-_ZERO = lambda df, *names: df.withColumns({c: F.round(c, 3) + 0 for c in names})
-
-
-@query(_kriged("false"))
+@query()
 def kriging_ok(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Held to SQL that solves every day's system itself."""
-    return _ZERO(kriging.predict(_systems(spark, sf_dir, "ok"), cells(spark)), "value")
+    return kriging.predict(_systems(spark, sf_dir, "ok"), cells(spark))
 
 
-@query(_kriged("true"))
+@query()
 def kriging_ked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ZERO(kriging.predict(_systems(spark, sf_dir, "ked"), cells(spark)), "value")
+    return kriging.predict(_systems(spark, sf_dir, "ked"), cells(spark))
+
+
+@query(_kriged("false"), _zero("value"))
+def kriging_ok_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """kriging_ok to three decimals, held to SQL that solves every day's system itself."""
+    return kriging_ok(spark, sf_dir)
+
+
+@query(_kriged("true"), _zero("value"))
+def kriging_ked_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """kriging_ked to three decimals, held to SQL."""
+    return kriging_ked(spark, sf_dir)
 
 
-@query(_kriged("used = 'ked'", True))
+@query(_kriged("used = 'ked'", True), _zero("value", "variance"))
 def kriging_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ZERO(kriging.predict_with_variance(_systems(spark, sf_dir), cells(spark)), "value", "variance")
+    return kriging.predict_with_variance(_systems(spark, sf_dir), cells(spark))
 
 
 @query(f"WITH {_OBS}, {_STATIONS}, {_PRESENT}, {_DRIFT}, {_METHOD}, {_USED} SELECT date, station, used, round(value, 2) AS value, 0.0::DOUBLE AS variance FROM present JOIN used USING (date) WHERE used IS NOT NULL")
@@ -594,22 +609,22 @@ _LEFT_OUT = f"""WITH RECURSIVE {_OBS}, {_STATIONS}, {_PRESENT}, {_DRIFT}, {_METH
 cv AS (SELECT date, station, value AS observed, value - c / inv[i] AS predicted FROM point JOIN solved USING (date) WHERE var = i)"""
 
 
-@query(f"{_LEFT_OUT} SELECT date, station, observed, round(predicted, 3) + 0 AS predicted FROM cv")
+@query(f"{_LEFT_OUT} SELECT date, station, observed, round(predicted, 3) + 0 AS predicted FROM cv", _zero("predicted"))
 def loo_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ZERO(kriging.leave_one_out(_systems(spark, sf_dir)), "predicted")
+    return kriging.leave_one_out(_systems(spark, sf_dir))
 
 
-@query(f"{_LEFT_OUT} SELECT date, round(sqrt(avg((predicted - observed) * (predicted - observed))), 3) + 0 AS rmse, round(avg(abs(predicted - observed)), 3) + 0 AS mae, round(avg(predicted - observed), 3) + 0 AS bias FROM cv GROUP BY date")
+@query(f"{_LEFT_OUT} SELECT date, round(sqrt(avg((predicted - observed) * (predicted - observed))), 3) + 0 AS rmse, round(avg(abs(predicted - observed)), 3) + 0 AS mae, round(avg(predicted - observed), 3) + 0 AS bias FROM cv GROUP BY date", _zero("rmse", "mae", "bias"))
 def loo_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ZERO(kriging.scores(kriging.leave_one_out(_systems(spark, sf_dir)), ["date"]), "rmse", "mae", "bias")
+    return kriging.scores(kriging.leave_one_out(_systems(spark, sf_dir)), ["date"])
 
 
 @query(_kriged("used = 'ked'", select=f"""SELECT date, "row", col, {_SNAP.format("CASE WHEN z IS NOT NULL THEN greatest(list_inner_product(coef, b), 0) END")} AS rainfall,
-  {_SNAP.format("CASE WHEN z IS NOT NULL THEN list_inner_product(b, [list_inner_product(r, b) FOR r IN inv]) END")} AS variance FROM side"""))
+  {_SNAP.format("CASE WHEN z IS NOT NULL THEN list_inner_product(b, [list_inner_product(r, b) FOR r IN inv]) END")} AS variance FROM side"""), lambda df: _snapped(df, "rainfall", "variance"))
 def krige_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Days through method, table, solve, mask and clip: the batch plan's grid."""
     obs = observations(spark, sf_dir)
-    return _snapped(kriging.krige(obs, stations(spark, sf_dir), cells(spark), _made_table(spark))[0], "rainfall", "variance")
+    return kriging.krige(obs, stations(spark, sf_dir), cells(spark), _made_table(spark))[0]
 
 
 @query("""SELECT date, count(*) AS n, round(sqrt(avg((p - o) * (p - o))) + 1e-7, 4) AS rmse, round(avg(abs(p - o)) + 1e-7, 4) AS mae, round(avg(p - o) + 1e-7, 4) AS bias
@@ -647,7 +662,7 @@ def _zonal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raster.zonal_mean(field(spark, sf_dir), mask, polygons(spark))
 
 
-for _name in ("krige_days_summary", "kriging_flat", "krige_flat_days", "kriging_ok", "kriging_ked", "kriging_variance", "krige_days"):
+for _name in ("krige_days_summary", "kriging_flat", "krige_flat_days", "kriging_ok_cells", "kriging_ked_cells", "kriging_variance", "krige_days"):
     ORACLE[_name] = ORACLE[_name].format(cells=_CELLS)
 
 
@@ -759,10 +774,10 @@ def plot_variogram_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {_OBS}, {_STATIONS}, {_PAIRS}, {_BRIDGE}, {_ENOUGH}, {_POOL_RAW}, {_FIT}, {_WINNERS},
 best AS (SELECT s.doy, CASE WHEN e.rmse < s.rmse * 0.95::DOUBLE THEN 'exponential' ELSE 'spherical' END AS model FROM (SELECT * FROM fits WHERE model = 'spherical') s JOIN (SELECT * FROM fits WHERE model = 'exponential') e USING (doy)),
 steps AS (SELECT doy, model, nugget, sill, w.reach AS r, h.top * 1.05::DOUBLE * k / 299 AS h FROM best JOIN winner w USING (doy, model) JOIN (SELECT doy, max(lag_center) AS top FROM pooled GROUP BY doy) h USING (doy), range(300) t(k))
-SELECT doy, round(h, 2) AS h, round(CASE WHEN h <= 0 THEN 0 ELSE nugget + (sill - nugget) * CASE WHEN model = 'exponential' THEN 1 - exp(-3 * (h / r)) WHEN h >= r THEN 1 ELSE 1.5 * (h / r) - 0.5 * (h / r) ** 3 END END, 2) AS gamma FROM steps""")
+SELECT doy, round(h, 2) AS h, round(CASE WHEN h <= 0 THEN 0 ELSE nugget + (sill - nugget) * CASE WHEN model = 'exponential' THEN 1 - exp(-3 * (h / r)) WHEN h >= r THEN 1 ELSE 1.5 * (h / r) - 0.5 * (h / r) ** 3 END END, 2) AS gamma FROM steps""", lambda df: _rounded(df, 2, "h", "gamma"))
 def plot_variogram_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     bins = variogram.pooled(observations(spark, sf_dir), stations(spark, sf_dir), "ok")
-    return _rounded(plots.variogram_curve(bins, variogram.best_model(variogram.fit_models(bins, ["doy"]), ["doy"]), ["doy"]), 2, "h", "gamma")
+    return plots.variogram_curve(bins, variogram.best_model(variogram.fit_models(bins, ["doy"]), ["doy"]), ["doy"])
 
 
 @query(f"""WITH {_OBS}, {_ANNUAL}, v AS (SELECT station, CAST(year AS INTEGER) AS year, total AS value FROM annual), {_splits("v", "station")}
@@ -778,6 +793,6 @@ def plot_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""{_LEFT_OUT} SELECT date, station, observed, round(predicted, 3) + 0 AS predicted, round(min(least(observed, predicted)) OVER (PARTITION BY date), 3) + 0 AS low,
-  round(max(greatest(observed, predicted)) OVER (PARTITION BY date), 3) + 0 AS high FROM cv""")
+  round(max(greatest(observed, predicted)) OVER (PARTITION BY date), 3) + 0 AS high FROM cv""", _zero("predicted", "low", "high"))
 def plot_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ZERO(plots.cv_scatter(kriging.leave_one_out(_systems(spark, sf_dir)), ["date"]), "predicted", "low", "high")
+    return plots.cv_scatter(kriging.leave_one_out(_systems(spark, sf_dir)), ["date"])
