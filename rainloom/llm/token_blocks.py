@@ -17,13 +17,16 @@ are ordered by xxhash64 of the text, so that they too are dealt out; repeated ro
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -147,15 +150,20 @@ def read_block(payload: bytes, k: int) -> np.ndarray:
 
 # -- tokens ---------------------------------------------------------------------------------------------------------
 
-#: Bytes by class: 0 white space, 1 letters, 2 digits, 3 the rest. Two-byte characters count as letters where _UNPLAIN finds nothing.
-_CLASS = np.full(256, 3, np.uint8)
-_CLASS[[9, 10, 11, 12, 13, 32]] = 0
-_CLASS[97:123] = _CLASS[128:] = 1
-_CLASS[48:58] = 2
 #: What keeps a text from the classes by byte. They find the tokenizer's own pre-tokens in ASCII and the Latin letters U+00C0 to U+017F,
 #: but for the two signs, the capital I that lower-cases to two characters and the letters that NFC or folding rewrites,
 #: without control characters and special tokens.
 _UNPLAIN = re.compile("[^\t-\r\x20-\x7e\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u0148\u014a-\u017e]|<\\|")
+#: The two-byte characters from U+00C0 on: whether _UNPLAIN finds them, and else their lower case.
+_LATIN = range(0xC0, 0x180)
+_LATIN_UNPLAIN = np.array([bool(_UNPLAIN.match(chr(c))) for c in _LATIN])
+_LATIN_LOWER = np.array([c if _UNPLAIN.match(chr(c)) else ord(chr(c).lower()) for c in _LATIN])
+#: Bytes by class: 0 white space, 1 letters, 2 digits, 3 other signs, 4 what no plain text holds.
+_CLASS = np.full(256, 3, np.uint8)
+_CLASS[[9, 10, 11, 12, 13, 32]] = 0
+_CLASS[65:91] = _CLASS[97:123] = _CLASS[128:] = 1
+_CLASS[48:58] = 2
+_CLASS[[c for c in range(128) if _UNPLAIN.match(chr(c))]] = _CLASS[0xC0:0xC3] = _CLASS[0xC6:] = 4
 #: Contractions are pre-tokens of their own, where no sign stands before them.
 _CONTRACTION = re.compile(rb"(?<![!-/:-@\[-`{-~])'(?:s|t|re|ve|m|ll|d)")
 
@@ -169,62 +177,99 @@ class TextEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.whole = Tokenizer.from_file(path)
         self.alone = Tokenizer(self.whole.model)
         self.alone.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         size = self.whole.get_vocab_size()
         self.ends = np.zeros(size, bool)
         self.ends[[i for token, i in self.whole.get_vocab().items() if token.endswith("</w>")]] = True
-        self.known: dict[bytes, np.ndarray] = {}
+        # known pre-tokens by number, their ids in a row with the bounds of each, and in how many slices each was
+        self.known: dict[bytes, int] = {}
+        self.ids, self.bounds, self.uses = np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(0, np.int32)
 
     def _learn(self, new: list[bytes]) -> None:
-        for a in range(0, len(new), 2000):
-            part = new[a : a + 2000]
-            ids = np.array(self.alone.encode(b" ".join(part).decode(), add_special_tokens=False).ids, np.uint32)
-            self.known.update(zip(part, np.split(ids, np.flatnonzero(self.ends[ids])[:-1] + 1), strict=True))
-
-    def _plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        blob = " ".join([*texts, ""]).lower().encode()
-        data = np.frombuffer(blob, np.uint8)
-        sizes = np.array([len(x.lower().encode()) + 1 for x in texts], np.int64)
-        kind = _CLASS[data]
+        parts = [b" ".join(new[a : a + 1000]).decode() for a in range(0, len(new), 1000)]
+        ids = np.concatenate([np.array(x.ids, np.uint32) for x in self.alone.encode_batch_fast(parts, add_special_tokens=False)])
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(ends)), strict=True))
+        self.bounds = np.append(self.bounds, ends + len(self.ids))
+        self.ids = np.append(self.ids, ids)
+        self.uses = np.append(self.uses, np.zeros(len(new), np.int32))
+
+    def _forget(self) -> None:
+        """Keeps half as many pre-tokens as the cache may hold, those of the most slices."""
+        keep = np.sort(np.argsort(-self.uses, kind="stable")[: CACHE // 2])
+        names, starts, lens = list(self.known), self.bounds[keep], np.diff(self.bounds)[keep]
+        self.known = {names[i]: k for k, i in enumerate(keep.tolist())}
+        self.ids, self.bounds, self.uses = self.ids[expand(starts, lens)], np.append(0, np.cumsum(lens)), self.uses[keep]
+
+    def _numbers(self, words: pa.Array) -> np.ndarray:
+        """The number of each word; new ones are learnt."""
+        if not len(words):
+            return np.zeros(0, np.int64)
+        coded = words.dictionary_encode()
+        # no word holds a space
+        names = pc.binary_join(pa.ListArray.from_arrays([0, len(coded.dictionary)], coded.dictionary.cast(pa.binary())), b" ")[0].as_py().split(b" ")
+        if len(self.known) > CACHE:
+            self._forget()
+        number = np.fromiter(map(self.known.get, names, repeat(-1)), np.int64, len(names))
+        if len(new := np.flatnonzero(number < 0)):
+            number[new] = np.arange(len(self.known), len(self.known) + len(new))
+            self._learn([names[i] for i in new.tolist()])
+        self.uses[number] += 1
+        return number[coded.indices.to_numpy()]
+
+    @staticmethod
+    def _unplain(data: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        """Where _UNPLAIN finds something in the bytes of some texts. Lower-cases their two-byte letters."""
+        lead = np.flatnonzero((data >= 0xC3) & (data <= 0xC5))
+        letter = ((data[lead].astype(np.int64) & 31) << 6 | data[lead + 1] & 63) - _LATIN.start
+        low = _LATIN_LOWER[letter]
+        data[lead], data[lead + 1] = low >> 6 | 0xC0, low & 63 | 0x80
+        sign = np.flatnonzero(data == ord("<"))
+        return np.concatenate([np.flatnonzero(kind == 4), lead[_LATIN_UNPLAIN[letter]], sign[data[sign + 1] == ord("|")]])
+
+    def _plain(self, data: np.ndarray, kind: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """ids and how many each text has; data: the texts in lower case, a space after each; stops: where each ends."""
         new = kind != 0
+        solid = new.copy()
         new[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+        blob = data.tobytes()
         if found := [m.span() for m in _CONTRACTION.finditer(blob)] if b"'" in blob else []:
             begin, end = np.array(found).T
             new[begin], new[end] = True, kind[end] != 0
             inner = expand(begin + 1, end - begin - 1)
             new[inner] = False
         starts = np.flatnonzero(new)
-        solid = kind != 0
-        offsets = np.append(np.cumsum(solid)[starts] - 1, np.count_nonzero(solid)).astype(np.int64)
-        words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[solid])])
-        coded = words.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        if new := [w for w in distinct if w not in self.known]:
-            if len(self.known) + len(new) > CACHE:
-                self.known.clear()
-                new = distinct
-            self._learn(new)
-        each = [self.known[w] for w in distinct]
-        lens = np.fromiter(map(len, each), np.int64, len(each))
-        flat = np.concatenate([*each, np.zeros(0, np.uint32)])
-        code = coded.indices.to_numpy()
-        ids = flat[expand((np.cumsum(lens) - lens)[code], lens[code])]
-        ends = np.cumsum(lens[code])
-        per_text = np.searchsorted(starts, np.cumsum(sizes))
-        return ids, np.diff(np.append(0, ends)[per_text], prepend=0)
+        letters = data[solid]
+        offsets = np.append(np.flatnonzero(new[solid]), len(letters)).astype(np.int64)
+        code = self._numbers(pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(letters)]))
+        lens = np.diff(self.bounds)[code]
+        ids = self.ids[expand(self.bounds[code], lens)]
+        return ids, np.diff(np.append(0, np.cumsum(lens))[np.searchsorted(starts, stops)], prepend=0)
+
+    def encode_all(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and how many each has."""
+        blob = b" ".join([*texts, b""])
+        blob.decode()  # bytes that are no UTF-8 are an error
+        data = np.frombuffer(bytearray(blob.lower()), np.uint8)
+        kind = _CLASS[data]
+        stops = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+        odd = np.zeros(len(texts), bool)
+        odd[np.searchsorted(stops, self._unplain(data, kind), "right")] = True
+        if not odd.any():
+            return self._plain(data, kind, stops)
+        sizes = np.diff(stops, prepend=0)
+        keep = np.repeat(~odd, sizes)
+        ids, lengths = self._plain(data[keep], kind[keep], np.cumsum(sizes[~odd]))
+        plain = iter(np.split(ids, np.cumsum(lengths)[:-1]))
+        out = [np.array(self.whole.encode(x.decode(), add_special_tokens=False).ids, np.uint32) if o else next(plain) for x, o in zip(texts, odd.tolist(), strict=True)]
+        return np.concatenate(out), np.fromiter(map(len, out), np.int64, len(out))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(texts)
-        plain = [i for i, x in enumerate(texts) if not _UNPLAIN.search(x)]
-        if plain:
-            ids, lengths = self._plain([texts[i] for i in plain])
-            for i, own in zip(plain, np.split(ids, np.cumsum(lengths)[:-1]), strict=True):
-                out[i] = own
-        for i in sorted(set(range(len(texts))) - set(plain)):
-            out[i] = np.array(self.whole.encode(texts[i], add_special_tokens=False).ids, np.uint32)
-        return out
+        ids, lengths = self.encode_all([x.encode() for x in texts])
+        return np.split(ids, np.cumsum(lengths)[:-1]) if texts else []
 
 
 _encoders: dict[str, TextEncoder] = {}
@@ -244,13 +289,15 @@ def encode_ordered(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq, own = TaskContext.get().partitionId(), 0, encoder(path)
-        end = np.array([end_id], np.uint32)
         for batch in batches:
             for rows, texts in slices(batch, "text", 2_000_000):
-                ids = own.encode([x.decode() for x in texts])
-                lengths = np.array([len(x) + 1 for x in ids], np.int64)
-                payloads = encode_blocks(np.concatenate([y for x in ids for y in (x, end)]), lengths)
-                n = len(texts)
+                ids, lengths = own.encode_all(texts)
+                n, lengths = len(texts), lengths + 1
+                closed = np.full(len(ids) + n, end_id, np.uint32)
+                inside = np.ones(len(closed), bool)
+                inside[np.cumsum(lengths) - 1] = False
+                closed[inside] = ids
+                payloads = encode_blocks(closed, lengths)
                 yield pa.RecordBatch.from_arrays([pa.array([part] * n, pa.int32()), pa.array(np.arange(seq, seq + n)), rows.column("doc_id"), pa.array(lengths), pa.array(payloads, pa.binary())], ["part", "seq", "doc_id", "n_tokens", "payload"])
                 seq += n
 

@@ -1,6 +1,8 @@
 import hashlib
 import random
 import zlib
+from collections import Counter
+from itertools import product
 
 import numpy as np
 import public_tokenizers
@@ -173,6 +175,30 @@ def test_encoder_on_any_text(text):
     assert own.encode([text])[0].tolist() == own.whole.encode(text, add_special_tokens=False).ids
 
 
+def test_encoder_on_every_character():
+    own = token_blocks.TextEncoder(PATH)
+    texts = [t for c in [*range(0x250), 0x300, 0x3A3, 0x2028, 0xFEFF, 0xFFFD, 0x1F600] for t in (chr(c), f"Ab{chr(c)}cD 1{chr(c)}{chr(c)}'s <{chr(c)}")]
+    assert [x.tolist() for x in own.encode(texts)] == [own.whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert own.encode([]) == []
+    for broken in (b"a\xc3", b"\xc3a", b"\x80", b"\xff"):
+        with pytest.raises(UnicodeDecodeError):
+            own.encode_all([b"plain", broken, b"plain"])
+
+
+def test_words_of_many_slices_stay_known(monkeypatch):
+    monkeypatch.setattr(token_blocks, "CACHE", 300)
+    own, learnt = token_blocks.TextEncoder(PATH), Counter()
+    learn = own._learn
+    monkeypatch.setattr(own, "_learn", lambda new: (learnt.update(new), learn(new)))
+    made = ("".join(x) for x in product("bcdfghjklm", "aeiou", "npqrst", "aeiou", "vwxyz"))
+    common = [next(made) for _ in range(100)]
+    for _ in range(40):
+        text = " ".join([*common, *(next(made) for _ in range(60))])
+        assert own.encode([text])[0].tolist() == own.whole.encode(text, add_special_tokens=False).ids
+    assert len(learnt) == 100 + 40 * 60 and set(learnt.values()) == {1}
+    assert len(own.known) <= 300 + 160
+
+
 def test_token_query(docs, no_docs, rows):
     tok, start, expected = Tokenizer.from_file(PATH), 0, []
     tag = {r.t: r.h for r in docs.selectExpr("coalesce(text, '') AS t").selectExpr("t", "xxhash64(t) AS h").collect()}
