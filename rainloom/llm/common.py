@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Stands for a null doc_id inside the operators: it sorts before every other id.
@@ -65,13 +66,15 @@ def partitions(spark: SparkSession) -> int:
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Cuts a batch into runs of whole rows with about `limit` bytes of text; null texts come as empty ones."""
-    texts = [x or b"" for x in batch.column(column).cast(pa.binary()).to_pylist()]
+    """Cuts a batch into runs of whole rows with about `limit` bytes of text; null texts come as empty ones.
+
+    Only the texts of one run at a time are taken out of the batch."""
+    texts = batch.column(column).cast(pa.binary())
     start = size = 0
-    for i, x in enumerate(texts):
-        size += len(x)
+    for i, n in enumerate(pc.binary_length(texts).fill_null(0).to_pylist()):
+        size += n
         if size >= limit or i == len(texts) - 1:
-            yield batch.slice(start, i + 1 - start), texts[start : i + 1]
+            yield batch.slice(start, i + 1 - start), [x or b"" for x in texts.slice(start, i + 1 - start).to_pylist()]
             start, size = i + 1, 0
 
 

@@ -189,8 +189,9 @@ class TextEncoder:
         self.ids, self.bounds, self.uses = np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(0, np.int32)
 
     def _learn(self, new: list[bytes]) -> None:
-        parts = [b" ".join(new[a : a + 1000]).decode() for a in range(0, len(new), 1000)]
-        ids = np.concatenate([np.array(x.ids, np.uint32) for x in self.alone.encode_batch_fast(parts, add_special_tokens=False)])
+        # one part after the other, for what the library returns takes far more memory than the ids
+        parts = (b" ".join(new[a : a + 1000]).decode() for a in range(0, len(new), 1000))
+        ids = np.concatenate([np.array(self.alone.encode_batch_fast([x], add_special_tokens=False)[0].ids, np.uint32) for x in parts])
         ends = np.flatnonzero(self.ends[ids]) + 1
         self.known.update(zip(new, range(len(self.known), len(self.known) + len(ends)), strict=True))
         self.bounds = np.append(self.bounds, ends + len(self.ids))

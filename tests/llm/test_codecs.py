@@ -1,18 +1,20 @@
 import hashlib
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 from itertools import product
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from rainloom.llm import flac, media, token_blocks
-from rainloom.llm.common import NULL_ID
+from rainloom.llm.common import NULL_ID, slices
 
 from .conftest import bag
 
@@ -199,6 +201,22 @@ def test_words_of_many_slices_stay_known(monkeypatch):
     assert len(own.known) <= 300 + 160
 
 
+def test_slices_take_out_one_run_at_a_time():
+    batch = pa.record_batch([pa.array(range(5)), pa.array(["ab", None, "", "éé", "c"])], ["n", "text"])
+    for part, first in ((batch, 0), (batch.slice(1), 1)):
+        texts = [b"ab", b"", b"", "éé".encode(), b"c"][first:]
+        for limit in (1, 3, 6, 100):
+            found = list(slices(part, "text", limit))
+            assert [x for _, t in found for x in t] == texts and [x for rows, _ in found for x in rows["n"].to_pylist()] == list(range(first, 5))
+            assert all(sum(map(len, t[:-1])) < limit for _, t in found) and all(sum(map(len, t)) >= limit for _, t in found[:-1])
+    large = pa.record_batch([pa.array([f"{k}" + "y" * 3000 for k in range(5000)])], ["text"])
+    tracemalloc.start()
+    assert sum(len(t) for _, t in slices(large, "text", 1_000_000)) == 5000
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 5_000_000
+
+
 def test_token_query(docs, no_docs, rows):
     tok, start, expected = Tokenizer.from_file(PATH), 0, []
     tag = {r.t: r.h for r in docs.selectExpr("coalesce(text, '') AS t").selectExpr("t", "xxhash64(t) AS h").collect()}
